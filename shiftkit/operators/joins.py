@@ -118,7 +118,14 @@ def contains_join(items: DataFrame, item_text: str, patterns: DataFrame, pattern
                  F.sequence(F.lit(1), F.length(text) - F.col("__len") + 1),
                  lambda p: text.substr(p, F.col("__len"))))))
              .drop("__len"))
-    return patterns.join(grams, col(pattern_col) == F.col("__gram"), how).drop("__gram")
+    matched = patterns.join(grams, col(pattern_col) == F.col("__gram"), "inner").drop("__gram")
+    if how == "inner":
+        return matched
+    # Left form as inner + anti: an inner join lets AQE split a hot gram on
+    # either side, a left outer join only on the pattern side.
+    unmatched = patterns.join(grams.select("__gram").distinct(),
+                              col(pattern_col) == F.col("__gram"), "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
 def composite_key_join(left: DataFrame, left_keys: Sequence[str], right: DataFrame,

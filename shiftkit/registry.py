@@ -118,3 +118,246 @@ def q_match_coverage(spark, sf_dir):
     blueprint = bridge_denormalize(*bridge_views(spark, sf_dir))
     owners, tags = target_views(spark, sf_dir)
     return rekey_coverage(blueprint, owners, tags)
+
+
+# --- landed files ---------------------------------------------------------------
+# Sources and sinks are checked on files Spark writes from the tables into a
+# fresh folder under the session's checkpoint root, then reads back.
+
+_LANDED: dict[tuple[str, str, str], str] = {}
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+    from shiftkit.session import checkpoint_root, shared_dir
+    key = (checkpoint_root(spark), sf_dir, name)
+    if key not in _LANDED:
+        path = shared_dir(spark, name)
+        write(path)
+        _LANDED[key] = path
+    return _LANDED[key]
+
+
+def _csv_writer(df: DataFrame, path: str, single_file: bool = False) -> None:
+    from shiftkit.operators.sinks import write_csv
+    write_csv(df, path, single_file=single_file)
+
+
+# --- P: projections and filters -------------------------------------------------
+
+@register("P4_export_snapshot", """
+SELECT o_orderkey AS "ignore__o_orderkey", o_custkey, o_orderstatus, o_totalprice, o_orderpriority
+FROM orders WHERE o_orderstatus = 'O' AND o_totalprice >= 100000
+""")
+def q_export_snapshot(spark, sf_dir):
+    from shiftkit.plans.runs import export_view
+    return flat_names(export_view(
+        table(spark, sf_dir, "orders"),
+        where="o_orderstatus = 'O' AND o_totalprice >= 100000",
+        columns=["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"],
+        ignore_columns=["o_orderkey", "not_a_column"]))
+
+
+@register("P2_where_filter", """
+SELECT c_custkey, c_name, c_mktsegment FROM customer
+WHERE contains(c_name, '#00000') AND c_acctbal >= 0 AND c_mktsegment IS NOT NULL
+""")
+def q_where_filter(spark, sf_dir):
+    from shiftkit.operators.project import project_columns, where_filter
+    df = where_filter(table(spark, sf_dir, "customer"),
+                      "contains(c_name, '#00000') AND c_acctbal >= 0 AND c_mktsegment IS NOT NULL")
+    return project_columns(df, ["c_custkey", "c_name", "c_mktsegment"])
+
+
+@register("A1_row_count", """
+SELECT 'open_orders' AS export_name, count(*) AS row_count
+FROM orders WHERE o_orderstatus = 'O' AND o_totalprice >= 100000
+""")
+def q_row_count(spark, sf_dir):
+    from shiftkit.plans.runs import export_view
+    df = export_view(table(spark, sf_dir, "orders"),
+                     where="o_orderstatus = 'O' AND o_totalprice >= 100000",
+                     columns=["o_orderkey", "o_totalprice"], ignore_columns=["o_orderkey"])
+    return df.agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit("open_orders").alias("export_name"), "row_count")
+
+
+@register("P3_relation_path", """
+SELECT o.o_orderkey, c.c_name AS "customer__r__c_name", n.n_name AS "customer__r__nation__r__n_name"
+FROM orders o
+LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+""")
+def q_relation_path(spark, sf_dir):
+    from shiftkit.operators.joins import relation_path
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    x = relation_path(o, "o_custkey", table(spark, sf_dir, "customer"), "c_custkey",
+                      ["c_name", "c_nationkey"], relation="customer__r")
+    x = relation_path(x, "customer__r.c_nationkey", table(spark, sf_dir, "nation"), "n_nationkey",
+                      ["n_name"], relation="customer__r.nation__r")
+    return flat_names(x.select("o_orderkey", "`customer__r.c_name`", "`customer__r.nation__r.n_name`"))
+
+
+# --- change sets ------------------------------------------------------------------
+
+def org_views(spark, sf_dir):
+    orgs = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name__v"),
+        F.col("c_mktsegment").alias("state__v"), F.col("c_nationkey").alias("object_type__v"),
+        "c_acctbal")
+    types = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"),
+                                                  F.col("n_name").alias("name__v"))
+    return orgs, types
+
+
+ARCHIVE = dict(name_token="Customer#", type_value="NATION_3", name_prefix="ZZ_DO_NOT_USE_",
+               new_state="archived_state__c")
+
+ARCHIVE_SQL = """
+SELECT c.c_custkey AS id, c.c_name AS "ignore__current_name",
+       'ZZ_DO_NOT_USE_' || c.c_name AS name__v, c.c_mktsegment AS "ignore__current_state__v",
+       'archived_state__c' AS state__v, c.c_acctbal
+FROM customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
+WHERE lower(c.c_name) LIKE '%customer#%' AND n.n_name = 'NATION_3'
+"""
+
+
+@register("J6_change_set_derive", f"""
+SELECT id, "ignore__current_name", name__v, "ignore__current_state__v", state__v
+FROM ({ARCHIVE_SQL}) a
+""")
+def q_change_set_derive(spark, sf_dir):
+    from shiftkit.plans.changes import derive_archive_set
+    orgs, types = org_views(spark, sf_dir)
+    return flat_names(derive_archive_set(orgs, types, **ARCHIVE))
+
+
+def change_rows(spark, sf_dir):
+    """Updates (the archive set), repeated ids (negative balance twice), creates (suppliers)."""
+    from shiftkit.plans.changes import derive_archive_set
+    orgs, types = org_views(spark, sf_dir)
+    arch = derive_archive_set(orgs.drop("c_acctbal"), types, **ARCHIVE)
+    neg = orgs.where("c_acctbal < 0").select("id")
+    dup = arch.join(neg, "id", "left_semi")
+    new = table(spark, sf_dir, "supplier").select(
+        (F.col("s_suppkey") + 10_000_000).alias("id"),
+        F.lit(None).cast("string").alias("ignore.current_name"), F.col("s_name").alias("name__v"),
+        F.lit(None).cast("string").alias("ignore.current_state__v"),
+        F.lit("active_state__c").alias("state__v"))
+    return arch.unionByName(dup).unionByName(new)
+
+
+CHANGES_SQL = f"""
+WITH arch AS ({ARCHIVE_SQL}),
+ch AS (
+  SELECT id, name__v, state__v FROM arch
+  UNION ALL SELECT id, name__v, state__v FROM arch WHERE c_acctbal < 0
+  UNION ALL SELECT s_suppkey + 10000000, s_name, 'active_state__c' FROM supplier),
+cnt AS (SELECT id, count(*) AS n FROM ch GROUP BY id),
+t AS (SELECT c_custkey AS id, c_name AS name__v, c_mktsegment AS state__v FROM customer)
+"""
+
+
+@register("K2_apply_upsert", CHANGES_SQL + """,
+ok AS (SELECT ch.* FROM ch JOIN cnt USING (id) WHERE cnt.n = 1)
+SELECT coalesce(t.id, ok.id) AS id, coalesce(ok.name__v, t.name__v) AS name__v,
+       coalesce(ok.state__v, t.state__v) AS state__v
+FROM t FULL OUTER JOIN ok ON t.id = ok.id
+""")
+def q_apply_upsert(spark, sf_dir):
+    from shiftkit.plans.changes import apply_change_set
+    orgs, _ = org_views(spark, sf_dir)
+    t = orgs.select("id", "name__v", "state__v")
+    return apply_change_set(t, change_rows(spark, sf_dir), "upsert")
+
+
+@register("K2_change_results", CHANGES_SQL + """,
+r AS (
+  SELECT CASE WHEN cnt.n > 1 THEN 'duplicate id in change set'
+              WHEN t.id IS NULL THEN 'record not found' END AS errors
+  FROM ch JOIN cnt USING (id) LEFT JOIN (SELECT DISTINCT id FROM t) t ON ch.id = t.id)
+SELECT CASE WHEN errors IS NULL THEN 'update' END AS action,
+       CASE WHEN errors IS NULL THEN 'success' ELSE 'failure' END AS status,
+       errors, count(*) AS n
+FROM r GROUP BY ALL
+""")
+def q_change_results(spark, sf_dir):
+    from shiftkit.plans.changes import change_results
+    orgs, _ = org_views(spark, sf_dir)
+    t = orgs.select("id", "name__v", "state__v")
+    res = change_results(t, change_rows(spark, sf_dir), "update")
+    return res.groupBy("action", "status", "errors").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- failure analysis ----------------------------------------------------------------
+
+def failure_rows(spark, sf_dir) -> DataFrame:
+    """events as the rows of a failure file, with an ``errors`` text per row."""
+    e = table(spark, sf_dir, "events")
+    text = F.concat(F.lit("  Row [user = "), F.col("user_id").cast("string"), F.lit("]   "),
+                    F.col("event_type"), F.lit(" failed on ["),
+                    F.lpad(F.col("event_id").cast("string"), 15, "0"),
+                    F.lit("] with props "), F.col("props"), F.lit(" ["), F.col("event_type"),
+                    F.lit("]\t"))
+    return e.select("event_id", F.when(F.col("event_type") == "view", F.lit("")).otherwise(text)
+                    .alias("errors"))
+
+
+FAILURE_SQL = """
+WITH f AS (
+  SELECT event_id, CASE WHEN event_type = 'view' THEN '' ELSE
+    '  Row [user = ' || CAST(user_id AS VARCHAR) || ']   ' || event_type || ' failed on [' ||
+    lpad(CAST(event_id AS VARCHAR), 15, '0') || '] with props ' || props || ' [' || event_type ||
+    ']' || chr(9) END AS errors
+  FROM events),
+m AS (
+  SELECT event_id, trim(regexp_replace(regexp_replace(regexp_replace(errors,
+      '\\[\\s*([^\\]=]*)=[^\\]]*\\]', '[\\1=***]', 'g'),
+      '\\[\\s*[A-Za-z0-9]{15}\\s*\\]', '[***]', 'g'), '\\s+', ' ', 'g')) AS error
+  FROM f)
+"""
+
+
+@register("F8_mask_bracketed", FAILURE_SQL + "SELECT event_id, error FROM m")
+def q_mask_bracketed(spark, sf_dir):
+    from shiftkit.functions.text import normalize_error
+    return failure_rows(spark, sf_dir).select("event_id", normalize_error("errors").alias("error"))
+
+
+@register("A2_error_type_counts", FAILURE_SQL + """
+SELECT error, count(*) AS n FROM m WHERE error <> '' GROUP BY error
+""")
+def q_error_type_counts(spark, sf_dir):
+    from shiftkit.plans.failures import error_type_counts
+    return error_type_counts(failure_rows(spark, sf_dir))
+
+
+@register("T1_most_common", FAILURE_SQL + """
+SELECT error, count(*) AS n FROM m WHERE error <> '' GROUP BY error ORDER BY n DESC, error
+""")
+def q_most_common(spark, sf_dir):
+    from shiftkit.plans.failures import error_type_counts, most_common
+    return most_common(error_type_counts(failure_rows(spark, sf_dir)))
+
+
+@register("A3_failure_totals", """
+WITH f AS (
+  SELECT 'lines_' || CAST(year(l_shipdate) AS VARCHAR) AS stem FROM lineitem WHERE l_returnflag = 'R'
+  UNION ALL
+  SELECT 'orders_' || CAST(year(o_orderdate) AS VARCHAR) FROM orders WHERE o_orderstatus = 'P'),
+i AS (SELECT 'lines_' || CAST(year(l_shipdate) AS VARCHAR) AS stem FROM lineitem),
+fc AS (SELECT stem, count(*) AS rows_failed FROM f GROUP BY stem),
+ic AS (SELECT stem, count(*) AS rows_to_import FROM i GROUP BY stem)
+SELECT fc.stem, ic.rows_to_import, fc.rows_failed,
+       CASE WHEN ic.stem IS NULL THEN 'missing_import' ELSE 'paired' END AS partner
+FROM fc LEFT JOIN ic ON fc.stem = ic.stem
+""")
+def q_failure_totals(spark, sf_dir):
+    from shiftkit.plans.failures import failure_totals
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders")
+    lines_stem = F.concat(F.lit("lines_"), F.year("l_shipdate").cast("string")).alias("stem")
+    failures = (li.where("l_returnflag = 'R'").select(lines_stem)
+                .unionByName(o.where("o_orderstatus = 'P'").select(
+                    F.concat(F.lit("orders_"), F.year("o_orderdate").cast("string")).alias("stem"))))
+    imports = li.select(lines_stem)
+    return failure_totals(failures, imports)
