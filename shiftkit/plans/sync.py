@@ -202,3 +202,37 @@ def _sync_components(rows: DataFrame, idx: DataFrame, exports: DataFrame):
     sync = g.applyInPandas(walk_sync, SYNC_SCHEMA)
     adds = g.applyInPandas(walk_adds, "export_pos long, o1 long, o2 long, attr string")
     return sync, adds
+
+
+def attr_difference(rows: DataFrame, exports: DataFrame) -> DataFrame:
+    """Per matched row, attributes only in the row and only in the configuration.
+
+    Plain set difference against the initial configuration (no walk, no
+    order dependence): ``array_except`` both ways against the key's
+    ordered union (A7), which is joined per row as one small array.
+    """
+    idx = export_index(exports)
+    cols_long = exports.select("export_pos", F.posexplode(F.coalesce(
+        col("columns"), F.array().cast("array<string>"))).alias("cpos", "attr"))
+    j0 = ordered_union(idx.join(cols_long, "export_pos"), "key", "attr", ["export_pos", "cpos"])
+    lists = (j0.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("first", "attr"))).alias("__l"))
+             .select("key", F.transform("__l", lambda e: e["attr"]).alias("config_attrs")))
+    rk = rows.select("row_id", normalize_object_type(F.coalesce(col("object_type"), F.lit("")))
+                     .alias("key"), _clean_attrs(col("attrs")).alias("attrs"))
+    keyed = rk.join(idx.select("key").distinct(), "key", "left_semi").join(lists, "key", "left")
+    cfg = F.coalesce(F.col("config_attrs"), F.array().cast("array<string>"))
+    return keyed.select("row_id", F.array_except("attrs", cfg).alias("only_in_row"),
+                        F.array_except(cfg, "attrs").alias("only_in_config"))
+
+
+def ordered_config_lists(exports: DataFrame) -> DataFrame:
+    """A7 per key: ``(key, attrs)`` in first-occurrence order over the key's exports."""
+    idx = export_index(exports)
+    cols_long = exports.select("export_pos", F.posexplode(F.coalesce(
+        col("columns"), F.array().cast("array<string>"))).alias("cpos", "attr"))
+    j0 = ordered_union(idx.join(cols_long, "export_pos"), "key", "attr", ["export_pos", "cpos"])
+    keys = idx.select("key").distinct()
+    lists = (j0.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("first", "attr"))).alias("__l"))
+             .select("key", F.transform("__l", lambda e: e["attr"]).alias("attrs")))
+    return keys.join(lists, "key", "left").select(
+        "key", F.coalesce("attrs", F.array().cast("array<string>")).alias("attrs"))

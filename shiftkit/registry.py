@@ -361,3 +361,258 @@ def q_failure_totals(spark, sf_dir):
                     F.concat(F.lit("orders_"), F.year("o_orderdate").cast("string")).alias("stem"))))
     imports = li.select(lines_stem)
     return failure_totals(failures, imports)
+
+
+# --- header inventory and attribute sync --------------------------------------------
+# part as a CSV tree: p_brand is the folder, p_type the file (and object type),
+# p_name a column header.  PROMO files carry a "Verketten" helper column (their
+# groups are dropped) and every file an "ignore_" column (left out).
+
+def mapping_rows(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    return p.select(F.col("p_brand").alias("relative_path"), F.col("p_type").alias("filename"),
+                    F.upper(F.regexp_replace("p_name", " ", "_")).alias("object_type"),
+                    F.col("p_partkey").alias("ordinal"), "p_size")
+
+
+@register("W1_keep_first", """
+SELECT relative_path, filename, object_type FROM (
+  SELECT p_brand AS relative_path, p_type AS filename,
+         upper(replace(p_name, ' ', '_')) AS object_type,
+         row_number() OVER (PARTITION BY p_brand, p_type ORDER BY p_partkey) AS rn
+  FROM part) WHERE rn = 1
+""")
+def q_keep_first(spark, sf_dir):
+    from shiftkit.plans.inventory import load_mapping
+    return load_mapping(mapping_rows(spark, sf_dir), ordinal="ordinal")
+
+
+@register("J5_multi_key_left", """
+WITH m AS (
+  SELECT relative_path, filename, object_type FROM (
+    SELECT p_brand AS relative_path, p_type AS filename,
+           upper(replace(p_name, ' ', '_')) AS object_type,
+           row_number() OVER (PARTITION BY p_brand, p_type ORDER BY p_partkey) AS rn
+    FROM part WHERE p_size > 40) WHERE rn = 1)
+SELECT p.p_partkey AS file_id, p.p_brand AS relative_path, p.p_type AS filename, m.object_type
+FROM part p LEFT JOIN m ON p.p_brand = m.relative_path AND p.p_type = m.filename
+""")
+def q_multi_key_left(spark, sf_dir):
+    from shiftkit.plans.inventory import join_mapping, load_mapping
+    mapping = load_mapping(mapping_rows(spark, sf_dir).where("p_size > 40").drop("p_size"),
+                           ordinal="ordinal")
+    files = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("file_id"),
+        F.concat(F.lit(" "), F.col("p_brand"), F.lit("\t")).alias("relative_path"),
+        F.col("p_type").alias("filename"))
+    return join_mapping(files, mapping).select("file_id", "relative_path", "filename", "object_type")
+
+
+def inventory_long(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    base = p.select(F.col("p_type").alias("object_type"), F.col("p_brand").alias("file_intent"),
+                    F.col("p_name").alias("header"))
+    ign = p.select("p_type", "p_brand", F.concat(F.lit("ignore_"), F.col("p_brand")))
+    drop = p.where("p_type = 'PROMO'").select("p_type", "p_brand",
+                                               F.concat(F.lit("Verketten "), F.col("p_brand")))
+    return base.union(ign).union(drop)
+
+
+INVENTORY_SQL = """
+WITH long AS (
+  SELECT p_type AS object_type, p_brand AS file_intent, p_name AS header FROM part
+  UNION ALL SELECT p_type, p_brand, 'ignore_' || p_brand FROM part
+  UNION ALL SELECT p_type, p_brand, 'Verketten ' || p_brand FROM part WHERE p_type = 'PROMO'),
+g AS (SELECT object_type, file_intent, bool_or(contains(lower(header), 'verketten')) AS d
+      FROM long GROUP BY ALL),
+h AS (SELECT DISTINCT object_type, file_intent, header FROM long
+      WHERE header <> '' AND NOT contains(lower(header), 'ignore.')
+        AND NOT contains(lower(header), 'ignore_')),
+inv AS (
+  SELECT g.object_type, g.file_intent,
+         coalesce(string_agg(h.header, '|' ORDER BY lower(h.header), h.header), '') AS headers,
+         count(h.header) AS n_headers
+  FROM g LEFT JOIN h USING (object_type, file_intent) WHERE NOT g.d
+  GROUP BY g.object_type, g.file_intent),
+rows_ AS (
+  SELECT row_number() OVER (ORDER BY lower(object_type), object_type, lower(file_intent),
+                                     file_intent) AS row_id, * FROM inv)
+"""
+
+
+@register("A4_headers_by_type_intent", INVENTORY_SQL + """
+SELECT object_type, file_intent, headers, n_headers FROM inv
+""")
+def q_headers_by_type_intent(spark, sf_dir):
+    from shiftkit.operators.aggregate import headers_by_type_intent
+    inv = headers_by_type_intent(inventory_long(spark, sf_dir))
+    return inv.select("object_type", "file_intent", F.array_join("headers", "|").alias("headers"),
+                      F.size("headers").cast("long").alias("n_headers"))
+
+
+@register("K5_wide_header_sink")
+def q_wide_header_sink(spark, sf_dir):
+    from shiftkit.operators.aggregate import headers_by_type_intent
+    from shiftkit.plans.inventory import by_type_wide
+    return by_type_wide(headers_by_type_intent(inventory_long(spark, sf_dir)))
+
+
+def inventory_rows(spark, sf_dir):
+    from shiftkit.operators.aggregate import headers_by_type_intent
+    from shiftkit.operators.order import ci_sort_keys, global_row_number
+    inv = headers_by_type_intent(inventory_long(spark, sf_dir))
+    return global_row_number(inv, ci_sort_keys(["object_type", "file_intent"])) \
+        .withColumnRenamed("headers", "attrs")
+
+
+# Fixed test configuration: six exports (one a blank template).  Keys come
+# from the business type and the -export object; ECONOMY is reached by two
+# exports, SMALL and LARGE by none.
+SYNC_EXPORTS = [
+    (0, "economy_parts", "ECONOMY", "-export economy__c -csv economy.csv",
+     ["blue anvil", "red bolt", "  extra field  ", ""]),
+    (1, "economy_more", None, "-export Economy -csv economy2.csv", ["small ring", "blue anvil", "zeta"]),
+    (2, "promo_parts", "promo", "-export promo_items__c -csv promo.csv", ["hot rod"]),
+    (3, "standard_parts", "STANDARD", "-export standard__c -csv standard.csv", []),
+    (4, "medium_parts", "Medium", "-export medium__c", ["cold gear", "old plate", "new widget"]),
+    (5, "template", "", "-export  -csv ", []),
+]
+EXPORT_SCHEMA = ("export_pos int, name string, business_object_type string, params string, "
+                 "columns array<string>")
+
+
+def sync_exports(spark):
+    return spark.createDataFrame(SYNC_EXPORTS, EXPORT_SCHEMA)
+
+
+def _sql_list(items):
+    return "[" + ", ".join("'" + i.replace("'", "''") + "'" for i in items) + "]::VARCHAR[]"
+
+
+SYNC_SQL = INVENTORY_SQL + """,
+exports AS (SELECT * FROM (VALUES """ + ", ".join(
+    f"({p}, '{n}', {('NULL' if b is None else repr(b))}, '{prm}', {_sql_list(c)})"
+    for p, n, b, prm, c in SYNC_EXPORTS) + """) t(export_pos, name, bot, params, columns)),
+idx AS (
+  SELECT DISTINCT export_pos, key FROM (
+    SELECT export_pos, nullif(regexp_replace(lower(trim(coalesce(bot, ''))), '_+', '_', 'g'), '') AS key
+    FROM exports
+    UNION ALL
+    SELECT export_pos, nullif(regexp_replace(lower(CASE WHEN starts_with(tok, '-') THEN '' ELSE tok END),
+                                             '_+', '_', 'g'), '')
+    FROM (SELECT export_pos, regexp_extract(params, '(?:^|\\s)-export\\s+(\\S+)', 1) AS tok FROM exports))
+  WHERE key IS NOT NULL),
+nexp AS (SELECT key, count(*) AS n_exports, min(export_pos) AS first_export FROM idx GROUP BY key),
+rk AS (SELECT row_id, object_type, file_intent,
+              regexp_replace(lower(trim(object_type)), '_+', '_', 'g') AS key, headers FROM rows_),
+ra AS (
+  SELECT row_id, key, attr, apos FROM (
+    SELECT row_id, key, unnest(string_split(headers, '|')) AS attr,
+           generate_subscripts(string_split(headers, '|'), 1) AS apos
+    FROM rk WHERE headers <> '') ),
+cl AS (
+  SELECT export_pos, trim(attr) AS attr, cpos FROM (
+    SELECT export_pos, unnest(columns) AS attr, generate_subscripts(columns, 1) AS cpos FROM exports)
+  WHERE trim(attr) <> ''),
+j0 AS (
+  SELECT key, attr, min(export_pos * 100000 + cpos) AS o FROM idx JOIN cl USING (export_pos)
+  GROUP BY key, attr)
+"""
+
+
+@register("J7_multi_key_index_join", SYNC_SQL + """
+SELECT rk.row_id, rk.object_type, rk.file_intent, e.name AS export_name
+FROM rk JOIN idx USING (key) JOIN exports e USING (export_pos)
+""")
+def q_multi_key_index_join(spark, sf_dir):
+    from shiftkit.plans.sync import export_index
+    from shiftkit.functions.text import normalize_object_type
+    rows = inventory_rows(spark, sf_dir)
+    ex = sync_exports(spark)
+    idx = export_index(ex)
+    rk = rows.select("row_id", "object_type", "file_intent",
+                     normalize_object_type("object_type").alias("key"))
+    return (rk.join(idx, "key").join(ex.select("export_pos", F.col("name").alias("export_name")),
+                                     "export_pos")
+            .select("row_id", "object_type", "file_intent", "export_name"))
+
+
+@register("J8_anti_unmatched", SYNC_SQL + """
+SELECT row_id + 1 AS row_number, object_type, file_intent FROM rk
+WHERE key NOT IN (SELECT key FROM idx)
+""")
+def q_anti_unmatched(spark, sf_dir):
+    from shiftkit.plans.sync import attribute_sync
+    res = attribute_sync(inventory_rows(spark, sf_dir), sync_exports(spark))
+    return res["unmatched"].select((F.col("row_id") + 1).alias("row_number"), "object_type",
+                                   "file_intent")
+
+
+@register("A7_ordered_union_distinct", SYNC_SQL + """
+SELECT k.key, coalesce(string_agg(j0.attr, '|' ORDER BY j0.o), '') AS attrs
+FROM (SELECT DISTINCT key FROM idx) k LEFT JOIN j0 USING (key) GROUP BY k.key
+""")
+def q_ordered_union_distinct(spark, sf_dir):
+    from shiftkit.plans.sync import ordered_config_lists
+    return ordered_config_lists(sync_exports(spark)).select(
+        "key", F.array_join("attrs", "|").alias("attrs"))
+
+
+@register("U2_attr_difference", SYNC_SQL + """,
+m AS (SELECT rk.row_id, rk.key FROM rk WHERE key IN (SELECT key FROM idx))
+SELECT m.row_id,
+  coalesce((SELECT string_agg(ra.attr, '|' ORDER BY ra.apos) FROM ra
+            WHERE ra.row_id = m.row_id
+              AND NOT EXISTS (SELECT 1 FROM j0 WHERE j0.key = m.key AND j0.attr = ra.attr)), '')
+    AS only_in_row,
+  coalesce((SELECT string_agg(j0.attr, '|' ORDER BY j0.o) FROM j0
+            WHERE j0.key = m.key
+              AND NOT EXISTS (SELECT 1 FROM ra WHERE ra.row_id = m.row_id AND ra.attr = j0.attr)), '')
+    AS only_in_config
+FROM m
+""")
+def q_attr_difference(spark, sf_dir):
+    from shiftkit.plans.sync import attr_difference
+    d = attr_difference(inventory_rows(spark, sf_dir), sync_exports(spark))
+    return d.select("row_id", F.array_join("only_in_row", "|").alias("only_in_row"),
+                    F.array_join("only_in_config", "|").alias("only_in_config"))
+
+
+@register("A8_attribute_sync", SYNC_SQL + """,
+m AS (SELECT rk.row_id, rk.object_type, rk.file_intent, rk.key, nexp.n_exports, nexp.first_export
+      FROM rk JOIN nexp USING (key)),
+ram AS (SELECT ra.* FROM ra JOIN m USING (row_id)),
+new AS (SELECT ram.* FROM ram WHERE NOT EXISTS (
+          SELECT 1 FROM j0 WHERE j0.key = ram.key AND j0.attr = ram.attr)),
+fr AS (SELECT key, attr, min(row_id) AS f_row FROM new GROUP BY key, attr),
+intro AS (SELECT fr.key, fr.attr, fr.f_row, new.apos AS f_apos
+          FROM fr JOIN new ON new.key = fr.key AND new.attr = fr.attr AND new.row_id = fr.f_row),
+entries AS (
+  SELECT j0.key, j0.attr, 0 AS phase, j0.o AS a, 0 AS b, -1 AS intro_row FROM j0
+  UNION ALL
+  SELECT intro.key, intro.attr, 1, intro.f_row, intro.f_apos, intro.f_row FROM intro),
+ent AS (
+  SELECT entries.*, CASE WHEN phase = 0 THEN a // 100000 ELSE nexp.first_export END AS e
+  FROM entries JOIN nexp USING (key))
+SELECT m.row_id, m.object_type, m.file_intent,
+  coalesce((SELECT string_agg(i.attr, '|' ORDER BY i.f_apos) FROM intro i
+            WHERE i.key = m.key AND i.f_row = m.row_id), '') AS added_to_config,
+  coalesce((SELECT string_agg(x.attr, '|' ORDER BY x.e, x.phase, x.a, x.b) FROM ent x
+            WHERE x.key = m.key AND x.intro_row < m.row_id
+              AND NOT EXISTS (SELECT 1 FROM ra WHERE ra.row_id = m.row_id AND ra.attr = x.attr)), '')
+    AS added_to_row,
+  (SELECT count(*) FROM intro i WHERE i.key = m.key AND i.f_row = m.row_id) * m.n_exports
+    AS n_added_to_config,
+  (SELECT count(*) FROM ent x WHERE x.key = m.key AND x.intro_row < m.row_id
+     AND NOT EXISTS (SELECT 1 FROM ra WHERE ra.row_id = m.row_id AND ra.attr = x.attr))
+    AS n_added_to_row
+FROM m
+""")
+def q_attribute_sync(spark, sf_dir):
+    from shiftkit.plans.sync import attribute_sync
+    res = attribute_sync(inventory_rows(spark, sf_dir), sync_exports(spark))
+    s = res["sync"]
+    return s.select("row_id", "object_type", "file_intent",
+                    F.array_join("added_to_config", "|").alias("added_to_config"),
+                    F.array_join("added_to_row", "|").alias("added_to_row"),
+                    "n_added_to_config", "n_added_to_row")
