@@ -109,13 +109,18 @@ def row_count_observed(df: DataFrame, name: str = "row_count") -> tuple[DataFram
 
 
 def outcome_counts(outcomes: DataFrame, by: Sequence[str] = ("run_ts",),
-                   status: str = "status", item: str = "file_name") -> DataFrame:
-    """A5: successful / failed / skipped jobs per run, with the item lists."""
+                   status: str = "status", item: str = "file_name",
+                   with_items: bool = True) -> DataFrame:
+    """A5: successful / failed / skipped jobs per run, optionally with the item lists.
+
+    The lists hold one entry per job of a run: as many as the run's
+    configuration has, so keep ``with_items`` off where runs grow with data.
+    """
     s = col(status)
-    return outcomes.groupBy(*[col(b) for b in by]).agg(
-        F.count_if(s == "SUCCESS").alias("successful"),
-        F.count_if(s == "FAILED").alias("failed"),
-        F.count_if(s == "SKIPPED").alias("skipped"),
-        F.sort_array(F.collect_list(F.when(s == "SUCCESS", col(item)))).alias("successful_items"),
-        F.sort_array(F.collect_list(F.when(s == "FAILED", col(item)))).alias("failed_items"),
-    )
+    aggs = [F.count_if(s == "SUCCESS").alias("successful"),
+            F.count_if(s == "FAILED").alias("failed"),
+            F.count_if(s == "SKIPPED").alias("skipped")]
+    if with_items:
+        aggs += [F.sort_array(F.collect_list(F.when(s == "SUCCESS", col(item)))).alias("successful_items"),
+                 F.sort_array(F.collect_list(F.when(s == "FAILED", col(item)))).alias("failed_items")]
+    return outcomes.groupBy(*[col(b) for b in by]).agg(*aggs)

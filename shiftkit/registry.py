@@ -616,3 +616,227 @@ def q_attribute_sync(spark, sf_dir):
                     F.array_join("added_to_config", "|").alias("added_to_config"),
                     F.array_join("added_to_row", "|").alias("added_to_row"),
                     "n_added_to_config", "n_added_to_row")
+
+
+# --- outcomes of load jobs -----------------------------------------------------------
+# orders as import jobs (loader file load_<orderkey>.csv, 5-LOW ones inactive);
+# lineitem rows as the outcome files the loader left (R -> failure file).
+
+def load_jobs(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return o.select(F.concat(F.lit("load_"), F.col("o_orderkey").cast("string")).alias("job"),
+                    F.concat(F.lit("-update order__c -csv load_"), F.col("o_orderkey").cast("string"),
+                             F.lit(".csv -idParam id")).alias("params"),
+                    F.when(F.col("o_orderpriority") == "5-LOW", 0).otherwise(1).alias("active"),
+                    F.col("o_orderpriority").alias("run"))
+
+
+def outcome_listing(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    name = F.concat(F.lit("/landing/load_"), F.col("l_orderkey").cast("string"),
+                    F.when(F.col("l_returnflag") == "R", F.lit("_FAILURE.csv"))
+                    .otherwise(F.lit("_SUCCESS.csv")))
+    return li.select(name.alias("path")).distinct()
+
+
+OUTCOME_SQL = """
+WITH jobs AS (
+  SELECT 'load_' || CAST(o_orderkey AS VARCHAR) AS job, 'load_' || CAST(o_orderkey AS VARCHAR) AS stem,
+         CASE WHEN o_orderpriority = '5-LOW' THEN 0 ELSE 1 END AS active, o_orderpriority AS run
+  FROM orders),
+files AS (
+  SELECT DISTINCT 'load_' || CAST(l_orderkey AS VARCHAR) ||
+         CASE WHEN l_returnflag = 'R' THEN '_FAILURE.csv' ELSE '_SUCCESS.csv' END AS file_name
+  FROM lineitem),
+f AS (SELECT file_name, CASE WHEN ends_with(file_name, '_FAILURE.csv') THEN 'failure' ELSE 'success' END
+             AS outcome, regexp_replace(file_name, '_(FAILURE|SUCCESS)\\.csv$', '') AS fstem FROM files)
+"""
+
+
+def _reconcile_select(match: str) -> str:
+    return f""",
+m AS (SELECT j.job, j.stem, j.run, f.file_name, f.outcome FROM jobs j LEFT JOIN f ON {match}
+      WHERE j.active <> 0),
+per AS (
+  SELECT job, stem, run, bool_or(outcome = 'failure') AS hf, bool_or(outcome = 'success') AS hs,
+         min(CASE WHEN outcome = 'failure' THEN file_name END) AS ff,
+         min(CASE WHEN outcome = 'success' THEN file_name END) AS sf
+  FROM m GROUP BY job, stem, run),
+st AS (
+  SELECT job, stem, run, CASE WHEN coalesce(hf, false) THEN 'FAILED' WHEN coalesce(hs, false) THEN 'SUCCESS'
+                         ELSE 'FAILED' END AS status, coalesce(ff, sf) AS file_name FROM per
+  UNION ALL
+  SELECT job, stem, run, 'SKIPPED', NULL FROM jobs WHERE active = 0)
+"""
+
+
+@register("J9_substring_match", OUTCOME_SQL + _reconcile_select("contains(f.file_name, j.stem)") + """
+SELECT job, stem, status, file_name FROM st
+""")
+def q_substring_match(spark, sf_dir):
+    from shiftkit.plans.runs import reconcile_imports
+    return reconcile_imports(load_jobs(spark, sf_dir).drop("run"), outcome_listing(spark, sf_dir),
+                             exact=False)
+
+
+@register("F16_reconcile_outcome", OUTCOME_SQL + _reconcile_select("f.fstem = j.stem") + """
+SELECT job, stem, status, file_name FROM st
+""")
+def q_reconcile_outcome(spark, sf_dir):
+    from shiftkit.plans.runs import reconcile_imports
+    return reconcile_imports(load_jobs(spark, sf_dir).drop("run"), outcome_listing(spark, sf_dir),
+                             exact=True)
+
+
+@register("A5_outcome_counts", OUTCOME_SQL + _reconcile_select("f.fstem = j.stem") + """
+SELECT run, count_if(status = 'SUCCESS') AS successful, count_if(status = 'FAILED') AS failed,
+       count_if(status = 'SKIPPED') AS skipped
+FROM st GROUP BY run
+""")
+def q_outcome_counts(spark, sf_dir):
+    from shiftkit.operators.aggregate import outcome_counts
+    from shiftkit.plans.runs import reconcile_imports
+    jobs = load_jobs(spark, sf_dir)
+    st = reconcile_imports(jobs.drop("run"), outcome_listing(spark, sf_dir), exact=True)
+    st = st.join(jobs.select("job", "run"), "job")
+    return outcome_counts(st, by=["run"], with_items=False)
+
+
+# events as the console output of loader runs.
+TEST_BANNER = "Loader 1.0. All rights reserved."
+
+
+def job_outputs(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    t = F.col("event_type")
+    return e.select(
+        "event_id",
+        F.when(t == "error", 1).otherwise(0).alias("return_code"),
+        F.when(t == "purchase", F.concat(F.lit(TEST_BANNER + "\n Exception: "), F.col("props")))
+         .when(t == "click", F.lit(TEST_BANNER + " \n"))
+         .when(t == "signup", F.concat(F.lit("Unknown relationship "), F.col("props")))
+         .otherwise(F.lit("")).alias("stdout"),
+        F.when(t == "error", F.concat(F.lit("Failure: "), F.col("props"))).otherwise(F.lit(""))
+         .alias("stderr"))
+
+
+JOB_OUTPUT_SQL = f"""
+WITH o AS (
+  SELECT event_id, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS return_code,
+    CASE WHEN event_type = 'purchase' THEN '{TEST_BANNER}' || chr(10) || ' Exception: ' || props
+         WHEN event_type = 'click' THEN '{TEST_BANNER} ' || chr(10)
+         WHEN event_type = 'signup' THEN 'Unknown relationship ' || props ELSE '' END AS stdout,
+    CASE WHEN event_type = 'error' THEN 'Failure: ' || props ELSE '' END AS stderr
+  FROM events),
+x AS (
+  SELECT *, trim(stdout, ' ' || chr(9) || chr(10) || chr(13)) AS out FROM o),
+y AS (
+  SELECT *, CASE WHEN out = '' OR out = '{TEST_BANNER}' THEN ''
+                 WHEN starts_with(out, '{TEST_BANNER}')
+                   THEN trim(substr(out, {len(TEST_BANNER) + 1}), ' ' || chr(9) || chr(10) || chr(13))
+                 ELSE out END AS extra FROM x)
+"""
+
+
+@register("F14_classify_export_output", JOB_OUTPUT_SQL + """
+SELECT event_id, return_code <> 0 OR regexp_matches(lower(stdout || chr(10) || stderr),
+       'failure:|error making request|exception|unknown relationship') AS failed FROM o
+""")
+def q_classify_export_output(spark, sf_dir):
+    from shiftkit.functions.outcomes import export_failed
+    o = job_outputs(spark, sf_dir)
+    return o.select("event_id", export_failed("return_code", "stdout", "stderr").alias("failed"))
+
+
+@register("F15_classify_import_output", JOB_OUTPUT_SQL + """
+SELECT event_id, return_code <> 0 OR extra <> '' AS failed,
+  CASE WHEN extra <> '' THEN
+         CASE WHEN starts_with(out, '""" + TEST_BANNER + """') THEN 'Additional output: ' || extra
+              ELSE 'Unexpected output: ' || extra END
+       WHEN return_code <> 0 THEN coalesce(nullif(stderr, ''), 'Unknown error') END AS reason
+FROM y
+""")
+def q_classify_import_output(spark, sf_dir):
+    from shiftkit.functions.outcomes import import_failed, import_failure_reason
+    o = job_outputs(spark, sf_dir)
+    return o.select("event_id", import_failed("return_code", "stdout", TEST_BANNER).alias("failed"),
+                    import_failure_reason("return_code", "stdout", "stderr", TEST_BANNER)
+                    .alias("reason"))
+
+
+# --- parameter strings, file names, URLs ----------------------------------------------
+
+def job_params(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    marker = (F.when(F.col("p_name").startswith("new "), "add")
+              .when(F.col("p_name").startswith("old "), "upd")
+              .when(F.col("p_name").startswith("hot "), "update")
+              .when(F.col("p_name").startswith("cold "), "UPS")
+              .when(F.col("p_name").startswith("red "), "upsert")
+              .otherwise("x"))
+    fname = F.concat(F.lower("p_type"), F.lit("_"), marker, F.lit("_"), F.col("p_partkey").cast("string"),
+                     F.lit(".csv"))
+    flag = (F.when(F.col("p_size") < 10, "-export").when(F.col("p_size") < 20, "-create")
+            .when(F.col("p_size") < 30, "-update").when(F.col("p_size") < 40, "-upsert")
+            .otherwise("-recordmigrationmode"))
+    params = F.concat(flag, F.lit(" "), F.lower("p_type"), F.lit("__c  -csv "), fname)
+    return p.select(F.col("p_partkey").alias("job_id"), fname.alias("filename"), params.alias("params"))
+
+
+@register("F3_params_tokens", """
+WITH j AS (
+  SELECT p_partkey AS job_id,
+    lower(p_type) || '_' || CASE WHEN starts_with(p_name, 'new ') THEN 'add'
+      WHEN starts_with(p_name, 'old ') THEN 'upd' WHEN starts_with(p_name, 'hot ') THEN 'update'
+      WHEN starts_with(p_name, 'cold ') THEN 'UPS' WHEN starts_with(p_name, 'red ') THEN 'upsert'
+      ELSE 'x' END || '_' || CAST(p_partkey AS VARCHAR) || '.csv' AS filename, p_size, p_type
+  FROM part),
+k AS (
+  SELECT job_id, filename,
+    CASE WHEN p_size < 10 THEN '-export' WHEN p_size < 20 THEN '-create' WHEN p_size < 30 THEN '-update'
+         WHEN p_size < 40 THEN '-upsert' ELSE '-recordmigrationmode' END || ' ' || lower(p_type)
+      || '__c  -csv ' || filename AS params
+  FROM j),
+t AS (
+  SELECT job_id, filename, params,
+    regexp_extract(params, '(?:^|\\s)-(?:export|create|update|upsert|import)\\s+(\\S+)', 1) AS o,
+    regexp_extract(params, '(?:^|\\s)-csv\\s+(\\S+)', 1) AS f
+  FROM k)
+SELECT job_id,
+  CASE WHEN o <> '' AND NOT starts_with(o, '-') THEN o ELSE '' END AS object,
+  CASE WHEN f <> '' AND NOT starts_with(f, '-') THEN f ELSE '' END AS file,
+  string_split_regex(trim(params), '\\s+')[2] AS second_token,
+  CASE WHEN contains(lower(filename), '_upsert_') THEN 'upsert'
+       WHEN contains(lower(filename), '_ups_') THEN 'upsert'
+       WHEN contains(lower(filename), '_update_') THEN 'updated'
+       WHEN contains(lower(filename), '_upd_') THEN 'update'
+       ELSE 'addition' END AS file_intent
+FROM t
+""")
+def q_params_tokens(spark, sf_dir):
+    from shiftkit.functions.params import file_from_params, file_intent, object_from_params, second_token
+    j = job_params(spark, sf_dir)
+    return j.select("job_id", object_from_params("params").alias("object"),
+                    file_from_params("params").alias("file"),
+                    second_token("params").alias("second_token"),
+                    file_intent("filename").alias("file_intent"))
+
+
+@register("F13_normalize_url", """
+WITH u AS (SELECT page_id, trim(coalesce(url, '')) AS raw FROM pages),
+v AS (
+  SELECT page_id, raw, contains(raw, '://') AS has,
+         CASE WHEN contains(raw, '://') THEN regexp_extract(raw, '^([^:/?#]*)://', 1) END AS scheme,
+         CASE WHEN contains(raw, '://') THEN regexp_extract(raw, '^[^:/?#]*://(.*)$', 1) ELSE raw END AS rest
+  FROM u),
+w AS (
+  SELECT page_id, raw, scheme, regexp_extract(rest, '^([^/?#]*)', 1) AS host FROM v),
+n AS (
+  SELECT page_id, CASE WHEN raw = '' THEN '' WHEN host = '' THEN regexp_replace(raw, '/+$', '')
+         ELSE lower(coalesce(nullif(scheme, ''), 'https')) || '://' || host END AS instance FROM w)
+SELECT page_id, instance, replace(replace(instance, 'https://', ''), '/', '_') AS source_key FROM n
+""")
+def q_normalize_url(spark, sf_dir):
+    from shiftkit.functions.params import normalize_url, source_key
+    p = table(spark, sf_dir, "pages").select("page_id", normalize_url("url").alias("instance"))
+    return p.select("page_id", "instance", source_key("instance").alias("source_key"))
