@@ -104,3 +104,16 @@ def import_object_name(params_col: str = "params"):
 
 def source_key_of(url_col: str):
     return source_key(url_col)
+
+
+def run_log_from_outcomes(outcomes: DataFrame, run_ts: str, op: str = "import") -> DataFrame:
+    """K4 rows from a table of job outcomes (``job``, ``status``, ``file_name``,
+    optional ``params`` and ``reasons``)."""
+    obj = object_from_params("params") if "params" in outcomes.columns else F.lit(None).cast("string")
+    reasons = (col("reasons") if "reasons" in outcomes.columns
+               else F.array().cast("array<string>"))
+    return outcomes.select(
+        F.to_timestamp(F.lit(run_ts)).alias("run_ts"), col("job"), F.lit(op).alias("op"),
+        F.nullif(obj, F.lit("")).alias("object_name"), col("status"), col("file_name"),
+        F.lit(None).cast("long").alias("row_count"), reasons.alias("reasons"),
+        F.current_timestamp().alias("ts"))

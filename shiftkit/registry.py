@@ -840,3 +840,277 @@ def q_normalize_url(spark, sf_dir):
     from shiftkit.functions.params import normalize_url, source_key
     p = table(spark, sf_dir, "pages").select("page_id", normalize_url("url").alias("instance"))
     return p.select("page_id", "instance", source_key("instance").alias("source_key"))
+
+
+# --- sources and sinks on landed files -------------------------------------------------
+
+def _write_configs(spark, sf_dir, path):
+    """One job configuration per order (JSON lines): exports and imports per line item."""
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders")
+    k, n = F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")
+    active = F.when(F.col("l_returnflag") == "R", 0).when(F.col("l_returnflag") == "A", 1)
+    ex = F.struct(F.concat(F.lit("exp_"), k, F.lit("_"), n).alias("name"),
+                  F.concat(F.lit("-export item__c -csv exp_"), k, F.lit("_"), n, F.lit(".csv")).alias("params"),
+                  F.concat(F.lit("l_partkey = "), F.col("l_partkey").cast("string")).alias("where"),
+                  F.array(F.lit("id"), F.lit("name__v"),
+                          F.concat(F.lit("part_"), F.col("l_partkey").cast("string"))).alias("columns"),
+                  F.array(F.lit("id")).alias("ignore_column"),
+                  active.alias("active"), F.col("l_linestatus").alias("status"))
+    im = F.struct(F.concat(F.lit("imp_"), k, F.lit("_"), n).alias("name"),
+                  F.concat(F.lit("-update item__c -csv imp_"), k, F.lit("_"), n,
+                           F.lit(".csv -idParam id")).alias("params"),
+                  active.alias("active"), F.col("l_linestatus").alias("status"),
+                  F.lit("Item").alias("business_object_type"),
+                  F.concat(F.lit("part_"), F.col("l_partkey").cast("string")).alias("referenced_objects"))
+    items = (li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(
+        F.struct("l_linenumber", "l_partkey", "l_returnflag", "l_linestatus",
+                 ex.alias("e"), im.alias("i")))).alias("items")))
+    cfg = o.join(items, o.o_orderkey == items.l_orderkey, "left").select(
+        F.to_json(F.struct(
+            F.struct(F.lit("java").alias("java_exe"), F.lit("loader.jar").alias("vault_loader")).alias("general"),
+            F.lit("__ES__").alias("export_settings"),
+            F.struct(F.concat(F.lit("https://inst-"), F.lower(F.regexp_replace("o_orderpriority", " ", "-")),
+                              F.lit(".example.com")).alias("dns"),
+                     F.lit(1800).alias("time_out"),
+                     F.concat(F.lit("/data/"), F.col("o_orderkey").cast("string")).alias("import_path"))
+            .alias("import_settings"),
+            F.transform("items", lambda x: x["e"]).alias("exports"),
+            F.transform("items", lambda x: x["i"]).alias("imports"))).alias("j"),
+        F.when(F.col("o_orderstatus") == "F",
+               F.to_json(F.struct(F.lit("https://src-a.example.com").alias("dns"),
+                                  F.lit("reader").alias("username"))))
+         .otherwise(F.to_json(F.array(
+             F.struct(F.lit("https://src-a.example.com").alias("dns"), F.lit("reader").alias("username")),
+             F.struct(F.lit("https://src-b.example.com").alias("dns"), F.lit("reader").alias("username")))))
+        .alias("es"))
+    cfg.select(F.replace("j", F.lit('"__ES__"'), F.col("es")).alias("value")).write.text(path)
+
+
+def configs(spark, sf_dir):
+    from shiftkit.sources.config import read_job_configs
+    path = landed(spark, sf_dir, "configs", lambda p: _write_configs(spark, sf_dir, p))
+    return read_job_configs(spark, path, multiline=False)
+
+
+CONFIG_SQL = """
+WITH l AS (
+  SELECT l_orderkey AS k, l_linenumber AS n, l_partkey, l_linestatus AS status,
+         CASE l_returnflag WHEN 'R' THEN 0 WHEN 'A' THEN 1 END AS active,
+         row_number() OVER (PARTITION BY l_orderkey
+                            ORDER BY l_linenumber, l_partkey, l_returnflag, l_linestatus) - 1 AS pos
+  FROM lineitem)
+"""
+
+
+@register("S3_scan_job_config", CONFIG_SQL + """
+SELECT 'exp_' || k || '_' || n AS name, pos AS export_pos,
+       '-export item__c -csv exp_' || k || '_' || n || '.csv' AS params,
+       'l_partkey = ' || l_partkey AS where_clause, 3 AS n_columns, active, status
+FROM l
+""")
+def q_scan_job_config(spark, sf_dir):
+    from shiftkit.sources.config import config_exports
+    e = config_exports(configs(spark, sf_dir))
+    return e.select("name", F.col("export_pos").cast("long").alias("export_pos"), "params",
+                    F.col("where").alias("where_clause"), F.size("columns").alias("n_columns"),
+                    "active", "status")
+
+
+@register("S3_export_sources", """
+SELECT o_orderkey AS config, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 2 END AS n_sources
+FROM orders
+""")
+def q_export_sources(spark, sf_dir):
+    from shiftkit.sources.config import config_sources
+    c = configs(spark, sf_dir).select(
+        F.regexp_extract("config.import_settings.import_path", r"(\d+)$", 1).cast("long").alias("config"),
+        F.size("config.export_settings").alias("n_sources"))
+    return c
+
+
+@register("P10_active_filter", CONFIG_SQL + """
+SELECT 'exp_' || k || '_' || n AS name FROM l WHERE coalesce(active, 1) <> 0
+""")
+def q_active_filter(spark, sf_dir):
+    from shiftkit.operators.project import active_filter
+    from shiftkit.sources.config import config_exports
+    return active_filter(config_exports(configs(spark, sf_dir))).select("name")
+
+
+@register("C1_export_catalog", CONFIG_SQL + """
+SELECT 'exp_' || k || '_' || n AS name, coalesce(active, 1) AS active, status, 'item__c' AS object,
+       'id,name__v,part_' || l_partkey AS columns
+FROM l
+""")
+def q_export_catalog(spark, sf_dir):
+    from shiftkit.plans.catalog import export_catalog
+    from shiftkit.sources.config import config_exports
+    c = export_catalog(config_exports(configs(spark, sf_dir)))
+    return c.select("name", "active", "status", "object", "columns")
+
+
+@register("C2_import_catalog", CONFIG_SQL + """
+SELECT 'imp_' || k || '_' || n AS name, coalesce(active, 1) AS active, status,
+       'imp_' || k || '_' || n || '.csv' AS file_path
+FROM l
+""")
+def q_import_catalog(spark, sf_dir):
+    from shiftkit.plans.catalog import import_catalog
+    from shiftkit.sources.config import config_imports
+    c = import_catalog(config_imports(configs(spark, sf_dir)))
+    return c.select("name", "active", "status", "file_path")
+
+
+@register("C3_load_order_sheet", CONFIG_SQL + """
+SELECT pos + 1 AS "LoadOrderNr", 'imp_' || k || '_' || n || '.csv' AS "LoaderFileName",
+       'item__c' AS "ObjectType", 'Item' AS "Business ObjectType",
+       'part_' || l_partkey AS "ReferencedObject(s)", coalesce(active, 1) AS "Load is Active",
+       status AS "FunctionStatus", '/data/' || k AS "BaseImportPath"
+FROM l
+""")
+def q_load_order_sheet(spark, sf_dir):
+    from shiftkit.plans.catalog import load_order_sheet
+    from shiftkit.sources.config import config_imports
+    s = load_order_sheet(config_imports(configs(spark, sf_dir)))
+    return s.drop("LoaderConfig").withColumn("LoadOrderNr", F.col("LoadOrderNr").cast("long"))
+
+
+def _write_pages(spark, sf_dir, path, page_size=1000):
+    c = table(spark, sf_dir, "customer")
+    total = c.count()   # one number, announced in every page as the remote query does
+    rows = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name__v"),
+                    F.struct(F.col("c_mktsegment").alias("segment"),
+                             F.col("c_nationkey").alias("nation")).alias("account"))
+    pages = (c.groupBy(F.floor(F.col("c_custkey") / page_size).alias("page"))
+             .agg(F.collect_list(rows).alias("data")))
+    pages.select(F.struct(F.lit(total).alias("total")).alias("responseDetails"), "data") \
+        .write.json(path)
+
+
+def pages_of(spark, sf_dir):
+    from shiftkit.sources.config import read_pages
+    path = landed(spark, sf_dir, "pages", lambda p: _write_pages(spark, sf_dir, p))
+    return read_pages(spark, path, multiline=False)
+
+
+@register("S4_paged_union", """
+SELECT c_custkey AS id, c_name AS name__v, c_mktsegment AS account__segment,
+       c_nationkey AS account__nation
+FROM customer
+""")
+def q_paged_union(spark, sf_dir):
+    rows, _ = pages_of(spark, sf_dir)
+    return flat_names(rows)
+
+
+@register("A9_page_completeness", """
+SELECT count(*) AS received, count(*) AS total, count(DISTINCT c_custkey // 1000) AS pages,
+       true AS complete
+FROM customer
+""")
+def q_page_completeness(spark, sf_dir):
+    _, comp = pages_of(spark, sf_dir)
+    return comp
+
+
+@register("S1_scan_object_csv", """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars
+FROM documents
+""")
+def q_scan_object_csv(spark, sf_dir):
+    from shiftkit.sources.files import read_object_csv
+    path = landed(spark, sf_dir, "documents_csv",
+                  lambda p: _csv_writer(table(spark, sf_dir, "documents"), p))
+    return read_object_csv(spark, path)
+
+
+@register("K1_write_csv", """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+       CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment
+FROM customer
+""")
+def q_write_csv(spark, sf_dir):
+    from shiftkit.sources.files import read_object_csv
+    path = landed(spark, sf_dir, "customer_csv",
+                  lambda p: _csv_writer(table(spark, sf_dir, "customer"), p))
+    return read_object_csv(spark, path)
+
+
+TREE_TABLES = ("region", "nation", "supplier", "customer", "part", "orders", "lineitem")
+
+
+def _write_tree(spark, sf_dir, root):
+    for t in TREE_TABLES:
+        _csv_writer(table(spark, sf_dir, t), f"{root}/{t}")
+
+
+def csv_tree(spark, sf_dir):
+    return landed(spark, sf_dir, "csv_tree", lambda p: _write_tree(spark, sf_dir, p))
+
+
+@register("S2_scan_csv_headers", """
+SELECT table_name AS relative_path, column_name AS header FROM information_schema.columns
+WHERE table_name IN ('region', 'nation', 'supplier', 'customer', 'part', 'orders', 'lineitem')
+""")
+def q_scan_csv_headers(spark, sf_dir):
+    from shiftkit.sources.files import header_long_form, scan_csv_headers
+    root = csv_tree(spark, sf_dir)
+    long = header_long_form(scan_csv_headers(spark, root), root)
+    return long.select("relative_path", "header").distinct()
+
+
+@register("S5_scan_file_listing")
+def q_scan_file_listing(spark, sf_dir):
+    from shiftkit.sources.files import list_files
+    from shiftkit.functions.params import file_name_of
+    return list_files(spark, sf_dir, "*.parquet").select(
+        file_name_of("path").alias("file_name"), (F.col("length") > 0).alias("has_bytes"))
+
+
+@register("S6_latest_snapshot")
+def q_latest_snapshot(spark, sf_dir):
+    from shiftkit.sources.files import latest_file, list_files
+    from shiftkit.functions.params import relative_dir
+    root = csv_tree(spark, sf_dir)
+    latest = latest_file(list_files(spark, root, "*.csv"), name_like="part-%")
+    return latest.select(relative_dir("path", root).alias("relative_path"))
+
+
+@register("K3_write_by_source", """
+SELECT replace(replace('https://inst-' || lower(replace(o_orderpriority, ' ', '-')) || '.example.com/x',
+                       'https://', ''), '/', '_') AS source_key, count(*) AS n
+FROM orders GROUP BY 1
+""")
+def q_write_by_source(spark, sf_dir):
+    from shiftkit.operators.sinks import write_by_source
+
+    def write(p):
+        o = table(spark, sf_dir, "orders").withColumn(
+            "instance", F.concat(F.lit("https://inst-"), F.lower(F.regexp_replace("o_orderpriority", " ", "-")),
+                                 F.lit(".example.com/x")))
+        write_by_source(o, p, "instance", fmt="parquet")
+    path = landed(spark, sf_dir, "by_source", write)
+    back = spark.read.option("basePath", path).parquet(path)
+    return back.groupBy(F.col("source_key").cast("string").alias("source_key")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@register("K4_append_run_log", OUTCOME_SQL + _reconcile_select("f.fstem = j.stem") + """
+SELECT r.run_ts, st.status, count(*) AS n
+FROM st, (VALUES ('2024-01-01 00:00:00'), ('2024-01-02 00:00:00')) r(run_ts)
+GROUP BY ALL
+""")
+def q_append_run_log(spark, sf_dir):
+    from shiftkit.plans.runs import append_run_log, reconcile_imports, run_log_from_outcomes
+
+    def write(p):
+        jobs = load_jobs(spark, sf_dir).drop("run")
+        st = reconcile_imports(jobs, outcome_listing(spark, sf_dir), exact=True)
+        st = st.join(jobs.select("job", "params"), "job", "left")
+        for ts in ("2024-01-01 00:00:00", "2024-01-02 00:00:00"):
+            append_run_log(run_log_from_outcomes(st, ts), p)
+    path = landed(spark, sf_dir, "run_log", write)
+    log = spark.read.parquet(path)
+    return log.groupBy(F.date_format("run_ts", "yyyy-MM-dd HH:mm:ss").alias("run_ts"), "status") \
+        .agg(F.count(F.lit(1)).alias("n"))

@@ -8,7 +8,6 @@ back to a fresh folder of its own.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -72,7 +71,4 @@ def checkpoint_root(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new, unique sub-folder of the checkpoint root for landed tables."""
     root = checkpoint_root(spark)
-    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
