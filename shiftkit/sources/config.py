@@ -77,7 +77,7 @@ def read_job_configs(spark: SparkSession, path: str, multiline: bool = True) ->
     ``False``: JSON lines, one configuration per line.
     """
     if multiline:
-        raw = spark.read.option("wholetext", True).text(path)
+        raw = spark.read.text(path, wholetext=True)
     else:
         raw = spark.read.text(path)
     return raw.select(F.col("_metadata.file_name").alias("loader_config"),

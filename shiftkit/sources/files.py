@@ -158,18 +158,19 @@ def _scan_heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         })
 
 
-def scan_csv_headers(spark: SparkSession, root: str, glob: str = "*.csv",
-                     files_per_task: int = 64) -> DataFrame:
+def scan_csv_headers(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
     """One row per CSV file under ``root`` with its raw header list.
 
-    The listing is distributed over tasks and each task reads only the
-    first bytes of its files (per-file Python, Arrow-batched).  Files that
-    cannot be read (e.g. empty) carry ``error`` and no headers.
+    Paths come from the file index Spark builds for the tree (its listing,
+    empty files included, which a file scan would skip); the header reads
+    are spread over tasks, each reading only the first record of its files
+    (per-file Python, Arrow-batched).  Files that cannot be read (e.g.
+    empty) carry ``error`` and no headers.
     """
-    listing = list_files(spark, root, glob)
-    n = max(1, spark.sparkContext.defaultParallelism)
-    return (listing.select("path").repartition(n, "path")
-            .mapInPandas(_scan_heads, HEADER_SCAN_SCHEMA))
+    paths = list_files(spark, root, glob).inputFiles()
+    listing = spark.createDataFrame([(p,) for p in sorted(paths)], "path string")
+    n = max(1, min(len(paths), spark.sparkContext.defaultParallelism * 4))
+    return listing.repartition(n, "path").mapInPandas(_scan_heads, HEADER_SCAN_SCHEMA)
 
 
 def header_long_form(scan: DataFrame, root: str) -> DataFrame:
