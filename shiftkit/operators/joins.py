@@ -100,14 +100,16 @@ def bridge_resolve(bridge: DataFrame, left_fk: str, left_dim: DataFrame, left_id
 
 
 def contains_join(items: DataFrame, item_text: str, patterns: DataFrame, pattern_col: str,
-                  how: str = "left") -> DataFrame:
+                  how: str = "left", pattern_key: Sequence[str] | None = None) -> DataFrame:
     """J9 (substring form): pair each pattern with every item whose text contains it.
 
     Exact and without a nested loop: each item emits its substrings of every
-    length some pattern has, ``(length, substring)``, and that pair is an
-    equi-join key against ``(length(pattern), pattern)``.  Work is linear in
-    the items times the number of distinct pattern lengths (bounded by the
-    longest pattern), never items x patterns.
+    length some pattern has, and ``(length, substring)`` is an equi-join key
+    against ``(length(pattern), pattern)``, so no candidate pair is ever
+    false.  Work is linear in the items times the number of distinct pattern
+    lengths (at most the longest pattern), never items x patterns.
+    ``pattern_key`` (default: the pattern column) identifies a pattern row
+    for the unmatched side of ``how="left"``.
     """
     lengths = (patterns.select(F.length(col(pattern_col)).alias("__len"))
                .where(F.col("__len") > 0).distinct())
@@ -121,10 +123,12 @@ def contains_join(items: DataFrame, item_text: str, patterns: DataFrame, pattern
     matched = patterns.join(grams, col(pattern_col) == F.col("__gram"), "inner").drop("__gram")
     if how == "inner":
         return matched
-    # Left form as inner + anti: an inner join lets AQE split a hot gram on
-    # either side, a left outer join only on the pattern side.
-    unmatched = patterns.join(grams.select("__gram").distinct(),
-                              col(pattern_col) == F.col("__gram"), "left_anti")
+    # Left form as inner + anti on the (small) matched side: an inner join
+    # lets AQE split a hot gram on either side, a left outer join only on
+    # the pattern side.
+    keys = list(pattern_key or [pattern_col])
+    hit = matched.select(*[col(k) for k in keys]).distinct()
+    unmatched = patterns.join(hit, keys, "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 

@@ -84,7 +84,8 @@ def reconcile_imports(jobs: DataFrame, files: DataFrame, exact: bool = True) ->
                       F.regexp_replace("file_name", r"_(FAILURE|SUCCESS)\.csv$", "").alias("__fstem"))
         matched = active.join(fs, active["stem"] == fs["__fstem"], "left").drop("__fstem")
     else:
-        matched = contains_join(f, "file_name", active, "stem", how="left")
+        matched = contains_join(f, "file_name", active, "stem", how="left",
+                                pattern_key=["job", "stem"])
     per_job = matched.groupBy("job", "stem").agg(
         F.bool_or(F.col("outcome") == "failure").alias("has_failure"),
         F.bool_or(F.col("outcome") == "success").alias("has_success"),

@@ -52,6 +52,14 @@ def export_index(exports: DataFrame) -> DataFrame:
         F.array(k1, k2)))).alias("key"))
 
 
+def unmatched_rows(rows: DataFrame, exports: DataFrame) -> DataFrame:
+    """Inventory rows whose normalised type reaches no export."""
+    keys = export_index(exports).select("key").distinct()
+    rk = rows.select("row_id", "object_type", "file_intent",
+                     normalize_object_type(F.coalesce(col("object_type"), F.lit(""))).alias("key"))
+    return rk.join(keys, "key", "left_anti").select("row_id", "object_type", "file_intent")
+
+
 def _clean_attrs(arr) -> F.Column:
     return F.array_distinct(F.filter(F.transform(F.coalesce(arr, F.array().cast("array<string>")),
                                                  trim_ws), lambda a: a != ""))
@@ -83,13 +91,16 @@ def attribute_sync(rows: DataFrame, exports: DataFrame) -> dict[str, DataFrame]:
     fast = matched.join(shared_keys, "key", "left_anti")
     slow = matched.join(shared_keys, "key", "left_semi")
 
-    sync_fast, adds_fast = _sync_single_key(fast, idx, nexp, exports)
-    sync_slow, adds_slow = _sync_components(slow, idx, exports)
-    sync = sync_fast.unionByName(sync_slow)
+    sync, adds = _sync_single_key(fast, idx, nexp, exports)
+    # Configuration-sized check: is any export shared by two occurring keys?
+    if shared_keys.limit(1).count() > 0:
+        sync_slow, adds_slow = _sync_components(slow, idx, exports)
+        sync = sync.unionByName(sync_slow)
+        adds = adds.unionByName(adds_slow)
     info = rk.select("row_id", "object_type", "file_intent")
     sync = info.join(sync, "row_id")
     names = exports.select("export_pos", "name")
-    additions = (adds_fast.unionByName(adds_slow)
+    additions = (adds
                  .groupBy("export_pos").agg(F.array_sort(F.collect_list(
                      F.struct("o1", "o2", "attr"))).alias("__a"))
                  .select("export_pos", F.transform("__a", lambda e: e["attr"]).alias("added"))

@@ -542,10 +542,9 @@ SELECT row_id + 1 AS row_number, object_type, file_intent FROM rk
 WHERE key NOT IN (SELECT key FROM idx)
 """)
 def q_anti_unmatched(spark, sf_dir):
-    from shiftkit.plans.sync import attribute_sync
-    res = attribute_sync(inventory_rows(spark, sf_dir), sync_exports(spark))
-    return res["unmatched"].select((F.col("row_id") + 1).alias("row_number"), "object_type",
-                                   "file_intent")
+    from shiftkit.plans.sync import unmatched_rows
+    un = unmatched_rows(inventory_rows(spark, sf_dir), sync_exports(spark))
+    return un.select((F.col("row_id") + 1).alias("row_number"), "object_type", "file_intent")
 
 
 @register("A7_ordered_union_distinct", SYNC_SQL + """
