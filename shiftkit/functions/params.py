@@ -67,7 +67,8 @@ def file_intent(file_name: Column | str) -> Column:
 
 
 def file_name_of(path: Column | str) -> Column:
-    return F.regexp_extract(_c(path), r"([^/]*)$", 1)
+    """Last path segment (no regex: ``substring_index``)."""
+    return F.substring_index(_c(path), "/", -1)
 
 
 def relative_dir(path: Column | str, root: str) -> Column:
@@ -119,12 +120,19 @@ def outcome_status(file_name: Column | str) -> Column:
 
 def outcome_stem(file_name: Column | str) -> Column:
     """the loader-file stem of an outcome file (``x_FAILURE.csv`` -> ``x``)."""
-    return F.regexp_replace(_c(file_name), r"_(FAILURE|SUCCESS)\.csv$", "")
+    f = _c(file_name)
+    cut = F.length(f) - len(FAILURE_SUFFIX)
+    assert len(FAILURE_SUFFIX) == len(SUCCESS_SUFFIX)
+    return F.when(f.endswith(FAILURE_SUFFIX) | f.endswith(SUCCESS_SUFFIX), f.substr(F.lit(1), cut)) \
+        .otherwise(f)
 
 
 def file_stem(path: Column | str) -> Column:
     """Base name without extension (``a/b/x.csv`` -> ``x``)."""
-    return F.regexp_replace(file_name_of(path), r"\.[^.]*$", "")
+    name = file_name_of(path)
+    ext = F.substring_index(name, ".", -1)
+    return F.when(name.contains("."), name.substr(F.lit(1), F.length(name) - F.length(ext) - 1)) \
+        .otherwise(name)
 
 
 def columns_display(columns: Column | str) -> Column:

@@ -103,30 +103,41 @@ def contains_join(items: DataFrame, item_text: str, patterns: DataFrame, pattern
                   how: str = "left", pattern_key: Sequence[str] | None = None) -> DataFrame:
     """J9 (substring form): pair each pattern with every item whose text contains it.
 
-    Exact and without a nested loop: each item emits its substrings of every
-    length some pattern has, and ``(length, substring)`` is an equi-join key
-    against ``(length(pattern), pattern)``, so no candidate pair is ever
-    false.  Work is linear in the items times the number of distinct pattern
-    lengths (at most the longest pattern), never items x patterns.
-    ``pattern_key`` (default: the pattern column) identifies a pattern row
-    for the unmatched side of ``how="left"``.
+    Exact and without a nested loop.  An item position can only start a
+    match if the two characters there begin some pattern, so positions are
+    first filtered by a semi-join with the (bounded) set of pattern heads;
+    each surviving position emits ``(length, substring)`` for every pattern
+    length, an equi-join key against ``(length(pattern), pattern)`` with no
+    false candidates.  One-character patterns are matched against the
+    item's characters.  Work is linear in the items, never items x patterns.
+    Each (pattern, item) pair is returned once.  ``pattern_key`` (default:
+    the pattern column) identifies a pattern row for the unmatched side of
+    ``how="left"``.
     """
-    lengths = (patterns.select(F.length(col(pattern_col)).alias("__len"))
-               .where(F.col("__len") > 0).distinct())
-    # The set of lengths is at most the longest pattern: a proven bound.
-    text = col(item_text)
-    grams = (items.join(F.broadcast(lengths), F.length(text) >= F.col("__len"))
-             .withColumn("__gram", F.explode(F.array_distinct(F.transform(
-                 F.sequence(F.lit(1), F.length(text) - F.col("__len") + 1),
-                 lambda p: text.substr(p, F.col("__len"))))))
-             .drop("__len"))
-    matched = patterns.join(grams, col(pattern_col) == F.col("__gram"), "inner").drop("__gram")
+    pc, text = col(pattern_col), col(item_text)
+    plen = F.length(pc)
+    item_cols = [col(c) for c in items.columns]
+    # Bounded sets (<= distinct patterns, <= |alphabet|^2 heads, <= longest
+    # pattern lengths): safe to broadcast.
+    heads = patterns.where(plen >= 2).select(pc.substr(1, 2).alias("__head")).distinct()
+    lens = patterns.where(plen >= 2).select(plen.alias("__len")).distinct()
+    starts = (items.select(*item_cols, F.explode(F.sequence(
+                  F.lit(1), F.greatest(F.length(text) - 1, F.lit(1)))).alias("__pos"))
+              .withColumn("__head", text.substr(F.col("__pos"), F.lit(2)))
+              .join(F.broadcast(heads), "__head", "left_semi"))
+    grams = (starts.join(F.broadcast(lens), F.col("__pos") + F.col("__len") - 1 <= F.length(text))
+             .select(*item_cols, text.substr(F.col("__pos"), F.col("__len")).alias("__gram")))
+    chars = items.select(*item_cols, F.explode(F.array_distinct(F.split(text, ""))).alias("__gram"))
+    grams = grams.unionByName(chars.join(F.broadcast(patterns.where(plen == 1).select(
+        pc.alias("__gram")).distinct()), "__gram", "left_semi"))
+    keys = list(pattern_key or [pattern_col])
+    matched = (patterns.join(grams, pc == F.col("__gram"), "inner").drop("__gram")
+               .dropDuplicates([*keys, *items.columns]))
     if how == "inner":
         return matched
     # Left form as inner + anti on the (small) matched side: an inner join
-    # lets AQE split a hot gram on either side, a left outer join only on
+    # lets AQE split a hot key on either side, a left outer join only on
     # the pattern side.
-    keys = list(pattern_key or [pattern_col])
     hit = matched.select(*[col(k) for k in keys]).distinct()
     unmatched = patterns.join(hit, keys, "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from shiftkit.functions.names import col
 from shiftkit.functions.outcomes import reconcile_status
 from shiftkit.functions.params import (
-    file_name_of, file_stem, first_non_blank, object_from_params, outcome_status, source_key,
+    file_name_of, file_stem, first_non_blank, object_from_params, outcome_status, outcome_stem,
+    source_key,
 )
 from shiftkit.operators.aggregate import row_count_observed
 from shiftkit.operators.joins import contains_join
@@ -80,8 +81,7 @@ def reconcile_imports(jobs: DataFrame, files: DataFrame, exact: bool = True) ->
         F.col("outcome").isNotNull())
     active = j.where(F.col("__active") != 0)
     if exact:
-        fs = f.select("file_name", "outcome",
-                      F.regexp_replace("file_name", r"_(FAILURE|SUCCESS)\.csv$", "").alias("__fstem"))
+        fs = f.select("file_name", "outcome", outcome_stem("file_name").alias("__fstem"))
         matched = active.join(fs, active["stem"] == fs["__fstem"], "left").drop("__fstem")
     else:
         matched = contains_join(f, "file_name", active, "stem", how="left",
