@@ -1113,3 +1113,70 @@ def q_append_run_log(spark, sf_dir):
     log = spark.read.parquet(path)
     return log.groupBy(F.date_format("run_ts", "yyyy-MM-dd HH:mm:ss").alias("run_ts"), "status") \
         .agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- further joins, ordering, names ------------------------------------------------------
+
+@register("J1_bridge_join_left", """
+SELECT l.l_orderkey, l.l_linenumber, p.p_name AS keyword_name, p.p_type AS keyword_type
+FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey
+""")
+def q_bridge_join_left(spark, sf_dir):
+    from shiftkit.operators.joins import key_join
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    p = table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("keyword_name"),
+                                            F.col("p_type").alias("keyword_type"))
+    return key_join(li, p, [("l_partkey", "p_partkey")], how="left").select(
+        "l_orderkey", "l_linenumber", "keyword_name", "keyword_type")
+
+
+@register("J11_null_safe_join", """
+WITH seg AS (SELECT DISTINCT nullif(c_mktsegment, 'BUILDING') AS segment FROM customer)
+SELECT c.c_custkey, coalesce(seg.segment, '(none)') AS segment_label
+FROM customer c LEFT JOIN seg ON nullif(c.c_mktsegment, 'BUILDING') IS NOT DISTINCT FROM seg.segment
+""")
+def q_null_safe_join(spark, sf_dir):
+    from shiftkit.operators.joins import key_join
+    c = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.nullif("c_mktsegment", F.lit("BUILDING")).alias("seg_key"))
+    seg = c.select(F.col("seg_key").alias("segment")).distinct()
+    j = key_join(c, seg, [("seg_key", "segment")], how="left", null_safe=True)
+    return j.select("c_custkey", F.coalesce("segment", F.lit("(none)")).alias("segment_label"))
+
+
+@register("J12_missing_inputs", OUTCOME_SQL + """
+SELECT 'load_' || CAST(o_orderkey AS VARCHAR) || '_SUCCESS.csv' AS file_name FROM orders
+WHERE 'load_' || CAST(o_orderkey AS VARCHAR) || '_SUCCESS.csv' NOT IN (SELECT file_name FROM files)
+""")
+def q_missing_inputs(spark, sf_dir):
+    """Every order job expects its success file; which are absent from the listing?"""
+    from shiftkit.sources.files import missing_inputs
+    expected = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("load_"), F.col("o_orderkey").cast("string"), F.lit("_SUCCESS.csv"))
+        .alias("file_name"))
+    return missing_inputs(expected, outcome_listing(spark, sf_dir))
+
+
+@register("T4_preview_limit", REKEY_SQL + """
+SELECT owner_id AS qms_unit__c, owner_name AS "ignore__qms_unit__c__name__v",
+       helper AS "ignore__keyword_helper", tag_id AS keyword__c
+FROM r WHERE tag_id IS NOT NULL
+ORDER BY qms_unit__c, keyword__c, "ignore__keyword_helper" LIMIT 5
+""")
+def q_preview_limit(spark, sf_dir):
+    from shiftkit.operators.order import preview
+    df = q_bridge_rekey(spark, sf_dir)
+    return preview(df, ["qms_unit__c", "keyword__c", "ignore__keyword_helper"], 5)
+
+
+@register("F1_normalize_column_name", """
+SELECT table_name AS relative_path, column_name AS header,
+       regexp_replace(replace(lower(trim(column_name)), 'ignore.', ''), '[ ._-]', '', 'g') AS normalized
+FROM information_schema.columns
+WHERE table_name IN ('region', 'nation', 'supplier', 'customer', 'part', 'orders', 'lineitem')
+""")
+def q_normalize_column_name(spark, sf_dir):
+    from shiftkit.functions.names import normalize_column_name_expr
+    heads = q_scan_csv_headers(spark, sf_dir)
+    return heads.select("relative_path", "header",
+                        normalize_column_name_expr(F.col("header")).alias("normalized"))

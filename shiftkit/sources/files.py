@@ -231,3 +231,9 @@ def read_outcome_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, Da
     else:
         imports = spark.createDataFrame([], "stem string, file string")
     return failures, imports
+
+
+def missing_inputs(expected: DataFrame, listing: DataFrame, name_col: str = "file_name") -> DataFrame:
+    """Required file names absent from a listing (``left_anti`` on the name)."""
+    have = listing.select(file_name_of("path").alias("__have"))
+    return expected.join(have, col(name_col) == F.col("__have"), "left_anti")
