@@ -158,6 +158,13 @@ def _scan_heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         })
 
 
+def scan_headers_of(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """S2 on an explicit list of files (a listing already at hand)."""
+    listing = spark.createDataFrame([(p,) for p in sorted(paths)], "path string")
+    n = max(1, min(len(paths), spark.sparkContext.defaultParallelism * 4))
+    return listing.repartition(n, "path").mapInPandas(_scan_heads, HEADER_SCAN_SCHEMA)
+
+
 def scan_csv_headers(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
     """One row per CSV file under ``root`` with its raw header list.
 
@@ -167,10 +174,7 @@ def scan_csv_headers(spark: SparkSession, root: str, glob: str = "*.csv") -> Dat
     (per-file Python, Arrow-batched).  Files that cannot be read (e.g.
     empty) carry ``error`` and no headers.
     """
-    paths = list_files(spark, root, glob).inputFiles()
-    listing = spark.createDataFrame([(p,) for p in sorted(paths)], "path string")
-    n = max(1, min(len(paths), spark.sparkContext.defaultParallelism * 4))
-    return listing.repartition(n, "path").mapInPandas(_scan_heads, HEADER_SCAN_SCHEMA)
+    return scan_headers_of(spark, list_files(spark, root, glob).inputFiles())
 
 
 def header_long_form(scan: DataFrame, root: str) -> DataFrame:
@@ -195,39 +199,46 @@ def failed_files(scan: DataFrame) -> DataFrame:
 
 # --- outcome folders -----------------------------------------------------------
 
-def read_outcome_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of ``*_FAILURE.csv`` files ``(stem, file, errors)`` and of import files ``(stem, file)``.
+def read_failure_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Rows ``(stem, file, errors)`` of the given ``*_FAILURE.csv`` files.
 
-    Failure files of different loads have different columns, and the CSV
-    source maps columns by position, so failure files are read once per
+    Failure files of different loads have different columns and the CSV
+    source maps columns by position, so the files are read once per
     distinct header layout (a handful: one per object layout) and unioned
-    by name.  Import files are only counted, so one read covers them all.
+    by name.  Only the layouts (metadata) reach the driver.
     """
-    scan = scan_csv_headers(spark, folder, glob="*.csv")
-    heads = (scan.where(F.col("error").isNull())
-             .select("path", F.array_join("headers", "\u0001").alias("layout")))
-    fail_heads = heads.where(F.col("path").endswith(FAILURE_SUFFIX))
-    # Metadata only: one row per distinct layout, each with its file paths.
-    layouts = fail_heads.groupBy("layout").agg(F.collect_list("path").alias("paths")).collect()
+    scan = scan_headers_of(spark, paths)
+    layouts = (scan.where(F.col("error").isNull())
+               .groupBy(F.array_join("headers", "\u0001").alias("layout"))
+               .agg(F.collect_list("path").alias("paths")).collect())
     parts = []
     for row in layouts:
         df = read_object_csv(spark, list(row["paths"]), with_file=True)
         errs = col("errors") if "errors" in df.columns else F.lit(None).cast("string")
         parts.append(df.select(outcome_stem("_file").alias("stem"), F.col("_file").alias("file"),
                                errs.alias("errors")))
-    if parts:
-        failures = parts[0]
-        for p in parts[1:]:
-            failures = failures.unionByName(p)
-    else:
-        failures = spark.createDataFrame([], "stem string, file string, errors string")
-    import_paths = [r["path"] for r in heads.where(
-        ~F.col("path").endswith(FAILURE_SUFFIX) & ~F.col("path").endswith(SUCCESS_SUFFIX))
-        .select("path").collect()]
-    if import_paths:
-        imp = read_object_csv(spark, import_paths, with_file=True)
-        imports = imp.select(F.regexp_replace("_file", r"\.csv$", "").alias("stem"),
-                             F.col("_file").alias("file"))
+    if not parts:
+        return spark.createDataFrame([], "stem string, file string, errors string")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def read_outcome_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``*_FAILURE.csv`` files ``(stem, file, errors)`` and of import files ``(stem, file)``.
+
+    Import files are only counted, so one read covers them all whatever
+    their columns.
+    """
+    paths = list_files(spark, folder, "*.csv").inputFiles()
+    fail = [p for p in paths if p.endswith(FAILURE_SUFFIX)]
+    imp = [p for p in paths if not p.endswith(FAILURE_SUFFIX) and not p.endswith(SUCCESS_SUFFIX)]
+    failures = read_failure_files(spark, fail)
+    if imp:
+        df = read_object_csv(spark, imp, with_file=True)
+        imports = df.select(F.regexp_replace("_file", r"\.csv$", "").alias("stem"),
+                            F.col("_file").alias("file"))
     else:
         imports = spark.createDataFrame([], "stem string, file string")
     return failures, imports
