@@ -24,12 +24,16 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_i
     """Row numbers in a global order without a single-partition window.
 
     Range-partitioned sort, then ``zipWithIndex`` (per-partition counts and
-    offsets): every partition is numbered by its own task.
+    offsets): every partition is numbered by its own task.  The result is
+    checkpointed to the shared checkpoint folder, which cuts the lineage so
+    later references read the numbered rows instead of recomputing them.
     """
+    from shiftkit.session import checkpoint_root
+    checkpoint_root(df.sparkSession)
     ordered = df.orderBy(*order)
     schema = T.StructType([*ordered.schema.fields, T.StructField(name, T.LongType(), False)])
     rdd = ordered.rdd.zipWithIndex().map(lambda ri: (*ri[0], ri[1] + start))
-    return ordered.sparkSession.createDataFrame(rdd, schema)
+    return ordered.sparkSession.createDataFrame(rdd, schema).checkpoint(eager=True)
 
 
 def preview(df: DataFrame, order: Sequence[Column | str], n: int = 5) -> DataFrame:

@@ -80,30 +80,44 @@ def change_results(table: DataFrame, changes: DataFrame, operation: str,
 
 def apply_change_set(table: DataFrame, changes: DataFrame, operation: str,
                      id_col: str = "id") -> DataFrame:
-    """K2: the new version of ``table`` after the successful change rows.
+    """K2: the new version of ``table`` after the valid change rows.
 
-    Update/upsert is a full outer join of the table with the valid changes on
-    the id, ``coalesce(new, old)`` per applied column; creates are the change
-    rows without a partner.  One shuffle per side on the id.
+    One full outer join of the table with the change rows whose id is unique
+    in the set: a matched pair is an update (``coalesce(new, old)`` per
+    applied column), a change row alone is a create, a table row alone stays.
+    Which of these an operation allows decides what survives.  The table is
+    read once; the change set twice (rows and the per-id counts).
     """
-    res = change_results(table, changes, operation, id_col)
-    ok = res.where(F.col("status") == "success")
+    if operation not in OPERATIONS:
+        raise ValueError(f"operation must be one of {OPERATIONS}")
+    cid = changes[f"`{id_col}`"]
+    counts = changes.groupBy(cid.alias("__cid")).agg(F.count(F.lit(1)).alias("__n"))
+    unique = (changes.join(counts, cid == counts["__cid"], "left")
+              .where(F.col("__n") == 1 if operation == "update"
+                     else (F.col("__n") == 1) | cid.isNull()))
     applied = [c for c in _applied_columns(changes, id_col) if c in table.columns]
     new_only = [c for c in _applied_columns(changes, id_col) if c not in table.columns]
-    ch = ok.select(col(id_col).alias("__cid"), F.col("action").alias("__action"),
-                   *[col(c).alias(f"__new__{c}") for c in [*applied, *new_only]])
-    joined = table.join(ch, table[f"`{id_col}`"] == ch["__cid"], "full_outer")
+    ch = unique.select(cid.alias("__cid"), F.lit(True).alias("__in_changes"),
+                       *[col(c).alias(f"__new__{c}") for c in [*applied, *new_only]])
+    t = table.withColumn("__in_table", F.lit(True))
+    joined = t.join(ch, t[f"`{id_col}`"] == ch["__cid"], "full_outer")
+    in_t = F.coalesce(F.col("__in_table"), F.lit(False))
+    in_c = F.coalesce(F.col("__in_changes"), F.lit(False))
+    do_update = in_t & in_c & F.lit(operation in ("update", "upsert"))
+    keep = in_t | (in_c & F.lit(operation in ("create", "upsert")))
     out = []
     for c in table.columns:
         if c == id_col:
             out.append(F.coalesce(col(c), F.col("__cid")).alias(c))
         elif c in applied:
-            out.append(F.coalesce(F.col(f"`__new__{c}`"), col(c)).alias(c))
+            new_or_old = F.coalesce(F.col(f"`__new__{c}`"), col(c))
+            out.append(F.when(do_update, new_or_old).when(in_t, col(c))
+                       .otherwise(F.col(f"`__new__{c}`")).alias(c))
         else:
             out.append(col(c))
     for c in new_only:
-        out.append(F.col(f"`__new__{c}`").alias(c))
-    return joined.select(*out)
+        out.append(F.when(do_update | ~in_t, F.col(f"`__new__{c}`")).alias(c))
+    return joined.where(keep).select(*out)
 
 
 def change_summary(results: DataFrame, by: Sequence[str] = ()) -> DataFrame:

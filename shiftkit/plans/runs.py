@@ -82,17 +82,19 @@ def reconcile_imports(jobs: DataFrame, files: DataFrame, exact: bool = True) ->
     active = j.where(F.col("__active") != 0)
     if exact:
         fs = f.select("file_name", "outcome", outcome_stem("file_name").alias("__fstem"))
-        matched = active.join(fs, active["stem"] == fs["__fstem"], "left").drop("__fstem")
+        matched = active.select("job", "stem").join(fs, F.col("stem") == F.col("__fstem")).drop("__fstem")
     else:
-        matched = contains_join(f, "file_name", active, "stem", how="left",
-                                pattern_key=["job", "stem"])
+        matched = contains_join(f, "file_name", active.select("job", "stem"), "stem", how="inner")
+    # Per job from the matched pairs only, then one row per job on each side
+    # of the final join: the (possibly large) match step runs once.
     per_job = matched.groupBy("job", "stem").agg(
         F.bool_or(F.col("outcome") == "failure").alias("has_failure"),
         F.bool_or(F.col("outcome") == "success").alias("has_success"),
         F.min(F.when(F.col("outcome") == "failure", F.col("file_name"))).alias("failure_file"),
         F.min(F.when(F.col("outcome") == "success", F.col("file_name"))).alias("success_file"))
-    status = per_job.select("job", "stem", reconcile_status("has_failure", "has_success").alias("status"),
-                            F.coalesce("failure_file", "success_file").alias("file_name"))
+    status = active.select("job", "stem").join(per_job, ["job", "stem"], "left").select(
+        "job", "stem", reconcile_status("has_failure", "has_success").alias("status"),
+        F.coalesce("failure_file", "success_file").alias("file_name"))
     skipped = j.where(F.col("__active") == 0).select(
         "job", "stem", F.lit("SKIPPED").alias("status"), F.lit(None).cast("string").alias("file_name"))
     return status.unionByName(skipped)
