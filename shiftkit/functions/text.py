@@ -13,6 +13,12 @@ from pyspark.sql import functions as F
 # Java's \s does not: FS/GS/RS/US, NEL and the Unicode separators.
 WS_CLASS = r"[\s\x{1c}-\x{1f}\x{85}\p{Z}]"
 
+# Every character for which Python's str.isspace() is true
+# (the set str.strip() removes), in code-point order.
+PY_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+                 "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+                 "\u2028\u2029\u202f\u205f\u3000")
+
 # Fixed value: an object id is 15 letters or digits.
 OBJECT_ID_PATTERN = r"^[A-Za-z0-9]{15}$"
 
@@ -23,8 +29,11 @@ def _c(c: Column | str) -> Column:
 
 
 def trim_ws(c: Column | str) -> Column:
-    """Python ``str.strip()`` (Spark ``trim`` removes blanks only)."""
-    return F.regexp_replace(_c(c), rf"^{WS_CLASS}+|{WS_CLASS}+$", "")
+    """Python ``str.strip()`` (Spark ``trim`` removes blanks only).
+
+    ``btrim`` with Python's whitespace set: no regular expression.
+    """
+    return F.btrim(_c(c), F.lit(PY_WHITESPACE))
 
 
 def collapse_ws(c: Column | str) -> Column:
@@ -67,8 +76,9 @@ def mask_bracketed(c: Column | str) -> Column:
                 .when(open_at == 0, F.concat(seg, F.lit("]")))
                 .otherwise(masked))
 
-    return F.when(text.isNull(), None).otherwise(
-        F.array_join(F.transform(pieces, piece), ""))
+    return (F.when(text.isNull(), None)
+            .when(F.instr(text, "[") == 0, text)          # nothing to mask
+            .otherwise(F.array_join(F.transform(pieces, piece), "")))
 
 
 def normalize_error(c: Column | str) -> Column:

@@ -114,6 +114,8 @@ def contains_join(items: DataFrame, item_text: str, patterns: DataFrame, pattern
     the pattern column) identifies a pattern row for the unmatched side of
     ``how="left"``.
     """
+    from shiftkit.operators.partitioning import ensure_parallelism
+    items = ensure_parallelism(items)
     pc, text = col(pattern_col), col(item_text)
     plen = F.length(pc)
     item_cols = [col(c) for c in items.columns]

@@ -1,0 +1,19 @@
+"""Parallelism floor for CPU-heavy steps on small inputs.
+
+A small table (one parquet row group, one CSV file) is scanned by a single
+task, so per-row work such as masking texts or parsing JSON would run on one
+core.  ``ensure_parallelism`` spreads such an input over the cluster's
+default parallelism.  Inputs that already have that many partitions are
+returned as they are: at scale this is a no-op and adds no shuffle.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def ensure_parallelism(df: DataFrame, floor: int | None = None) -> DataFrame:
+    target = floor or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -15,15 +15,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftkit.functions.names import col
-from shiftkit.functions.text import normalize_error
+from shiftkit.functions.text import normalize_error, trim_ws
+from shiftkit.operators.partitioning import ensure_parallelism
 
 
 def error_types(failures: DataFrame, errors_col: str = "errors") -> DataFrame:
     """F8 + F9 per failure row: column ``error``; blank errors dropped."""
     if errors_col not in failures.columns:
         return failures.select("*", F.lit(None).cast("string").alias("error")).where(F.lit(False))
-    e = normalize_error(col(errors_col))
-    return failures.select("*", e.alias("error")).where(F.col("error") != "")
+    # Masking keeps every non-blank character, so a text is blank after
+    # normalising exactly when it is blank before: filter on the cheap test
+    # (a filter on the masked column would be pushed below the projection
+    # and evaluate the masking twice).
+    kept = failures.where(F.coalesce(trim_ws(col(errors_col)), F.lit("")) != "")
+    return ensure_parallelism(kept).select("*", normalize_error(col(errors_col)).alias("error"))
 
 
 def error_type_counts(failures: DataFrame, errors_col: str = "errors",

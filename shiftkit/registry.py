@@ -320,7 +320,9 @@ m AS (
 @register("F8_mask_bracketed", FAILURE_SQL + "SELECT event_id, error FROM m")
 def q_mask_bracketed(spark, sf_dir):
     from shiftkit.functions.text import normalize_error
-    return failure_rows(spark, sf_dir).select("event_id", normalize_error("errors").alias("error"))
+    from shiftkit.operators.partitioning import ensure_parallelism
+    return ensure_parallelism(failure_rows(spark, sf_dir)).select(
+        "event_id", normalize_error("errors").alias("error"))
 
 
 @register("A2_error_type_counts", FAILURE_SQL + """

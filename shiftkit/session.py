@@ -22,9 +22,9 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Joins on business keys: a broadcast side must stay small; AQE re-plans
-    # to a broadcast at runtime when the shuffled side turns out small.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # Broadcasts keep Spark's default size check (10 MB estimated); AQE
+    # re-plans a shuffle join to a broadcast at runtime when a side turns
+    # out small.
 }
 
 

@@ -76,12 +76,13 @@ def read_job_configs(spark: SparkSession, path: str, multiline: bool = True) ->
     ``multiline=True``: one JSON document per file (the usual layout);
     ``False``: JSON lines, one configuration per line.
     """
+    from shiftkit.operators.partitioning import ensure_parallelism
     if multiline:
         raw = spark.read.text(path, wholetext=True)
     else:
         raw = spark.read.text(path)
-    return raw.select(F.col("_metadata.file_name").alias("loader_config"),
-                      parse_config(F.col("value")).alias("config"))
+    raw = ensure_parallelism(raw.select(F.col("_metadata.file_name").alias("loader_config"), "value"))
+    return raw.select("loader_config", parse_config(F.col("value")).alias("config"))
 
 
 def config_exports(configs: DataFrame) -> DataFrame:
