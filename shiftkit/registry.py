@@ -923,10 +923,10 @@ SELECT o_orderkey AS config, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 2 END AS
 FROM orders
 """)
 def q_export_sources(spark, sf_dir):
-    from shiftkit.sources.config import config_sources
-    c = configs(spark, sf_dir).select(
-        F.regexp_extract("config.import_settings.import_path", r"(\d+)$", 1).cast("long").alias("config"),
-        F.size("config.export_settings").alias("n_sources"))
+    from shiftkit.sources.config import config_settings
+    c = config_settings(configs(spark, sf_dir)).select(
+        F.substring_index("import_settings.import_path", "/", -1).cast("long").alias("config"),
+        F.size("export_settings").alias("n_sources"))
     return c
 
 

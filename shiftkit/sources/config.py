@@ -41,6 +41,13 @@ IMPORT = T.StructType([
     T.StructField("referenced_objects", T.StringType()),
 ])
 
+IMPORT_SETTINGS = T.StructType([
+    T.StructField("dns", T.StringType()),
+    T.StructField("username", T.StringType()),
+    T.StructField("time_out", T.LongType()),
+    T.StructField("import_path", T.StringType()),
+])
+
 CONFIG = T.StructType([
     T.StructField("general", T.StructType([
         T.StructField("java_exe", T.StringType()),
@@ -48,19 +55,20 @@ CONFIG = T.StructType([
         T.StructField("banner", T.StringType()),
     ])),
     T.StructField("export_settings", T.StringType()),   # object or array: parsed below
-    T.StructField("import_settings", T.StructType([
-        T.StructField("dns", T.StringType()),
-        T.StructField("username", T.StringType()),
-        T.StructField("time_out", T.LongType()),
-        T.StructField("import_path", T.StringType()),
-    ])),
+    T.StructField("import_settings", IMPORT_SETTINGS),
     T.StructField("exports", T.ArrayType(EXPORT)),
     T.StructField("imports", T.ArrayType(IMPORT)),
 ])
 
 
+def _part(text: Column, path: str, schema: T.DataType) -> Column:
+    """Parse one top-level member only: ``get_json_object`` cuts it out of the
+    text, so the rest of the document is never turned into rows."""
+    return F.from_json(F.get_json_object(text, path), schema)
+
+
 def parse_config(text: Column) -> Column:
-    """JSON text -> config struct; ``export_settings`` always an array.
+    """JSON text -> the whole config struct; ``export_settings`` always an array.
 
     Declared as text first, the field keeps its raw JSON; parsing that as an
     array wraps a lone object into a one-element array.
@@ -71,10 +79,13 @@ def parse_config(text: Column) -> Column:
 
 
 def read_job_configs(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """S3: one row per configuration: ``loader_config`` (file name) and ``config``.
+    """S3: one row per configuration: ``loader_config`` (file name), the raw
+    ``value`` and the parsed ``config``.
 
     ``multiline=True``: one JSON document per file (the usual layout);
-    ``False``: JSON lines, one configuration per line.
+    ``False``: JSON lines, one configuration per line.  The helpers below
+    parse only the member they need; an unused ``config`` column is pruned
+    and never parsed.
     """
     from shiftkit.operators.partitioning import ensure_parallelism
     if multiline:
@@ -82,30 +93,40 @@ def read_job_configs(spark: SparkSession, path: str, multiline: bool = True) ->
     else:
         raw = spark.read.text(path)
     raw = ensure_parallelism(raw.select(F.col("_metadata.file_name").alias("loader_config"), "value"))
-    return raw.select("loader_config", parse_config(F.col("value")).alias("config"))
+    return raw.select("loader_config", "value", parse_config(F.col("value")).alias("config"))
 
 
 def config_exports(configs: DataFrame) -> DataFrame:
     """Exports of every configuration, flattened, with ``export_pos`` from 0."""
-    return configs.select("loader_config", F.posexplode_outer("config.exports").alias("export_pos", "e")) \
+    ex = _part(F.col("value"), "$.exports", T.ArrayType(EXPORT))
+    return configs.select("loader_config", F.posexplode_outer(ex).alias("export_pos", "e")) \
         .where(F.col("e").isNotNull()).select("loader_config", "export_pos", "e.*")
 
 
 def config_imports(configs: DataFrame) -> DataFrame:
     """Imports of every configuration, flattened, with ``import_pos`` from 0."""
+    st = _part(F.col("value"), "$.import_settings", IMPORT_SETTINGS)
+    im = _part(F.col("value"), "$.imports", T.ArrayType(IMPORT))
     return configs.select(
-        "loader_config", F.col("config.import_settings.import_path").alias("base_import_path"),
-        F.col("config.import_settings.dns").alias("target_dns"),
-        F.posexplode_outer("config.imports").alias("import_pos", "i")) \
+        "loader_config", st["import_path"].alias("base_import_path"), st["dns"].alias("target_dns"),
+        F.posexplode_outer(im).alias("import_pos", "i")) \
         .where(F.col("i").isNotNull()) \
         .select("loader_config", "base_import_path", "target_dns", "import_pos", "i.*")
 
 
+def config_settings(configs: DataFrame) -> DataFrame:
+    """Per configuration: ``import_settings`` (struct) and ``export_settings`` (array)."""
+    return configs.select(
+        "loader_config",
+        _part(F.col("value"), "$.import_settings", IMPORT_SETTINGS).alias("import_settings"),
+        _part(F.col("value"), "$.export_settings", T.ArrayType(SETTINGS)).alias("export_settings"))
+
+
 def config_sources(configs: DataFrame) -> DataFrame:
     """Export source instances of every configuration (object or array form)."""
-    return configs.select("loader_config", F.posexplode_outer("config.export_settings")
-                          .alias("source_pos", "s")).where(F.col("s").isNotNull()) \
-        .select("loader_config", "source_pos", "s.dns", "s.username")
+    es = _part(F.col("value"), "$.export_settings", T.ArrayType(SETTINGS))
+    return configs.select("loader_config", F.posexplode_outer(es).alias("source_pos", "s")) \
+        .where(F.col("s").isNotNull()).select("loader_config", "source_pos", "s.dns", "s.username")
 
 
 # --- S4 ---------------------------------------------------------------------------
