@@ -43,9 +43,15 @@ def mark_ignored(df: DataFrame, columns: Sequence[str] | None,
 
 
 def drop_if_present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """P5: drop the listed columns that exist (dotted names taken literally)."""
-    present = [c for c in columns if c in df.columns]
-    return df.drop(*present) if present else df
+    """P5: drop the listed columns that exist (dotted names taken literally).
+
+    Written as a projection of the remaining columns, so a name such as
+    ``qms_unit__c.id`` is never read as struct access.
+    """
+    gone = set(columns)
+    if not gone.intersection(df.columns):
+        return df
+    return df.select(*[col(c) for c in df.columns if c not in gone])
 
 
 def project_final(df: DataFrame, columns: Sequence[str], strict: bool = True) -> DataFrame:

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from shiftkit.functions.names import col, resolve_columns
 from shiftkit.functions.text import business_key, trim_ws
+from shiftkit.operators.partitioning import ensure_parallelism
+from shiftkit.operators.project import drop_if_present, project_final
 
 
 @dataclass(frozen=True)
@@ -65,10 +67,11 @@ def bridge_denormalize(bridge: DataFrame, owners: DataFrame, tags: DataFrame,
     t = tags.select(col(s.tag_id).alias("__tag_id"), col(s.name).alias(s.tag_name),
                     col(s.tag_type).alias(s.tag_type))
     o = owners.select(col(s.owner_id).alias("__owner_id"), col(s.name).alias(s.owner_name))
-    b = bridge.select(col(s.tag).alias("__tag_fk"), col(s.owner).alias("__owner_fk"))
+    b = ensure_parallelism(bridge.select(col(s.tag).alias("__tag_fk"), col(s.owner).alias("__owner_fk")))
     out = (b.join(t, F.col("__tag_fk") == F.col("__tag_id"), "left")
             .join(o, F.col("__owner_fk") == F.col("__owner_id"), "left"))
-    return out.select(col(s.owner_name), col(s.tag_name), col(s.tag_type))
+    # Exactly these columns, in this order (strict: a missing one raises).
+    return project_final(out, [s.owner_name, s.tag_name, s.tag_type])
 
 
 def _rekey_parts(blueprint: DataFrame, owners: DataFrame, tags: DataFrame,
@@ -87,12 +90,13 @@ def _rekey_parts(blueprint: DataFrame, owners: DataFrame, tags: DataFrame,
         trim_ws(col(s.tag_name)).alias("__bp_tname"),
         trim_ws(col(s.tag_type)).alias("__bp_ttype"),
     )
-    owners = owners.drop(*s.owner_drop)
+    owners = drop_if_present(owners, s.owner_drop)                    # P5
     owner_rest = [c for c in owners.columns if c != s.name]
     # Target owners, left join blueprint on the business name.
-    joined = owners.join(bp, owners[_q(s.name)] == bp[_q(s.owner_name)], "left").drop(s.name)
+    joined = drop_if_present(owners.join(bp, owners[_q(s.name)] == bp[_q(s.owner_name)], "left"),
+                             [s.name])
 
-    tags = tags.drop(*s.tag_drop)
+    tags = drop_if_present(tags, s.tag_drop)
     tag_rest = [c for c in tags.columns if c not in (s.name, s.tag_type)]
     t = tags.select(*[col(c) for c in tag_rest],
                     trim_ws(col(s.name)).alias("__t_name"),

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from shiftkit.functions.names import col
 from shiftkit.functions.outcomes import reconcile_status
 from shiftkit.functions.params import (
-    file_name_of, file_stem, first_non_blank, object_from_params, outcome_status, outcome_stem,
+    FAILURE_SUFFIX, SUCCESS_SUFFIX, file_name_of, file_stem, first_non_blank, object_from_params, outcome_status, outcome_stem,
     source_key,
 )
 from shiftkit.operators.aggregate import row_count_observed
@@ -81,20 +81,28 @@ def reconcile_imports(jobs: DataFrame, files: DataFrame, exact: bool = True) ->
         F.col("outcome").isNotNull())
     active = j.where(F.col("__active") != 0)
     if exact:
-        fs = f.select("file_name", "outcome", outcome_stem("file_name").alias("__fstem"))
-        matched = active.select("job", "stem").join(fs, F.col("stem") == F.col("__fstem")).drop("__fstem")
+        # Files aggregate to one row per stem before the join, and the stem
+        # fixes both possible file names: flags suffice (a hash aggregation),
+        # and the join is 1:1 on unique keys, so no key can be hot.
+        flags = (f.groupBy(outcome_stem("file_name").alias("__fstem"))
+                 .agg(F.bool_or(F.col("outcome") == "failure").alias("has_failure"),
+                      F.bool_or(F.col("outcome") == "success").alias("has_success")))
+        per = active.select("job", "stem").join(flags, F.col("stem") == F.col("__fstem"), "left")
+        file_name = (F.when(F.col("has_failure"), F.concat("stem", F.lit(FAILURE_SUFFIX)))
+                     .when(F.col("has_success"), F.concat("stem", F.lit(SUCCESS_SUFFIX))))
     else:
+        # Per job from the matched pairs only, then one row per job on each
+        # side of the final join: the (possibly large) match step runs once.
         matched = contains_join(f, "file_name", active.select("job", "stem"), "stem", how="inner")
-    # Per job from the matched pairs only, then one row per job on each side
-    # of the final join: the (possibly large) match step runs once.
-    per_job = matched.groupBy("job", "stem").agg(
-        F.bool_or(F.col("outcome") == "failure").alias("has_failure"),
-        F.bool_or(F.col("outcome") == "success").alias("has_success"),
-        F.min(F.when(F.col("outcome") == "failure", F.col("file_name"))).alias("failure_file"),
-        F.min(F.when(F.col("outcome") == "success", F.col("file_name"))).alias("success_file"))
-    status = active.select("job", "stem").join(per_job, ["job", "stem"], "left").select(
-        "job", "stem", reconcile_status("has_failure", "has_success").alias("status"),
-        F.coalesce("failure_file", "success_file").alias("file_name"))
+        per_job = matched.groupBy("job", "stem").agg(
+            F.bool_or(F.col("outcome") == "failure").alias("has_failure"),
+            F.bool_or(F.col("outcome") == "success").alias("has_success"),
+            F.min(F.when(F.col("outcome") == "failure", F.col("file_name"))).alias("failure_file"),
+            F.min(F.when(F.col("outcome") == "success", F.col("file_name"))).alias("success_file"))
+        per = active.select("job", "stem").join(per_job, ["job", "stem"], "left")
+        file_name = F.coalesce("failure_file", "success_file")
+    status = per.select("job", "stem", reconcile_status("has_failure", "has_success").alias("status"),
+                        file_name.alias("file_name"))
     skipped = j.where(F.col("__active") == 0).select(
         "job", "stem", F.lit("SKIPPED").alias("status"), F.lit(None).cast("string").alias("file_name"))
     return status.unionByName(skipped)

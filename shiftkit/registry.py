@@ -633,11 +633,13 @@ def load_jobs(spark, sf_dir):
 
 
 def outcome_listing(spark, sf_dir):
+    """One outcome file per (order, failed?) pair: distinct on the small keys,
+    then the path text."""
     li = table(spark, sf_dir, "lineitem")
+    keys = li.select("l_orderkey", (F.col("l_returnflag") == "R").alias("failed")).distinct()
     name = F.concat(F.lit("/landing/load_"), F.col("l_orderkey").cast("string"),
-                    F.when(F.col("l_returnflag") == "R", F.lit("_FAILURE.csv"))
-                    .otherwise(F.lit("_SUCCESS.csv")))
-    return li.select(name.alias("path")).distinct()
+                    F.when(F.col("failed"), F.lit("_FAILURE.csv")).otherwise(F.lit("_SUCCESS.csv")))
+    return keys.select(name.alias("path"))
 
 
 OUTCOME_SQL = """

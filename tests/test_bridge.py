@@ -90,3 +90,14 @@ def test_resolve_columns(spark):
     amb = spark.createDataFrame([("1", "2")], "`name-v` string, `name.v` string")
     with pytest.raises(ColumnResolutionError, match="ambiguous"):
         resolve_columns(amb, "x", ["name_v"])
+
+
+def test_dotted_names_are_literal(spark):
+    from shiftkit.operators.project import drop_if_present, mark_ignored, project_final
+    df = spark.createDataFrame([("1", "a", "b")], "`qms_unit__c.id` string, name__v string, x string")
+    assert drop_if_present(df, ["qms_unit__c.id", "absent"]).columns == ["name__v", "x"]
+    assert mark_ignored(df, ["name__v", "absent"]).columns == ["qms_unit__c.id", "ignore.name__v", "x"]
+    assert project_final(df, ["x", "zz"], strict=False).columns == ["x", "zz"]
+    import pytest
+    with pytest.raises(ValueError):
+        project_final(df, ["zz"])
