@@ -56,8 +56,15 @@ def run_log_rows(spark: SparkSession, rows: list[dict], run_ts: dt.datetime) ->
 
 
 def append_run_log(log: DataFrame, path: str) -> None:
-    """K4: append to the run-log table, partitioned by run."""
-    log.write.mode("append").partitionBy("run_ts").parquet(path)
+    """K4: add one run to the run-log table, partitioned by run.
+
+    Dynamic partition overwrite replaces only the partitions of the runs
+    being written: other runs stay, and writing the same run again (a retry
+    after a lost executor or a failed job) replaces its rows instead of
+    appending them twice.
+    """
+    (log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_ts").parquet(path))
 
 
 def reconcile_imports(jobs: DataFrame, files: DataFrame, exact: bool = True) -> DataFrame:

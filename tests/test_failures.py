@@ -41,3 +41,17 @@ def test_analyse_folder(spark, tmp_dir):
     assert rows(counts) == [("10_units", "Record [***] locked", 1),
                             ("10_units", "Value [name__v =***] too long", 1)]
     assert rows(missing) == [("20_kw",)]
+
+
+def test_run_log_rewrite_is_idempotent(spark, tmp_dir):
+    from shiftkit.plans.runs import append_run_log, run_log_from_outcomes
+    out = spark.createDataFrame([("j1", "SUCCESS", "a_SUCCESS.csv", "-create x__c -csv a.csv"),
+                                 ("j2", "FAILED", None, "-update y__v -csv b.csv")],
+                                "job string, status string, file_name string, params string")
+    path = f"{tmp_dir}/log"
+    append_run_log(run_log_from_outcomes(out, "2024-01-01 00:00:00"), path)
+    append_run_log(run_log_from_outcomes(out, "2024-01-02 00:00:00"), path)
+    append_run_log(run_log_from_outcomes(out, "2024-01-02 00:00:00"), path)   # retried run
+    log = spark.read.parquet(path)
+    assert log.count() == 4
+    assert sorted(r["object_name"] for r in log.collect()) == ["x__c", "x__c", "y__v", "y__v"]
