@@ -75,7 +75,7 @@ def bridge_denormalize(bridge: DataFrame, owners: DataFrame, tags: DataFrame,
 
 
 def _rekey_parts(blueprint: DataFrame, owners: DataFrame, tags: DataFrame,
-                 spec: BridgeSpec, mapping: dict | None, key: str):
+                 spec: BridgeSpec, mapping: dict | None, key: str, keep_unlinked: bool):
     s = spec
     bp = resolve_columns(blueprint, "blueprint", [s.tag_name, s.tag_type, s.owner_name], mapping)
     owners = resolve_columns(owners, "owners", [{"expected": s.owner_id,
@@ -92,9 +92,17 @@ def _rekey_parts(blueprint: DataFrame, owners: DataFrame, tags: DataFrame,
     )
     owners = drop_if_present(owners, s.owner_drop)                    # P5
     owner_rest = [c for c in owners.columns if c != s.name]
-    # Target owners, left join blueprint on the business name.
-    joined = drop_if_present(owners.join(bp, owners[_q(s.name)] == bp[_q(s.owner_name)], "left"),
-                             [s.name])
+    # Target owners with their blueprint rows (by business name).  The
+    # reference's left join keeps owners without links as one null row; that
+    # is an inner join plus the unlinked owners (anti join), so that a name
+    # holding a large share of the blueprint stays splittable by AQE (a left
+    # join could only split the owner side).
+    linked = owners.join(bp, owners[_q(s.name)] == bp[_q(s.owner_name)], "inner")
+    joined = drop_if_present(linked, [s.name])
+    if keep_unlinked:
+        names = bp.select(col(s.owner_name).alias("__bp_owner")).distinct()
+        unlinked = owners.join(names, owners[_q(s.name)] == F.col("__bp_owner"), "left_anti")
+        joined = joined.unionByName(drop_if_present(unlinked, [s.name]), allowMissingColumns=True)
 
     tags = drop_if_present(tags, s.tag_drop)
     tag_rest = [c for c in tags.columns if c not in (s.name, s.tag_type)]
@@ -128,7 +136,7 @@ def bridge_rekey(blueprint: DataFrame, owners: DataFrame, tags: DataFrame,
     on the ``name_type`` text as the reference does.
     """
     s = spec
-    result, _ = _rekey_parts(blueprint, owners, tags, spec, mapping, key)
+    result, _ = _rekey_parts(blueprint, owners, tags, spec, mapping, key, keep_unlinked=False)
     result = result.where(col(s.tag_id).isNotNull())
     renames = {s.tag_id: s.tag, s.owner_id: s.owner,
                s.owner_name: f"ignore.{s.owner_name}", s.helper: f"ignore.{s.helper}"}
@@ -139,6 +147,6 @@ def rekey_coverage(blueprint: DataFrame, owners: DataFrame, tags: DataFrame,
                    spec: BridgeSpec = BridgeSpec(), mapping: dict | None = None,
                    key: str = "columns") -> DataFrame:
     """Matched / total rows after the tag join, in one aggregation."""
-    result, _ = _rekey_parts(blueprint, owners, tags, spec, mapping, key)
+    result, _ = _rekey_parts(blueprint, owners, tags, spec, mapping, key, keep_unlinked=True)
     return result.agg(F.count_if(col(spec.tag_id).isNotNull()).alias("matched"),
                       F.count(F.lit(1)).alias("total"))
