@@ -99,20 +99,16 @@ def bridge_resolve(bridge: DataFrame, left_fk: str, left_dim: DataFrame, left_id
                       *[col(d) for d in right_fields.values()])
 
 
-def contains_join(items: DataFrame, item_text: str, patterns: DataFrame, pattern_col: str,
-                  how: str = "left", pattern_key: Sequence[str] | None = None) -> DataFrame:
-    """J9 (substring form): pair each pattern with every item whose text contains it.
-
-    Exact and without a nested loop.  An item position can only start a
-    match if the two characters there begin some pattern, so positions are
-    first filtered by a semi-join with the (bounded) set of pattern heads;
-    each surviving position emits ``(length, substring)`` for every pattern
-    length, an equi-join key against ``(length(pattern), pattern)`` with no
-    false candidates.  One-character patterns are matched against the
-    item's characters.  Work is linear in the items, never items x patterns.
-    Each (pattern, item) pair is returned once.  ``pattern_key`` (default:
-    the pattern column) identifies a pattern row for the unmatched side of
-    ``how="left"``.
+def substring_grams(items: DataFrame, item_text: str, patterns: DataFrame,
+                    pattern_col: str) -> DataFrame:
+    """Item rows with ``__gram``: every substring that could equal a pattern.
+
+    An item position can only start a match if the two characters there
+    begin some pattern, so positions are first filtered by a semi-join with
+    the (bounded) set of pattern heads; each surviving position emits its
+    substring of every pattern length.  One-character patterns are matched
+    against the item's characters.  Equality with a pattern is left to the
+    caller's equi-join (or aggregation), so no candidate pair is ever false.
     """
     from shiftkit.operators.partitioning import ensure_parallelism
     items = ensure_parallelism(items)
@@ -129,9 +125,29 @@ def contains_join(items: DataFrame, item_text: str, patterns: DataFrame, pattern
               .join(F.broadcast(heads), "__head", "left_semi"))
     grams = (starts.join(F.broadcast(lens), F.col("__pos") + F.col("__len") - 1 <= F.length(text))
              .select(*item_cols, text.substr(F.col("__pos"), F.col("__len")).alias("__gram")))
-    chars = items.select(*item_cols, F.explode(F.array_distinct(F.split(text, ""))).alias("__gram"))
-    grams = grams.unionByName(chars.join(F.broadcast(patterns.where(plen == 1).select(
-        pc.alias("__gram")).distinct()), "__gram", "left_semi"))
+    singles = patterns.where(plen == 1).select(pc.alias("__gram")).distinct()
+    # One-character patterns are rare; their branch is only planned when the
+    # (pattern-side) check finds one.
+    if singles.limit(1).count() > 0:
+        chars = items.select(*item_cols, F.explode(F.array_distinct(F.split(text, ""))).alias("__gram"))
+        grams = grams.unionByName(chars.join(F.broadcast(singles), "__gram", "left_semi"))
+    return grams
+
+
+def contains_join(items: DataFrame, item_text: str, patterns: DataFrame, pattern_col: str,
+                  how: str = "left", pattern_key: Sequence[str] | None = None) -> DataFrame:
+    """J9 (substring form): pair each pattern with every item whose text contains it.
+
+    Exact and without a nested loop: :func:`substring_grams` emits the
+    candidate substrings of each item, an equi-join keeps those equal to a
+    pattern.  Work is linear in the items (never items x patterns) plus the
+    output.  Each (pattern, item) pair is returned once.  ``pattern_key``
+    (default: the pattern column) identifies a pattern row for the unmatched
+    side of ``how="left"``.  Callers that only need a summary per pattern
+    should aggregate the grams before joining (see ``reconcile_imports``).
+    """
+    pc = col(pattern_col)
+    grams = substring_grams(items, item_text, patterns, pattern_col)
     keys = list(pattern_key or [pattern_col])
     matched = (patterns.join(grams, pc == F.col("__gram"), "inner").drop("__gram")
                .dropDuplicates([*keys, *items.columns]))

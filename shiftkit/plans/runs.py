@@ -21,7 +21,7 @@ from shiftkit.functions.params import (
     source_key,
 )
 from shiftkit.operators.aggregate import row_count_observed
-from shiftkit.operators.joins import contains_join
+from shiftkit.operators.joins import substring_grams
 from shiftkit.operators.project import mark_ignored, project_columns, where_filter
 
 RUN_LOG_SCHEMA = ("run_ts timestamp, job string, op string, object_name string, status string, "
@@ -98,15 +98,17 @@ def reconcile_imports(jobs: DataFrame, files: DataFrame, exact: bool = True) ->
         file_name = (F.when(F.col("has_failure"), F.concat("stem", F.lit(FAILURE_SUFFIX)))
                      .when(F.col("has_success"), F.concat("stem", F.lit(SUCCESS_SUFFIX))))
     else:
-        # Per job from the matched pairs only, then one row per job on each
-        # side of the final join: the (possibly large) match step runs once.
-        matched = contains_join(f, "file_name", active.select("job", "stem"), "stem", how="inner")
-        per_job = matched.groupBy("job", "stem").agg(
+        # Substring form: summarise per candidate substring first (partial
+        # aggregation, so a substring found in many files is combined
+        # map-side), then join the jobs 1:1 on it.  A short stem contained
+        # in many file names never becomes many (job, file) pairs.
+        grams = substring_grams(f, "file_name", active.select("stem"), "stem")
+        per_gram = grams.groupBy("__gram").agg(
             F.bool_or(F.col("outcome") == "failure").alias("has_failure"),
             F.bool_or(F.col("outcome") == "success").alias("has_success"),
             F.min(F.when(F.col("outcome") == "failure", F.col("file_name"))).alias("failure_file"),
             F.min(F.when(F.col("outcome") == "success", F.col("file_name"))).alias("success_file"))
-        per = active.select("job", "stem").join(per_job, ["job", "stem"], "left")
+        per = active.select("job", "stem").join(per_gram, F.col("stem") == F.col("__gram"), "left")
         file_name = F.coalesce("failure_file", "success_file")
     status = per.select("job", "stem", reconcile_status("has_failure", "has_success").alias("status"),
                         file_name.alias("file_name"))
