@@ -1184,3 +1184,46 @@ def q_normalize_column_name(spark, sf_dir):
     heads = q_scan_csv_headers(spark, sf_dir)
     return heads.select("relative_path", "header",
                         normalize_column_name_expr(F.col("header")).alias("normalized"))
+
+
+@register("T2_sort_case_insensitive", """
+WITH n AS (
+  SELECT DISTINCT p_type, CASE WHEN p_size > 25 THEN upper(substr(p_name, 1, 1)) || substr(p_name, 2)
+                               ELSE p_name END AS name
+  FROM part)
+SELECT p_type, string_agg(name, '|' ORDER BY lower(name), name) AS names FROM n GROUP BY p_type
+""")
+def q_sort_case_insensitive(spark, sf_dir):
+    from shiftkit.operators.aggregate import sort_ci
+    p = table(spark, sf_dir, "part")
+    name = F.when(F.col("p_size") > 25, F.concat(F.upper(F.substring("p_name", 1, 1)),
+                                                  F.expr("substr(p_name, 2)"))).otherwise(F.col("p_name"))
+    return (p.groupBy("p_type").agg(sort_ci(F.collect_set(name)).alias("names"))
+            .select("p_type", F.array_join("names", "|").alias("names")))
+
+
+@register("P7_project_final", """
+SELECT o_orderkey, CAST(NULL AS VARCHAR) AS o_comment, o_orderstatus FROM orders
+""")
+def q_project_final(spark, sf_dir):
+    from shiftkit.operators.project import project_final
+    return project_final(table(spark, sf_dir, "orders"), ["o_orderkey", "o_comment", "o_orderstatus"],
+                         strict=False)
+
+
+@register("P6_rename_map", """
+SELECT c_custkey AS id, c_name AS name__v, c_mktsegment AS state__v, c_phone_missing_is_skipped
+FROM (SELECT *, NULL::VARCHAR AS c_phone_missing_is_skipped FROM customer) c
+""")
+def q_rename_map(spark, sf_dir):
+    from shiftkit.functions.names import rename_keep_existing
+    from shiftkit.operators.project import drop_if_present
+    c = table(spark, sf_dir, "customer").withColumn(
+        "c_phone_missing_is_skipped", F.lit(None).cast("string"))
+    # c_name -> name__v is skipped because name__v already exists (P6 keeps the
+    # existing target); the later select resolves the clash explicitly.
+    c = c.withColumn("name__v", F.col("c_name"))
+    r = rename_keep_existing(c, {"c_custkey": "id", "c_name": "name__v", "c_mktsegment": "state__v",
+                                 "absent": "x"})
+    return drop_if_present(r, ["c_name", "c_nationkey", "c_acctbal", "absent"]).select(
+        "id", "name__v", "state__v", "c_phone_missing_is_skipped")
