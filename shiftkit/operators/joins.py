@@ -1,9 +1,9 @@
 """Joins (survey 2.3): relation paths, bridge resolution, business-key joins.
 
 All joins are equi-joins on declared keys; Catalyst/AQE pick the strategy
-(sort-merge by default, broadcast when runtime size allows, skew split for hot
-keys).  A broadcast hint is only given through :func:`bounded_broadcast`, which
-checks the optimizer's size estimate first.
+(sort-merge by default, broadcast when Spark's size check allows, skew split
+for hot keys).  Explicit broadcast hints are only given for sets with a
+proven bound (pattern lengths and heads of the substring join).
 """
 
 from __future__ import annotations
@@ -17,27 +17,6 @@ from shiftkit.functions.names import col
 from shiftkit.functions.text import trim_ws
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer size estimate of a plan (no job is run)."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except Exception:  # pragma: no cover - estimate unavailable
-        return None
-
-
-def bounded_broadcast(df: DataFrame, max_bytes: int = 64 * 1024 * 1024) -> DataFrame:
-    """Broadcast hint only when the estimated size is below ``max_bytes``.
-
-    Above the bound (or without an estimate) the frame is returned as is and
-    the join stays a shuffle join that AQE may still convert at runtime.
-    """
-    size = estimated_bytes(df)
-    if size is not None and size <= max_bytes:
-        return F.broadcast(df)
-    return df
-
-
 def key_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]],
              how: str = "left", null_safe: bool = False, trim: bool = False) -> DataFrame:
     """Equi-join on ``(left_col, right_col)`` pairs.
