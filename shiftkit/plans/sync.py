@@ -31,6 +31,7 @@ from shiftkit.operators.aggregate import ordered_union
 
 SYNC_SCHEMA = T.StructType([
     T.StructField("row_id", T.LongType()),
+    T.StructField("n_config_seen", T.LongType()),
     T.StructField("added_to_config", T.ArrayType(T.StringType())),
     T.StructField("added_to_row", T.ArrayType(T.StringType())),
     T.StructField("n_added_to_config", T.LongType()),
@@ -66,9 +67,10 @@ def _clean_attrs(arr) -> F.Column:
 
 
 def attribute_sync(rows: DataFrame, exports: DataFrame) -> dict[str, DataFrame]:
-    """A8 + J7 + J8 + A7 + U2.
+    """A8 + W2 + J7 + J8 + A7 + U2.
 
-    ``rows``: ``row_id`` (walk order), ``object_type``, ``file_intent``,
+    ``sync`` also carries ``n_config_seen``: the size of the running
+    attribute set (W2) a row is compared with.  ``rows``: ``row_id`` (walk order), ``object_type``, ``file_intent``,
     ``attrs`` (array, in the row's column order).  ``exports``:
     ``export_pos``, ``name``, ``business_object_type``, ``params``,
     ``columns`` (array).  Returns ``sync`` (one row per matched row),
@@ -133,8 +135,10 @@ def _sync_single_key(matched: DataFrame, idx: DataFrame, nexp: DataFrame, export
                                   & ~F.array_contains(F.col("attrs"), e["attr"])),
                          lambda e: e["attr"])
     to_c = F.transform(F.coalesce("__t", F.array()), lambda e: e["attr"]).cast("array<string>")
+    seen = F.size(F.filter(F.coalesce("keylist", F.array()), lambda e: e["intro"] < F.col("row_id")))
     sync = per_row.select(
         F.col("row_id").cast("long").alias("row_id"),
+        seen.cast("long").alias("n_config_seen"),
         to_c.alias("added_to_config"),
         to_row.cast("array<string>").alias("added_to_row"),
         (F.size(to_c) * F.col("n_exports")).cast("long").alias("n_added_to_config"),
@@ -198,8 +202,8 @@ def _sync_components(rows: DataFrame, idx: DataFrame, exports: DataFrame):
                 to_cfg.append(a)
                 json_set.add(a)
             to_row = [a for a in seen if a not in csv_set]
-            out.append((int(r["row_id"]), to_cfg, to_row, n_cfg, len(to_row)))
-        return pd.DataFrame(out, columns=["row_id", "added_to_config", "added_to_row",
+            out.append((int(r["row_id"]), len(seen), to_cfg, to_row, n_cfg, len(to_row)))
+        return pd.DataFrame(out, columns=["row_id", "n_config_seen", "added_to_config", "added_to_row",
                                           "n_added_to_config", "n_added_to_row"]), adds
 
     def walk_sync(pdf):

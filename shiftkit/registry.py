@@ -1227,3 +1227,41 @@ def q_rename_map(spark, sf_dir):
                                  "absent": "x"})
     return drop_if_present(r, ["c_name", "c_nationkey", "c_acctbal", "absent"]).select(
         "id", "name__v", "state__v", "c_phone_missing_is_skipped")
+
+
+@register("W2_running_attribute_set", SYNC_SQL + """,
+m AS (SELECT rk.row_id, rk.key FROM rk JOIN nexp USING (key)),
+ram AS (SELECT ra.* FROM ra JOIN m USING (row_id)),
+new AS (SELECT ram.* FROM ram WHERE NOT EXISTS (
+          SELECT 1 FROM j0 WHERE j0.key = ram.key AND j0.attr = ram.attr)),
+fr AS (SELECT key, attr, min(row_id) AS f_row FROM new GROUP BY key, attr)
+SELECT m.row_id,
+  (SELECT count(*) FROM j0 WHERE j0.key = m.key)
+  + (SELECT count(*) FROM fr WHERE fr.key = m.key AND fr.f_row < m.row_id) AS n_config_seen
+FROM m
+""")
+def q_running_attribute_set(spark, sf_dir):
+    from shiftkit.plans.sync import attribute_sync
+    res = attribute_sync(inventory_rows(spark, sf_dir), sync_exports(spark))
+    return res["sync"].select("row_id", "n_config_seen")
+
+
+@register("T3_sort_numeric_suffix", INVENTORY_SQL + """,
+h2 AS (SELECT DISTINCT object_type, file_intent, header FROM long
+       WHERE NOT contains(lower(header), 'ignore.') AND NOT contains(lower(header), 'ignore_'))
+SELECT h2.object_type, h2.file_intent,
+       row_number() OVER (PARTITION BY h2.object_type, h2.file_intent
+                          ORDER BY lower(h2.header), h2.header) AS pos, h2.header
+FROM h2 JOIN g USING (object_type, file_intent) WHERE NOT g.d
+""")
+def q_sort_numeric_suffix(spark, sf_dir):
+    """The wide HEAD1..HEADn sink read back in numeric column order (HEAD10 after HEAD9)."""
+    from shiftkit.functions.names import head_columns
+    from shiftkit.operators.aggregate import headers_by_type_intent
+    from shiftkit.plans.inventory import by_type_wide
+    wide = by_type_wide(headers_by_type_intent(inventory_long(spark, sf_dir)))
+    heads = head_columns(wide.columns)
+    long = wide.select("object_type", "file_intent",
+                       F.posexplode(F.array(*[F.col(h) for h in heads])).alias("p", "header"))
+    return long.where(F.col("header").isNotNull()).select(
+        "object_type", "file_intent", (F.col("p") + 1).cast("long").alias("pos"), "header")
