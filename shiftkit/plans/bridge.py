@@ -150,3 +150,56 @@ def rekey_coverage(blueprint: DataFrame, owners: DataFrame, tags: DataFrame,
     result, _ = _rekey_parts(blueprint, owners, tags, spec, mapping, key, keep_unlinked=True)
     return result.agg(F.count_if(col(spec.tag_id).isNotNull()).alias("matched"),
                       F.count(F.lit(1)).alias("total"))
+
+
+def bridge_transfer(bridge: DataFrame, owners: DataFrame, tags: DataFrame,
+                    target_owners: DataFrame, target_tags: DataFrame,
+                    spec: BridgeSpec = BridgeSpec(), mapping: dict | None = None,
+                    key: str = "columns") -> DataFrame:
+    """``bridge_rekey(bridge_denormalize(...))`` when both instances are at hand.
+
+    Same rows and columns, planned for a large bridge: the name matching is
+    done once on the dimensions (source id -> target id maps, dimension
+    sized), and the bridge is joined to the two maps by id.  The bridge is
+    shuffled twice (once per foreign key) instead of four times, and carries
+    ids rather than names through the shuffles.  Unmatched or dangling keys
+    drop the row, exactly as the two-step job does.
+    """
+    s = spec
+    bridge = resolve_columns(bridge, "bridge", [s.tag, s.owner], mapping)
+    tags = resolve_columns(tags, "tags", [{"expected": s.tag_id, "aliases": list(s.id_aliases)},
+                                          s.name, s.tag_type], mapping)
+    owners = resolve_columns(owners, "owners", [{"expected": s.owner_id,
+                                                 "aliases": list(s.id_aliases)}, s.name], mapping)
+    t_owners = resolve_columns(target_owners, "target owners",
+                               [{"expected": s.owner_id, "aliases": list(s.id_aliases)}, s.name], mapping)
+    t_tags = resolve_columns(target_tags, "target tags",
+                             [{"expected": s.tag_id, "aliases": list(s.id_aliases)}, s.name, s.tag_type],
+                             mapping)
+    # Owner map: source owner id -> target owner row(s), by business name.
+    t_owners = drop_if_present(t_owners, s.owner_drop)
+    owner_rest = [c for c in t_owners.columns if c != s.name]
+    src_o = owners.select(col(s.owner_id).alias("__src_owner"), col(s.name).alias("__src_oname"))
+    owner_map = src_o.join(t_owners, F.col("__src_oname") == t_owners[_q(s.name)], "inner") \
+        .select("__src_owner", F.col("__src_oname").alias(f"ignore.{s.owner_name}"),
+                *[col(c) for c in owner_rest])
+    # Tag map: source tag id -> target tag row(s), by (stripped name, stripped type).
+    t_tags = drop_if_present(t_tags, s.tag_drop)
+    tag_rest = [c for c in t_tags.columns if c not in (s.name, s.tag_type)]
+    src_t = tags.select(col(s.tag_id).alias("__src_tag"),
+                        business_key(col(s.name), col(s.tag_type)).alias(f"ignore.{s.helper}"),
+                        trim_ws(col(s.name)).alias("__sn"), trim_ws(col(s.tag_type)).alias("__st"))
+    tt = t_tags.select(*[col(c) for c in tag_rest], trim_ws(col(s.name)).alias("__tn"),
+                       trim_ws(col(s.tag_type)).alias("__tt"),
+                       business_key(col(s.name), col(s.tag_type)).alias("__th"))
+    cond = (F.col(f"`ignore.{s.helper}`") == F.col("__th")) if key == "concat" else \
+        ((F.col("__sn") == F.col("__tn")) & (F.col("__st") == F.col("__tt")))
+    tag_map = src_t.join(tt, cond, "inner").select(
+        "__src_tag", f"`ignore.{s.helper}`", *[col(c).alias(f"__tag__{c}") for c in tag_rest])
+    b = ensure_parallelism(bridge.select(col(s.tag).alias("__tag_fk"), col(s.owner).alias("__owner_fk")))
+    out = (b.join(tag_map, F.col("__tag_fk") == F.col("__src_tag"), "inner")
+            .join(owner_map, F.col("__owner_fk") == F.col("__src_owner"), "inner"))
+    renames = {s.owner_id: s.owner, s.tag_id: s.tag}
+    return out.select(*[col(c).alias(renames.get(c, c)) for c in owner_rest],
+                      col(f"ignore.{s.owner_name}"), col(f"ignore.{s.helper}"),
+                      *[col(f"__tag__{c}").alias(renames.get(c, c)) for c in tag_rest])

@@ -1265,3 +1265,16 @@ def q_sort_numeric_suffix(spark, sf_dir):
                        F.posexplode(F.array(*[F.col(h) for h in heads])).alias("p", "header"))
     return long.where(F.col("header").isNotNull()).select(
         "object_type", "file_intent", (F.col("p") + 1).cast("long").alias("pos"), "header")
+
+
+@register("J4_bridge_transfer", REKEY_SQL + """
+SELECT owner_id AS qms_unit__c, owner_name AS "ignore__qms_unit__c__name__v",
+       helper AS "ignore__keyword_helper", tag_id AS keyword__c
+FROM r WHERE tag_id IS NOT NULL
+""")
+def q_bridge_transfer(spark, sf_dir):
+    """J1-J4 in one plan when both instances are at hand: ids mapped on the dimensions."""
+    from shiftkit.plans.bridge import bridge_transfer
+    bridge, owners, tags = bridge_views(spark, sf_dir)
+    t_owners, t_tags = target_views(spark, sf_dir)
+    return flat_names(bridge_transfer(bridge, owners, tags, t_owners, t_tags))

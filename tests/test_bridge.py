@@ -101,3 +101,14 @@ def test_dotted_names_are_literal(spark):
     import pytest
     with pytest.raises(ValueError):
         project_final(df, ["zz"])
+
+
+def test_transfer_equals_two_step(spark):
+    from shiftkit.plans.bridge import bridge_transfer
+    bridge, owners, tags = src(spark)
+    t_owners, t_tags = target(spark)
+    for key in ("columns", "concat"):
+        two = bridge_rekey(bridge_denormalize(bridge, owners, tags), t_owners, t_tags, key=key)
+        one = bridge_transfer(bridge, owners, tags, t_owners, t_tags, key=key)
+        assert one.columns == two.columns
+        assert rows(one) == rows(two)
