@@ -991,10 +991,15 @@ def _write_pages(spark, sf_dir, path, page_size=1000):
         .write.json(path)
 
 
+PAGE_SCHEMA = ("responseDetails struct<total: bigint>, "
+               "data array<struct<id: bigint, name__v: string, account: struct<segment: string, nation: int>>>")
+
+
 def pages_of(spark, sf_dir):
+    from pyspark.sql.types import StructType
     from shiftkit.sources.config import read_pages
     path = landed(spark, sf_dir, "pages", lambda p: _write_pages(spark, sf_dir, p))
-    return read_pages(spark, path, multiline=False)
+    return read_pages(spark, path, multiline=False, schema=StructType.fromDDL(PAGE_SCHEMA))
 
 
 @register("S4_paged_union", """
