@@ -692,8 +692,9 @@ def q_reconcile_outcome(spark, sf_dir):
 
 
 @register("A5_outcome_counts", OUTCOME_SQL + _reconcile_select("f.fstem = j.stem") + """
-SELECT run, count_if(status = 'SUCCESS') AS successful, count_if(status = 'FAILED') AS failed,
-       count_if(status = 'SKIPPED') AS skipped
+SELECT run, CAST(count_if(status = 'SUCCESS') AS BIGINT) AS successful,
+       CAST(count_if(status = 'FAILED') AS BIGINT) AS failed,
+       CAST(count_if(status = 'SKIPPED') AS BIGINT) AS skipped
 FROM st GROUP BY run
 """)
 def q_outcome_counts(spark, sf_dir):
