@@ -127,6 +127,21 @@ def outcome_stem(file_name: Column | str) -> Column:
         .otherwise(f)
 
 
+def failure_stem(path: Column | str) -> Column:
+    """F18 for a path: the stem of a failure file, or null for other files.
+
+    The loader writes ``<stem>_FAILURE.csv`` files; Spark writes a folder of
+    that name holding part files (also as a ``key=<stem>_FAILURE.csv``
+    partition folder).  Both give ``<stem>``.
+    """
+    p = _c(path)
+    name = file_name_of(p)
+    parent = F.substring_index(F.substring_index(p, "/", -2), "/", 1)
+    parent = F.substring_index(parent, "=", -1)
+    return (F.when(name.endswith(FAILURE_SUFFIX), outcome_stem(name))
+            .when(parent.endswith(FAILURE_SUFFIX), outcome_stem(parent)))
+
+
 def file_stem(path: Column | str) -> Column:
     """Base name without extension (``a/b/x.csv`` -> ``x``)."""
     name = file_name_of(path)

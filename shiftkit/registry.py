@@ -1284,3 +1284,29 @@ def q_bridge_transfer(spark, sf_dir):
     bridge, owners, tags = bridge_views(spark, sf_dir)
     t_owners, t_tags = target_views(spark, sf_dir)
     return flat_names(bridge_transfer(bridge, owners, tags, t_owners, t_tags))
+
+
+def _write_failure_landing(spark, sf_dir, path):
+    """events-derived failure rows as one failure 'file' per event type (Spark folders)."""
+    e = table(spark, sf_dir, "events").select("event_id", "event_type")
+    rows = failure_rows(spark, sf_dir).join(e, "event_id")
+    from shiftkit.operators.sinks import write_csv
+    write_csv(rows.select("event_id", "errors",
+                          F.concat(F.lit("load_"), F.col("event_type"), F.lit("_FAILURE.csv"))
+                          .alias("outcome_file")), path, partition_by=["outcome_file"])
+
+
+@register("A2_streaming_error_counts", FAILURE_SQL.replace(
+    "SELECT event_id, CASE WHEN", "SELECT event_id, event_type, CASE WHEN").replace(
+    "SELECT event_id, trim(", "SELECT event_id, event_type, trim(") + """
+SELECT 'load_' || event_type AS stem, error, count(*) AS n FROM m WHERE error <> '' GROUP BY ALL
+""")
+def q_streaming_error_counts(spark, sf_dir):
+    """The failure stream (availableNow) over landed failure files; counts per stem and error."""
+    from shiftkit.session import shared_dir
+    from shiftkit.streaming import start_failure_stream
+    landing = landed(spark, sf_dir, "failure_landing", lambda p: _write_failure_landing(spark, sf_dir, p))
+    out = shared_dir(spark, "failure_counts")
+    start_failure_stream(spark, landing, out, checkpoint=shared_dir(spark, "failure_ckpt")).awaitTermination()
+    return (spark.read.parquet(out).groupBy("stem", "error")
+            .agg(F.sum("n").cast("long").alias("n")))

@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 from shiftkit.functions.names import col
 from shiftkit.functions.text import trim_ws
 from shiftkit.functions.params import (
-    FAILURE_SUFFIX, SUCCESS_SUFFIX, file_intent, file_name_of, outcome_stem, relative_dir,
+    FAILURE_SUFFIX, SUCCESS_SUFFIX, failure_stem, file_intent, file_name_of, outcome_stem,
+    relative_dir,
 )
 
 # The text tokens pandas reads as missing by default (used with
@@ -215,8 +216,8 @@ def read_failure_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     for row in layouts:
         df = read_object_csv(spark, list(row["paths"]), with_file=True)
         errs = col("errors") if "errors" in df.columns else F.lit(None).cast("string")
-        parts.append(df.select(outcome_stem("_file").alias("stem"), F.col("_file").alias("file"),
-                               errs.alias("errors")))
+        parts.append(df.select(failure_stem(F.col("_metadata.file_path")).alias("stem"),
+                               F.col("_file").alias("file"), errs.alias("errors")))
     if not parts:
         return spark.createDataFrame([], "stem string, file string, errors string")
     out = parts[0]

@@ -1,4 +1,7 @@
-"""Failure analysis as a file stream: new ``*_FAILURE.csv`` files, counted once.
+"""Failure analysis as a file stream: new failure files, counted once.
+
+Failure files are ``<stem>_FAILURE.csv`` files or part files inside a folder
+of that name (as Spark writes them).
 
 The reference analyses a whole folder each time it is asked.  A landing
 folder that keeps receiving outcome files is a file stream: the file source
@@ -15,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from shiftkit.functions.params import failure_stem
 from shiftkit.plans.failures import error_type_counts
 from shiftkit.session import shared_dir
 from shiftkit.sources.files import read_failure_files
@@ -26,8 +30,9 @@ BINARY_FILE_SCHEMA = ("path string, modificationTime timestamp, length bigint, c
 def _process(out_path: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # New file names of this micro-batch: metadata, bounded by the batch.
-        paths = [r["path"] for r in batch.select("path").collect()]
+        # New failure-file names of this micro-batch: metadata, bounded by the batch.
+        paths = [r["path"] for r in batch.where(failure_stem("path").isNotNull())
+                 .select("path").collect()]
         if not paths:
             return
         counts = (error_type_counts(read_failure_files(spark, paths), by=["stem"])
@@ -47,7 +52,7 @@ def start_failure_stream(spark: SparkSession, landing: str, out_path: str,
     folder under ``spark.checkpoint.dir``.
     """
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-              .option("pathGlobFilter", "*_FAILURE.csv").option("recursiveFileLookup", "true"))
+              .option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     files = reader.load(landing).select("path")
