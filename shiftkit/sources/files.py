@@ -34,14 +34,20 @@ HEADER_ENCODINGS = ("utf-8", "utf-8-sig", "latin-1")
 
 
 def read_object_csv(spark: SparkSession, path: str | list[str], na: str = "empty",
-                    with_file: bool = False) -> DataFrame:
+                    with_file: bool = False, multiline: bool = True) -> DataFrame:
     """Header-bearing CSV(s) as an all-string table.
 
     Quoted fields may hold commas, quotes (``""``) and newlines.  ``na``:
     ``"empty"`` makes only empty fields null, ``"pandas"`` also the pandas
     missing-value tokens.  ``with_file`` adds ``_file`` (the file name).
+
+    ``multiline=True`` is needed for newlines inside quotes, but then a file
+    cannot be split and is read by one task: parallelism comes from the
+    number of files (exports are one file per object and instance).  For a
+    single very large export without embedded newlines, ``multiline=False``
+    lets Spark split it by bytes.
     """
-    df = (spark.read.option("header", True).option("multiLine", True)
+    df = (spark.read.option("header", True).option("multiLine", multiline)
           .option("quote", '"').option("escape", '"').option("inferSchema", False)
           .option("encoding", "UTF-8").option("mode", "PERMISSIVE")
           .csv(path))
