@@ -119,3 +119,55 @@ def run_log_from_outcomes(outcomes: DataFrame, run_ts: str, op: str = "import")
         F.nullif(obj, F.lit("")).alias("object_name"), col("status"), col("file_name"),
         F.lit(None).cast("long").alias("row_count"), reasons.alias("reasons"),
         F.current_timestamp().alias("ts"))
+
+
+def run_exports(spark, configs: DataFrame, read_object, out_dir: str, run_ts: str,
+                log_path: str | None = None) -> DataFrame:
+    """Job ``export_snapshot``: run every export definition of the configurations.
+
+    ``S3 -> P10 -> (read -> P2 -> P1 -> P4 -> Observation) -> K3/K1 -> K4``.
+    The definitions are configuration (a handful per job file), so they are
+    walked on the driver; each export is one Spark job writing its table
+    under ``source_key=<instance>/<name>`` with the row count observed in the
+    same pass.  ``read_object(object_name)`` returns the object's table.  A
+    failing export is logged as ``FAILED`` with the reason and does not stop
+    the run; inactive ones are ``SKIPPED``.  Returns the run-log rows (and
+    writes them to ``log_path`` when given).
+    """
+    from shiftkit.functions.params import file_from_params
+    from shiftkit.sources.config import config_exports, config_sources
+    exports = (config_exports(configs)
+               .select("loader_config", "export_pos", "name", "params", "where", "columns",
+                       "ignore_column", F.coalesce(F.col("active"), F.lit(1)).alias("active"),
+                       object_from_params("params", ("export",)).alias("object"),
+                       file_from_params("params").alias("file"))
+               .orderBy("loader_config", "export_pos").collect())
+    sources = {}
+    for r in config_sources(configs).select("loader_config", "dns").collect():
+        sources.setdefault(r["loader_config"], []).append(r["dns"])
+    log = []
+    for e in exports:
+        base = {"job": e["name"], "op": "export", "object_name": e["object"] or None}
+        if e["active"] == 0:
+            log.append({**base, "status": "SKIPPED", "file_name": None, "row_count": None, "reasons": []})
+            continue
+        for dns in sources.get(e["loader_config"], []) or [""]:
+            try:
+                view = export_view(read_object(e["object"]), e["where"], list(e["columns"] or []),
+                                   list(e["ignore_column"] or []))
+                n = write_export(view, out_dir, dns or "local", e["name"])
+                log.append({**base, "status": "SUCCESS", "file_name": e["file"] or None,
+                            "row_count": n, "reasons": []})
+            except Exception as exc:   # one failed export is a log row, not a stopped run
+                log.append({**base, "status": "FAILED", "file_name": e["file"] or None,
+                            "row_count": None, "reasons": [str(exc).splitlines()[0][:500]]})
+    rows = spark.createDataFrame(
+        [(r["job"], r["op"], r["object_name"], r["status"], r["file_name"], r["row_count"],
+          r["reasons"]) for r in log],
+        "job string, op string, object_name string, status string, file_name string, "
+        "row_count long, reasons array<string>")
+    out = rows.select(F.to_timestamp(F.lit(run_ts)).alias("run_ts"), "*",
+                      F.current_timestamp().alias("ts"))
+    if log_path:
+        append_run_log(out, log_path)
+    return out

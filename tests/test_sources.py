@@ -91,3 +91,29 @@ def test_listing_and_latest(spark, tmp_dir):
     listing = list_files(spark, tmp_dir, "*.csv")
     assert listing.count() == 2
     assert latest_file(listing).first()["path"].endswith("x_2.csv")
+
+
+def test_run_exports(spark, tmp_dir):
+    from shiftkit.plans.runs import run_exports
+    cfg = {
+        "export_settings": [{"dns": "https://a.example.com"}, {"dns": "https://b.example.com/v"}],
+        "exports": [
+            {"name": "10_unit", "params": "-export unit__c -csv 10_unit.csv", "where": "state = 'on'",
+             "columns": ["id", "name", "state"], "ignore_column": ["id"]},
+            {"name": "20_off", "params": "-export unit__c -csv 20.csv", "active": 0},
+            {"name": "30_bad", "params": "-export unit__c -csv 30.csv", "where": "no_such_col = 1"},
+        ],
+    }
+    os.makedirs(f"{tmp_dir}/cfg")
+    with open(f"{tmp_dir}/cfg/job.json", "w") as fh:
+        json.dump(cfg, fh)
+    units = spark.createDataFrame([("1", "A", "on"), ("2", "B", "off"), ("3", "C", "on")],
+                                  "id string, name string, state string")
+    log = run_exports(spark, read_job_configs(spark, f"{tmp_dir}/cfg"), lambda obj: units,
+                      f"{tmp_dir}/out", "2024-05-01 10:00:00", log_path=f"{tmp_dir}/log")
+    got = sorted((r["job"], r["status"], r["row_count"]) for r in log.collect())
+    assert got == [("10_unit", "SUCCESS", 2), ("10_unit", "SUCCESS", 2), ("20_off", "SKIPPED", None),
+                   ("30_bad", "FAILED", None), ("30_bad", "FAILED", None)]
+    back = read_object_csv(spark, f"{tmp_dir}/out/source_key=a.example.com/10_unit")
+    assert back.columns == ["ignore.id", "name", "state"] and back.count() == 2
+    assert spark.read.parquet(f"{tmp_dir}/log").count() == 5
