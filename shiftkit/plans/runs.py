@@ -171,3 +171,69 @@ def run_exports(spark, configs: DataFrame, read_object, out_dir: str, run_ts: st
     if log_path:
         append_run_log(out, log_path)
     return out
+
+
+def run_imports(spark, configs: DataFrame, read_loader_file, read_table, out_dir: str, run_ts: str,
+                log_path: str | None = None, id_col: str = "id") -> DataFrame:
+    """The import loop: apply every active import definition as a change set.
+
+    For each import (in configuration order): read its loader file
+    (``read_loader_file(base_import_path, file)``) and the target object's
+    table (``read_table(object)``), apply create/update/upsert (K2), write
+    the new version under ``<out_dir>/tables/<object>/<import name>`` and the
+    loader-style outcome folders ``<stem>_SUCCESS.csv`` / ``<stem>_FAILURE.csv``
+    (rows plus ``errors``) under ``<out_dir>/outcomes``, which the failure
+    analysis reads.  The failure count is observed while writing.  An import
+    with any failed row is ``FAILED`` (a failure file wins), inactive ones are
+    ``SKIPPED``.  Returns the run-log rows (written to ``log_path`` if given).
+    """
+    from shiftkit.functions.params import file_from_params, file_stem
+    from shiftkit.operators.sinks import write_csv
+    from shiftkit.plans.changes import apply_change_set, change_results
+    from shiftkit.sources.config import config_imports
+    op_flag = F.regexp_extract("params", r"(?:^|\s)-(create|update|upsert)(?:\s|$)", 1)
+    imports = (config_imports(configs)
+               .select("loader_config", "import_pos", "name", "base_import_path",
+                       F.coalesce(F.col("active"), F.lit(1)).alias("active"), op_flag.alias("op"),
+                       object_from_params("params").alias("object"),
+                       file_from_params("params").alias("file"))
+               .orderBy("loader_config", "import_pos").collect())
+    log = []
+    for im in imports:
+        base = {"job": im["name"], "op": im["op"] or "import", "object_name": im["object"] or None,
+                "file_name": im["file"] or None}
+        if im["active"] == 0:
+            log.append({**base, "status": "SKIPPED", "row_count": None, "reasons": []})
+            continue
+        try:
+            if im["op"] not in ("create", "update", "upsert"):
+                raise ValueError(f"no create/update/upsert flag in the parameters of {im['name']}")
+            changes = read_loader_file(im["base_import_path"], im["file"])
+            table = read_table(im["object"])
+            results = change_results(table, changes, im["op"], id_col)
+            stem = spark.range(1).select(file_stem(F.lit(im["file"] or im["name"]))).first()[0]
+            # A copy of the loader file next to its outcomes, as the loader leaves it.
+            write_csv(changes, f"{out_dir}/outcomes/{stem}.csv")
+            failed, obs = row_count_observed(results.where(F.col("status") == "failure"), f"fail_{stem}")
+            write_csv(failed.drop("action", "status"), f"{out_dir}/outcomes/{stem}{FAILURE_SUFFIX}")
+            n_failed = int(obs.get.get("row_count", 0))
+            write_csv(results.where(F.col("status") == "success").drop("action", "status", "errors"),
+                      f"{out_dir}/outcomes/{stem}{SUCCESS_SUFFIX}")
+            (apply_change_set(table, changes, im["op"], id_col)
+             .write.mode("overwrite").parquet(f"{out_dir}/tables/{im['object']}/{im['name']}"))
+            log.append({**base, "status": "FAILED" if n_failed else "SUCCESS",
+                        "row_count": changes.count(),
+                        "reasons": [f"{n_failed} rows failed"] if n_failed else []})
+        except Exception as exc:   # one failed import is a log row, not a stopped run
+            log.append({**base, "status": "FAILED", "row_count": None,
+                        "reasons": [str(exc).splitlines()[0][:500]]})
+    rows = spark.createDataFrame(
+        [(r["job"], r["op"], r["object_name"], r["status"], r["file_name"], r["row_count"],
+          r["reasons"]) for r in log],
+        "job string, op string, object_name string, status string, file_name string, "
+        "row_count long, reasons array<string>")
+    out = rows.select(F.to_timestamp(F.lit(run_ts)).alias("run_ts"), "*",
+                      F.current_timestamp().alias("ts"))
+    if log_path:
+        append_run_log(out, log_path)
+    return out

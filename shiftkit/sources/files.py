@@ -232,20 +232,35 @@ def read_failure_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     return out
 
 
+def _outcome_name(path: str) -> str:
+    """The loader-level file name of a path: the file itself, or the folder
+    holding Spark part files (``x_FAILURE.csv/part-0.csv``, also as a
+    ``key=x_FAILURE.csv`` partition folder)."""
+    parts = path.rstrip("/").split("/")
+    if len(parts) > 1 and parts[-1].startswith("part-"):
+        return parts[-2].split("=", 1)[-1]
+    return parts[-1]
+
+
 def read_outcome_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of ``*_FAILURE.csv`` files ``(stem, file, errors)`` and of import files ``(stem, file)``.
+    """Rows of failure files ``(stem, file, errors)`` and of import files ``(stem, file)``.
 
     Import files are only counted, so one read covers them all whatever
-    their columns.
+    their columns.  Files and Spark-written folders of the same name are
+    both understood.
     """
     paths = list_files(spark, folder, "*.csv").inputFiles()
-    fail = [p for p in paths if p.endswith(FAILURE_SUFFIX)]
-    imp = [p for p in paths if not p.endswith(FAILURE_SUFFIX) and not p.endswith(SUCCESS_SUFFIX)]
+    names = {p: _outcome_name(p) for p in paths}
+    fail = [p for p in paths if names[p].endswith(FAILURE_SUFFIX)]
+    imp = [p for p in paths if not names[p].endswith(FAILURE_SUFFIX)
+           and not names[p].endswith(SUCCESS_SUFFIX)]
     failures = read_failure_files(spark, fail)
     if imp:
         df = read_object_csv(spark, imp, with_file=True)
-        imports = df.select(F.regexp_replace("_file", r"\.csv$", "").alias("stem"),
-                            F.col("_file").alias("file"))
+        parent = F.substring_index(F.substring_index(F.col("_metadata.file_path"), "/", -2), "/", 1)
+        parent = F.substring_index(parent, "=", -1)
+        name = F.when(F.col("_file").startswith("part-"), parent).otherwise(F.col("_file"))
+        imports = df.select(F.regexp_replace(name, r"\.csv$", "").alias("stem"), name.alias("file"))
     else:
         imports = spark.createDataFrame([], "stem string, file string")
     return failures, imports

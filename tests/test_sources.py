@@ -117,3 +117,33 @@ def test_run_exports(spark, tmp_dir):
     back = read_object_csv(spark, f"{tmp_dir}/out/source_key=a.example.com/10_unit")
     assert back.columns == ["ignore.id", "name", "state"] and back.count() == 2
     assert spark.read.parquet(f"{tmp_dir}/log").count() == 5
+
+
+def test_run_imports_and_analysis(spark, tmp_dir):
+    from shiftkit.plans.failures import analyse_folder
+    from shiftkit.plans.runs import run_imports
+    from shiftkit.operators.sinks import write_csv
+    cfg = {"import_settings": {"import_path": f"{tmp_dir}/in"},
+           "imports": [
+               {"name": "a_upd", "params": "-update org__v -recordmigrationmode -csv a_upd.csv -idParam id"},
+               {"name": "b_off", "params": "-create org__v -csv b.csv", "active": 0},
+               {"name": "c_bad", "params": "-import org__v -csv c.csv"}]}
+    os.makedirs(f"{tmp_dir}/cfg")
+    with open(f"{tmp_dir}/cfg/job.json", "w") as fh:
+        json.dump(cfg, fh)
+    orgs = spark.createDataFrame([("1", "A", "s"), ("2", "B", "s")], "id string, name__v string, state__v string")
+    changes = spark.createDataFrame([("1", "ZZ_A", "archived"), ("9", "ZZ_X", "archived")],
+                                    "id string, name__v string, state__v string")
+    write_csv(changes, f"{tmp_dir}/in/a_upd.csv")
+    log = run_imports(spark, read_job_configs(spark, f"{tmp_dir}/cfg"),
+                      lambda base, f: read_object_csv(spark, f"{base}/{f}"), lambda obj: orgs,
+                      f"{tmp_dir}/out", "2024-05-01 10:00:00")
+    got = {r["job"]: (r["status"], r["reasons"]) for r in log.collect()}
+    assert got["a_upd"] == ("FAILED", ["1 rows failed"])
+    assert got["b_off"][0] == "SKIPPED" and got["c_bad"][0] == "FAILED"
+    new = {r["id"]: r["name__v"] for r in spark.read.parquet(f"{tmp_dir}/out/tables/org__v/a_upd").collect()}
+    assert new == {"1": "ZZ_A", "2": "B"}
+    totals, counts, missing = analyse_folder(spark, f"{tmp_dir}/out/outcomes")
+    assert [tuple(r) for r in totals.collect()] == [("a_upd", 2, 1, "paired")]
+    assert [tuple(r) for r in counts.collect()] == [("a_upd", "record not found", 1)]
+    assert missing.count() == 0
