@@ -251,3 +251,35 @@ def ordered_config_lists(exports: DataFrame) -> DataFrame:
              .select("key", F.transform("__l", lambda e: e["attr"]).alias("attrs")))
     return keys.join(lists, "key", "left").select(
         "key", F.coalesce("attrs", F.array().cast("array<string>")).alias("attrs"))
+
+
+def check_export_config(by_type: DataFrame, configs: DataFrame, out_dir: str | None = None
+                        ) -> dict[str, DataFrame]:
+    """The check job: aggregated header inventory (A4) vs the configuration's exports.
+
+    Rows are numbered in the inventory's written order (case-insensitive by
+    object type, then intent); the unmatched report carries the CSV line
+    (``row_number`` = row + 1, after the header line).  With ``out_dir`` the
+    reports are written as CSV (sync lists joined with ``|``).
+    """
+    from shiftkit.operators.order import ci_sort_keys, global_row_number
+    from shiftkit.sources.config import config_exports
+    rows = global_row_number(by_type, ci_sort_keys(["object_type", "file_intent"])) \
+        .withColumnRenamed("headers", "attrs")
+    exports = config_exports(configs).select("export_pos", "name", "business_object_type",
+                                             "object_type", "params", "columns")
+    res = attribute_sync(rows, exports)
+    res["unmatched"] = res["unmatched"].select((F.col("row_id") + 1).alias("row_number"),
+                                               "object_type", "file_intent")
+    if out_dir:
+        from shiftkit.operators.sinks import write_csv
+        write_csv(res["unmatched"], f"{out_dir}/unmatched_object_types", single_file=True)
+        write_csv(res["sync"].select(
+            "row_id", "object_type", "file_intent", "n_config_seen",
+            F.array_join("added_to_config", "|").alias("added_to_config"),
+            F.array_join("added_to_row", "|").alias("added_to_row"),
+            "n_added_to_config", "n_added_to_row"), f"{out_dir}/sync", single_file=True)
+        write_csv(res["config_additions"].select(
+            "export_pos", "name", F.array_join("added", "|").alias("added")),
+            f"{out_dir}/config_additions", single_file=True)
+    return res

@@ -67,3 +67,27 @@ def test_mapping_requires_columns(spark):
     import pytest
     with pytest.raises(ValueError, match="missing required columns"):
         load_mapping(spark.createDataFrame([("a", "b")], "relative_path string, filename string"))
+
+
+def test_inventory_to_config_check(spark, tmp_dir):
+    import json
+    from shiftkit.plans.sync import check_export_config
+    from shiftkit.sources.config import read_job_configs
+    root = os.path.join(tmp_dir, "data")
+    write(f"{root}/10_unit_add_1.csv", b"id,name__v,state__v\n")
+    write(f"{root}/20_kw_add_1.csv", b"id,kw\n")
+    mapping = spark.createDataFrame([(".", "10_unit_add_1.csv", "qms_unit__c"),
+                                     (".", "20_kw_add_1.csv", "keyword__c")],
+                                    "relative_path string, filename string, object_type string")
+    inv = header_inventory(spark, root, mapping)
+    os.makedirs(f"{tmp_dir}/cfg")
+    with open(f"{tmp_dir}/cfg/job.json", "w") as fh:
+        json.dump({"exports": [{"name": "10", "params": "-export qms_unit__c -csv 10.csv",
+                                "columns": ["id", "name__v", "extra__c"]}]}, fh)
+    res = check_export_config(inv["by_type"], read_job_configs(spark, f"{tmp_dir}/cfg"),
+                              out_dir=f"{tmp_dir}/report")
+    assert [tuple(r) for r in res["unmatched"].collect()] == [(2, "keyword__c", "addition")]
+    s = res["sync"].first()
+    assert (list(s["added_to_config"]), list(s["added_to_row"])) == (["state__v"], ["extra__c"])
+    assert [list(r["added"]) for r in res["config_additions"].collect()] == [["state__v"]]
+    assert os.path.isdir(f"{tmp_dir}/report/sync")
