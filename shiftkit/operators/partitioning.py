@@ -11,9 +11,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+_AQE = "spark.sql.adaptive.enabled"
+
+
+def planned_partitions(df: DataFrame) -> int:
+    """Partitions of ``df``'s plan, found without running anything.
+
+    With adaptive execution on, turning a plan with shuffles into an RDD runs
+    its shuffle stages; planning a copy with AQE off gives the static count
+    (file splits for scans, the shuffle partition count after a shuffle).
+    The copy (``select("*")``) keeps ``df``'s own plan untouched.
+    """
+    spark = df.sparkSession
+    prev = spark.conf.get(_AQE, None)
+    spark.conf.set(_AQE, "false")
+    try:
+        return df.select("*").rdd.getNumPartitions()
+    finally:
+        if prev is None:
+            spark.conf.unset(_AQE)
+        else:
+            spark.conf.set(_AQE, prev)
+
 
 def ensure_parallelism(df: DataFrame, floor: int | None = None) -> DataFrame:
     target = floor or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if planned_partitions(df) >= target:
         return df
     return df.repartition(target)
