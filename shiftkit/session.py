@@ -19,6 +19,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # Coalescing aims at parallelism first, down to this size per partition.
+    # Large shuffles never reach it; small ones that feed CPU-heavy steps
+    # (masking, substring grams) keep more than a couple of tasks.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
