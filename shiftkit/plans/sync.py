@@ -90,17 +90,18 @@ def attribute_sync(rows: DataFrame, exports: DataFrame) -> dict[str, DataFrame]:
     shared_exports = (occurring.groupBy("export_pos").agg(F.count(F.lit(1)).alias("n"))
                       .where("n > 1").select("export_pos"))
     shared_keys = occurring.join(shared_exports, "export_pos", "left_semi").select("key").distinct()
-    fast = matched.join(shared_keys, "key", "left_anti")
-    slow = matched.join(shared_keys, "key", "left_semi")
-
-    sync, adds = _sync_single_key(fast, idx, nexp, exports)
     # Configuration-sized check: is any export shared by two occurring keys?
-    if shared_keys.limit(1).count() > 0:
+    # Without one, every row takes the aggregate path and the plan carries no
+    # split at all.
+    has_shared = shared_keys.limit(1).count() > 0
+    fast = matched.join(shared_keys, "key", "left_anti") if has_shared else matched
+    sync, adds = _sync_single_key(fast, idx, nexp, exports)
+    if has_shared:
+        slow = matched.join(shared_keys, "key", "left_semi")
         sync_slow, adds_slow = _sync_components(slow, idx, exports)
-        sync = sync.unionByName(sync_slow)
+        info = slow.select("row_id", "object_type", "file_intent")
+        sync = sync.unionByName(info.join(sync_slow, "row_id"))
         adds = adds.unionByName(adds_slow)
-    info = rk.select("row_id", "object_type", "file_intent")
-    sync = info.join(sync, "row_id")
     names = exports.select("export_pos", "name")
     additions = (adds
                  .groupBy("export_pos").agg(F.array_sort(F.collect_list(
@@ -137,7 +138,7 @@ def _sync_single_key(matched: DataFrame, idx: DataFrame, nexp: DataFrame, export
     to_c = F.transform(F.coalesce("__t", F.array()), lambda e: e["attr"]).cast("array<string>")
     seen = F.size(F.filter(F.coalesce("keylist", F.array()), lambda e: e["intro"] < F.col("row_id")))
     sync = per_row.select(
-        F.col("row_id").cast("long").alias("row_id"),
+        F.col("row_id").cast("long").alias("row_id"), "object_type", "file_intent",
         seen.cast("long").alias("n_config_seen"),
         to_c.alias("added_to_config"),
         to_row.cast("array<string>").alias("added_to_row"),
