@@ -152,7 +152,9 @@ def _sync_single_key(matched: DataFrame, idx: DataFrame, nexp: DataFrame, export
 
 def _sync_components(rows: DataFrame, idx: DataFrame, exports: DataFrame):
     """Order-dependent walk for components of keys linked by shared exports."""
+    from shiftkit.session import ship_package
     spark = rows.sparkSession
+    ship_package(spark)
     # Configuration-sized: the (export, key) pairs of the shared components.
     pairs = [(r["export_pos"], r["key"]) for r in
              idx.join(rows.select("key").distinct(), "key", "left_semi").collect()]

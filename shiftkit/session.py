@@ -77,3 +77,32 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A new, unique sub-folder of the checkpoint root for landed tables."""
     root = checkpoint_root(spark)
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``shiftkit`` importable in Python workers (``--py-files`` at runtime).
+
+    Functions run by ``mapInPandas`` / ``applyInPandas`` are pickled by
+    module reference, so every worker must be able to import the package.
+    The package's sources are zipped once per application and added with
+    ``addPyFile``; Spark distributes the archive to the executors.
+    """
+    import os
+    import zipfile
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg_dir)
+    archive = os.path.join(tempfile.mkdtemp(prefix="shiftkit-pkg-"), "shiftkit.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, base))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)

@@ -167,6 +167,8 @@ def _scan_heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def scan_headers_of(spark: SparkSession, paths: list[str]) -> DataFrame:
     """S2 on an explicit list of files (a listing already at hand)."""
+    from shiftkit.session import ship_package
+    ship_package(spark)
     listing = spark.createDataFrame([(p,) for p in sorted(paths)], "path string")
     n = max(1, min(len(paths), spark.sparkContext.defaultParallelism * 4))
     return listing.repartition(n, "path").mapInPandas(_scan_heads, HEADER_SCAN_SCHEMA)
