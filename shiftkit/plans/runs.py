@@ -85,7 +85,7 @@ def reconcile_imports(jobs: DataFrame, files: DataFrame, exact: bool = True) ->
         flags = (f.groupBy(outcome_stem("file_name").alias("__fstem"))
                  .agg(F.bool_or(F.col("outcome") == "failure").alias("has_failure"),
                       F.bool_or(F.col("outcome") == "success").alias("has_success")))
-        per = active.select("job", "stem").join(flags, F.col("stem") == F.col("__fstem"), "left")
+        per = j.select("job", "stem", "__active").join(flags, F.col("stem") == F.col("__fstem"), "left")
         file_name = (F.when(F.col("has_failure"), F.concat("stem", F.lit(FAILURE_SUFFIX)))
                      .when(F.col("has_success"), F.concat("stem", F.lit(SUCCESS_SUFFIX))))
     else:
@@ -99,13 +99,15 @@ def reconcile_imports(jobs: DataFrame, files: DataFrame, exact: bool = True) ->
             F.bool_or(F.col("outcome") == "success").alias("has_success"),
             F.min(F.when(F.col("outcome") == "failure", F.col("file_name"))).alias("failure_file"),
             F.min(F.when(F.col("outcome") == "success", F.col("file_name"))).alias("success_file"))
-        per = active.select("job", "stem").join(per_gram, F.col("stem") == F.col("__gram"), "left")
+        per = j.select("job", "stem", "__active").join(per_gram, F.col("stem") == F.col("__gram"), "left")
         file_name = F.coalesce("failure_file", "success_file")
-    status = per.select("job", "stem", reconcile_status("has_failure", "has_success").alias("status"),
-                        file_name.alias("file_name"))
-    skipped = j.where(F.col("__active") == 0).select(
-        "job", "stem", F.lit("SKIPPED").alias("status"), F.lit(None).cast("string").alias("file_name"))
-    return status.unionByName(skipped)
+    # One pass over the jobs: inactive ones are SKIPPED whatever files exist.
+    skip = F.col("__active") == 0
+    return per.select(
+        "job", "stem",
+        F.when(skip, F.lit("SKIPPED")).otherwise(reconcile_status("has_failure", "has_success"))
+        .alias("status"),
+        F.when(skip, F.lit(None).cast("string")).otherwise(file_name).alias("file_name"))
 
 
 def run_log_from_outcomes(outcomes: DataFrame, run_ts: str, op: str = "import") -> DataFrame:
