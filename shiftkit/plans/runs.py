@@ -58,7 +58,8 @@ def append_run_log(log: DataFrame, path: str) -> None:
      .partitionBy("run_ts").parquet(path))
 
 
-def reconcile_imports(jobs: DataFrame, files: DataFrame, exact: bool = True) -> DataFrame:
+def reconcile_imports(jobs: DataFrame, files: DataFrame, exact: bool = True,
+                      keep: Sequence[str] = ()) -> DataFrame:
     """J9 + F16 per import job: ``SUCCESS`` / ``FAILED`` / ``SKIPPED`` from outcome files.
 
     ``jobs``: ``job`` (name), ``params``, ``active``, optional
@@ -68,7 +69,8 @@ def reconcile_imports(jobs: DataFrame, files: DataFrame, exact: bool = True) ->
     (``exact=True``) or, as the reference does, when it occurs anywhere in
     the file name (``exact=False``, so ``35_a`` also matches
     ``35_ab_SUCCESS.csv``).  A failure file wins; no file at all is a
-    failure; inactive jobs are skipped.
+    failure; inactive jobs are skipped.  ``keep`` names job columns to carry
+    into the result (e.g. the run a job belongs to).
     """
     opt = [c for c in ("import_path", "file", "import_file") if c in jobs.columns]
     loader_file = first_non_blank(*opt, "job") if opt else col("job")
@@ -85,7 +87,8 @@ def reconcile_imports(jobs: DataFrame, files: DataFrame, exact: bool = True) ->
         flags = (f.groupBy(outcome_stem("file_name").alias("__fstem"))
                  .agg(F.bool_or(F.col("outcome") == "failure").alias("has_failure"),
                       F.bool_or(F.col("outcome") == "success").alias("has_success")))
-        per = j.select("job", "stem", "__active").join(flags, F.col("stem") == F.col("__fstem"), "left")
+        per = j.select("job", "stem", "__active", *keep).join(
+            flags, F.col("stem") == F.col("__fstem"), "left")
         file_name = (F.when(F.col("has_failure"), F.concat("stem", F.lit(FAILURE_SUFFIX)))
                      .when(F.col("has_success"), F.concat("stem", F.lit(SUCCESS_SUFFIX))))
     else:
@@ -99,12 +102,13 @@ def reconcile_imports(jobs: DataFrame, files: DataFrame, exact: bool = True) ->
             F.bool_or(F.col("outcome") == "success").alias("has_success"),
             F.min(F.when(F.col("outcome") == "failure", F.col("file_name"))).alias("failure_file"),
             F.min(F.when(F.col("outcome") == "success", F.col("file_name"))).alias("success_file"))
-        per = j.select("job", "stem", "__active").join(per_gram, F.col("stem") == F.col("__gram"), "left")
+        per = j.select("job", "stem", "__active", *keep).join(
+            per_gram, F.col("stem") == F.col("__gram"), "left")
         file_name = F.coalesce("failure_file", "success_file")
     # One pass over the jobs: inactive ones are SKIPPED whatever files exist.
     skip = F.col("__active") == 0
     return per.select(
-        "job", "stem",
+        "job", "stem", *keep,
         F.when(skip, F.lit("SKIPPED")).otherwise(reconcile_status("has_failure", "has_success"))
         .alias("status"),
         F.when(skip, F.lit(None).cast("string")).otherwise(file_name).alias("file_name"))

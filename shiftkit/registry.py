@@ -709,9 +709,8 @@ FROM st GROUP BY run
 def q_outcome_counts(spark, sf_dir):
     from shiftkit.operators.aggregate import outcome_counts
     from shiftkit.plans.runs import reconcile_imports
-    jobs = load_jobs(spark, sf_dir)
-    st = reconcile_imports(jobs.drop("run"), outcome_listing(spark, sf_dir), exact=True)
-    st = st.join(jobs.select("job", "run"), "job")
+    st = reconcile_imports(load_jobs(spark, sf_dir), outcome_listing(spark, sf_dir), exact=True,
+                           keep=["run"])
     return outcome_counts(st, by=["run"], with_items=False)
 
 
