@@ -48,6 +48,7 @@ IMPORT_SETTINGS = T.StructType([
     T.StructField("import_path", T.StringType()),
 ])
 
+# The member names of a job configuration file.
 CONFIG = T.StructType([
     T.StructField("general", T.StructType([
         T.StructField("java_exe", T.StringType()),

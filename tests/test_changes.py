@@ -42,13 +42,13 @@ def test_create_and_upsert(spark):
 
 def test_derive_archive_set(spark):
     orgs = spark.createDataFrame(
-        [("o1", "Bayer-like AG", "initiated", "t1"), ("o2", "OTHER", "initiated", "t1"),
-         ("o3", "the bayer-like unit", "active", "t2"), ("o4", "BAYER-LIKE x", "active", "t9")],
+        [("o1", "Acme-like AG", "initiated", "t1"), ("o2", "OTHER", "initiated", "t1"),
+         ("o3", "the acme-like unit", "active", "t2"), ("o4", "ACME-LIKE x", "active", "t9")],
         "id string, name__v string, state__v string, object_type__v string")
     types = spark.createDataFrame([("t1", "External Site"), ("t2", "Internal")], "id string, name__v string")
-    out = derive_archive_set(orgs, types, name_token="bayer-like", type_value="External Site",
+    out = derive_archive_set(orgs, types, name_token="acme-like", type_value="External Site",
                              name_prefix="ZZ_", new_state="archived_state__c")
     assert out.columns == ["id", "ignore.current_name", "name__v", "ignore.current_state__v", "state__v"]
-    assert rows(out) == [("o1", "Bayer-like AG", "ZZ_Bayer-like AG", "initiated", "archived_state__c")]
+    assert rows(out) == [("o1", "Acme-like AG", "ZZ_Acme-like AG", "initiated", "archived_state__c")]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftOuter" not in plan   # the right-side filter makes the join inner
