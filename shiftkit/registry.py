@@ -218,6 +218,8 @@ def org_views(spark, sf_dir):
     return orgs, types
 
 
+# Fixed values of the sample archive request: the rename prefix and the new
+# state (the name token and type pick customers of one nation).
 ARCHIVE = dict(name_token="Customer#", type_value="NATION_3", name_prefix="ZZ_DO_NOT_USE_",
                new_state="archived_state__c")
 
