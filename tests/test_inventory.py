@@ -91,3 +91,15 @@ def test_inventory_to_config_check(spark, tmp_dir):
     assert (list(s["added_to_config"]), list(s["added_to_row"])) == (["state__v"], ["extra__c"])
     assert [list(r["added"]) for r in res["config_additions"].collect()] == [["state__v"]]
     assert os.path.isdir(f"{tmp_dir}/report/sync")
+
+
+def test_wide_heads_numeric_order(spark):
+    from shiftkit.functions.names import head_columns
+    from shiftkit.operators.aggregate import wide_heads
+    df = spark.createDataFrame([("T", [f"h{i:02d}" for i in range(12)]), ("U", ["x"])],
+                               "object_type string, headers array<string>")
+    wide = wide_heads(df)
+    assert head_columns(wide.columns) == [f"HEAD{i}" for i in range(1, 13)]
+    assert head_columns(["HEAD10", "HEAD2", "HEAD1", "other", "HEADx"]) == ["HEAD1", "HEAD2", "HEAD10"]
+    row = {r["object_type"]: r for r in wide.collect()}
+    assert row["T"]["HEAD10"] == "h09" and row["U"]["HEAD2"] is None
