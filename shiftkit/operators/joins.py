@@ -49,7 +49,7 @@ def relation_path(df: DataFrame, fk: str, parent: DataFrame, parent_key: str,
     its key and the wanted fields before the join, so only those columns are
     read and shuffled.
     """
-    rel = relation or (fk[:-1] + "r" if fk.endswith("__c") or fk.endswith("__v") else fk)
+    rel = relation or (fk + "r" if fk.endswith("__c") or fk.endswith("__v") else fk)
     key_alias = f"__{rel}__key"
     p = parent.select(col(parent_key).alias(key_alias),
                       *[col(f).alias(f"{rel}.{f}") for f in fields])
