@@ -49,6 +49,9 @@ _RINV = pow(_R, -1, 1 << 64)
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Bytes of words in the narrow sense: A-Z, a-z and everything beyond ASCII.
+LETTER = np.zeros(256, bool)
+LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _LOWER = np.arange(1, 257, dtype=np.uint64)          # byte + 1, A-Z folded
 _LOWER[65:91] = np.arange(98, 124)
 _POW: dict[int, np.ndarray] = {}

@@ -5,11 +5,22 @@ from __future__ import annotations
 from shiftkit.llm.fingerprints import op2_fingerprints
 from shiftkit.llm.mixing import op8_mixing_sources
 from shiftkit.llm.packing import op7_packing
+from shiftkit.llm.pii import op3_pii
+from shiftkit.llm.quality import op4_quality_classifier
+from shiftkit.llm.toxicity import op10_toxicity
+from shiftkit.llm.warc import ORACLE as WARC_ORACLE
+from shiftkit.llm.warc import op6_warc
 
 QUERIES = {
     "op2_fingerprints": op2_fingerprints,
+    "op3_pii": op3_pii,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op6_warc": op6_warc,
     "op7_packing": op7_packing,
     "op8_mixing_sources": op8_mixing_sources,
+    "op10_toxicity": op10_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_warc": WARC_ORACLE,
+}
