@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from shiftkit.llm.fingerprints import op2_fingerprints
+from shiftkit.llm.jaccard_join import op9_ngram_jaccard_join
 from shiftkit.llm.mixing import op8_mixing_sources
 from shiftkit.llm.packing import op7_packing
 from shiftkit.llm.pii import op3_pii
@@ -18,6 +19,7 @@ QUERIES = {
     "op6_warc": op6_warc,
     "op7_packing": op7_packing,
     "op8_mixing_sources": op8_mixing_sources,
+    "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_toxicity": op10_toxicity,
 }
 
