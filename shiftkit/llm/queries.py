@@ -5,6 +5,7 @@ from __future__ import annotations
 from shiftkit.llm.fingerprints import op2_fingerprints
 from shiftkit.llm.jaccard_join import op9_ngram_jaccard_join
 from shiftkit.llm.mixing import op8_mixing_sources
+from shiftkit.llm.ngram_lm import op5_ngram_lm
 from shiftkit.llm.packing import op7_packing
 from shiftkit.llm.pii import op3_pii
 from shiftkit.llm.quality import op4_quality_classifier
@@ -16,6 +17,7 @@ QUERIES = {
     "op2_fingerprints": op2_fingerprints,
     "op3_pii": op3_pii,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_ngram_lm": op5_ngram_lm,
     "op6_warc": op6_warc,
     "op7_packing": op7_packing,
     "op8_mixing_sources": op8_mixing_sources,
