@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from shiftkit.llm.embedding_neardup import op1_embedding_neardup
 from shiftkit.llm.fingerprints import op2_fingerprints
 from shiftkit.llm.jaccard_join import op9_ngram_jaccard_join
 from shiftkit.llm.mixing import op8_mixing_sources
@@ -14,6 +15,7 @@ from shiftkit.llm.warc import ORACLE as WARC_ORACLE
 from shiftkit.llm.warc import op6_warc
 
 QUERIES = {
+    "op1_embedding_neardup": op1_embedding_neardup,
     "op2_fingerprints": op2_fingerprints,
     "op3_pii": op3_pii,
     "op4_quality_classifier": op4_quality_classifier,
