@@ -40,11 +40,14 @@ FREQUENT = 0.001
 #: any set of shingles may be called frequent.
 FREQUENT_KEPT = 200_000
 #: Hashes in one bucket of the candidate search, about.
-BUCKET = 1_000_000
+BUCKET = 2_000_000
 #: What a set without enough usable segments costs, in hashes.
 POOR_COST = 4_000
+#: Rounds of holding classes against one class of a group, before all remaining pairs are verified.
+ROUNDS = 4
 _FLUSH = 3_000_000
 _FILTER_BITS = 1 << 20
+_PLACES = 1_024
 #: Stand-in ids of documents without id start here.
 _NO_ID = 1 << 62
 _U = np.uint64
@@ -79,7 +82,7 @@ class Scheme:
         """(hashes, poor) of the set ``g``; poor if its usable segments are not worth h + 1 errors."""
         m = self.segments(band, deletions)
         salt = _U(band * 2 + deletions + 1)
-        at = mix(g + salt) % _U(m)
+        at = (mix(g + salt) % _U(m)).astype(np.uint16 if m < 1 << 16 else np.uint64)    # small numbers sort faster
         order = np.argsort(at, kind="stable")
         at, x, r = at[order], mix(g[order] ^ (salt << _U(40))), rare[order]
         first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
@@ -94,7 +97,7 @@ class Scheme:
         poor = end > len(size)
         end = min(end, len(size))
         total = np.add.reduceat(x, first)
-        tag = mix(at[first] + (salt << _U(48)))
+        tag = mix(at[first].astype(np.uint64) + (salt << _U(48)))
         keys = [mix(total[:end][usable[:end]] ^ tag[:end][usable[:end]])]
         if deletions:
             stop = len(x) if end == len(size) else first[end]
@@ -104,6 +107,21 @@ class Scheme:
             keys.append(mix((total[seg[ok]] - x[:stop][ok]) ^ tag[seg[ok]]))
         return np.unique(np.concatenate(keys)), poor
 
+    def price(self, g: np.ndarray, rare: np.ndarray, band: int, h: int, deletions: bool) -> tuple[int, bool]:
+        """(hashes, poor) as ``emit`` would give, without making them."""
+        m = self.segments(band, deletions)
+        at = (mix(g + _U(band * 2 + deletions + 1)) % _U(m)).astype(np.int64)
+        size, n_rare = np.bincount(at, minlength=m), np.bincount(at[rare], minlength=m)
+        usable = n_rare > 0
+        worth = (usable & (size >= 2) & (n_rare >= 2)) + usable.astype(np.int64) if deletions else usable
+        reach = np.cumsum(worth)
+        end = int(np.searchsorted(reach, h + 1)) + 1
+        keys = int(usable[:end].sum())
+        if deletions:
+            size, n_rare = size[:end], n_rare[:end]
+            keys += int(np.where(n_rare >= 2, size, np.where((n_rare == 1) & (size >= 2), size - 1, 0)).sum())
+        return keys, end > m
+
     def rarest(self, g: np.ndarray, rare: np.ndarray, h: int) -> np.ndarray:
         """Hashes of the first h + 1 single shingles, rare ones first; any two linked sets share one."""
         order = np.lexsort((g, ~rare))[:h + 1]
@@ -126,10 +144,25 @@ def _key(g: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)[0]), int(np.array([b]).view(np.int64)[0])
 
 
+def _parity(g: np.ndarray) -> bytes:
+    """Which hash places hold an odd number of shingles; a power of two of places, at least two a shingle."""
+    places = max(_PLACES, 1 << (2 * len(g)).bit_length())
+    return np.packbits(np.bincount((g & _U(places - 1)).astype(np.int64), minlength=places).astype(np.uint8) & 1,
+                       bitorder="little").tobytes()
+
+
+def _places_apart(x: bytes, y: bytes) -> int:
+    """Places of different parity; the longer of two parities is folded to the length of the other."""
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    n = min(len(x), len(y))
+    x, y = (np.bitwise_xor.reduce(v.reshape(-1, n), axis=0) for v in (x, y))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _scan(docs: DataFrame) -> DataFrame:
-    """Rows (kind 0) of each document: id, rid, n, k1, k2; rows (kind 1) of shingles often met in a task: k1, n."""
+    """Rows (kind 0) of each document: id, rid, n, k1, k2, parity; rows (kind 1) of shingles often met in a task: k1, n."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "doc_id", "rid", "n", "k1", "k2"]
+        names = ["kind", "doc_id", "rid", "n", "k1", "k2", "parity"]
         held, size = [], 0
         often_h, often_n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
@@ -142,7 +175,7 @@ def _scan(docs: DataFrame) -> DataFrame:
             held, size = [], 0
 
         for b in batches:
-            n, k1, k2 = [], [], []
+            n, k1, k2, parity = [], [], [], []
             for _, g, bound in _sets(b):
                 held.append(g)
                 size += len(g)
@@ -151,16 +184,18 @@ def _scan(docs: DataFrame) -> DataFrame:
                     n.append(int(bound[i + 1] - bound[i]))
                     k1.append(a)
                     k2.append(z)
+                    parity.append(_parity(g[bound[i]:bound[i + 1]]))
                 if size > _FLUSH:
                     fold()
             yield pa.RecordBatch.from_arrays([pa.array([0] * len(n), pa.int32()), b.column("doc_id"), b.column("rid"),
-                                              pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64())], names=names)
+                                              pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
+                                              pa.array(parity, pa.binary())], names=names)
         fold()
         z = pa.nulls(len(often_h), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array([1] * len(often_h), pa.int32()), z, z, pa.array(often_n),
-                                          pa.array(often_h.view(np.int64)), z], names=names)
+                                          pa.array(often_h.view(np.int64)), z, pa.nulls(len(often_h), pa.binary())], names=names)
 
-    return landed(docs.mapInArrow(run, "kind int, doc_id long, rid long, n long, k1 long, k2 long"), "join-scan")
+    return landed(docs.mapInArrow(run, "kind int, doc_id long, rid long, n long, k1 long, k2 long, parity binary"), "join-scan")
 
 
 def _rare(g: np.ndarray, frequent: np.ndarray) -> np.ndarray:
@@ -181,9 +216,9 @@ def _costs(docs: DataFrame, scheme: Scheme, frequent) -> dict[int, bool]:
                     lo, hi = bound[i], bound[i + 1]
                     for band, h in scheme.roles(int(hi - lo)) if hi > lo else ():
                         for d in (False, True):
-                            keys, poor = scheme.emit(g[lo:hi], rare[lo:hi], band, h, d)
+                            keys, poor = scheme.price(g[lo:hi], rare[lo:hi], band, h, d)
                             c = cost.setdefault((band, d), [0, 0])
-                            c[0] += len(keys)
+                            c[0] += keys
                             c[1] += int(poor)
         k = list(cost)
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in k], pa.int32()), pa.array([x[1] for x in k], pa.bool_()),
@@ -198,7 +233,7 @@ def _costs(docs: DataFrame, scheme: Scheme, frequent) -> dict[int, bool]:
 
 
 def _postings(docs: DataFrame, scheme: Scheme, plan: dict[int, bool], frequent, buckets: int) -> DataFrame:
-    """(key, k1): emitted hashes that at least two classes share, with those classes.
+    """(key, k1): the groups of at least two classes that share an emitted hash, each group once.
 
     Hashes travel as blocks: one row for each task and bucket with sorted
     numbers in it, equal ones of a task once.
@@ -264,6 +299,16 @@ def _postings(docs: DataFrame, scheme: Scheme, plan: dict[int, bool], frequent,
             same[1:-1] = k[1:] == k[:-1]
             many = same[1:] | same[:-1]
             k, c = k[many], c[many]
+            if len(k):
+                # Near copies share many hashes; one group of the same classes is enough, under a key of its own.
+                first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+                size = np.diff(np.append(first, len(k)))
+                group_key = mix(np.add.reduceat(mix(c.view(np.uint64)), first) + size.astype(np.uint64))
+                _, once = np.unique(group_key, return_index=True)
+                kept = np.zeros(len(first), bool)
+                kept[once] = True
+                kept = np.repeat(kept, size)
+                k, c = np.repeat(group_key, size)[kept], c[kept]
             for i in range(0, len(k), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(k[i:i + 100_000].view(np.int64)), pa.array(c[i:i + 100_000])],
                                                  names=["key", "k1"])
@@ -280,8 +325,8 @@ def _postings(docs: DataFrame, scheme: Scheme, plan: dict[int, bool], frequent,
 
     blocks = docs.mapInArrow(emit, "bucket int, keys binary, ids binary")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return landed(blocks.repartition(max(n, buckets), "bucket").sortWithinPartitions("bucket").mapInArrow(shared, "key long, k1 long"),
-                  "join-postings")
+    found = blocks.repartition(max(n, buckets), "bucket").sortWithinPartitions("bucket").mapInArrow(shared, "key long, k1 long")
+    return landed(found.distinct(), "join-postings")
 
 
 def _candidate_sets(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
@@ -314,6 +359,27 @@ def _candidate_sets(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> Data
     return landed(found.dropDuplicates(["id"]).select("id", "set"), "join-sets")
 
 
+def _possible(pairs: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFrame:
+    """The pairs (a, b) that may link by their sizes and parities.
+
+    Places of different parity are at most as many as shingles of the
+    symmetric difference, so no linked pair is dropped.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            apart = np.array([_places_apart(x, y) for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist(), strict=True)])
+            na, nb = np.array(b.column("na")), np.array(b.column("nb"))
+            ok = (apart <= scheme.errors(na + nb)) & (100 * np.minimum(na, nb) >= scheme.percent * np.maximum(na, nb))
+            yield b.select(["a", "b"]).filter(pa.array(ok))
+
+    side = classes.select("id", "n", "parity")
+    joined = (pairs.join(side.withColumnsRenamed({"id": "a", "n": "na", "parity": "x"}), "a")
+              .join(side.withColumnsRenamed({"id": "b", "n": "nb", "parity": "y"}), "b").select("a", "b", "na", "nb", "x", "y"))
+    return joined.mapInArrow(run, "a long, b long")
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the similarity."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,6 +398,12 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
+def _best(candidates: DataFrame) -> DataFrame:
+    """(a, b): for each class ``id`` the ``a`` it meets in most groups."""
+    return (candidates.groupBy("id", "a").agg(F.count(F.lit(1)).alias("c")).groupBy(F.col("id").alias("b"))
+            .agg(F.max(F.struct("c", (-F.col("a")).alias("m"))).alias("best")).select((-F.col("best.m")).alias("a"), "b"))
+
+
 def join_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, rid, n_shingles, id (stands for a null doc_id), component_id.
 
@@ -345,7 +417,7 @@ def join_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     docs = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("rid"))
     scheme = Scheme(percent)
     scan = _scan(docs)
-    rows = scan.where("kind = 0").select("doc_id", "rid", "n", "k1", "k2", F.coalesce(
+    rows = scan.where("kind = 0").select("doc_id", "rid", "n", "k1", "k2", "parity", F.coalesce(
         "doc_id", F.lit(_NO_ID) + F.pmod("rid", F.lit(1 << 61))).alias("id"))
     texts = docs.select("doc_id", "text", "rid")
     least = max(64, int(FREQUENT * rows.count()))
@@ -355,28 +427,49 @@ def join_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     plan, total = _costs(texts, scheme, frequent)
     postings = _postings(texts, scheme, plan, frequent, max(1, ceil(total / BUCKET)))
 
-    classes = landed(rows.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("id").alias("id")), "join-classes")
+    classes = landed(rows.where("n > 0").groupBy("k1", "k2", "n").agg(
+        F.min("id").alias("id"), F.max("parity").alias("parity")), "join-classes")
     post = landed(postings.join(classes.select("k1", "id"), "k1").select("key", "id"), "join-post")
-    sets = _candidate_sets(texts, classes, post.select("id").distinct())
 
-    # First each class is held against the first class of its keys that shares most keys with it.
+    def possible(pairs: DataFrame) -> DataFrame:
+        return landed(_possible(pairs, classes, scheme), "join-possible")
+
+    def ids_of(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+
+    def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        return landed(_linked(pairs, sets, percent), "join-links")
+
+    # First each class is held against the first class of its groups that it meets most often.
     first = post.groupBy("key").agg(F.min("id").alias("a"))
-    star = (post.join(first, "key").where("a < id").groupBy("id", "a").agg(F.count(F.lit(1)).alias("c"))
-            .groupBy(F.col("id").alias("b")).agg(F.max(F.struct("c", (-F.col("a")).alias("m"))).alias("best"))
-            .select((-F.col("best.m")).alias("a"), "b"))
-    star = landed(star, "join-star")
-    edges = landed(_linked(star, sets, percent), "join-links")
-    near = components(edges)
-    # What is left are pairs of one key that are not yet in one component; every one is verified.
-    known = landed(post.join(near, "id", "left").select("key", "id", F.coalesce("component_id", "id").alias("c")), "join-known")
+    pairs = possible(_best(post.join(first, "key").where("a < id")))
+    sets = _candidate_sets(texts, classes, ids_of(pairs))
+    tried, edges = pairs, linked(pairs, sets)
+    comp = components(edges)
+    # Then, while that joins anything, against a class of the lowest other component of a group.
+    for _ in range(ROUNDS):
+        near = landed(post.join(comp, "id", "left").select("key", "id", F.coalesce("component_id", "id").alias("c"))
+                      .join(sets.select("id"), "id", "left_semi"), "join-known")
+        hub = near.groupBy("key").agg(F.min(F.struct("c", "id")).alias("h")).select("key", F.col("h.c").alias("hc"), F.col("h.id").alias("a"))
+        pairs = possible(_best(near.join(hub, "key").where("c <> hc")).join(tried, ["a", "b"], "left_anti"))
+        found = linked(pairs, sets)
+        if not found.limit(1).count():
+            break
+        tried, edges = landed(tried.union(pairs), "join-tried"), landed(edges.union(found), "join-links")
+        comp = components(edges)
+    # What is left are pairs of one group that are not yet in one component; every one is verified.
+    known = landed(post.join(comp, "id", "left").select("key", "id", F.coalesce("component_id", "id").alias("c")), "join-known")
     open_keys = known.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
     open_post = known.join(open_keys, "key")
     x, y = open_post.select("key", F.col("id").alias("a"), F.col("c").alias("ca")), open_post.select("key", F.col("id").alias("b"), F.col("c").alias("cb"))
-    rest = x.join(y, "key").where("a < b and ca <> cb").select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
-    edges2 = landed(_linked(rest, sets, percent), "join-links")
-    final = near
-    if edges2.limit(1).count():
-        final = components(edges.union(edges2))
+    rest = x.join(y, "key").where("a < b and ca <> cb").select("a", "b").distinct().join(
+        tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    rest = possible(rest)
+    more = ids_of(rest).join(sets, "id", "left_anti")
+    if more.limit(1).count():
+        sets = sets.union(_candidate_sets(texts, classes, more))
+    last = linked(rest, sets)
+    final = components(edges.union(last)) if last.limit(1).count() else comp
     member = classes.join(final, "id", "left").select("k1", "k2", "n", F.coalesce("component_id", "id").alias("c"))
     return rows.join(member, ["k1", "k2", "n"], "left").select(
         "doc_id", "rid", F.col("n").alias("n_shingles"), "id", F.coalesce("c", "id").alias("component_id"))
