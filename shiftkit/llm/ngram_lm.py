@@ -105,7 +105,7 @@ def _count(docs: DataFrame, shards: int) -> DataFrame:
             yield from _blocks(_PAIR, _shard(pair_key(v[at], w[at]), shards), [v[at], w[at], n.astype(np.uint32)], shards)
 
         for b in batches:
-            for _, _, data, off in utf8_chunks(b.column("text")):
+            for _, _, data, off in utf8_chunks(b.column("text"), 1 << 20):
                 tok, before, _ = tokens(data, off)
                 seen.append((tok, before))
                 size += len(tok)
@@ -238,6 +238,8 @@ def map_arrays(path: str) -> tuple[int, dict[str, np.ndarray]]:
     The file has one row, so an array is the last thing in its column's chunk.
     """
     f = pq.ParquetFile(path)
+    if not f.metadata.num_rows:          # of a task that had no shard
+        return -1, {k: np.zeros(0, t) for k, t in _COLUMNS.items()}
     if f.metadata.num_rows != 1:
         raise ValueError(f"{path} has {f.metadata.num_rows} rows")
     row = f.read(columns=["shard", "n_entries", "n_pairs"]).to_pylist()[0]
@@ -277,7 +279,7 @@ class NgramModel:
     def maps(self) -> dict[int, dict[str, np.ndarray]]:
         if self._maps is None:
             paths = self.files if self.in_place else [SparkFiles.get(f.rsplit("/", 1)[1]) for f in self.files]
-            self._maps = dict(map(map_arrays, paths))
+            self._maps = {s: arrays for s, arrays in map(map_arrays, paths) if s >= 0}
         return self._maps
 
     def _find(self, key: np.ndarray, keys: str, values: tuple[str, ...]) -> list[np.ndarray]:
@@ -360,7 +362,7 @@ def scored(docs: DataFrame, model: NgramModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo, hi, data, off in utf8_chunks(b.column("text")):
+            for lo, hi, data, off in utf8_chunks(b.column("text"), 1 << 20):
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id").slice(lo, hi - lo), *[pa.array(x) for x in model.score(data, off)]],
                     names=["doc_id", *[k for k, _ in kinds]])
