@@ -196,7 +196,7 @@ class ToxicityModel:
         self.calibration: Logistic | None = None
 
     def doc_features(self, data: np.ndarray, off: np.ndarray, read) -> np.ndarray:
-        """Per document: largest weight, sum of the largest weights' excess, log length."""
+        """Per document: largest weight, log of the sum of weights; both 0 without any known feature, however long the text."""
         n = len(off) - 1
         h, row = features(data, off, read)
         w = np.zeros(len(h))
@@ -206,7 +206,7 @@ class ToxicityModel:
         top = np.zeros(n)
         np.maximum.at(top, row, w)
         total = np.bincount(row, w, n) if len(row) else np.zeros(n)
-        return np.column_stack([top, np.log1p(total), np.log1p(np.diff(off)) / 10])
+        return np.column_stack([top, np.log1p(total)])
 
     def score(self, data, off, read) -> np.ndarray:
         if self.constant is not None:
@@ -279,16 +279,16 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_DOCS) -> Toxi
             for lo, hi, data, off in utf8_chunks(batch.column("text")):
                 x = model.doc_features(data, off, read)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("y").slice(lo, hi - lo), *[pa.array(x[:, i]) for i in range(3)]], names=["y", "a", "b", "c"])
+                    [batch.column("y").slice(lo, hi - lo), pa.array(x[:, 0]), pa.array(x[:, 1])], names=["y", "a", "b"])
 
-    cal = rows.where("half = 1").mapInArrow(run, "y int, a double, b double, c double").collect()
+    cal = rows.where("half = 1").mapInArrow(run, "y int, a double, b double").collect()
     y = np.array([r.y for r in cal])
     if len(set(y.tolist())) < 2:
         model.constant = n[1] / (n[0] + n[1])
         return model
     share = n[1] / (n[0] + n[1])
     weight = np.where(y == 1, share / max(1, (y == 1).sum()), (1 - share) / max(1, (y == 0).sum())) * len(y)
-    model.calibration = Logistic(np.array([[r.a, r.b, r.c] for r in cal]), y, weight, ridge=0.1)
+    model.calibration = Logistic(np.array([[r.a, r.b] for r in cal]), y, weight, ridge=0.1)
     return model
 
 
