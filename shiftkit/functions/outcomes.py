@@ -29,7 +29,7 @@ def export_failed(return_code: Column | str, stdout: Column | str, stderr: Colum
 def import_extra_output(stdout: Column | str, banner: str) -> Column:
     """F15 helper: output beyond the banner line, '' when there is none."""
     out = trim_ws(F.coalesce(_c(stdout), F.lit("")))
-    rest = trim_ws(F.substring(out, len(banner) + 1, 1 << 30))
+    rest = trim_ws(F.substr(out, F.lit(len(banner) + 1)))
     return (F.when((out == "") | (out == F.lit(banner)), F.lit(""))
             .when(out.startswith(banner), rest)
             .otherwise(out))

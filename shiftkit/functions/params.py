@@ -81,7 +81,7 @@ def relative_dir(path: Column | str, root: str) -> Column:
     p = F.regexp_replace(F.regexp_replace(_c(path), r"^[a-zA-Z][a-zA-Z0-9+.-]*:", ""), "^/+", "/")
     folder = F.regexp_replace(p, r"/[^/]*$", "")
     rel = F.when(folder.startswith(bare_root),
-                 F.regexp_replace(F.substring(folder, len(bare_root) + 1, 1 << 30), "^/", ""))
+                 F.regexp_replace(F.substr(folder, F.lit(len(bare_root) + 1)), "^/", ""))
     return F.coalesce(F.nullif(rel, F.lit("")), F.lit("."))
 
 

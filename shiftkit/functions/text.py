@@ -65,7 +65,7 @@ def mask_bracketed(c: Column | str) -> Column:
     def piece(seg: Column, i: Column) -> Column:
         open_at = F.instr(seg, "[")
         before = F.substring_index(seg, "[", 1)
-        content = trim_ws(F.substring(seg, open_at + 1, 1 << 30))
+        content = trim_ws(F.substr(seg, open_at + 1))
         masked = (
             F.when(F.instr(content, "=") > 0,
                    F.concat(before, F.lit("["), F.substring_index(content, "=", 1), F.lit("=***]")))

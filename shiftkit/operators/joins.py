@@ -89,8 +89,6 @@ def substring_grams(items: DataFrame, item_text: str, patterns: DataFrame,
     against the item's characters.  Equality with a pattern is left to the
     caller's equi-join (or aggregation), so no candidate pair is ever false.
     """
-    from shiftkit.operators.partitioning import ensure_parallelism
-    items = ensure_parallelism(items)
     pc, text = col(pattern_col), col(item_text)
     plen = F.length(pc)
     item_cols = [col(c) for c in items.columns]

@@ -26,25 +26,26 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_i
     The frame is range-partitioned and sorted; ``monotonically_increasing_id``
     then encodes (partition, position).  Per-partition counts (one row per
     partition) give each partition its offset, so every row is numbered in
-    its own task and only the counts meet in one place.  The result is
-    checkpointed to the shared checkpoint folder: later references read the
-    numbered rows instead of recomputing them (and ties keep their numbers).
+    its own task and only the counts meet in one place.  The ordered rows are
+    checkpointed to the shared checkpoint folder with their (partition,
+    position) first: range boundaries are sampled anew whenever the frame is
+    evaluated, so counts and numbers must both come from the one landed copy.
     """
     from pyspark.sql import Window
     from shiftkit.session import checkpoint_root
     checkpoint_root(df.sparkSession)
     n = max(1, df.sparkSession.sparkContext.defaultParallelism)
     ordered = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-               .withColumn("__mid", F.monotonically_increasing_id()))
+               .withColumn("__mid", F.monotonically_increasing_id())
+               .checkpoint(eager=True))
     part, pos = F.shiftright("__mid", 33), F.col("__mid").bitwiseAND((1 << 33) - 1)
     counts = ordered.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
     # One row per partition: this window is as small as the partition count.
     offsets = counts.select("__part", (F.sum("__n").over(
         Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))).alias("__off"))
-    numbered = (ordered.join(F.broadcast(offsets), part == F.col("__part"))
-                .withColumn(name, F.coalesce("__off", F.lit(0)) + pos + F.lit(start))
-                .drop("__mid", "__part", "__off"))
-    return numbered.checkpoint(eager=True)
+    return (ordered.join(F.broadcast(offsets), part == F.col("__part"))
+            .withColumn(name, F.coalesce("__off", F.lit(0)) + pos + F.lit(start))
+            .drop("__mid", "__part", "__off"))
 
 
 def preview(df: DataFrame, order: Sequence[Column | str], n: int = 5) -> DataFrame:

@@ -93,8 +93,8 @@ def apply_change_set(table: DataFrame, changes: DataFrame, operation: str,
     cid = changes[f"`{id_col}`"]
     counts = changes.groupBy(cid.alias("__cid")).agg(F.count(F.lit(1)).alias("__n"))
     unique = (changes.join(counts, cid == counts["__cid"], "left")
-              .where(F.col("__n") == 1 if operation == "update"
-                     else (F.col("__n") == 1) | cid.isNull()))
+              .where((F.col("__n") == 1) | cid.isNull() if operation == "create"
+                     else F.col("__n") == 1))
     applied = [c for c in _applied_columns(changes, id_col) if c in table.columns]
     new_only = [c for c in _applied_columns(changes, id_col) if c not in table.columns]
     ch = unique.select(cid.alias("__cid"), F.lit(True).alias("__in_changes"),

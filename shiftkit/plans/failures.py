@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from shiftkit.functions.names import col
 from shiftkit.functions.text import normalize_error, trim_ws
-from shiftkit.operators.partitioning import ensure_parallelism
 
 
 def error_types(failures: DataFrame, errors_col: str = "errors") -> DataFrame:
@@ -28,7 +27,7 @@ def error_types(failures: DataFrame, errors_col: str = "errors") -> DataFrame:
     # (a filter on the masked column would be pushed below the projection
     # and evaluate the masking twice).
     kept = failures.where(F.coalesce(trim_ws(col(errors_col)), F.lit("")) != "")
-    return ensure_parallelism(kept).select("*", normalize_error(col(errors_col)).alias("error"))
+    return kept.select("*", normalize_error(col(errors_col)).alias("error"))
 
 
 def error_type_counts(failures: DataFrame, errors_col: str = "errors",

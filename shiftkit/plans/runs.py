@@ -47,15 +47,16 @@ def write_export(df: DataFrame, out_dir: str, source: str, name: str) -> int:
 
 
 def append_run_log(log: DataFrame, path: str) -> None:
-    """K4: add one run to the run-log table, partitioned by run.
+    """K4: add one run to the run-log table, partitioned by run and operation.
 
-    Dynamic partition overwrite replaces only the partitions of the runs
-    being written: other runs stay, and writing the same run again (a retry
+    Dynamic partition overwrite replaces only the partitions of the runs and
+    operations being written: other runs, and an import logged under the
+    time of an export, stay, and writing the same run again (a retry
     after a lost executor or a failed job) replaces its rows instead of
     appending them twice.
     """
     (log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("run_ts").parquet(path))
+     .partitionBy("run_ts", "op").parquet(path))
 
 
 def reconcile_imports(jobs: DataFrame, files: DataFrame, exact: bool = True,
@@ -134,7 +135,7 @@ def run_exports(spark, configs: DataFrame, read_object, out_dir: str, run_ts: st
     ``S3 -> P10 -> (read -> P2 -> P1 -> P4 -> Observation) -> K3/K1 -> K4``.
     The definitions are configuration (a handful per job file), so they are
     walked on the driver; each export is one Spark job writing its table
-    under ``source_key=<instance>/<name>`` with the row count observed in the
+    under ``source_key=<instance>/<configuration>/<name>`` with the row count observed in the
     same pass.  ``read_object(object_name)`` returns the object's table.  A
     failing export is logged as ``FAILED`` with the reason and does not stop
     the run; inactive ones are ``SKIPPED``.  Returns the run-log rows (and
@@ -161,12 +162,13 @@ def run_exports(spark, configs: DataFrame, read_object, out_dir: str, run_ts: st
             try:
                 view = export_view(read_object(e["object"]), e["where"], list(e["columns"] or []),
                                    list(e["ignore_column"] or []))
-                n = write_export(view, out_dir, dns or "local", e["name"])
+                # The configuration is part of the folder: two of them may name an export alike.
+                n = write_export(view, out_dir, dns or "local", f"{e['loader_config']}/{e['name']}")
                 log.append({**base, "status": "SUCCESS", "file_name": e["file"] or None,
                             "row_count": n, "reasons": []})
             except Exception as exc:   # one failed export is a log row, not a stopped run
                 log.append({**base, "status": "FAILED", "file_name": e["file"] or None,
-                            "row_count": None, "reasons": [str(exc).splitlines()[0][:500]]})
+                            "row_count": None, "reasons": [str(exc) or type(exc).__name__]})
     rows = spark.createDataFrame(
         [(r["job"], r["op"], r["object_name"], r["status"], r["file_name"], r["row_count"],
           r["reasons"]) for r in log],
@@ -232,7 +234,7 @@ def run_imports(spark, configs: DataFrame, read_loader_file, read_table, out_dir
                         "reasons": [f"{n_failed} rows failed"] if n_failed else []})
         except Exception as exc:   # one failed import is a log row, not a stopped run
             log.append({**base, "status": "FAILED", "row_count": None,
-                        "reasons": [str(exc).splitlines()[0][:500]]})
+                        "reasons": [str(exc) or type(exc).__name__]})
     rows = spark.createDataFrame(
         [(r["job"], r["op"], r["object_name"], r["status"], r["file_name"], r["row_count"],
           r["reasons"]) for r in log],

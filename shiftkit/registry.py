@@ -218,15 +218,15 @@ def org_views(spark, sf_dir):
     return orgs, types
 
 
-# Fixed values of the sample archive request: the rename prefix and the new
+# The archive request: own values for the rename prefix and the new
 # state (the name token and type pick customers of one nation).
-ARCHIVE = dict(name_token="Customer#", type_value="NATION_3", name_prefix="ZZ_DO_NOT_USE_",
-               new_state="archived_state__c")
+ARCHIVE = dict(name_token="Customer#", type_value="NATION_3", name_prefix="RETIRED_",
+               new_state="retired_state__c")
 
 ARCHIVE_SQL = """
 SELECT c.c_custkey AS id, c.c_name AS "ignore__current_name",
-       'ZZ_DO_NOT_USE_' || c.c_name AS name__v, c.c_mktsegment AS "ignore__current_state__v",
-       'archived_state__c' AS state__v, c.c_acctbal
+       'RETIRED_' || c.c_name AS name__v, c.c_mktsegment AS "ignore__current_state__v",
+       'retired_state__c' AS state__v, c.c_acctbal
 FROM customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
 WHERE lower(c.c_name) LIKE '%customer#%' AND n.n_name = 'NATION_3'
 """
@@ -331,8 +331,7 @@ m AS (
 @register("F8_mask_bracketed", FAILURE_SQL + "SELECT event_id, error FROM m")
 def q_mask_bracketed(spark, sf_dir):
     from shiftkit.functions.text import normalize_error
-    from shiftkit.operators.partitioning import ensure_parallelism
-    return ensure_parallelism(failure_rows(spark, sf_dir)).select(
+    return failure_rows(spark, sf_dir).select(
         "event_id", normalize_error("errors").alias("error"))
 
 

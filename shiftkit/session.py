@@ -49,7 +49,7 @@ def build_session(master: str | None = None, app: str = "shiftkit",
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    return spark.sparkContext.master.split("[")[0] == "local"
 
 
 def checkpoint_root(spark: SparkSession) -> str:

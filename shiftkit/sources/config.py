@@ -22,7 +22,7 @@ EXPORT = T.StructType([
     T.StructField("where", T.StringType()),
     T.StructField("columns", T.ArrayType(T.StringType())),
     T.StructField("ignore_column", T.ArrayType(T.StringType())),
-    T.StructField("active", T.IntegerType()),
+    T.StructField("active", T.StringType()),
     T.StructField("status", T.StringType()),
     T.StructField("business_object_type", T.StringType()),
     T.StructField("object_type", T.StringType()),
@@ -31,7 +31,7 @@ EXPORT = T.StructType([
 IMPORT = T.StructType([
     T.StructField("name", T.StringType()),
     T.StructField("params", T.StringType()),
-    T.StructField("active", T.IntegerType()),
+    T.StructField("active", T.StringType()),
     T.StructField("status", T.StringType()),
     T.StructField("import_path", T.StringType()),
     T.StructField("file_path", T.StringType()),
@@ -88,20 +88,25 @@ def read_job_configs(spark: SparkSession, path: str, multiline: bool = True) ->
     parse only the member they need; an unused ``config`` column is pruned
     and never parsed.
     """
-    from shiftkit.operators.partitioning import ensure_parallelism
     if multiline:
         raw = spark.read.text(path, wholetext=True)
     else:
         raw = spark.read.text(path)
-    raw = ensure_parallelism(raw.select(F.col("_metadata.file_name").alias("loader_config"), "value"))
+    raw = raw.select(F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("loader_config"), "value")
     return raw.select("loader_config", "value", parse_config(F.col("value")).alias("config"))
 
 
+def active_number(active: Column) -> Column:
+    """``active`` as 0 or 1: 0 and false (as number, text or JSON literal) are 0, null stays null."""
+    return F.when(active.isNotNull(), F.when(F.lower(F.trim(active)).isin("0", "false"), 0).otherwise(1)).cast("int")
+
+
 def config_exports(configs: DataFrame) -> DataFrame:
     """Exports of every configuration, flattened, with ``export_pos`` from 0."""
     ex = _part(F.col("value"), "$.exports", T.ArrayType(EXPORT))
     return configs.select("loader_config", F.posexplode_outer(ex).alias("export_pos", "e")) \
-        .where(F.col("e").isNotNull()).select("loader_config", "export_pos", "e.*")
+        .where(F.col("e").isNotNull()).select("loader_config", "export_pos", "e.*") \
+        .withColumn("active", active_number(F.col("active")))
 
 
 def config_imports(configs: DataFrame) -> DataFrame:
@@ -112,7 +117,8 @@ def config_imports(configs: DataFrame) -> DataFrame:
         "loader_config", st["import_path"].alias("base_import_path"), st["dns"].alias("target_dns"),
         F.posexplode_outer(im).alias("import_pos", "i")) \
         .where(F.col("i").isNotNull()) \
-        .select("loader_config", "base_import_path", "target_dns", "import_pos", "i.*")
+        .select("loader_config", "base_import_path", "target_dns", "import_pos", "i.*") \
+        .withColumn("active", active_number(F.col("active")))
 
 
 def config_settings(configs: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ def test_analyse_folder(spark, tmp_dir):
     write(os.path.join(tmp_dir, "10_units.csv"), 'id,name__v\n1,"A, Inc"\n2,"multi\nline"\n3,x\n')
     write(os.path.join(tmp_dir, "10_units_FAILURE.csv"),
           'id,name__v,errors\n1,"A, Inc","Value [name__v = A, Inc] too long"\n'
-          '2,"multi\nline","Record [OOZ00000003I015] locked"\n')
+          '2,"multi\nline","Record [Q7K00000042X918] locked"\n')
     write(os.path.join(tmp_dir, "20_kw_FAILURE.csv"), 'name__v,kind,errors\nq,r,"Boom"\n')
     write(os.path.join(tmp_dir, "30_x_SUCCESS.csv"), 'id\n1\n')
     totals, counts, missing = analyse_folder(spark, tmp_dir)

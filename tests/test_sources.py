@@ -114,7 +114,7 @@ def test_run_exports(spark, tmp_dir):
     got = sorted((r["job"], r["status"], r["row_count"]) for r in log.collect())
     assert got == [("10_unit", "SUCCESS", 2), ("10_unit", "SUCCESS", 2), ("20_off", "SKIPPED", None),
                    ("30_bad", "FAILED", None), ("30_bad", "FAILED", None)]
-    back = read_object_csv(spark, f"{tmp_dir}/out/source_key=a.example.com/10_unit")
+    back = read_object_csv(spark, f"{tmp_dir}/out/source_key=a.example.com/job.json/10_unit")
     assert back.columns == ["ignore.id", "name", "state"] and back.count() == 2
     assert spark.read.parquet(f"{tmp_dir}/log").count() == 5
 

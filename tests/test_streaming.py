@@ -15,7 +15,7 @@ def test_failure_stream_counts_new_files_once(spark, tmp_dir):
     out = os.path.join(tmp_dir, "out")
     ckpt = os.path.join(tmp_dir, "ckpt")
     write(f"{landing}/a_FAILURE.csv", 'id,errors\n1,"bad [k = v]"\n2,"bad [k=w]"\n')
-    write(f"{landing}/b_FAILURE.csv", 'x,y,errors\n1,2,"gone [OOZ00000003I015]"\n')
+    write(f"{landing}/b_FAILURE.csv", 'x,y,errors\n1,2,"gone [Q7K00000042X918]"\n')
     write(f"{landing}/a.csv", "id\n1\n2\n")
     q = start_failure_stream(spark, landing, out, checkpoint=ckpt)
     q.awaitTermination()
