@@ -31,10 +31,7 @@ def col(name: str) -> Column:
 
 def normalize_column_name(name: object) -> str:
     """F1 on a name: strip, lower-case, drop ``ignore.``, drop blank . _ -."""
-    text = str(name).strip().lower().replace(IGNORE_PREFIX, "")
-    for ch in NAME_NOISE_CHARS:
-        text = text.replace(ch, "")
-    return text
+    return re.sub(r"[ ._-]", "", str(name).strip().lower().replace(IGNORE_PREFIX, ""))
 
 
 def normalize_column_name_expr(c: Column) -> Column:
@@ -52,28 +49,18 @@ def candidate_columns(expected: str, available: Sequence[str],
                       aliases: Iterable[str] = ()) -> list[tuple[int, str]]:
     """Ranked candidates: 0 exact/alias, 1 case-insensitive, 2 normalised."""
     wanted = [expected, *aliases]
-    ranked: list[tuple[int, str]] = []
-    seen: set[str] = set()
-
-    def add(rank: int, name: str) -> None:
-        if name not in seen:
-            seen.add(name)
-            ranked.append((rank, name))
-
-    for w in wanted:
-        if w in available:
-            add(0, w)
-    lower = {}
-    for c in available:
-        lower.setdefault(c.strip().lower(), []).append(c)
-    for w in wanted:
-        for c in lower.get(w.strip().lower(), []):
-            add(1, c)
-    norm = normalize_column_name(expected)
-    for c in available:
-        if normalize_column_name(c) == norm:
-            add(2, c)
-    return ranked
+    folded = [w.strip().lower() for w in wanted]
+    target = normalize_column_name(expected)
+
+    def standing(c: str) -> tuple[int, int] | None:
+        if c in wanted:
+            return 0, wanted.index(c)
+        if c.strip().lower() in folded:
+            return 1, folded.index(c.strip().lower())
+        return (2, 0) if normalize_column_name(c) == target else None
+
+    found = {c: s for c in available if (s := standing(c)) is not None}
+    return [(found[c][0], c) for c in sorted(found, key=found.get)]
 
 
 def resolve_column(df_columns: Sequence[str], label: str, expected: str,
@@ -144,5 +131,4 @@ _HEAD_RE = re.compile(r"HEAD(\d+)")
 
 def head_columns(columns: Iterable[str]) -> list[str]:
     """``HEAD1..HEADn`` names in numeric order."""
-    heads = [c for c in columns if _HEAD_RE.fullmatch(str(c))]
-    return sorted(heads, key=lambda c: int(c[4:]))
+    return [c for _, c in sorted((int(m[1]), str(c)) for c in columns if (m := _HEAD_RE.fullmatch(str(c))))]

@@ -47,8 +47,8 @@ def test_derive_archive_set(spark):
         "id string, name__v string, state__v string, object_type__v string")
     types = spark.createDataFrame([("t1", "External Site"), ("t2", "Internal")], "id string, name__v string")
     out = derive_archive_set(orgs, types, name_token="acme-like", type_value="External Site",
-                             name_prefix="ZZ_", new_state="archived_state__c")
+                             name_prefix="ZZ_", new_state="retired_state__c")
     assert out.columns == ["id", "ignore.current_name", "name__v", "ignore.current_state__v", "state__v"]
-    assert rows(out) == [("o1", "Acme-like AG", "ZZ_Acme-like AG", "initiated", "archived_state__c")]
+    assert rows(out) == [("o1", "Acme-like AG", "ZZ_Acme-like AG", "initiated", "retired_state__c")]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftOuter" not in plan   # the right-side filter makes the join inner

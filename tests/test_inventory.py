@@ -65,7 +65,7 @@ def test_group_left_empty_is_kept(spark):
 
 def test_mapping_requires_columns(spark):
     import pytest
-    with pytest.raises(ValueError, match="missing required columns"):
+    with pytest.raises(ValueError, match="has no column"):
         load_mapping(spark.createDataFrame([("a", "b")], "relative_path string, filename string"))
 
 
