@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 # The ignore marker put in front of a column name, and the
 # characters removed when names are compared loosely.
 IGNORE_PREFIX = "ignore."
-NAME_NOISE_CHARS = (" ", ".", "_", "-")
 
 
 def quote(name: str) -> str:
@@ -131,4 +130,5 @@ _HEAD_RE = re.compile(r"HEAD(\d+)")
 
 def head_columns(columns: Iterable[str]) -> list[str]:
     """``HEAD1..HEADn`` names in numeric order."""
-    return [c for _, c in sorted((int(m[1]), str(c)) for c in columns if (m := _HEAD_RE.fullmatch(str(c))))]
+    matches = [_HEAD_RE.fullmatch(str(c)) for c in columns]
+    return [m[0] for m in sorted(filter(None, matches), key=lambda m: int(m[1]))]
