@@ -380,6 +380,37 @@ def _possible(pairs: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFrame
     return joined.mapInArrow(run, "a long, b long")
 
 
+_SHORT = [f"p{i}" for i in range(_PLACES // 64)]
+
+
+def _short_parities(classes: DataFrame) -> DataFrame:
+    """(id, n, p0, p1, ..): each class's parity folded to _PLACES places, 64 in a number."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            folded = np.array([np.bitwise_xor.reduce(np.frombuffer(x, np.int64).reshape(-1, len(_SHORT)), axis=0)
+                               for x in b.column("parity").to_pylist()], np.int64).reshape(-1, len(_SHORT))
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("n"), *[pa.array(c) for c in folded.T]],
+                                             names=["id", "n", *_SHORT])
+
+    return classes.select("id", "n", "parity").mapInArrow(run, "id long, n long, " + ", ".join(f"{c} long" for c in _SHORT))
+
+
+def _open_pairs(members: DataFrame, scheme: Scheme) -> DataFrame:
+    """Distinct pairs (a, b) of one key of ``members`` (key, id, c, n, p0, ..) in different components that may link.
+
+    Sizes and short parities are part of the join condition, so a group of
+    many classes unlike each other is compared but not written out as pairs.
+    """
+    cols = ["id", "c", "n", *_SHORT]
+    x, y = (members.select("key", *[F.col(c).alias(f"{side}_{c}") for c in cols]) for side in "xy")
+    total = F.col("x_n") + F.col("y_n")
+    apart = sum((F.bit_count(F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}"))) for c in _SHORT), F.lit(0))
+    similar = 100 * F.least("x_n", "y_n") >= scheme.percent * F.greatest("x_n", "y_n")
+    may = similar & (apart * (100 + scheme.percent) <= total * (100 - scheme.percent))
+    return (x.join(y, "key").where((F.col("x_id") < F.col("y_id")) & (F.col("x_c") != F.col("y_c")) & may)
+            .select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct())
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the similarity."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -460,9 +491,9 @@ def join_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # What is left are pairs of one group that are not yet in one component; every one is verified.
     known = landed(post.join(comp, "id", "left").select("key", "id", F.coalesce("component_id", "id").alias("c")), "join-known")
     open_keys = known.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-    open_post = known.join(open_keys, "key")
-    x, y = open_post.select("key", F.col("id").alias("a"), F.col("c").alias("ca")), open_post.select("key", F.col("id").alias("b"), F.col("c").alias("cb"))
-    rest = x.join(y, "key").where("a < b and ca <> cb").select("a", "b").distinct().join(
+    open_post = landed(known.join(open_keys, "key"), "join-open")
+    short = _short_parities(classes.join(open_post.select("id").distinct(), "id", "left_semi"))
+    rest = _open_pairs(open_post.join(short, "id"), scheme).join(
         tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     rest = possible(rest)
     more = ids_of(rest).join(sets, "id", "left_anti")
