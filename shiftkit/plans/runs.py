@@ -182,9 +182,14 @@ def run_exports(spark, configs: DataFrame, read_object, out_dir: str, run_ts: st
 
 
 def run_imports(spark, configs: DataFrame, read_loader_file, read_table, out_dir: str, run_ts: str,
-                log_path: str | None = None, id_col: str = "id") -> DataFrame:
+                log_path: str | None = None, id_col: str = "id", listing: DataFrame | None = None) -> DataFrame:
     """The import loop: apply every active import definition as a change set.
 
+    Rows are matched by the column that ``-idParam`` names, ``id_col`` if
+    there is none.  An import sees what earlier imports of the run left of
+    its object.  With ``listing`` (S5, column ``path``), an import whose file is not
+    listed fails with that reason before anything is read (J12).
+
     For each import (in configuration order): read its loader file
     (``read_loader_file(base_import_path, file)``) and the target object's
     table (``read_table(object)``), apply create/update/upsert (K2), write
@@ -199,13 +204,20 @@ def run_imports(spark, configs: DataFrame, read_loader_file, read_table, out_dir
     from shiftkit.operators.sinks import write_csv
     from shiftkit.plans.changes import apply_change_set, change_results
     from shiftkit.sources.config import config_imports
+    from shiftkit.sources.files import missing_inputs
     op_flag = F.regexp_extract("params", r"(?:^|\s)-(create|update|upsert)(?:\s|$)", 1)
+    key_flag = F.regexp_extract("params", r"(?:^|\s)-idParam\s+([^\s-]\S*)", 1)
     imports = (config_imports(configs)
                .select("loader_config", "import_pos", "name", "base_import_path",
                        F.coalesce(F.col("active"), F.lit(1)).alias("active"), op_flag.alias("op"),
-                       object_from_params("params").alias("object"),
+                       key_flag.alias("key"), object_from_params("params").alias("object"),
                        file_from_params("params").alias("file"))
                .orderBy("loader_config", "import_pos").collect())
+    absent = set()
+    if listing is not None:
+        wanted = spark.createDataFrame([(im["file"],) for im in imports if im["file"]], "file_name string").distinct()
+        absent = {r["file_name"] for r in missing_inputs(wanted, listing).collect()}
+    versions: dict[str, str] = {}          # object -> where the run's last version of it is
     log = []
     for im in imports:
         base = {"job": im["name"], "op": im["op"] or "import", "object_name": im["object"] or None,
@@ -216,9 +228,13 @@ def run_imports(spark, configs: DataFrame, read_loader_file, read_table, out_dir
         try:
             if im["op"] not in ("create", "update", "upsert"):
                 raise ValueError(f"no create/update/upsert flag in the parameters of {im['name']}")
+            if im["file"] in absent:
+                raise FileNotFoundError(f"input file {im['file']} is missing")
             changes = read_loader_file(im["base_import_path"], im["file"])
-            table = read_table(im["object"])
-            results = change_results(table, changes, im["op"], id_col)
+            at = versions.get(im["object"])
+            table = spark.read.parquet(at) if at else read_table(im["object"])
+            key = im["key"] or id_col
+            results = change_results(table, changes, im["op"], key)
             stem = spark.range(1).select(file_stem(F.lit(im["file"] or im["name"]))).first()[0]
             # A copy of the loader file next to its outcomes, as the loader leaves it.
             write_csv(changes, f"{out_dir}/outcomes/{stem}.csv")
@@ -227,8 +243,11 @@ def run_imports(spark, configs: DataFrame, read_loader_file, read_table, out_dir
             n_failed = int(obs.get.get("row_count", 0))
             write_csv(results.where(F.col("status") == "success").drop("action", "status", "errors"),
                       f"{out_dir}/outcomes/{stem}{SUCCESS_SUFFIX}")
-            (apply_change_set(table, changes, im["op"], id_col)
-             .write.mode("overwrite").parquet(f"{out_dir}/tables/{im['object']}/{im['name']}"))
+            to = f"{out_dir}/tables/{im['object']}/{im['name']}"
+            if to == at:                   # never overwrite the version that is being read
+                to = f"{to}_{len(log)}"
+            apply_change_set(table, changes, im["op"], key).write.mode("overwrite").parquet(to)
+            versions[im["object"]] = to
             log.append({**base, "status": "FAILED" if n_failed else "SUCCESS",
                         "row_count": changes.count(),
                         "reasons": [f"{n_failed} rows failed"] if n_failed else []})

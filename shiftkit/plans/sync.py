@@ -6,14 +6,14 @@ to those exports ("to config"), and configured attributes absent from the
 row are added to the row ("to row").  Additions to an export are visible to
 later rows of the same key, so the walk is order-dependent.
 
-Where every export is reached by one key only, the walk is a set question
-answered with aggregates: an attribute is added to the config by the first
-row of its key that carries it (``min(row)`` per (key, attribute), a partial
-aggregate) and the config a row sees is the initial list plus everything
-introduced by earlier rows.  No window holds a whole key.  Exports reached by
-two keys that both occur share state across keys; their connected
-components are walked in order with ``applyInPandas``, one group per
-component (components are as small as the configuration).
+An attribute's fate does not depend on other attributes: a row adds it when
+none of the exports of its key has it, and then all of them do.  So only the
+first row of each key that carries the attribute can add it (``min(row)`` per
+(key, attribute), a partial aggregate), and those first rows, one per
+configured key, are settled in row order by ``aggregate`` over a
+configuration-sized array.  No window or group ever holds the rows of a key.
+Configurations are independent of each other; exports are identified by
+(``loader_config``, ``export_pos``).
 
 Reports are tables; the configuration file is not rewritten.
 """
@@ -22,39 +22,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shiftkit.functions.names import col
 from shiftkit.functions.params import export_object_from_params
 from shiftkit.functions.text import normalize_object_type, trim_ws
 from shiftkit.operators.aggregate import ordered_union
 
-SYNC_SCHEMA = T.StructType([
-    T.StructField("row_id", T.LongType()),
-    T.StructField("n_config_seen", T.LongType()),
-    T.StructField("added_to_config", T.ArrayType(T.StringType())),
-    T.StructField("added_to_row", T.ArrayType(T.StringType())),
-    T.StructField("n_added_to_config", T.LongType()),
-    T.StructField("n_added_to_row", T.LongType()),
-])
+CONFIG = "loader_config"
+
+
+def _with_config(exports: DataFrame) -> DataFrame:
+    """``exports`` with the configuration they come from; a single unnamed one if there is no such column."""
+    return exports if CONFIG in exports.columns else exports.withColumn(CONFIG, F.lit(""))
 
 
 def export_index(exports: DataFrame) -> DataFrame:
-    """``(export_pos, key)`` for the business type and the ``-export`` object.
+    """``(loader_config, export_pos, key)`` for the business type and the ``-export`` object.
 
     Blank keys are left out; an export reached twice by the same key counts
     once.
     """
+    exports = _with_config(exports)
     bot = F.coalesce(col("business_object_type"), col("object_type")) \
         if "object_type" in exports.columns else col("business_object_type")
     k1 = F.nullif(normalize_object_type(F.coalesce(trim_ws(bot), F.lit(""))), F.lit(""))
     k2 = F.nullif(normalize_object_type(export_object_from_params(col("params"))), F.lit(""))
-    return exports.select("export_pos", F.explode(F.array_distinct(F.array_compact(
+    return exports.select(CONFIG, "export_pos", F.explode(F.array_distinct(F.array_compact(
         F.array(k1, k2)))).alias("key"))
 
 
 def unmatched_rows(rows: DataFrame, exports: DataFrame) -> DataFrame:
-    """Inventory rows whose normalised type reaches no export."""
+    """Inventory rows whose normalised type reaches no export of any configuration."""
     keys = export_index(exports).select("key").distinct()
     rk = rows.select("row_id", "object_type", "file_intent",
                      normalize_object_type(F.coalesce(col("object_type"), F.lit(""))).alias("key"))
@@ -66,194 +64,112 @@ def _clean_attrs(arr) -> F.Column:
                                                  trim_ws), lambda a: a != ""))
 
 
+def _configured(exports: DataFrame) -> DataFrame:
+    """(loader_config, export_pos, cpos, attr): the configured columns, one row each."""
+    return _with_config(exports).select(CONFIG, "export_pos", F.posexplode(F.coalesce(
+        col("columns"), F.array().cast("array<string>"))).alias("cpos", "attr"))
+
+
+def _introductions(rk: DataFrame, exports_of: DataFrame, configured: DataFrame) -> DataFrame:
+    """(loader_config, attr, row_id, apos, key, exports): which row adds an attribute to the exports of its key."""
+    first = (rk.select("key", "row_id", F.posexplode("attrs").alias("apos", "attr"))
+             .groupBy("key", "attr").agg(F.min(F.struct("row_id", "apos")).alias("f")))
+    turn = F.struct(F.col("f.row_id").alias("row_id"), F.col("f.apos").alias("apos"), F.col("key"), F.col("exports"))
+    turns = (first.join(exports_of, "key").groupBy(CONFIG, "attr")
+             .agg(F.array_sort(F.collect_list(turn)).alias("turns")))      # one per configured key
+    owners = configured.groupBy(CONFIG, "attr").agg(F.collect_set("export_pos").alias("owners"))
+    both = turns.join(owners, [CONFIG, "attr"], "left")
+    none = F.filter("turns", lambda t: F.lit(False))
+    start = F.struct(F.coalesce("owners", F.array().cast(owners.schema["owners"].dataType)).alias("owners"), none.alias("adds"))
+    settled = F.aggregate("turns", start, lambda so_far, t: F.when(
+        F.arrays_overlap(so_far["owners"], t["exports"]), so_far).otherwise(F.struct(
+            F.concat(so_far["owners"], t["exports"]).alias("owners"),
+            F.concat(so_far["adds"], F.array(t)).alias("adds"))))
+    return both.select(CONFIG, "attr", F.explode(settled["adds"]).alias("t")).select(CONFIG, "attr", "t.*")
+
+
 def attribute_sync(rows: DataFrame, exports: DataFrame) -> dict[str, DataFrame]:
     """A8 + W2 + J7 + J8 + A7 + U2.
 
-    ``sync`` also carries ``n_config_seen``: the size of the running
-    attribute set (W2) a row is compared with.  ``rows``: ``row_id`` (walk order), ``object_type``, ``file_intent``,
+    ``rows``: ``row_id`` (walk order), ``object_type``, ``file_intent``,
     ``attrs`` (array, in the row's column order).  ``exports``:
     ``export_pos``, ``name``, ``business_object_type``, ``params``,
-    ``columns`` (array).  Returns ``sync`` (one row per matched row),
-    ``unmatched`` (J8), ``config_additions`` (per export, in order).
+    ``columns`` (array) and, if there are several configurations,
+    ``loader_config``.  Returns ``sync`` (one row per configuration and row
+    that it matches; ``n_config_seen`` is the size of the running attribute
+    set, W2, that the row is compared with), ``unmatched`` (J8),
+    ``config_additions`` (per export, in order) and ``config_columns`` (per
+    export all columns after the additions).
     """
     idx = export_index(exports)
-    nexp = idx.groupBy("key").agg(F.count(F.lit(1)).alias("n_exports"),
-                                  F.min("export_pos").alias("first_export"))
-    rk = rows.select("row_id", "object_type", "file_intent",
+    group = [CONFIG, "key"]
+    exports_of = idx.groupBy(*group).agg(F.array_sort(F.collect_list("export_pos")).alias("exports"))
+    rk = rows.select(F.col("row_id").cast("long").alias("row_id"), "object_type", "file_intent",
                      normalize_object_type(F.coalesce(col("object_type"), F.lit(""))).alias("key"),
                      _clean_attrs(col("attrs")).alias("attrs"))
-    unmatched = rk.join(nexp, "key", "left_anti").select("row_id", "object_type", "file_intent")
-    matched = rk.join(nexp, "key")
-
-    # Exports reached by two keys that both occur: walk those components in order.
-    occurring = idx.join(matched.select("key").distinct(), "key", "left_semi")
-    shared_exports = (occurring.groupBy("export_pos").agg(F.count(F.lit(1)).alias("n"))
-                      .where("n > 1").select("export_pos"))
-    shared_keys = occurring.join(shared_exports, "export_pos", "left_semi").select("key").distinct()
-    # Configuration-sized check: is any export shared by two occurring keys?
-    # Without one, every row takes the aggregate path and the plan carries no
-    # split at all.
-    has_shared = shared_keys.limit(1).count() > 0
-    fast = matched.join(shared_keys, "key", "left_anti") if has_shared else matched
-    sync, adds = _sync_single_key(fast, idx, nexp, exports)
-    if has_shared:
-        slow = matched.join(shared_keys, "key", "left_semi")
-        sync_slow, adds_slow = _sync_components(slow, idx, exports)
-        info = slow.select("row_id", "object_type", "file_intent")
-        sync = sync.unionByName(info.join(sync_slow, "row_id"))
-        adds = adds.unionByName(adds_slow)
-    names = exports.select("export_pos", "name")
-    additions = (adds
-                 .groupBy("export_pos").agg(F.array_sort(F.collect_list(
-                     F.struct("o1", "o2", "attr"))).alias("__a"))
-                 .select("export_pos", F.transform("__a", lambda e: e["attr"]).alias("added"))
-                 .join(names, "export_pos"))
-    return {"sync": sync, "unmatched": unmatched, "config_additions": additions}
-
-
-def _sync_single_key(matched: DataFrame, idx: DataFrame, nexp: DataFrame, exports: DataFrame):
-    cols_long = exports.select("export_pos", F.posexplode(F.coalesce(
-        col("columns"), F.array().cast("array<string>"))).alias("cpos", "attr"))
-    j0 = ordered_union(idx.join(cols_long, "export_pos"), "key", "attr", ["export_pos", "cpos"])
-    ra = (matched.select("row_id", "key", F.posexplode("attrs").alias("apos", "attr")))
-    new = ra.join(j0.select("key", "attr"), ["key", "attr"], "left_anti")
-    first = new.groupBy("key", "attr").agg(F.min(F.struct("row_id", "apos")).alias("f"))
-    to_cfg = (new.join(first, ["key", "attr"])
-              .where(F.col("row_id") == F.col("f.row_id"))
-              .groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("apos", "attr"))).alias("__t")))
-    entries = (j0.join(nexp, "key").select(
-        "key", F.struct(F.col("first.export_pos").alias("e"), F.lit(0).alias("phase"),
-                        F.col("first.cpos").cast("long").alias("a"), F.lit(0).alias("b"),
-                        F.lit(-1).cast("long").alias("intro"), "attr").alias("x"))
-               .unionByName(first.join(nexp, "key").select(
-                   "key", F.struct(F.col("first_export").alias("e"), F.lit(1).alias("phase"),
-                                   F.col("f.row_id").alias("a"), F.col("f.apos").alias("b"),
-                                   F.col("f.row_id").alias("intro"), "attr").alias("x"))))
-    keylist = entries.groupBy("key").agg(F.array_sort(F.collect_list("x")).alias("keylist"))
-    per_row = (matched.join(keylist, "key", "left").join(to_cfg, "row_id", "left"))
-    to_row = F.transform(F.filter(F.coalesce("keylist", F.array()),
-                                  lambda e: (e["intro"] < F.col("row_id"))
-                                  & ~F.array_contains(F.col("attrs"), e["attr"])),
-                         lambda e: e["attr"])
-    to_c = F.transform(F.coalesce("__t", F.array()), lambda e: e["attr"]).cast("array<string>")
-    seen = F.size(F.filter(F.coalesce("keylist", F.array()), lambda e: e["intro"] < F.col("row_id")))
+    unmatched = rk.join(idx.select("key").distinct(), "key", "left_anti").select("row_id", "object_type", "file_intent")
+    configured = (_configured(exports).withColumn("attr", trim_ws(col("attr"))).where("attr <> ''")
+                  .groupBy(CONFIG, "export_pos", "attr").agg(F.min("cpos").alias("cpos")))
+    added = _introductions(rk, exports_of, configured)
+
+    # What an export holds and since which row, in the order of its column list.
+    since = lambda phase, a, b, intro: F.struct(
+        F.col("export_pos").alias("e"), F.lit(phase).alias("phase"), a.cast("long").alias("a"),
+        b.cast("int").alias("b"), intro.cast("long").alias("intro"), F.col("attr")).alias("x")
+    entries = configured.select(CONFIG, "export_pos", since(0, F.col("cpos"), F.lit(0), F.lit(-1))).unionByName(
+        added.withColumn("export_pos", F.explode("exports")).select(
+            CONFIG, "export_pos", since(1, F.col("row_id"), F.col("apos"), F.col("row_id"))))
+    known = (entries.join(idx, [CONFIG, "export_pos"]).groupBy(*group)
+             .agg(F.array_sort(F.collect_list("x")).alias("known")))
+    by_row = added.groupBy(CONFIG, "row_id").agg(F.array_sort(F.collect_list(F.struct("apos", "attr"))).alias("new"))
+    per_row = rk.join(exports_of, "key").join(known, group, "left").join(by_row, [CONFIG, "row_id"], "left")
+    names = F.array().cast("array<string>")
+    seen = F.array_distinct(F.transform(F.filter("known", lambda x: x["intro"] < F.col("row_id")), lambda x: x["attr"]))
+    per_row = per_row.select(CONFIG, "row_id", "object_type", "file_intent", "exports", "attrs",
+                             F.coalesce(seen, names).alias("seen"),
+                             F.coalesce(F.col("new.attr"), names).alias("added_to_config"))
+    missing = F.array_except("seen", "attrs")
     sync = per_row.select(
-        F.col("row_id").cast("long").alias("row_id"), "object_type", "file_intent",
-        seen.cast("long").alias("n_config_seen"),
-        to_c.alias("added_to_config"),
-        to_row.cast("array<string>").alias("added_to_row"),
-        (F.size(to_c) * F.col("n_exports")).cast("long").alias("n_added_to_config"),
-        F.size(to_row).cast("long").alias("n_added_to_row"))
-    adds = (first.join(idx, "key")
-            .select("export_pos", F.col("f.row_id").alias("o1"), F.col("f.apos").cast("long").alias("o2"),
-                    "attr"))
-    return sync, adds
-
-
-def _sync_components(rows: DataFrame, idx: DataFrame, exports: DataFrame):
-    """Order-dependent walk for components of keys linked by shared exports."""
-    from shiftkit.session import ship_package
-    spark = rows.sparkSession
-    ship_package(spark)
-    # Configuration-sized: the (export, key) pairs of the shared components.
-    pairs = [(r["export_pos"], r["key"]) for r in
-             idx.join(rows.select("key").distinct(), "key", "left_semi").collect()]
-    parent: dict = {}
-
-    def find(x):
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for e, k in pairs:
-        parent[find(("e", e))] = find(("k", k))
-    comp_of_key = {k: find(("k", k))[1] for _, k in pairs}
-    exp_rows = {r["export_pos"]: (r["name"], list(r["columns"] or []))
-                for r in exports.where(F.col("export_pos").isin([e for e, _ in pairs] or [-1]))
-                .select("export_pos", "name", "columns").collect()}
-    key_exports: dict[str, list[int]] = {}
-    for e, k in sorted(pairs):
-        key_exports.setdefault(k, []).append(e)
-    comp_map = spark.createDataFrame(list(comp_of_key.items()) or [("", "")], "key string, comp string")
-    keyed = rows.join(F.broadcast(comp_map), "key")
-
-    def walk(pdf):
-        import pandas as pd
-        state = {e: [str(c).strip() for c in cols] for e, (_, cols) in exp_rows.items()}
-        raw = {e: list(cols) for e, (_, cols) in exp_rows.items()}
-        out, adds = [], []
-        for _, r in pdf.sort_values("row_id").iterrows():
-            ms = key_exports.get(r["key"], [])
-            csv_attrs = list(r["attrs"])
-            seen: list[str] = []
-            for e in ms:
-                for a in state[e]:
-                    if a and a not in seen:
-                        seen.append(a)
-            json_set, csv_set = set(seen), set(csv_attrs)
-            to_cfg, n_cfg = [], 0
-            for a in csv_attrs:
-                if a in json_set:
-                    continue
-                for e in ms:
-                    if a not in raw[e]:
-                        raw[e].append(a)
-                        state[e].append(a)
-                        adds.append((e, int(r["row_id"]), csv_attrs.index(a), a))
-                        n_cfg += 1
-                to_cfg.append(a)
-                json_set.add(a)
-            to_row = [a for a in seen if a not in csv_set]
-            out.append((int(r["row_id"]), len(seen), to_cfg, to_row, n_cfg, len(to_row)))
-        return pd.DataFrame(out, columns=["row_id", "n_config_seen", "added_to_config", "added_to_row",
-                                          "n_added_to_config", "n_added_to_row"]), adds
-
-    def walk_sync(pdf):
-        return walk(pdf)[0]
-
-    def walk_adds(pdf):
-        import pandas as pd
-        return pd.DataFrame(walk(pdf)[1], columns=["export_pos", "o1", "o2", "attr"])
-
-    g = keyed.select("comp", "key", "row_id", "attrs").groupBy("comp")
-    sync = g.applyInPandas(walk_sync, SYNC_SCHEMA)
-    adds = g.applyInPandas(walk_adds, "export_pos long, o1 long, o2 long, attr string")
-    return sync, adds
+        CONFIG, "row_id", "object_type", "file_intent", F.size("seen").cast("long").alias("n_config_seen"),
+        "added_to_config", missing.alias("added_to_row"),
+        (F.size("added_to_config") * F.size("exports")).cast("long").alias("n_added_to_config"),
+        F.size(missing).cast("long").alias("n_added_to_row"))
+    ordered = F.array_sort(F.collect_list("x"))
+    titled = _with_config(exports).select(CONFIG, "export_pos", "name")
+    per_export = entries.groupBy(CONFIG, "export_pos").agg(ordered.alias("x")).join(titled, [CONFIG, "export_pos"])
+    later = F.transform(F.filter("x", lambda x: x["phase"] == 1), lambda x: x["attr"])
+    return {"sync": sync, "unmatched": unmatched,
+            "config_additions": per_export.select(CONFIG, "export_pos", later.alias("added"), "name").where(F.size("added") > 0),
+            "config_columns": per_export.select(CONFIG, "export_pos", "name", F.col("x.attr").alias("columns"))}
+
+
+def _config_lists(exports: DataFrame) -> DataFrame:
+    """``(loader_config, key, attrs)``, the columns of a key's exports in order of first occurrence."""
+    keyed = export_index(exports).join(_configured(exports), [CONFIG, "export_pos"]).withColumn("__k", F.struct(CONFIG, "key"))
+    union = ordered_union(keyed, "__k", "attr", ["export_pos", "cpos"])
+    return (union.groupBy("__k").agg(F.array_sort(F.collect_list(F.struct("first", "attr"))).alias("__l"))
+            .select("__k.*", F.col("__l.attr").alias("attrs")))
 
 
 def attr_difference(rows: DataFrame, exports: DataFrame) -> DataFrame:
-    """Per matched row, attributes only in the row and only in the configuration.
+    """Per configuration and matched row, attributes only in the row and only in the configuration.
 
     Plain set difference against the initial configuration (no walk, no
     order dependence): ``array_except`` both ways against the key's
     ordered union (A7), which is joined per row as one small array.
     """
-    idx = export_index(exports)
-    cols_long = exports.select("export_pos", F.posexplode(F.coalesce(
-        col("columns"), F.array().cast("array<string>"))).alias("cpos", "attr"))
-    j0 = ordered_union(idx.join(cols_long, "export_pos"), "key", "attr", ["export_pos", "cpos"])
-    lists = (j0.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("first", "attr"))).alias("__l"))
-             .select("key", F.transform("__l", lambda e: e["attr"]).alias("config_attrs")))
     rk = rows.select("row_id", normalize_object_type(F.coalesce(col("object_type"), F.lit("")))
                      .alias("key"), _clean_attrs(col("attrs")).alias("attrs"))
-    keyed = rk.join(idx.select("key").distinct(), "key", "left_semi").join(lists, "key", "left")
-    cfg = F.coalesce(F.col("config_attrs"), F.array().cast("array<string>"))
-    return keyed.select("row_id", F.array_except("attrs", cfg).alias("only_in_row"),
-                        F.array_except(cfg, "attrs").alias("only_in_config"))
+    keyed = rk.join(ordered_config_lists(exports).withColumnRenamed("attrs", "config_attrs"), "key")
+    return keyed.select(CONFIG, "row_id", F.array_except("attrs", "config_attrs").alias("only_in_row"),
+                        F.array_except("config_attrs", "attrs").alias("only_in_config"))
 
 
 def ordered_config_lists(exports: DataFrame) -> DataFrame:
-    """A7 per key: ``(key, attrs)`` in first-occurrence order over the key's exports."""
-    idx = export_index(exports)
-    cols_long = exports.select("export_pos", F.posexplode(F.coalesce(
-        col("columns"), F.array().cast("array<string>"))).alias("cpos", "attr"))
-    j0 = ordered_union(idx.join(cols_long, "export_pos"), "key", "attr", ["export_pos", "cpos"])
-    keys = idx.select("key").distinct()
-    lists = (j0.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("first", "attr"))).alias("__l"))
-             .select("key", F.transform("__l", lambda e: e["attr"]).alias("attrs")))
-    return keys.join(lists, "key", "left").select(
-        "key", F.coalesce("attrs", F.array().cast("array<string>")).alias("attrs"))
+    """A7 per configuration and key: ``(loader_config, key, attrs)``; a key without columns has an empty list."""
+    keys = export_index(exports).select(CONFIG, "key").distinct()
+    return keys.join(_config_lists(exports), [CONFIG, "key"], "left").select(
+        CONFIG, "key", F.coalesce("attrs", F.array().cast("array<string>")).alias("attrs"))
 
 
 def check_export_config(by_type: DataFrame, configs: DataFrame, out_dir: str | None = None
@@ -269,20 +185,20 @@ def check_export_config(by_type: DataFrame, configs: DataFrame, out_dir: str | N
     from shiftkit.sources.config import config_exports
     rows = global_row_number(by_type, ci_sort_keys(["object_type", "file_intent"])) \
         .withColumnRenamed("headers", "attrs")
-    exports = config_exports(configs).select("export_pos", "name", "business_object_type",
+    exports = config_exports(configs).select(CONFIG, "export_pos", "name", "business_object_type",
                                              "object_type", "params", "columns")
     res = attribute_sync(rows, exports)
     res["unmatched"] = res["unmatched"].select((F.col("row_id") + 1).alias("row_number"),
                                                "object_type", "file_intent")
     if out_dir:
         from shiftkit.operators.sinks import write_csv
-        write_csv(res["unmatched"], f"{out_dir}/unmatched_object_types", single_file=True)
+        write_csv(res["unmatched"], f"{out_dir}/unmatched_object_types")
         write_csv(res["sync"].select(
-            "row_id", "object_type", "file_intent", "n_config_seen",
+            CONFIG, "row_id", "object_type", "file_intent", "n_config_seen",
             F.array_join("added_to_config", "|").alias("added_to_config"),
             F.array_join("added_to_row", "|").alias("added_to_row"),
-            "n_added_to_config", "n_added_to_row"), f"{out_dir}/sync", single_file=True)
+            "n_added_to_config", "n_added_to_row"), f"{out_dir}/sync")
         write_csv(res["config_additions"].select(
-            "export_pos", "name", F.array_join("added", "|").alias("added")),
+            CONFIG, "export_pos", "name", F.array_join("added", "|").alias("added")),
             f"{out_dir}/config_additions", single_file=True)
     return res

@@ -147,3 +147,26 @@ def test_run_imports_and_analysis(spark, tmp_dir):
     assert [tuple(r) for r in totals.collect()] == [("a_upd", 2, 1, "paired")]
     assert [tuple(r) for r in counts.collect()] == [("a_upd", "record not found", 1)]
     assert missing.count() == 0
+
+
+def test_imports_follow_each_other_by_their_own_key(spark, tmp_dir):
+    from shiftkit.operators.sinks import write_csv
+    from shiftkit.plans.runs import run_imports
+    cfg = {"import_settings": {"import_path": f"{tmp_dir}/in"},
+           "imports": [{"name": "one", "params": "-upsert org__v -csv one.csv -idParam code__v"},
+                       {"name": "two", "params": "-update org__v -csv two.csv -idParam code__v"},
+                       {"name": "three", "params": "-update org__v -csv three.csv"}]}
+    os.makedirs(f"{tmp_dir}/cfg")
+    with open(f"{tmp_dir}/cfg/job.json", "w") as fh:
+        json.dump(cfg, fh)
+    orgs = spark.createDataFrame([("1", "k1", "A")], "id string, code__v string, name__v string")
+    fields = "code__v string, name__v string"
+    write_csv(spark.createDataFrame([("k1", "A1"), ("k2", "B1")], fields), f"{tmp_dir}/in/one.csv")
+    write_csv(spark.createDataFrame([("k2", "B2")], fields), f"{tmp_dir}/in/two.csv")
+    listing = spark.createDataFrame([(f"{tmp_dir}/in/{n}.csv",) for n in ("one", "two")], "path string")
+    log = run_imports(spark, read_job_configs(spark, f"{tmp_dir}/cfg"), lambda base, f: read_object_csv(spark, f"{base}/{f}"),
+                      lambda obj: orgs, f"{tmp_dir}/out", "2024-05-01 10:00:00", listing=listing)
+    got = {r["job"]: (r["status"], r["reasons"]) for r in log.collect()}
+    assert got == {"one": ("SUCCESS", []), "two": ("SUCCESS", []), "three": ("FAILED", ["input file three.csv is missing"])}
+    left = spark.read.parquet(f"{tmp_dir}/out/tables/org__v/two").collect()
+    assert sorted((r["code__v"], r["name__v"], r["id"]) for r in left) == [("k1", "A1", "1"), ("k2", "B2", None)]
