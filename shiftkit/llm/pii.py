@@ -1,12 +1,13 @@
 """Information-theoretic sanitisation of personal data.
 
 E-mail addresses, IP numbers, payment cards and phone numbers are found by
-pattern.  They are the protected entities.  A term near an entity discloses it
-when seeing the term tells most of what seeing the entity would: with counts
-of documents over the whole corpus, PMI(e; t) = log2(N n(e,t) / (n(e) n(t)))
-is compared with the entity's own information log2(N / n(e)).  Their ratio is
-1 if the term never occurs without the entity.  Above GENERALISE the term is
-replaced by a placeholder, above REMOVE it is removed.
+pattern.  They are the protected entities.  A term discloses an entity when
+seeing the term tells most of what seeing the entity would: with counts of
+documents over the whole corpus, PMI(e; t) = log2(N n(e,t) / (n(e) n(t))) is
+compared with the entity's own information log2(N / n(e)), for all terms of
+the documents that hold the entity.  Their ratio is 1 if the term never occurs
+without the entity.  From GENERALISE on the term is replaced by a placeholder,
+from REMOVE on it is removed, wherever it occurs in any document.
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ KINDS = ("email", "ip", "card", "phone")
 GENERALISE, REMOVE = 0.7, 0.9
 #: Support: documents an entity and a term must share, and the share of the entity's documents.
 MIN_DOCS, MIN_SHARE = 3, 0.5
-#: Terms on either side of an entity that count as near it.
-NEAR = 8
+#: Bits of the filter that keeps most other terms out of the join with the disclosing ones; more cost memory only.
+FILTER_BITS = 1 << 26
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -91,46 +92,27 @@ def _entity(kind: str, value: str) -> int:
     return int(np.uint64(_hash(f"{kind}:{value}")).view(np.int64))
 
 
+def _entities(t: str, spans: list[tuple[int, int, str]]) -> list[int]:
+    return sorted({_entity(k, t[s:e]) for s, e, k in spans})
+
+
 @lru_cache(1 << 16)
 def _hash(term: str) -> int:
     return text_hash(term)
 
 
-def near_terms(t: str, spans: list[tuple[int, int, str]]) -> list[tuple[int, int, int, int]]:
-    """(entity, term, start, end) of the terms near each span; terms inside a span are part of it."""
-    if not spans:
-        return []
-    terms = [m.span() for m in _TERM.finditer(t)]
-    starts = [s for s, _ in terms]
-    inside = np.zeros(len(t) + 1, np.int32)
-    for s, e, _ in spans:
-        inside[s] += 1
-        inside[e] -= 1
-    inside = np.cumsum(inside)
-    free = [i for i, (s, e) in enumerate(terms) if not inside[s:e].any()]
-    free_starts = [starts[i] for i in free]
-    out = set()
-    for s, e, kind in spans:
-        ent = _entity(kind, t[s:e])
-        at = int(np.searchsorted(free_starts, s))
-        for i in free[max(0, at - NEAR):at + NEAR]:
-            a, z = terms[i]
-            out.add((ent, int(np.uint64(_hash(t[a:z])).view(np.int64)), a, z))
-    return sorted(out)
-
-
 _SPAN = "struct<start:int,end:int,kind:string>"
 _BASE = (f"rid long, doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
-         f"base array<{_SPAN}>, near array<struct<e:long,t:long,start:int,end:int>>")
+         f"base array<{_SPAN}>, entities array<long>")
 
 
 def _found(rows: DataFrame) -> DataFrame:
-    """Base spans and near terms of (rid, doc_id, text) rows; no text in the result."""
+    """Base spans and distinct entities of (rid, doc_id, text) rows; no text in the result."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([
             ("rid", pa.int64()), ("doc_id", pa.int64()), *[(f"n_{k}", pa.int64()) for k in KINDS], ("base_sha256", pa.string()),
             ("base", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))),
-            ("near", pa.list_(pa.struct([("e", pa.int64()), ("t", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])))])
+            ("entities", pa.list_(pa.int64()))])
         for b in batches:
             out = []
             for rid, doc_id, text in zip(b.column("rid").to_pylist(), b.column("doc_id").to_pylist(), b.column("text"), strict=True):
@@ -139,47 +121,107 @@ def _found(rows: DataFrame) -> DataFrame:
                 digest = hashlib.sha256(",".join(f"{k}:{s}:{e}" for s, e, k in spans).encode()).hexdigest()
                 counts = [sum(k == x for _, _, x in spans) for k in KINDS]
                 out.append((rid, doc_id, *counts, digest, [{"start": s, "end": e, "kind": k} for s, e, k in spans],
-                            [dict(zip(("e", "t", "start", "end"), n, strict=True)) for n in near_terms(t, spans)]))
+                            _entities(t, spans)))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema=schema)
 
     return rows.mapInArrow(run, _BASE)
 
 
+class _Sums:
+    """Counts by one or two numbers as key, folded whenever a million came in."""
+
+    def __init__(self, width: int):
+        self.kept = [np.zeros(0, np.int64)] * (width + 1)
+        self.parts, self.size = [], 0
+
+    def add(self, *columns: np.ndarray) -> None:
+        self.parts.append(columns)
+        self.size += len(columns[0])
+        if self.size > 1_000_000:
+            self.fold()
+
+    def fold(self) -> None:
+        *keys, n = (np.concatenate(c) for c in zip(self.kept, *self.parts, strict=True))
+        self.parts, self.size = [], 0
+        if not len(n):
+            return
+        order = np.lexsort(keys)
+        keys, n = [k[order] for k in keys], n[order]
+        new = np.ones(len(n), bool)
+        new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+        at = np.flatnonzero(new)
+        self.kept = [*[k[at] for k in keys], np.add.reduceat(n, at)]
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """What was counted, as (e, t, n) rows; counting starts anew."""
+        self.fold()
+        n = len(self.kept[0])
+        for i in range(0, n, 200_000):
+            cols = [pa.array(c[i:i + 200_000]) for c in self.kept]
+            if len(cols) == 2:
+                cols.insert(0, pa.nulls(len(cols[0]), pa.int64()))
+            yield pa.RecordBatch.from_arrays(cols, names=["e", "t", "n"])
+        self.kept = [c[:0] for c in self.kept]
+
+
 def term_counts(docs: DataFrame) -> DataFrame:
-    """(t, n_t): documents with each term, summed in every task before the shuffle."""
+    """(e, t, n): documents with each entity and term, and (null, t, n) with each term, summed in every task first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept_h, kept_n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        parts, size = [], 0
-
-        def fold():
-            nonlocal kept_h, kept_n, parts, size
-            h = np.concatenate([kept_h, *[p[0] for p in parts]])
-            n = np.concatenate([kept_n, *[p[1] for p in parts]])
-            kept_h, at = np.unique(h, return_inverse=True)
-            kept_n = np.bincount(at, n, len(kept_h)).astype(np.int64)
-            parts, size = [], 0
-
-        def rows():
-            for i in range(0, len(kept_h), 200_000):
-                yield pa.RecordBatch.from_arrays([pa.array(kept_h[i:i + 200_000].view(np.int64)),
-                                                  pa.array(kept_n[i:i + 200_000])], names=["t", "n"])
-
+        single, pair = _Sums(1), _Sums(2)
+        for b in batches:
+            texts = b.column("text")
+            for lo, hi, data, off in utf8_chunks(texts):
+                s, e, row = runs(data, off, ~LETTER)
+                h, row = distinct_per_row(span_hashes(prefix_sums(data), s, e), row)
+                h = h.view(np.int64)
+                single.add(*np.unique(h, return_counts=True))
+                edge = np.searchsorted(row, np.arange(hi - lo + 1))
+                for i in range(hi - lo):
+                    t = data[off[i]:off[i + 1]].tobytes().decode("utf-8", "replace")
+                    mine = h[edge[i]:edge[i + 1]]
+                    for ent in _entities(t, base_spans(t)):
+                        pair.add(np.full(len(mine), ent, np.int64), mine, np.ones(len(mine), np.int64))
+                        if len(pair.kept[0]) > 2_000_000:      # bounded memory: hand over and start anew
+                            yield from pair.rows()
+                if len(single.kept[0]) > 2_000_000:
+                    yield from single.rows()
+        yield from single.rows()
+        yield from pair.rows()
+
+    return docs.select("text").mapInArrow(run, "e long, t long, n long").groupBy("e", "t").agg(F.sum("n").alias("n"))
+
+
+def _filter_of(terms: DataFrame) -> np.ndarray:
+    """A bit for each value of the low bits of the terms ``t``: 16 bits a term, FILTER_BITS at most."""
+    bits = min(FILTER_BITS, 1 << max(10, (16 * terms.count()).bit_length()))
+    words = terms.select(F.shiftrightunsigned("t", 6).bitwiseAND(F.lit(bits // 64 - 1)).alias("i"),
+                         F.expr("shiftleft(1L, cast(t & 63 as int))").alias("b")).groupBy("i").agg(F.bit_or("b").alias("b"))
+    out = np.zeros(bits // 64, np.int64)
+    for r in words.collect():          # at most FILTER_BITS / 64 rows
+        out[r.i] = r.b
+    return out.view(np.uint64)
+
+
+def _occurrences(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """(rid, t, start, end) in code points of all terms that the filter lets through."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mask = np.uint64(len(wanted) - 1)
         for b in batches:
-            for _, _, data, off in utf8_chunks(b.column("text")):
+            rid = np.asarray(b.column("rid"))
+            for lo, _, data, off in utf8_chunks(b.column("text")):
                 s, e, row = runs(data, off, ~LETTER)
-                h, _ = distinct_per_row(span_hashes(prefix_sums(data), s, e), row)
-                parts.append(np.unique(h, return_counts=True))
-                size += len(parts[-1][0])
-                if size > 1_000_000:
-                    fold()
-                    if len(kept_h) > 2_000_000:      # bounded memory: hand over and start anew
-                        yield from rows()
-                        kept_h, kept_n = kept_h[:0], kept_n[:0]
-        if parts:
-            fold()
-        yield from rows()
+                h = span_hashes(prefix_sums(data), s, e)
+                hit = np.flatnonzero(wanted[(h >> np.uint64(6)) & mask] >> (h & np.uint64(63)) & np.uint64(1))
+                if not len(hit):
+                    continue
+                signs = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])      # code points before each byte
+                s, e, row = s[hit], e[hit], row[hit]
+                first = signs[off[row]]
+                cols = [rid[lo + row], h[hit].view(np.int64), (signs[s] - first).astype(np.int32), (signs[e] - first).astype(np.int32)]
+                for i in range(0, len(hit), 200_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(c[i:i + 200_000]) for c in cols], names=["rid", "t", "start", "end"])
 
-    return docs.select("text").mapInArrow(run, "t long, n long").groupBy("t").agg(F.sum("n").alias("n_t"))
+    return docs.select(F.col("__rid").alias("rid"), "text").mapInArrow(run, "rid long, t long, start int, end int")
 
 
 def _identified(docs: DataFrame) -> DataFrame:
@@ -195,24 +237,26 @@ def detect(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMO
     """
     ship_package(docs.sparkSession)
     base = landed(_found(_identified(docs).select(F.col("__rid").alias("rid"), "doc_id", "text")), "pii-base")
-    pairs = base.select(F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(
-        x["e"].alias("e"), x["t"].alias("t"))))).alias("p")).groupBy("p.e", "p.t").agg(F.count(F.lit(1)).alias("n_et"))
-    entities = base.select(F.explode(F.array_distinct(F.transform("near", lambda x: x["e"]))).alias("e")).groupBy("e").agg(
+    counts = landed(term_counts(docs), "pii-counts")
+    entities = base.select(F.explode("entities").alias("e")).groupBy("e").agg(
         F.count(F.lit(1)).alias("n_e")).where(F.col("n_e") >= MIN_DOCS)
-    near = pairs.where(F.col("n_et") >= MIN_DOCS).join(entities, "e").where(F.col("n_et") >= MIN_SHARE * F.col("n_e"))
+    pairs = counts.where("e is not null").withColumnRenamed("n", "n_et").where(F.col("n_et") >= MIN_DOCS).join(
+        entities, "e").where(F.col("n_et") >= MIN_SHARE * F.col("n_e"))
+    pairs = pairs.join(counts.where("e is null").select("t", F.col("n").alias("n_t")), "t")
     n = base.count()
     pmi = F.log2(F.lit(float(n)) * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
     own = F.log2(F.lit(float(n)) / F.col("n_e"))
     strength = F.when(own > 0, pmi / own).otherwise(0.0)
-    disclosing = landed(near.join(term_counts(docs), "t").withColumn("strength", strength)
-                        .where(F.col("strength") >= generalise).select("e", "t", "strength"), "pii-terms")
-    spans = (base.select("rid", F.explode("near").alias("x")).select("rid", "x.*").distinct().join(disclosing, ["e", "t"])
-             .groupBy("rid", "start", "end").agg(F.max("strength").alias("strength"))
-             .groupBy("rid").agg(F.collect_list(F.struct(
-                 "start", "end", F.when(F.col("strength") >= remove, "removed").otherwise("term").alias("kind"))).alias("terms")))
+    disclosing = landed(pairs.withColumn("strength", strength).where(F.col("strength") >= generalise)
+                        .groupBy("t").agg(F.max("strength").alias("strength")), "pii-terms")
+    spans = (_occurrences(_identified(docs), _filter_of(disclosing)).join(disclosing, "t").groupBy("rid").agg(F.collect_set(F.struct(
+        "start", "end", F.when(F.col("strength") >= remove, "removed").otherwise("term").alias("kind"))).alias("terms")))
+    # A term inside an entity is part of it.
+    terms = F.filter(F.coalesce("terms", F.array().cast(f"array<{_SPAN}>")), lambda x: ~F.exists(
+        "base", lambda b: (x["start"] < b["end"]) & (b["start"] < x["end"])))
     rank = {k: i for i, k in enumerate((*KINDS, "term", "removed"))}
     order = F.create_map(*[F.lit(x) for kv in rank.items() for x in kv])
-    every = F.array_sort(F.transform(F.concat("base", F.coalesce("terms", F.array().cast(f"array<{_SPAN}>"))), lambda x: F.struct(
+    every = F.array_sort(F.transform(F.concat("base", terms), lambda x: F.struct(
         x["start"].alias("start"), order[x["kind"]].alias("rank"), x["end"].alias("end"), x["kind"].alias("kind"))))
     return base.join(spans, "rid", "left").select(
         "rid", "doc_id", *[f"n_{k}" for k in KINDS], "base_sha256",

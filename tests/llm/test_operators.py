@@ -184,6 +184,20 @@ def test_pii_patterns_and_terms(spark):
     assert pii.detect(df.limit(0)).count() == 0
 
 
+def test_pii_terms_far_from_their_entity(spark):
+    """Terms count and go in the whole text and in texts without the entity, in code points."""
+    secret = [(i, f"Zorgon é {prose(i, 20)} me@corp.example {prose(70 + i, 20)} zorgon") for i in range(6)]
+    alone = [(50, "ü ZORGON alone")]
+    df = spark.createDataFrame([*secret, *secret[:1], *alone, *[(100 + i, prose(50 + i, 30)) for i in range(60)]], "doc_id long, text string")
+    for r in pii.detect(df).collect():
+        text = dict([*secret, *alone]).get(r.doc_id, "")
+        want = [m.span() for m in re.finditer("zorgon", text, re.I)]
+        assert [(s.start, s.end) for s in r.all_spans if text[s.start:s.end].lower() == "zorgon"] == want
+        assert sum(s.kind == "email" for s in r.all_spans) == ("@" in text)
+    kept = [r.text for r in pii.sanitised(df).collect()]
+    assert len(kept) == df.count() and not any("zorgon" in t.lower() for t in kept)
+
+
 def test_ngram_model_against_plain_counts(spark, docs):
     rows = pairs(docs.collect())
     model = ngram_lm.train(docs)
