@@ -6,7 +6,8 @@ seeing the term tells most of what seeing the entity would: with counts of
 documents over the whole corpus, PMI(e; t) = log2(N n(e,t) / (n(e) n(t))) is
 compared with the entity's own information log2(N / n(e)), for all terms of
 the documents that hold the entity.  Their ratio is 1 if the term never occurs
-without the entity.  From GENERALISE on the term is replaced by a placeholder,
+without the entity.  Terms that meet the entity no more often than chance may
+bring about are left alone.  From GENERALISE on the term is replaced by a placeholder,
 from REMOVE on it is removed, wherever it occurs in any document.
 """
 
@@ -19,7 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,8 +30,10 @@ from shiftkit.session import ship_package
 
 KINDS = ("email", "ip", "card", "phone")
 GENERALISE, REMOVE = 0.7, 0.9
-#: Support: documents an entity and a term must share, and the share of the entity's documents.
-MIN_DOCS, MIN_SHARE = 3, 0.5
+#: Significance: the chance that independent ones share as many documents.  For a term that occurs without the entity
+#: too it is multiplied by the number of terms (Bonferroni), for any of them might have met the entity by chance.
+#: A term that never does changes no document but the entity's, so its own chance counts.
+CHANCE = 0.05
 #: Bits of the filter that keeps most other terms out of the join with the disclosing ones; more cost memory only.
 FILTER_BITS = 1 << 26
 
@@ -192,26 +195,32 @@ def term_counts(docs: DataFrame) -> DataFrame:
 
 
 def _filter_of(terms: DataFrame) -> np.ndarray:
-    """A bit for each value of the low bits of the terms ``t``: 16 bits a term, FILTER_BITS at most."""
-    bits = min(FILTER_BITS, 1 << max(10, (16 * terms.count()).bit_length()))
-    words = terms.select(F.shiftrightunsigned("t", 6).bitwiseAND(F.lit(bits // 64 - 1)).alias("i"),
-                         F.expr("shiftleft(1L, cast(t & 63 as int))").alias("b")).groupBy("i").agg(F.bit_or("b").alias("b"))
+    """A Bloom filter of the terms ``t`` with two bits each: 32 bits a term, FILTER_BITS at most."""
+    bits = min(FILTER_BITS, 1 << max(10, (32 * terms.count()).bit_length()))
+    two = terms.select(F.explode(F.array("t", F.shiftrightunsigned("t", 32))).alias("p")).select(
+        F.col("p").bitwiseAND(F.lit(bits - 1)).alias("p"))
+    words = two.groupBy(F.shiftright("p", 6).alias("i")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("b"))
     out = np.zeros(bits // 64, np.int64)
     for r in words.collect():          # at most FILTER_BITS / 64 rows
         out[r.i] = r.b
     return out.view(np.uint64)
 
 
+def _in_filter(wanted: np.ndarray, h: np.ndarray) -> np.ndarray:
+    six, mask, one = np.uint64(6), np.uint64(64 * len(wanted) - 1), np.uint64(1)
+    p, q = h & mask, (h >> np.uint64(32)) & mask
+    return (wanted[p >> six] >> (p & np.uint64(63)) & wanted[q >> six] >> (q & np.uint64(63)) & one).astype(bool)
+
+
 def _occurrences(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
     """(rid, t, start, end) in code points of all terms that the filter lets through."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask = np.uint64(len(wanted) - 1)
         for b in batches:
             rid = np.asarray(b.column("rid"))
             for lo, _, data, off in utf8_chunks(b.column("text")):
                 s, e, row = runs(data, off, ~LETTER)
                 h = span_hashes(prefix_sums(data), s, e)
-                hit = np.flatnonzero(wanted[(h >> np.uint64(6)) & mask] >> (h & np.uint64(63)) & np.uint64(1))
+                hit = np.flatnonzero(_in_filter(wanted, h))
                 if not len(hit):
                     continue
                 signs = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])      # code points before each byte
@@ -224,6 +233,19 @@ def _occurrences(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
     return docs.select(F.col("__rid").alias("rid"), "text").mapInArrow(run, "rid long, t long, start int, end int")
 
 
+def _chance(n: float, n_e: Column, n_t: Column, n_et: Column) -> Column:
+    """A bound (Chernoff, Hoeffding) of the probability that independent ``e`` and ``t`` share ``n_et`` documents or more.
+
+    Either set of documents may be seen as the one drawn; the lower bound holds.  A single document shared by one
+    entity and one term of one document each gives 1 / N, which is exact.
+    """
+    def bound(drawn: Column, marked: Column) -> Column:
+        x, q = n_et / drawn, marked / F.lit(n)
+        rest = F.when(x < 1, (1 - x) * F.log((1 - x) / (1 - q))).otherwise(0.0)
+        return F.when(x > q, F.exp(-drawn * (x * F.log(x / q) + rest))).otherwise(1.0)
+    return F.least(bound(n_e, n_t), bound(n_t, n_e))
+
+
 def _identified(docs: DataFrame) -> DataFrame:
     return docs.withColumn("__rid", F.xxhash64("doc_id", "text"))
 
@@ -238,16 +260,16 @@ def detect(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMO
     ship_package(docs.sparkSession)
     base = landed(_found(_identified(docs).select(F.col("__rid").alias("rid"), "doc_id", "text")), "pii-base")
     counts = landed(term_counts(docs), "pii-counts")
-    entities = base.select(F.explode("entities").alias("e")).groupBy("e").agg(
-        F.count(F.lit(1)).alias("n_e")).where(F.col("n_e") >= MIN_DOCS)
-    pairs = counts.where("e is not null").withColumnRenamed("n", "n_et").where(F.col("n_et") >= MIN_DOCS).join(
-        entities, "e").where(F.col("n_et") >= MIN_SHARE * F.col("n_e"))
+    entities = base.select(F.explode("entities").alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("n_e"))
+    pairs = counts.where("e is not null").withColumnRenamed("n", "n_et").join(entities, "e")
     pairs = pairs.join(counts.where("e is null").select("t", F.col("n").alias("n_t")), "t")
     n = base.count()
     pmi = F.log2(F.lit(float(n)) * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
     own = F.log2(F.lit(float(n)) / F.col("n_e"))
     strength = F.when(own > 0, pmi / own).otherwise(0.0)
-    disclosing = landed(pairs.withColumn("strength", strength).where(F.col("strength") >= generalise)
+    chance = _chance(float(n), F.col("n_e"), F.col("n_t"), F.col("n_et"))
+    tests = F.when(F.col("n_et") == F.col("n_t"), 1.0).otherwise(float(counts.where("e is null").count()))
+    disclosing = landed(pairs.withColumn("strength", strength).where((F.col("strength") >= generalise) & (chance * tests <= CHANCE))
                         .groupBy("t").agg(F.max("strength").alias("strength")), "pii-terms")
     spans = (_occurrences(_identified(docs), _filter_of(disclosing)).join(disclosing, "t").groupBy("rid").agg(F.collect_set(F.struct(
         "start", "end", F.when(F.col("strength") >= remove, "removed").otherwise("term").alias("kind"))).alias("terms")))

@@ -198,6 +198,21 @@ def test_pii_terms_far_from_their_entity(spark):
     assert len(kept) == df.count() and not any("zorgon" in t.lower() for t in kept)
 
 
+def test_pii_terms_of_rare_entities_and_of_few_of_their_documents(spark):
+    """Entities of one and two documents, a nickname in 4 of 12 documents; what chance may bring about stays."""
+    rows = [(0, f"{prose(0, 9)} onlyhere {prose(1, 9)} 10.1.2.3"), *[(i, f"twice {prose(i, 12)} +49 30 1234567") for i in (1, 2)]]
+    rows += [(10 + i, f"{'nick ' * (i < 4)}{prose(10 + i, 12)} me@corp.example") for i in range(12)]
+    rows += [(100 + i, prose(100 + i, 30)) for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in pii.detect(df).collect():
+        text = dict(rows)[r.doc_id]
+        cut = [text[s.start:s.end] for s in r.all_spans if s.kind in ("term", "removed")]
+        assert cut == [w for w in ("onlyhere", "twice", "nick") if w in text]
+    # One of five documents in a corpus of five: as likely as not by chance.
+    few = spark.createDataFrame([(0, "gamma me@corp.example"), *[(i, f"alpha {i}") for i in range(1, 5)]], "doc_id long, text string")
+    assert [[s.kind for s in r.all_spans] for r in pii.detect(few).where("doc_id = 0").collect()] == [["email"]]
+
+
 def test_ngram_model_against_plain_counts(spark, docs):
     rows = pairs(docs.collect())
     model = ngram_lm.train(docs)
