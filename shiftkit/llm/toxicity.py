@@ -2,16 +2,19 @@
 
 Words written with digits and signs for letters, spaced out or with repeated
 letters are read as lattices: every sign may stand for some letters or for
-nothing, a repeated letter for one or two.  A Viterbi beam search under a
-character trigram model of the corpus restores the likeliest words, and they
-are scored together with the plain ones.  Scores come from word and word-stem
+nothing, a repeated letter for one or two, a gap between single letters for
+nothing or a word end.  An exact Viterbi search under a character trigram
+model of the corpus restores the likeliest words, and they are scored
+together with the plain ones.  Scores come from word and word-stem
 weights learnt from labelled documents and a logistic calibration.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shiftkit.llm.common import LETTER, crc_mod, distinct_per_row, mix, prefix_sums, runs, span_hashes, table, text_hash, utf8_chunks
+from shiftkit.llm.common import LETTER, crc_mod, distinct_per_row, mix, prefix_sums, runs, span_hashes, table, utf8_chunks
 from shiftkit.llm.logistic import Logistic
 from shiftkit.llm.samples import labelled_ids
 from shiftkit.session import ship_package
@@ -31,12 +34,14 @@ STEMS = (4, 5, 6)
 #: What a sign may stand for in place of a letter.
 SIGNS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
          "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c"}
-BEAM, READINGS = 24, 3
+READINGS = 3                                        # kept for each of the 28 * 28 states of the model
 _SUBSTITUTE, _DROP, _REPEAT = -1.0, -2.5, -1.5      # log10 channel costs
 _BYTES = 28                                          # 0: word end, 1-26: a-z, 27: any other byte
 
 _SIGN = np.zeros(256, bool)
 _SIGN[[ord(c) for c in SIGNS]] = True
+#: Where a token has more than one reading: repeats, and whatever is not a letter.
+_CHOICE = re.compile("(.)\\1+|[^a-z\x80-\U0010ffff]", re.DOTALL)
 _CLASS = np.zeros(256, np.int64)
 _CLASS[97:123] = _CLASS[65:91] = np.arange(1, 27)
 _CLASS[128:] = 27
@@ -81,73 +86,102 @@ class CharModel:
         self.logp = np.log10(p3).tolist()
 
     def readings(self, token: str) -> list[str]:
-        """The likeliest plain words that ``token`` may stand for."""
+        """The likeliest plain texts that ``token`` may stand for, with a blank where one word ends and the next begins.
+
+        A blank in ``token`` is a gap between spaced letters.  The search is
+        exact: every state (the last two letters) keeps its READINGS best texts.
+        """
         steps: list[list[tuple[str, float]]] = []
-        i = 0
-        while i < len(token):
-            j = i
-            while j < len(token) and token[j] == token[i]:
-                j += 1
-            ch, n = token[i], j - i
-            if "a" <= ch <= "z" or ord(ch) >= 128:
-                if n >= 3:
-                    steps.append([(ch, 0.0), (ch * 2, _REPEAT)])
-                else:
-                    steps += [[(ch, 0.0)]] * n
+        i, n_texts = 0, 1
+        for m in _CHOICE.finditer(token):
+            if m.start() > i:
+                steps.append([(token[i:m.start()], 0.0)])
+            i = m.end()
+            ch, n = token[m.start()], i - m.start()
+            if ch == " ":
+                steps.append([("", 0.0), (" ", 0.0)])
+            elif "a" <= ch <= "z" or ord(ch) >= 128:
+                steps.append([(ch * 2, 0.0 if n == 2 else _REPEAT), (ch, _REPEAT if n == 2 else 0.0)])
             else:
                 one = [(x, _SUBSTITUTE) for x in SIGNS.get(ch, "")]
-                if n == 1:
-                    steps.append([*one, ("", _DROP if one else 0.0)])
-                else:
-                    steps.append([*one, *[(x * 2, 2 * c) for x, c in one], ("", _DROP)])
-            i = j
-        beam = {(0, 0, ""): 0.0}
+                two = [(x * 2, 2 * c) for x, c in one] if n > 1 else []
+                steps.append([*one, *two, ("", _DROP if one else 0.0)])
+            n_texts *= len(steps[-1])
+        steps.append([(token[i:], 0.0)])
+        if n_texts <= READINGS and " " not in token:         # nothing to choose
+            return [t for t in dict.fromkeys("".join(x for x, _ in way) for way in product(*steps)) if t]
+        states: dict[tuple[int, int], list[tuple[float, str]]] = {(0, 0): [(0.0, "")]}
         for options in steps:
-            nxt: dict[tuple[int, int, str], float] = {}
-            for (a, b, done), cost in beam.items():
+            nxt: dict[tuple[int, int], dict[str, float]] = {}
+            for (a, b), texts in states.items():
                 for letters, channel in options:
-                    x, y, total = a, b, cost + channel
+                    x, y, total = a, b, channel
                     for ch in letters:
+                        if ch == " ":
+                            if y:                        # a word end, and the next word has nothing before it
+                                total += self.logp[x][y][0]
+                            x, y = 0, 0
+                            continue
                         z = ord(ch) - 96 if "a" <= ch <= "z" else 27
                         total += self.logp[x][y][z]
                         x, y = y, z
-                    key = (x, y, done + letters)
-                    if total > nxt.get(key, -1e30):
-                        nxt[key] = total
-            beam = dict(sorted(nxt.items(), key=lambda kv: (-kv[1], kv[0]))[:BEAM])
-        ends = sorted(((s + self.logp[a][b][0], w) for (a, b, w), s in beam.items()), key=lambda e: (-e[0], e[1]))
-        return [w for _, w in ends[:READINGS] if w]
+                    best = nxt.setdefault((x, y), {})
+                    for cost, done in texts:
+                        text = done if letters == " " and (not done or done[-1] == " ") else done + letters
+                        if cost + total > best.get(text, -1e30):
+                            best[text] = cost + total
+            states = {k: [(c, t) for t, c in sorted(v.items(), key=lambda tc: (-tc[1], tc[0]))[:READINGS]] for k, v in nxt.items()}
+        ends: dict[str, float] = {}
+        for (a, b), texts in states.items():
+            for cost, text in texts:
+                text, cost = text.strip(), cost + (self.logp[a][b][0] if b else 0.0)
+                ends[text] = max(cost, ends.get(text, -1e30))
+        return [t for t, _ in sorted(ends.items(), key=lambda tc: (-tc[1], tc[0]))[:READINGS] if t]
 
 
 # --- features -----------------------------------------------------------------
 
 def suspicious(data: np.ndarray, off: np.ndarray) -> list[tuple[int, str]]:
-    """(row, token) of the words that may be disguised, lower-cased; spaced letters are joined."""
+    """(row, token) of the words that may be disguised, lower-cased; spaced letters are one token with blanks.
+
+    These are words with a sign or separator between letters, a repeated
+    letter, or a sign at an end.
+    """
     s, e, row = runs(data, off)
     if not len(s):
         return []
     letter, sign = LETTER[data], _SIGN[data]
-    same = np.zeros(len(data), bool)
-    same[2:] = letter[2:] & (data[2:] == data[1:-1]) & (data[2:] == data[:-2])
 
     def has(flags: np.ndarray) -> np.ndarray:
         p = np.concatenate([[0], np.cumsum(flags)])
         return p[e] - p[s]
 
+    folded = np.where((data >= 65) & (data <= 90), data + 32, data)
     letters, length = has(letter), e - s
-    # A sign counts only before a letter; trailing ones are punctuation as often as not.
-    before = np.zeros(len(data), bool)
-    before[:-1] = sign[:-1] & (letter[1:] | sign[1:])
-    odd = ((letters > 0) & (has(before) > 0)) | (has(same) > 0)
+    ids = np.repeat(np.arange(len(s)), length)
+    change = np.bincount(s, minlength=len(data) + 1) - np.bincount(e, minlength=len(data) + 1)
+    inside = np.flatnonzero(np.cumsum(change)[:-1])
+    # First and last letter of each word: what is not a letter between them may be a letter or a separator.
+    at = inside[letter[inside]]
+    of = ids[letter[inside]]
+    first, last = np.full(len(s), -1), np.full(len(s), -1)
+    first[of[::-1]], last[of] = at[::-1], at
+    between = (letters > 0) & (last - first + 1 > letters)
+    same = np.zeros(len(data), bool)
+    same[1:] = letter[1:] & (data[1:] < 128) & (folded[1:] == folded[:-1])
+    # A sign before the first letter or after the last may stand for one, whatever follows it: idio7, idio7! and idio7.
+    after = np.minimum(last + 1, len(data) - 1)
+    edge = (letters > 0) & (sign[s] | sign[e - 1] | ((last + 1 < e) & sign[after]))
+    odd = between | edge | (has(same) > 0)
     found = [(int(row[i]), data[s[i]:e[i]].tobytes().decode("utf-8", "replace").lower()) for i in np.flatnonzero(odd)]
     single = (length == 1) & (letter[s] | sign[s])
     if single.any():
-        edge = np.flatnonzero(np.diff(np.concatenate([[0], single.astype(np.int8), [0]])))
-        for a, z in zip(edge[::2], edge[1::2], strict=True):
+        ends = np.flatnonzero(np.diff(np.concatenate([[0], single.astype(np.int8), [0]])))
+        for a, z in zip(ends[::2], ends[1::2], strict=True):
             for r in np.unique(row[a:z]):
                 k = np.flatnonzero(row[a:z] == r) + a
                 if len(k) >= 3:
-                    found.append((int(r), data[s[k]].tobytes().decode("latin-1").lower()))
+                    found.append((int(r), " ".join(data[s[k]].tobytes().decode("latin-1").lower())))
     return found
 
 
@@ -155,8 +189,7 @@ def _stem(h: np.ndarray, k: int) -> np.ndarray:
     return mix(h + np.uint64(k))
 
 
-def features(data: np.ndarray, off: np.ndarray, read) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (feature hash, row): words, their first bytes, and both of restored words."""
+def _words_and_stems(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     s, e, row = runs(data, off, ~LETTER)
     p = prefix_sums(data)
     hs, rows = [span_hashes(p, s, e)], [row]
@@ -164,27 +197,25 @@ def features(data: np.ndarray, off: np.ndarray, read) -> tuple[np.ndarray, np.nd
         ok = (e - s) > k
         hs.append(_stem(span_hashes(p, s[ok], s[ok] + k), k))
         rows.append(row[ok])
-    extra = [(r, h) for r, token in suspicious(data, off) for h in read(token)]
-    if extra:
-        hs.append(np.array([h for _, h in extra], np.uint64))
-        rows.append(np.array([r for r, _ in extra], np.int64))
-    return distinct_per_row(np.concatenate(hs), np.concatenate(rows))
+    return np.concatenate(hs), np.concatenate(rows)
+
+
+def features(data: np.ndarray, off: np.ndarray, read) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (feature hash, row): words, their first bytes, and both of restored words."""
+    h, row = _words_and_stems(data, off)
+    found = suspicious(data, off)
+    if found:
+        texts = [read(token) for _, token in found]
+        h2, of = _words_and_stems(np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])]))
+        h, row = np.concatenate([h, h2]), np.concatenate([row, np.array([r for r, _ in found], np.int64)[of]])
+    return distinct_per_row(h, row)
 
 
 def reader(chars: CharModel):
-    """token -> feature hashes of its readings, remembered for recurring tokens."""
+    """token -> its readings as one text, remembered for recurring tokens."""
     @lru_cache(1 << 16)
-    def read(token: str) -> tuple[int, ...]:
-        out = []
-        for w in chars.readings(token):
-            out.append(text_hash(w))
-            raw = w.encode("utf-8", "replace")
-            for k in STEMS:
-                if len(raw) > k:
-                    b = np.frombuffer(raw[:k], np.uint8)
-                    one = span_hashes(prefix_sums(b), np.zeros(1, np.int64), np.full(1, k, np.int64))
-                    out.append(int(_stem(one, k)[0]))
-        return tuple(out)
+    def read(token: str) -> bytes:
+        return " ".join(chars.readings(token)).encode("utf-8", "replace")
     return read
 
 

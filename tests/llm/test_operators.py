@@ -326,6 +326,18 @@ def test_quality_and_toxicity_learn_and_hold(spark):
     assert {r.score for r in toxicity.scored(df, toxicity.fit(df, none)).collect()} == {0.5}
 
 
+def test_disguised_words_are_restored(spark):
+    text = " ".join(["you are a stupid idiot and a scoundrel"] * 50 + [prose(1, 300)])
+    chars = toxicity.CharModel(toxicity.char_counts(spark.createDataFrame([(1, text)], "doc_id long, text string")))
+    for disguise, word in [("s.t.u.p.i.d", "stupid"), ("s-t-u-p-i-d", "stupid"), ("st*pid stu_pid", "stupid"), ("sstuuppiidd", "stupid"),
+                           ("idio7", "idiot"), ("idio7!", "idiot"), ("a s t u p i d", "stupid"), ("y o u i d i o t", "idiot"), ("SC0undr3l", "scoundrel")]:
+        raw = np.frombuffer(f"é {disguise} x.".encode(), np.uint8)
+        found = toxicity.suspicious(raw, np.array([0, len(raw)]))
+        assert any(word in text.split(" ") for _, token in found for text in chars.readings(token)), disguise
+    raw = np.frombuffer(b"plain words, (here) end. 12 %", np.uint8)
+    assert [t for _, t in toxicity.suspicious(raw, np.array([0, len(raw)]))] == ["(here)"]
+
+
 def test_pipeline_stages_keep_columns(spark):
     d = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{d}/documents.parquet")
