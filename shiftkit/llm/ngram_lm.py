@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from shiftkit.llm.common import crc_mod, landed, mix, planes, table, unplanes, utf8_chunks, words
 from shiftkit.session import shared_dir, ship_package
 
-#: Pairs met less often are not stored; their mass goes to the lower order.
+#: ``train``'s default: pairs met less often are not stored and their mass goes to the lower order.  op5 stores all.
 MIN_PAIR = 2
 _U = np.uint64
 #: Hash of the end of a text, and of the place before its first word.
@@ -136,7 +136,7 @@ def _join(parts: list, i: int, dtype) -> np.ndarray:
     return np.concatenate([unplanes(p[i], dtype) for p in parts]) if parts else np.zeros(0, dtype)
 
 
-def _merge_pairs(blocks: DataFrame, shards: int) -> DataFrame:
+def _merge_pairs(blocks: DataFrame, shards: int, min_pair: int) -> DataFrame:
     """Merge pairs: rows for word shards (words, contexts, followers), and kind -1 rows with the stored pairs of the shard."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s, kinds in _of_shard(rows):
@@ -159,7 +159,7 @@ def _merge_pairs(blocks: DataFrame, shards: int) -> DataFrame:
             yield from _blocks(_CONTEXT, _shard(a, shards), [a, *[x.astype(np.uint32) for x in c]], shards)
             a, c = _summed(w, np.ones(len(w)))
             yield from _blocks(_FOLLOWS, _shard(a, shards), [a, c.astype(np.uint32)], shards)
-            keep = n >= MIN_PAIR
+            keep = n >= min_pair
             key = pair_key(v[keep], w[keep])
             order = np.argsort(key)
             of = np.array([(n == i).sum() for i in (1, 2, 3, 4)], np.int64)
@@ -187,7 +187,7 @@ _STORE = ("shard int, words binary, counts binary, follows binary, backoff binar
           "n_entries long, n_pairs long, n_words long, n_tokens long, n_follows long, f1 long, f2 long, f3 long, f4 long")
 
 
-def _store(merged: DataFrame, shards: int, d: tuple[float, float, float], path: str) -> None:
+def _store(merged: DataFrame, shards: int, d: tuple[float, float, float], path: str, min_pair: int) -> None:
     """Write one file a shard: words with counts, contexts followed and backoff mass, and the stored pairs."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s, kinds in _of_shard(rows):
@@ -201,8 +201,8 @@ def _store(merged: DataFrame, shards: int, d: tuple[float, float, float], path:
             back = np.ones(len(w))
             if parts := kinds.get(_CONTEXT):
                 a, n1, n2, n3 = _summed(_join(parts, 0, np.uint64), *[_join(parts, i, np.uint32) for i in (1, 2, 3)])
-                # Pairs met once are not stored, so all of their mass is left to the lower order.
-                left = (n1 if MIN_PAIR > 1 else n1 * d[0]) + n2 * d[1] + n3 * d[2]
+                # If pairs met once are not stored, all of their mass is left to the lower order.
+                left = (n1 if min_pair > 1 else n1 * d[0]) + n2 * d[1] + n3 * d[2]
                 is_start = a == _START
                 if is_start.any():
                     start = float(left[is_start][0])
@@ -324,22 +324,24 @@ class NgramModel:
                 np.bincount(row, base[at], n), np.bincount(row, np.log10(p), n)]
 
 
-def train(docs: DataFrame) -> NgramModel:
+def train(docs: DataFrame, min_pair: int = MIN_PAIR) -> NgramModel:
     """Count and store the model of all given documents; a null text has only its end.
 
+    ``min_pair`` 1 stores all pairs, 2 leaves those met once to the lower order.
+
     As many shards as the session has shuffle partitions.  Only sums of a
     few numbers a shard come to the driver.
     """
     spark = docs.sparkSession
     ship_package(spark)
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    merged = _merge_pairs(_count(docs, shards), shards)
+    merged = _merge_pairs(_count(docs, shards), shards, min_pair)
     of = np.zeros(4, np.int64)
     for r in merged.where("kind = -1").select("c").collect():
         of += np.frombuffer(r.c, np.int64)
     d = discounts(of)
     path = shared_dir(spark, "lm-model")
-    _store(merged, shards, d, path)
+    _store(merged, shards, d, path, min_pair)
     store = spark.read.schema(_STORE).parquet(path)
     total = store.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in
                         ("n_words", "n_tokens", "n_follows", "f1", "f2", "f3", "f4")]).first()
@@ -373,7 +375,7 @@ def scored(docs: DataFrame, model: NgramModel) -> DataFrame:
 
 def op5_ngram_lm(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = train(docs.where(crc_mod("doc_id", 5) != 1))
+    model = train(docs.where(crc_mod("doc_id", 5) != 1), min_pair=1)
     return scored(docs, model).select(
         "doc_id", (crc_mod("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known",
         F.lit(model.n_tokens).cast("long").alias("train_tokens"), "base_score", "score",

@@ -244,6 +244,34 @@ def test_ngram_model_against_plain_counts(spark, docs):
     assert [r.score for r in ngram_lm.scored(docs, empty).collect()] == [0.0] * len(rows)
 
 
+def test_ngram_model_with_all_pairs(spark, docs, monkeypatch):
+    """Pairs met once count with their own discount; op5 asks for them; probabilities of all words sum to 1."""
+    toks = [words(r.text) + [None] for r in docs.collect()]
+    c, pr = Counter(w for t in toks for w in t), Counter(p for t in toks for p in zip(["<s>"] + t[:-1], t, strict=True))
+    model = ngram_lm.train(docs, min_pair=1)
+    d, e = model.pair_discounts, model.word_discounts
+    fol, ctx = Counter(w for _, w in pr), Counter()
+    for (a, _), k in pr.items():
+        ctx[a] += k
+
+    def p(a, w):
+        f = fol.get(w, 0)
+        low = (max(f - (e[min(f, 3) - 1] if f else 0), 0) + model.word_left / (len(c) + 1)) / len(pr)
+        back = sum(d[min(k, 3) - 1] for (v, _), k in pr.items() if v == a)
+        k = pr.get((a, w), 0)
+        return low * back / ctx[a] + (k - d[min(k, 3) - 1]) / ctx[a] * (k > 0) if ctx[a] else low
+
+    assert abs(sum(p(WORDS[0], w) for w in c) + p(WORDS[0], "@") - 1) < 1e-9
+    once = next(a for (a, w), k in pr.items() if k == 1 and a in WORDS and w in WORDS)
+    after = next(w for (a, w), k in pr.items() if k == 1 and a == once and w in WORDS)
+    got = ngram_lm.scored(spark.createDataFrame([(1, f"{once} {after}")], "doc_id long, text string"), model).first().score
+    assert abs(got - sum(math.log10(p(a, w)) for a, w in (("<s>", once), (once, after), (after, None)))) < 1e-3
+    asked = []
+    monkeypatch.setattr(ngram_lm, "train", lambda rows, **kw: asked.append(kw) or model)
+    ngram_lm.op5_ngram_lm(spark, "/root/testdata/sf0.001")
+    assert asked == [{"min_pair": 1}]
+
+
 def test_warc_round_trip(spark):
     big = "<p>" + "ä" * 700
     rows = [(1, "http://a/ b\n", big), (2, None, big), (5, "u", big), (3, "u", "small"), (4, "u", "small"), (6, "u", None), (None, "u", big), (7, "u", "x\r\n\r\n" * 400)]
