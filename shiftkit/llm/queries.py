@@ -12,6 +12,7 @@ from shiftkit.llm.ngram_lm import op5_ngram_lm
 from shiftkit.llm.packing import op7_packing
 from shiftkit.llm.pii import op3_pii
 from shiftkit.llm.quality import op4_quality_classifier
+from shiftkit.llm.suffix_dedup import op13_suffix_dedup
 from shiftkit.llm.toxicity import op10_toxicity
 from shiftkit.llm.vector_codes import ORACLE as CODES_ORACLE
 from shiftkit.llm.vector_codes import op12_vector_codes
@@ -31,6 +32,7 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op11_fill_in_middle": op11_fill_in_middle,
     "op12_vector_codes": op12_vector_codes,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 ORACLES: dict[str, str] = {
