@@ -139,9 +139,10 @@ class Block:
 
     @staticmethod
     def slices(shard: np.ndarray) -> Iterator[tuple[int, slice]]:
-        edge = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])) if len(shard) else []
-        for lo, hi in zip(edge, [*edge[1:], len(shard)], strict=True):
-            yield int(shard[lo]), slice(int(lo), int(hi))
+        edge = np.flatnonzero(np.diff(shard)) + 1
+        for lo, hi in zip([0, *edge.tolist()], [*edge.tolist(), len(shard)], strict=True):
+            if hi > lo:
+                yield int(shard[lo]), slice(lo, hi)
 
     def candidates(self, answers: list[dict]) -> None:
         """Distinct pieces of the anchors that shards found in more than one document, in the order of their verdicts."""
