@@ -22,6 +22,7 @@ from shiftkit.functions.params import (
 from shiftkit.operators.aggregate import row_count_observed
 from shiftkit.operators.joins import substring_grams
 from shiftkit.operators.project import mark_ignored, project_columns, where_filter
+from shiftkit.plans.relations import Relations, resolve_export
 
 RUN_LOG_SCHEMA = ("run_ts timestamp, job string, op string, object_name string, status string, "
                   "file_name string, row_count long, reasons array<string>, ts timestamp")
@@ -129,7 +130,7 @@ def run_log_from_outcomes(outcomes: DataFrame, run_ts: str, op: str = "import")
 
 
 def run_exports(spark, configs: DataFrame, read_object, out_dir: str, run_ts: str,
-                log_path: str | None = None) -> DataFrame:
+                log_path: str | None = None, relations: Relations | None = None) -> DataFrame:
     """Job ``export_snapshot``: run every export definition of the configurations.
 
     ``S3 -> P10 -> (read -> P2 -> P1 -> P4 -> Observation) -> K3/K1 -> K4``.
@@ -138,7 +139,8 @@ def run_exports(spark, configs: DataFrame, read_object, out_dir: str, run_ts: st
     under ``source_key=<instance>/<configuration>/<name>`` with the row count observed in the
     same pass.  ``read_object(object_name)`` returns the object's table.  A
     failing export is logged as ``FAILED`` with the reason and does not stop
-    the run; inactive ones are ``SKIPPED``.  Returns the run-log rows (and
+    the run; inactive ones are ``SKIPPED``.  Paths through ``relations`` are
+    resolved (:mod:`shiftkit.plans.relations`).  Returns the run-log rows (and
     writes them to ``log_path`` when given).
     """
     from shiftkit.functions.params import file_from_params
@@ -160,8 +162,8 @@ def run_exports(spark, configs: DataFrame, read_object, out_dir: str, run_ts: st
             continue
         for dns in sources.get(e["loader_config"], []) or [""]:
             try:
-                view = export_view(read_object(e["object"]), e["where"], list(e["columns"] or []),
-                                   list(e["ignore_column"] or []))
+                view = resolve_export(read_object(e["object"]), e["object"], read_object, relations or {}, e["where"],
+                                      list(e["columns"] or []), list(e["ignore_column"] or []))
                 # The configuration is part of the folder: two of them may name an export alike.
                 n = write_export(view, out_dir, dns or "local", f"{e['loader_config']}/{e['name']}")
                 log.append({**base, "status": "SUCCESS", "file_name": e["file"] or None,
