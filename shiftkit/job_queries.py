@@ -116,3 +116,16 @@ def q_run_exports_rows(spark, sf_dir):
     from shiftkit.sources.files import read_object_csv
     path = landed(spark, sf_dir, "relation_exports", lambda p: _run_relation_exports(spark, sf_dir, p))
     return flat_names(read_object_csv(spark, f"{path}/out/source_key=a.example.com/*/26_orders_without_nation"))
+
+
+# --- S1: quoted CSV split by bytes ------------------------------------------------
+
+@register("S1_split_csv", """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars FROM documents
+""")
+def q_split_csv(spark, sf_dir):
+    """Whole texts written as one quoted CSV file, read back by many tasks."""
+    from shiftkit.operators.sinks import write_csv
+    from shiftkit.sources.records import read_split_csv
+    path = landed(spark, sf_dir, "documents_one_csv", lambda p: write_csv(table(spark, sf_dir, "documents"), p, single_file=True))
+    return read_split_csv(spark, path, glob="*.csv")

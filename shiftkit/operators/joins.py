@@ -2,8 +2,7 @@
 
 All joins are equi-joins on declared keys; Catalyst/AQE pick the strategy
 (sort-merge by default, broadcast when Spark's size check allows, skew split
-for hot keys).  Explicit broadcast hints are only given for sets with a
-proven bound (pattern lengths and heads of the substring join).
+for hot keys).
 """
 
 from __future__ import annotations
@@ -78,55 +77,57 @@ def bridge_resolve(bridge: DataFrame, left_fk: str, left_dim: DataFrame, left_id
                       *[col(d) for d in right_fields.values()])
 
 
-def substring_grams(items: DataFrame, item_text: str, patterns: DataFrame,
-                    pattern_col: str) -> DataFrame:
-    """Item rows with ``__gram``: every substring that could equal a pattern.
+def _grams(text: Column, sizes: Column) -> Column:
+    """Distinct substrings of ``text`` of each of ``sizes`` characters."""
+    of_size = lambda q: F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - q + 1, F.lit(1))),
+                                    lambda i: F.substr(text, i, q))
+    return F.array_distinct(F.flatten(F.transform(F.filter(sizes, lambda q: q <= F.length(text)), of_size)))
 
-    An item position can only start a match if the two characters there
-    begin some pattern, so positions are first filtered by a semi-join with
-    the (bounded) set of pattern heads; each surviving position emits its
-    substring of every pattern length.  One-character patterns are matched
-    against the item's characters.  Equality with a pattern is left to the
-    caller's equi-join (or aggregation), so no candidate pair is ever false.
+
+def _gram_size(text: Column) -> Column:
+    """The largest power of two that is no longer than ``text``."""
+    return F.pow(F.lit(2), F.floor(F.log2(F.length(text)))).cast("int")
+
+
+def substring_pairs(items: DataFrame, item_text: str, patterns: DataFrame, pattern_col: str) -> DataFrame:
+    """Each item row with each distinct pattern (``__pattern``) that its text contains.
+
+    A rarest-gram index: a pattern is cut into grams as long as the largest
+    power of two within it, and stands under the one that fewest items hold.
+    Items emit their distinct grams of the sizes in use (at most the binary
+    logarithm of the longest pattern), meet the patterns under them in one
+    equi-join, and containment is verified exactly.  So the work is the
+    items' text times a few sizes, plus as many candidates as the rarest grams
+    leave.  An item that contains a pattern holds all its grams, the rarest
+    too, so no pair is lost; a pattern none of whose grams any item holds
+    drops out before the join.  Null and empty patterns match nothing.
     """
-    pc, text = col(pattern_col), col(item_text)
-    plen = F.length(pc)
-    item_cols = [col(c) for c in items.columns]
-    # Bounded sets (<= distinct patterns, <= |alphabet|^2 heads, <= longest
-    # pattern lengths): safe to broadcast.
-    heads = patterns.where(plen >= 2).select(pc.substr(1, 2).alias("__head")).distinct()
-    lens = patterns.where(plen >= 2).select(plen.alias("__len")).distinct()
-    starts = (items.select(*item_cols, F.explode(F.sequence(
-                  F.lit(1), F.greatest(F.length(text) - 1, F.lit(1)))).alias("__pos"))
-              .withColumn("__head", text.substr(F.col("__pos"), F.lit(2)))
-              .join(F.broadcast(heads), "__head", "left_semi"))
-    grams = (starts.join(F.broadcast(lens), F.col("__pos") + F.col("__len") - 1 <= F.length(text))
-             .select(*item_cols, text.substr(F.col("__pos"), F.col("__len")).alias("__gram")))
-    singles = patterns.where(plen == 1).select(pc.alias("__gram")).distinct()
-    # One-character patterns are rare; their branch is only planned when the
-    # (pattern-side) check finds one.
-    if singles.limit(1).count() > 0:
-        chars = items.select(*item_cols, F.explode(F.array_distinct(F.split(text, ""))).alias("__gram"))
-        grams = grams.unionByName(chars.join(F.broadcast(singles), "__gram", "left_semi"))
-    return grams
+    distinct = patterns.select(col(pattern_col).alias("__pattern")).where(F.length("__pattern") > 0).distinct()
+    keyed = distinct.withColumn("__size", _gram_size(F.col("__pattern")))
+    sizes = sorted(r[0] for r in keyed.select("__size").distinct().collect())          # at most log2 of the longest
+    text = col(item_text)
+    of_items = items.withColumn("__gram", F.explode(_grams(text, F.array(*[F.lit(q) for q in sizes]).cast("array<int>"))))
+    held = of_items.groupBy("__gram").agg(F.count(F.lit(1)).alias("__n"))
+    of_patterns = keyed.select("__pattern", F.explode(_grams(F.col("__pattern"), F.array("__size"))).alias("__gram"))
+    index = (of_patterns.join(held, "__gram").groupBy("__pattern")
+             .agg(F.min(F.struct("__n", "__gram")).alias("__rarest"))
+             .select("__pattern", F.col("__rarest.__gram").alias("__gram")))
+    return of_items.join(index, "__gram").where(text.contains(F.col("__pattern"))).drop("__gram")
 
 
 def contains_join(items: DataFrame, item_text: str, patterns: DataFrame, pattern_col: str,
                   how: str = "left", pattern_key: Sequence[str] | None = None) -> DataFrame:
     """J9 (substring form): pair each pattern with every item whose text contains it.
 
-    Exact and without a nested loop: :func:`substring_grams` emits the
-    candidate substrings of each item, an equi-join keeps those equal to a
-    pattern.  Work is linear in the items (never items x patterns) plus the
-    output.  Each (pattern, item) pair is returned once.  ``pattern_key``
+    Exact and without a nested loop (:func:`substring_pairs`).  Each
+    (pattern, item) pair is returned once.  ``pattern_key``
     (default: the pattern column) identifies a pattern row for the unmatched
     side of ``how="left"``.  Callers that only need a summary per pattern
-    should aggregate the grams before joining (see ``reconcile_imports``).
+    should aggregate the pairs before joining (see ``reconcile_imports``).
     """
-    pc = col(pattern_col)
-    grams = substring_grams(items, item_text, patterns, pattern_col)
+    pairs = substring_pairs(items, item_text, patterns, pattern_col)
     keys = list(pattern_key or [pattern_col])
-    matched = (patterns.join(grams, pc == F.col("__gram"), "inner").drop("__gram")
+    matched = (patterns.join(pairs, col(pattern_col) == F.col("__pattern"), "inner").drop("__pattern")
                .dropDuplicates([*keys, *items.columns]))
     if how == "inner":
         return matched

@@ -20,7 +20,7 @@ from shiftkit.functions.params import (
     source_key,
 )
 from shiftkit.operators.aggregate import row_count_observed
-from shiftkit.operators.joins import substring_grams
+from shiftkit.operators.joins import substring_pairs
 from shiftkit.operators.project import mark_ignored, project_columns, where_filter
 from shiftkit.plans.relations import Relations, resolve_export
 
@@ -94,18 +94,16 @@ def reconcile_imports(jobs: DataFrame, files: DataFrame, exact: bool = True,
         file_name = (F.when(F.col("has_failure"), F.concat("stem", F.lit(FAILURE_SUFFIX)))
                      .when(F.col("has_success"), F.concat("stem", F.lit(SUCCESS_SUFFIX))))
     else:
-        # Substring form: summarise per candidate substring first (partial
-        # aggregation, so a substring found in many files is combined
-        # map-side), then join the jobs 1:1 on it.  A short stem contained
+        # Substring form: flags and first files per stem before the jobs are
+        # joined 1:1 on it (partial aggregation), so a short stem contained
         # in many file names never becomes many (job, file) pairs.
-        grams = substring_grams(f, "file_name", active.select("stem"), "stem")
-        per_gram = grams.groupBy("__gram").agg(
+        per_stem = substring_pairs(f, "file_name", active.select("stem"), "stem").groupBy("__pattern").agg(
             F.bool_or(F.col("outcome") == "failure").alias("has_failure"),
             F.bool_or(F.col("outcome") == "success").alias("has_success"),
             F.min(F.when(F.col("outcome") == "failure", F.col("file_name"))).alias("failure_file"),
             F.min(F.when(F.col("outcome") == "success", F.col("file_name"))).alias("success_file"))
         per = j.select("job", "stem", "__active", *keep).join(
-            per_gram, F.col("stem") == F.col("__gram"), "left")
+            per_stem, F.col("stem") == F.col("__pattern"), "left")
         file_name = F.coalesce("failure_file", "success_file")
     # One pass over the jobs: inactive ones are SKIPPED whatever files exist.
     skip = F.col("__active") == 0
