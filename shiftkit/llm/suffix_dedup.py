@@ -8,7 +8,7 @@ prefixes are ``length`` or more the suffixes of a group start with the same
 string, whose smallest document id is the group's.
 
 How strings come to shards: every string has an anchor, the smallest hash of
-its 16-byte grams, a function of its content.  Successive strings with one
+its 24-byte grams, a function of its content.  Successive strings with one
 anchor make a piece of a document, and pieces go to the shard of their anchor,
 so equal strings always meet.  To send little,
 
@@ -41,7 +41,7 @@ from shiftkit.llm.suffix_array import permuted_lcp, ragged, suffix_array
 from shiftkit.session import ship_package
 
 LENGTH = 50
-GRAM = 16
+GRAM = 24
 #: Bytes of text in a block, texts' bytes for each shard, and bytes sorted in one array (more only for a single anchor).
 BLOCK, SHARD, ARRAY = 4 << 20, 32 << 20, 2 << 20
 #: Occurrences above which an anchor's strings are dealt one by one.
@@ -61,13 +61,15 @@ def _open(blob: bytes) -> bytes:
 
 # --- anchors and pieces ------------------------------------------------------
 
-def _gram_hashes(words: np.ndarray) -> np.ndarray:
-    """Hashes of the 16-byte grams starting at each position, from the 8-byte words there."""
-    return mix(words[:-8] * _U(0xD1342543DE82EF95) + (words[8:] ^ (words[8:] >> _U(29))) * _U(0x9E3779B97F4A7C15))
+def _gram_hashes(first: np.ndarray, second: np.ndarray, third: np.ndarray) -> np.ndarray:
+    """Hashes of 24-byte grams from their three words."""
+    return mix(first * _U(0xD1342543DE82EF95) + (second ^ (second >> _U(29))) * _U(0x9E3779B97F4A7C15)
+               + (third ^ (third >> _U(31))) * _U(0xC2B2AE3D27D4EB4F))
 
 
 def _words(data: np.ndarray) -> np.ndarray:
-    return np.ndarray((len(data) - 7,), "<u8", np.ascontiguousarray(data), strides=(1,)).copy()
+    """The 8 bytes at each position as one number, a view."""
+    return np.ndarray((len(data) - 7,), "<u8", np.ascontiguousarray(data), strides=(1,))
 
 
 def _smallest(h: np.ndarray, width: int) -> np.ndarray:
@@ -84,16 +86,17 @@ def anchors(data: np.ndarray, length: int) -> np.ndarray:
     out = np.empty(max(0, len(data) - length + 1), np.uint64)
     for lo in range(0, len(out), _STEP):
         hi = min(lo + _STEP, len(out))
-        out[lo:hi] = _smallest(_gram_hashes(_words(data[lo:hi + length - 1])), length - GRAM + 1)
+        word = _words(data[lo:hi + length - 1]).copy()
+        out[lo:hi] = _smallest(_gram_hashes(word[:-16], word[8:-8], word[16:]), length - GRAM + 1)
     return out
 
 
 def string_hashes(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     """A hash of each string of ``length`` bytes: of its first and its last gram."""
+    word = _words(data)
+
     def gram(p: np.ndarray) -> np.ndarray:
-        word = np.ndarray((len(data) - 7,), "<u8", np.ascontiguousarray(data), strides=(1,))
-        pair = np.stack([word[p]] + [np.zeros(len(p), np.uint64)] * 7 + [word[p + 8]])
-        return _gram_hashes(pair)[0]
+        return _gram_hashes(word[p], word[p + 8], word[p + 16])
     return mix(gram(at) * _U(3) + gram(at + length - GRAM))
 
 
@@ -434,7 +437,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, h
     Other columns are ignored.  Texts are UTF-8 bytes, a null one is empty.
     Strings are judged on the input.  Rows with equal ids leave each
     other alone; a null id counts as larger than all others, and leaves other
-    null ids alone.  An empty table gives no rows.  ``length`` is at least 16.
+    null ids alone.  An empty table gives no rows.  ``length`` is at least 24.
     """
     if length < GRAM:
         raise ValueError(f"length is at least {GRAM}")

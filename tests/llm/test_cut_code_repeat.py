@@ -226,11 +226,11 @@ def test_repeats_agree_with_a_dictionary(spark, block, hot):
 
 def test_repeats_of_other_lengths_and_nothing(spark):
     rows = repeat_rows()[:30]
-    assert found(suffix_dedup.without_repeats(table(spark, rows), length=20)) == sorted(repeats_model(rows, 20), key=repr)
+    assert found(suffix_dedup.without_repeats(table(spark, rows), length=30)) == sorted(repeats_model(rows, 30), key=repr)
     assert suffix_dedup.without_repeats(table(spark, [])).count() == 0
     assert found(suffix_dedup.without_repeats(table(spark, [(1, None), (2, "")]))) == [(1, 0, [], b""), (2, 0, [], b"")]
     with pytest.raises(ValueError):
-        suffix_dedup.without_repeats(table(spark, rows), length=15)
+        suffix_dedup.without_repeats(table(spark, rows), length=23)
 
 
 def test_repeat_query_digests(spark):
