@@ -43,7 +43,7 @@ from shiftkit.session import ship_package
 LENGTH = 50
 GRAM = 24
 #: Bytes of text in a block, texts' bytes for each shard, and bytes sorted in one array (more only for a single anchor).
-BLOCK, SHARD, ARRAY = 4 << 20, 32 << 20, 2 << 20
+BLOCK, SHARD, ARRAY = 4 << 20, 16 << 20, 1 << 19
 #: Occurrences above which an anchor's strings are dealt one by one.
 HOT = 20_000
 _U = np.uint64
@@ -325,22 +325,22 @@ def _pieces_sent(held: DataFrame, length: int, shards: int) -> DataFrame:
     return held.mapInArrow(run, _SENT)
 
 
-def least_ids(texts: list[bytes], ids: np.ndarray, length: int) -> list[np.ndarray]:
-    """For each string of ``length`` bytes of each text, the smallest id of a text that has it, from one suffix array."""
+def least_ids(texts: list[bytes], ids: np.ndarray, length: int) -> np.ndarray:
+    """For each string of ``length`` bytes of each text, text after text, the smallest id of a text that has it, from one suffix array."""
     end = b"\xff"                                            # no byte of UTF-8
     t = np.frombuffer(end.join(texts) + end, np.uint8)
     size = np.array([len(x) for x in texts], np.int64)
-    start = np.cumsum(size + 1) - size - 1
+    strings = size - length + 1
     sa = suffix_array(t)
     far = permuted_lcp(t, sa)[sa] >= length
-    at = ragged(start, size - length + 1)
+    at = ragged(np.cumsum(size + 1) - size - 1, strings)
     own = np.full(len(t), _NO_ID, np.int64)
-    own[at] = np.repeat(ids, size - length + 1)
+    own[at] = np.repeat(ids, strings)
     group = np.flatnonzero(~far)
     least = np.minimum.reduceat(own[sa], group)
     out = np.empty(len(t), np.int64)
     out[sa] = np.repeat(least, np.diff(np.append(group, len(sa))))
-    return np.split(out[at], np.cumsum(size - length + 1)[:-1])
+    return out[at]
 
 
 def _verdicts(sent: DataFrame, length: int) -> DataFrame:
@@ -368,34 +368,45 @@ def _verdicts(sent: DataFrame, length: int) -> DataFrame:
         for index, ids in zip(entries, owner, strict=True):
             np.minimum.at(least, index, ids)
         text = list(known)
-        runs: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(text)
-        order = np.argsort(np.array(group, np.uint32), kind="stable")
-        g = np.array(group, np.uint32)[order]
+        strings = np.array([len(x) for x in text], np.int64) - length + 1
+        # Runs of each piece: by themselves, one of all its strings.
+        count, first = np.ones(len(text), np.int64), np.arange(len(text))
+        sizes, smallest, used = [strings], [least], len(text)
+        g = np.array(group, np.uint32)
+        order = np.argsort(g, kind="stable")
+        g = g[order]
         edge = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
+        members = np.diff(np.append(edge, len(g)))
         todo, held = [], 0
 
-        def settle() -> None:
-            for i, m in zip(todo, least_ids([text[j] for j in todo], least[todo], length), strict=True):       # noqa: B023
-                first = np.flatnonzero(np.concatenate([[True], m[1:] != m[:-1]]))
-                runs[i] = (np.diff(np.append(first, len(m))), m[first])                                       # noqa: B023
-
-        for lo, hi in zip(edge.tolist(), [*edge[1:].tolist(), len(g)], strict=True):
-            if hi - lo == 1:
-                continue
-            size = sum(len(text[i]) + 1 for i in order[lo:hi])
+        def settle() -> int:
+            at = np.concatenate(todo)
+            m = least_ids([text[i] for i in at.tolist()], least[at], length)
+            start = np.cumsum(strings[at]) - strings[at]
+            new = np.concatenate([[True], m[1:] != m[:-1]])
+            new[start] = True
+            run_at = np.flatnonzero(new)
+            first[at] = used + np.searchsorted(run_at, start)
+            count[at] = np.diff(np.append(np.searchsorted(run_at, start), len(run_at)))
+            sizes.append(np.diff(np.append(run_at, len(m))))
+            smallest.append(m[run_at])
+            return used + len(run_at)
+
+        for lo, n in zip(edge[members > 1].tolist(), members[members > 1].tolist(), strict=True):
+            mine = order[lo:lo + n]
+            size = int(strings[mine].sum()) + n * length
             if todo and held + size > ARRAY:
-                settle()
+                used = settle()
                 todo, held = [], 0
-            todo.extend(order[lo:hi].tolist())
+            todo.append(mine)
             held += size
         if todo:
-            settle()
-        whole = np.array([len(x) - length + 1 for x in text], np.uint32)
+            used = settle()
+        sizes, smallest = np.concatenate(sizes).astype(np.uint32), np.concatenate(smallest)
         out = []
         for (shard, block, n), index in zip(names, entries, strict=True):
-            got = [runs[i] or (whole[i:i + 1], least[i:i + 1]) for i in index.tolist()]
-            out.append((shard, block, n, _squeeze(np.array([len(x[0]) for x in got], np.uint32),
-                                                  np.concatenate([x[0] for x in got]).astype(np.uint32), np.concatenate([x[1] for x in got]))))
+            at = ragged(first[index], count[index])
+            out.append((shard, block, n, _squeeze(count[index].astype(np.uint32), sizes[at], smallest[at])))
             if len(out) == 64:
                 yield _sent(out)
                 out = []
@@ -450,9 +461,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, h
     def by_block(sent: DataFrame, name: str) -> DataFrame:
         return sent.groupBy("block").agg(F.collect_list(F.struct("shard", "data")).alias(name)).hint("shuffle_hash")
 
-    answers = landed(_anchors_answered(_anchors_sent(held, length, shards).repartition(shards, "shard"), hot), "repeat-anchors")
+    answers = landed(_anchors_answered(_anchors_sent(held, length, shards).repartitionById(shards, F.col("shard").cast("int")), hot), "repeat-anchors")
     asked = held.join(by_block(answers, "answers"), "block", "left")
-    verdicts = landed(_verdicts(_pieces_sent(asked, length, shards).repartition(shards, "shard"), length), "repeat-verdicts")
+    verdicts = landed(_verdicts(_pieces_sent(asked, length, shards).repartitionById(shards, F.col("shard").cast("int")), length), "repeat-verdicts")
     both = by_block(answers, "answers").join(by_block(verdicts, "verdicts"), "block", "full")
     return _applied(held.join(both.hint("shuffle_hash"), "block", "left"), length, shards)
 
