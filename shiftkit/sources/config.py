@@ -172,3 +172,50 @@ def read_pages(spark: SparkSession, path: str, multiline: bool = True,
         F.count(F.lit(1)).alias("pages"),
     ).withColumn("complete", F.col("received") == F.col("total"))
     return rows, completeness
+
+
+def page_gaps(pages: DataFrame, by: list[str] | None = None, offset: str = "offset", size: str = "size",
+              total: str = "total", span: int = 10_000_000) -> DataFrame:
+    """A9 in detail: which rows of a paged query are missing, overlapping or repeated, by offset.
+
+    ``pages``: one row a page with the offset and number of its rows and the
+    announced total of its query; ``by`` names the query.  Returns
+    ``(by..., kind, from, to)``, rows ``from`` to ``to`` (exclusive):
+
+    * ``missing``: no page has them (up to the largest total announced);
+    * ``overlapping``: two different pages share them, reported with the later page;
+    * ``repeated``: a page of that offset and size came more than once.
+
+    Pages are dealt to ranges of ``span`` offsets, so no window holds a whole
+    query; how far the ranges before reach is carried over from one row a range.
+    Empty pages cover nothing.
+    """
+    from pyspark.sql import Window
+    keys = list(by or [])
+    p = pages.select(*keys, F.col(offset).cast("long").alias("a"), (F.col(offset) + F.col(size)).cast("long").alias("b"),
+                     F.col(total).cast("long").alias("total"))
+    filled = p.where("b > a")
+    distinct = filled.groupBy(*keys, "a", "b").agg(F.count(F.lit(1)).alias("n"))
+    ranged = distinct.withColumn("range", F.floor(F.col("a") / span))
+    reach = ranged.groupBy(*keys, "range").agg(F.max("b").alias("to"))
+    over_ranges = Window.partitionBy(*keys).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    reach = reach.withColumn("before", F.max("to").over(over_ranges)).drop("to")
+    inside = Window.partitionBy(*keys, "range").orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1)
+    joined = ranged.join(reach, [*keys, "range"])
+    seen = joined.withColumn("seen", F.coalesce(F.greatest(F.max("b").over(inside), "before"), F.lit(0)))
+    out = lambda df, kind, a, b: df.select(*keys, F.lit(kind).alias("kind"), a.alias("from"), b.alias("to"))
+    missing = out(seen.where("a > seen"), "missing", F.col("seen"), F.col("a"))
+    overlapping = out(seen.where("a < seen"), "overlapping", F.col("a"), F.least("b", "seen"))
+    repeated = out(distinct.where("n > 1"), "repeated", F.col("a"), F.col("b"))
+    ends = p.groupBy(*keys).agg(F.max("total").alias("total"), F.coalesce(F.max(F.when(F.col("b") > F.col("a"), F.col("b"))), F.lit(0)).alias("end"))
+    rest = out(ends.where("total > end"), "missing", F.col("end"), F.col("total"))
+    return missing.unionByName(overlapping).unionByName(repeated).unionByName(rest)
+
+
+def read_page_details(spark: SparkSession, path: str, multiline: bool = True, by_file: bool = False) -> DataFrame:
+    """``offset, size, total`` (and ``file``) of landed pages, for :func:`page_gaps`; the rows themselves are only counted."""
+    detail = "responseDetails struct<offset: bigint, total: bigint>, data array<struct<>>"
+    pages = spark.read.option("multiLine", multiline).schema(detail).json(path)
+    file = [F.col("_metadata.file_path").alias("file")] if by_file else []
+    return pages.select(F.coalesce("responseDetails.offset", F.lit(0)).alias("offset"), F.size("data").alias("size"),
+                        F.col("responseDetails.total").alias("total"), *file)

@@ -8,19 +8,20 @@ from __future__ import annotations
 
 import csv
 import io
+import re
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shiftkit.functions.names import col
 from shiftkit.functions.text import trim_ws
-from shiftkit.functions.params import (
-    FAILURE_SUFFIX, SUCCESS_SUFFIX, failure_stem, file_intent, file_name_of, outcome_stem,
-    relative_dir,
-)
+from shiftkit.functions.params import FAILURE_SUFFIX, SUCCESS_SUFFIX, file_intent, file_name_of, outcome_stem, relative_dir
+from shiftkit.sources.listing import decoded, file_system, list_tree, literal
+from shiftkit.sources.records import csv_fields, read_records
 
 # The text tokens pandas reads as missing by default (used with
 # ``na="pandas"``; Spark's CSV reader alone only treats the empty field so).
@@ -43,16 +44,16 @@ def read_object_csv(spark: SparkSession, path: str | list[str], na: str = "empty
 
     ``multiline=True`` is needed for newlines inside quotes, but then a file
     cannot be split and is read by one task: parallelism comes from the
-    number of files (exports are one file per object and instance).  For a
-    single very large export without embedded newlines, ``multiline=False``
-    lets Spark split it by bytes.
+    number of files (exports are one file per object and instance).  A single
+    very large export is read by many tasks with ``records.read_split_csv``,
+    or, without embedded newlines, with ``multiline=False``.
     """
     df = (spark.read.option("header", True).option("multiLine", multiline)
           .option("quote", '"').option("escape", '"').option("inferSchema", False)
           .option("encoding", "UTF-8").option("mode", "PERMISSIVE")
           .csv(path))
     if with_file:
-        df = df.select("*", F.col("_metadata.file_name").alias("_file"))
+        df = df.select("*", decoded("_metadata.file_name").alias("_file"))
     if na == "pandas":
         df = df.select(*[F.when(~col(c).isin(list(PANDAS_NA_TOKENS)), col(c)).alias(c)
                          if c != "_file" else col(c) for c in df.columns])
@@ -75,8 +76,8 @@ def latest_file(listing: DataFrame, name_like: str | None = None) -> DataFrame:
     x = listing
     if name_like:
         x = x.where(file_name_of("path").like(name_like))
-    return x.agg(F.max_by("path", "modificationTime").alias("path"),
-                 F.max("modificationTime").alias("modificationTime"))
+    newest = F.max(F.struct("modificationTime", "path"))          # files of one time: the last path
+    return x.agg(newest.alias("f")).select("f.path", "f.modificationTime")
 
 
 # --- S2: header scan -----------------------------------------------------------
@@ -89,46 +90,92 @@ HEADER_SCAN_SCHEMA = T.StructType([
 ])
 
 _HEAD_BYTES = 1 << 16
+_BLANK = re.compile(rb"[ \t]*(?:\r\n|\n|\r(?!$))")
+_IN_FIELD = re.compile(rb"[\r\n]|(?<=,)\"")
 
 
-def _open(path: str):
-    from pyarrow import fs as pafs
-    filesystem, inner = pafs.FileSystem.from_uri(path if "://" in path or path.startswith("file:")
-                                                 else "file://" + path)
-    return filesystem.open_input_stream(inner)
+class HeaderFinder:
+    """Finds the end of a CSV file's first record in bytes that come piece by piece.
 
+    Records end with LF, CR or both; lines of blanks before the first record
+    are skipped.  A quote opens a quoted field only at a field's start, there
+    line ends are text and a doubled quote is one.  Every byte is looked at
+    once, by searches for the next byte that matters.
+    """
 
-def _record_end(data: bytes) -> int | None:
-    """Index just past the first line break outside quotes, or None."""
-    in_quote = False
-    for i, b in enumerate(data):
-        if b == 0x22:
-            in_quote = not in_quote
-        elif b == 0x0A and not in_quote:
-            return i + 1
-    return None
+    def __init__(self):
+        self.data, self.at, self.start, self.quoted = bytearray(), 0, None, False
+
+    def feed(self, piece: bytes, last: bool = False) -> bytes | None:
+        """The first record with its line end, once it is whole (or at the end of the file); '' if there is none."""
+        self.data += piece
+        data = self.data
+        if self.start is None:
+            skip = 3 if data.startswith(b"\xef\xbb\xbf") else 0
+            at = max(self.at, skip)
+            while m := _BLANK.match(data, at):
+                at = m.end()
+            self.at = at
+            rest = data[at:].lstrip(b" \t\r\n") if len(data) - at < 1 << 20 else b"x"
+            if not rest:
+                return b"" if last else None
+            if not last and len(data) - at < 2:
+                return None
+            self.start = at
+            self.quoted = data[at:at + 1] == b'"'
+            self.at = at + self.quoted
+        while True:
+            if self.quoted:
+                at = data.find(b'"', self.at)
+                if at < 0:
+                    self.at = len(data)
+                    break
+                if at + 1 == len(data) and not last:
+                    self.at = at                              # the next byte says whether it is doubled
+                    break
+                self.quoted = False
+                self.at = at + 1
+                if data[at + 1:at + 2] == b'"':
+                    self.quoted, self.at = True, at + 2
+                continue
+            m = _IN_FIELD.search(data, self.at)
+            if m is None:
+                self.at = len(data)
+                break
+            if m[0] == b'"':
+                self.quoted, self.at = True, m.end()
+                continue
+            end = m.end()
+            if m[0] == b"\r":
+                if end == len(data) and not last:
+                    self.at = m.start()
+                    break
+                end += data[end:end + 1] == b"\n"
+            return bytes(data[self.start:end])
+        return bytes(data[self.start:]) if last else None
 
 
 def read_header(path: str) -> tuple[list[str] | None, str | None, str | None]:
     """Header of one CSV file, decoded like the reference: UTF-8 first, then fallbacks.
 
     Reads the file only up to the end of its first record (which may span
-    lines inside quotes).  Returns ``(headers, encoding, error)``.  Empty
-    header cells are named ``Unnamed: i`` and repeats ``name.1``, ``name.2``
+    lines inside quotes), in pieces that grow with what was read, so a record
+    of many MB is read and searched once.  Returns ``(headers, encoding, error)``.
+    Empty header cells are named ``Unnamed: i`` and repeats ``name.1``, ``name.2``
     (pandas conventions, which the inventory reproduces).
     """
+    finder, size = HeaderFinder(), _HEAD_BYTES
     try:
-        with _open(path) as stream:
-            data = b""
+        filesystem, inner, _ = file_system(path)
+        with filesystem.open_input_stream(inner) as stream:
             while True:
-                chunk = stream.read(_HEAD_BYTES)
-                data += chunk
-                end = _record_end(data)
-                if end is not None or not chunk:
+                piece = stream.read(size)
+                head = finder.feed(piece, last=not piece)
+                if head is not None:
                     break
+                size = min(2 * size, 1 << 24)
     except Exception as exc:  # unreadable file
         return None, None, str(exc)
-    head = data[:end] if end is not None else data
     rec = enc = None
     for candidate in HEADER_ENCODINGS:
         try:
@@ -137,7 +184,11 @@ def read_header(path: str) -> tuple[list[str] | None, str | None, str | None]:
             continue
         if candidate == "utf-8" and text.startswith("\ufeff"):
             text = text[1:]
-        rec, enc = next(csv.reader(io.StringIO(text, newline="")), None), candidate
+        limit = csv.field_size_limit(sys.maxsize)
+        try:
+            rec, enc = next(csv.reader(io.StringIO(text, newline="")), None), candidate
+        finally:
+            csv.field_size_limit(limit)
         break
     if not rec or all(not c.strip() for c in rec) and len(rec) <= 1:
         return None, None, "No columns to parse from file"
@@ -165,25 +216,22 @@ def _scan_heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         })
 
 
-def scan_headers_of(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """S2 on an explicit list of files (a listing already at hand)."""
+def scan_headers_of(spark: SparkSession, listing: DataFrame) -> DataFrame:
+    """S2 on a listing (column ``path``): header reads spread over tasks, each of its files' first record only."""
     from shiftkit.session import ship_package
     ship_package(spark)
-    listing = spark.createDataFrame([(p,) for p in sorted(paths)], "path string")
-    n = max(1, min(len(paths), spark.sparkContext.defaultParallelism * 4))
-    return listing.repartition(n, "path").mapInPandas(_scan_heads, HEADER_SCAN_SCHEMA)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return listing.select("path").repartition(n, "path").mapInPandas(_scan_heads, HEADER_SCAN_SCHEMA)
 
 
 def scan_csv_headers(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
     """One row per CSV file under ``root`` with its raw header list.
 
-    Paths come from the file index Spark builds for the tree (its listing,
-    empty files included, which a file scan would skip); the header reads
-    are spread over tasks, each reading only the first record of its files
-    (per-file Python, Arrow-batched).  Files that cannot be read (e.g.
-    empty) carry ``error`` and no headers.
+    The listing is a frame (:func:`shiftkit.sources.listing.list_tree`), empty
+    files included.  Files that cannot be read (e.g. empty) carry ``error``
+    and no headers.
     """
-    return scan_headers_of(spark, list_files(spark, root, glob).inputFiles())
+    return scan_headers_of(spark, list_tree(spark, root, glob))
 
 
 def header_long_form(scan: DataFrame, root: str) -> DataFrame:
@@ -208,64 +256,74 @@ def failed_files(scan: DataFrame) -> DataFrame:
 
 # --- outcome folders -----------------------------------------------------------
 
-def read_failure_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Rows ``(stem, file, errors)`` of the given ``*_FAILURE.csv`` files.
+def outcome_name(path: str) -> Column:
+    """The loader-level file name of a path: the file itself, or the folder that
+    holds Spark's part files (``x_FAILURE.csv/part-0.csv``, also as a
+    ``key=x_FAILURE.csv`` partition folder)."""
+    name = file_name_of(path)
+    folder = F.substring_index(F.substring_index(F.substring_index(path, "/", -2), "/", 1), "=", -1)
+    return F.when(name.startswith("part-"), folder).otherwise(name)
+
 
-    Failure files of different loads have different columns and the CSV
-    source maps columns by position, so the files are read once per
-    distinct header layout (a handful: one per object layout) and unioned
-    by name.  Only the layouts (metadata) reach the driver.
+def _outcome_folder(path: str) -> Column:
+    """The folder that an outcome file stands in."""
+    up = F.when(file_name_of(path).startswith("part-"), 2).otherwise(1)
+    return F.array_join(F.slice(F.split(path, "/"), F.lit(1), F.size(F.split(path, "/")) - up), "/")
+
+
+def outcome_files(listing: DataFrame) -> DataFrame:
+    """``path, folder, file, stem, kind`` (import, failure, success) of a listing of CSV files."""
+    name = outcome_name("path")
+    return listing.select(
+        "path", _outcome_folder("path").alias("folder"), name.alias("file"),
+        F.regexp_replace(outcome_stem(name), r"\.csv$", "").alias("stem"),
+        F.when(name.endswith(FAILURE_SUFFIX), "failure").when(name.endswith(SUCCESS_SUFFIX), "success").otherwise("import").alias("kind"))
+
+
+def read_by_layout(spark: SparkSession, heads: DataFrame, path: str | list[str], glob: str | None = None) -> DataFrame:
+    """All rows of CSV files of any layouts in one scan: ``path`` and ``values``, a map by header name.
+
+    ``heads`` (S2: path, headers) is the dictionary of layouts, joined to the
+    rows by file; rows of files that it does not hold are left out.  Of equal
+    header names in a file the numbered ones (``a.1``) are names of their own.
     """
-    scan = scan_headers_of(spark, paths)
-    layouts = (scan.where(F.col("error").isNull())
-               .groupBy(F.array_join("headers", "\u0001").alias("layout"))
-               .agg(F.collect_list("path").alias("paths")).collect())
-    parts = []
-    for row in layouts:
-        df = read_object_csv(spark, list(row["paths"]), with_file=True)
-        errs = col("errors") if "errors" in df.columns else F.lit(None).cast("string")
-        parts.append(df.select(failure_stem(F.col("_metadata.file_path")).alias("stem"),
-                               F.col("_file").alias("file"), errs.alias("errors")))
-    if not parts:
-        return spark.createDataFrame([], "stem string, file string, errors string")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _outcome_name(path: str) -> str:
-    """The loader-level file name of a path: the file itself, or the folder
-    holding Spark part files (``x_FAILURE.csv/part-0.csv``, also as a
-    ``key=x_FAILURE.csv`` partition folder)."""
-    parts = path.rstrip("/").split("/")
-    if len(parts) > 1 and parts[-1].startswith("part-"):
-        return parts[-2].split("=", 1)[-1]
-    return parts[-1]
+    from shiftkit.session import shared_dir
+    at = shared_dir(spark, "layouts")
+    heads.where(F.col("headers").isNotNull()).select("path", "headers").write.parquet(at)
+    heads = spark.read.schema("path string, headers array<string>").parquet(at)
+    width = heads.agg(F.max(F.size("headers"))).first()[0]             # one number
+    if not width:
+        return spark.createDataFrame([], "path string, values map<string, string>")
+    rows = read_records(spark, path, glob).where("not first").select(decoded("file").alias("__file"), "record")
+    bare = lambda c: F.regexp_replace(c, "^file:/*", "/")
+    rows = rows.withColumn("__key", bare("__file")).join(heads.withColumn("__key", bare("path")), "__key")
+    return rows.select("path", F.map_from_arrays("headers", F.slice(csv_fields(F.col("record"), width), F.lit(1), F.size("headers"))).alias("values"))
+
+
+def read_failure_files(spark: SparkSession, listing: DataFrame, path: str | list[str], glob: str | None = "*.csv") -> DataFrame:
+    """Rows ``(path, folder, stem, file, errors)`` of the listed ``*_FAILURE.csv`` files, below ``path``.
+
+    Failure files of different loads have different columns; all are read in
+    one scan, whatever the number of layouts.
+    """
+    files = outcome_files(listing).where("kind = 'failure'")
+    rows = read_by_layout(spark, scan_headers_of(spark, files), path, glob)
+    return rows.join(files, "path").select("path", "folder", "stem", "file", F.try_element_at("values", F.lit("errors")).alias("errors"))
 
 
-def read_outcome_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of failure files ``(stem, file, errors)`` and of import files ``(stem, file)``.
+def read_outcome_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of an outcome folder: its files (:func:`outcome_files`), the rows of its
+    failure files, and rows per import file (``path, n``).
 
-    Import files are only counted, so one read covers them all whatever
-    their columns.  Files and Spark-written folders of the same name are
-    both understood.
+    Import files are only counted.  Files and Spark-written folders of the
+    same name are both understood.
     """
-    paths = list_files(spark, folder, "*.csv").inputFiles()
-    names = {p: _outcome_name(p) for p in paths}
-    fail = [p for p in paths if names[p].endswith(FAILURE_SUFFIX)]
-    imp = [p for p in paths if not names[p].endswith(FAILURE_SUFFIX)
-           and not names[p].endswith(SUCCESS_SUFFIX)]
-    failures = read_failure_files(spark, fail)
-    if imp:
-        df = read_object_csv(spark, imp, with_file=True)
-        parent = F.substring_index(F.substring_index(F.col("_metadata.file_path"), "/", -2), "/", 1)
-        parent = F.substring_index(parent, "=", -1)
-        name = F.when(F.col("_file").startswith("part-"), parent).otherwise(F.col("_file"))
-        imports = df.select(F.regexp_replace(name, r"\.csv$", "").alias("stem"), name.alias("file"))
-    else:
-        imports = spark.createDataFrame([], "stem string, file string")
-    return failures, imports
+    listing = list_tree(spark, folder, "*.csv")
+    files = outcome_files(listing)
+    failures = read_failure_files(spark, listing, literal(folder))
+    counts = (read_records(spark, literal(folder), "*.csv").where("not first").groupBy(decoded("file").alias("path"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    return files, failures, counts
 
 
 def missing_inputs(expected: DataFrame, listing: DataFrame, name_col: str = "file_name") -> DataFrame:

@@ -10,8 +10,8 @@ quotes stands before it in its file, so
    quoted field, a table of one row for each such range;
 3. a second pass joins the lines of each range to records, in tasks, from its
    known start.  What is left at the two ends of a range, at most two
-   fragments, is joined to that of its neighbours;
-4. Spark's ``from_csv`` parses the records.
+   fragments, is landed and joined to that of its neighbours;
+4. the whole records are read, and Spark's ``from_csv`` parses the records.
 
 Quotes are taken to be written as CSV writers do: around a whole field, and
 doubled within.  Records end with LF or CRLF.
@@ -75,6 +75,8 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     key, held, odd, opening, begun = None, [], False, False, False
 
     def close():
+        if begun and key[1] == 0:                            # the file's first record is among the whole ones
+            yield out(key, -1, pa.array([""]), False)
         # A range that starts and ends inside one record is only a head.
         if held:
             yield out(key, 0 if opening else 1, pa.array(["\n".join(held)]), False)
@@ -132,19 +134,22 @@ def read_records(spark: SparkSession, path: str | list[str], glob: str | None =
                   .sortWithinPartitions("file", "block", "line"))
     marked = marked.select("file", "block", F.coalesce("inside", F.lit(False)).alias("inside"), "value")
     parts = marked.mapInArrow(_assemble, _FRAGMENTS)
-    whole = parts.where("whole").select("file", "block", "record", "first")
-    # Open ends: a tail begins a record, heads up to the next tail go on with it.
+    whole = parts.where("whole").select("file", "record", "first")
+    # Open ends, a few rows a range, are landed: a tail begins a record, heads up to the next tail go on with it.
+    at = shared_dir(spark, "csv-ends")
+    parts.where("not whole").write.parquet(at)
+    ends = spark.read.schema(_FRAGMENTS).parquet(at)
     order = Window.partitionBy("file").orderBy("block", "at")
-    ends = parts.where("not whole").withColumn("chain", F.sum("at").over(order))
-    stitched = ends.groupBy("file", "chain").agg(
+    chained = ends.where("at >= 0").withColumn("chain", F.sum("at").over(order))
+    stitched = chained.groupBy("file", "chain").agg(
         F.min("block").alias("block"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "at", "record"))),
                                                                 lambda x: x["record"]), "\n").alias("record"))
     # The first record of a file crosses a range only if its first range holds nothing else.
-    alone = whole.where("block = 0 and first").select("file").distinct()
+    begun = ends.where("at < 0").select("file", F.lit(True).alias("begun"))
     opening = stitched.withColumn("n", F.row_number().over(Window.partitionBy("file").orderBy("block")))
-    opening = opening.join(alone.withColumn("begun", F.lit(True)), "file", "left").select(
+    opening = opening.join(begun, "file", "left").select(
         "file", "record", (F.col("begun").isNull() & (F.col("n") == 1) & (F.col("block") == 0)).alias("first"))
-    both = whole.select("file", "record", "first").unionByName(opening)
+    both = whole.unionByName(opening)
     return both.where(F.trim(F.replace("record", F.lit("\r"), F.lit(""))) != "").withColumn(
         "record", F.when(F.col("record").endswith("\r"), F.expr("left(record, length(record) - 1)")).otherwise(F.col("record")))
 

@@ -22,6 +22,7 @@ from shiftkit.functions.params import failure_stem
 from shiftkit.plans.failures import error_type_counts
 from shiftkit.session import shared_dir
 from shiftkit.sources.files import read_failure_files
+from shiftkit.sources.listing import literal
 
 # The binary-file source's fixed schema (file streams need it declared).
 BINARY_FILE_SCHEMA = ("path string, modificationTime timestamp, length bigint, content binary")
@@ -30,12 +31,12 @@ BINARY_FILE_SCHEMA = ("path string, modificationTime timestamp, length bigint, c
 def _process(out_path: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # New failure-file names of this micro-batch: metadata, bounded by the batch.
-        paths = [r["path"] for r in batch.where(failure_stem("path").isNotNull())
-                 .select("path").collect()]
+        # New failure-file names of this micro-batch: at most max_files_per_trigger.
+        paths = [r["path"] for r in batch.where(failure_stem("path").isNotNull()).select("path").collect()]
         if not paths:
             return
-        counts = (error_type_counts(read_failure_files(spark, paths), by=["stem"])
+        listing = spark.createDataFrame([(p,) for p in paths], "path string")
+        counts = (error_type_counts(read_failure_files(spark, listing, [literal(p) for p in paths], glob=None), by=["stem"])
                   .withColumn("batch_id", F.lit(batch_id)))
         (counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(out_path))
@@ -44,17 +45,17 @@ def _process(out_path: str):
 
 def start_failure_stream(spark: SparkSession, landing: str, out_path: str,
                          checkpoint: str | None = None, available_now: bool = True,
-                         max_files_per_trigger: int | None = None) -> StreamingQuery:
+                         max_files_per_trigger: int = 1_000) -> StreamingQuery:
     """Start the incremental analysis of ``landing``; results go to ``out_path``.
 
     ``available_now`` processes what has landed and stops (scheduled runs);
-    otherwise the query keeps polling.  The checkpoint defaults to a new
+    otherwise the query keeps polling.  A micro-batch holds at most
+    ``max_files_per_trigger`` files.  The checkpoint defaults to a new
     folder under ``spark.checkpoint.dir``.
     """
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true"))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     files = reader.load(landing).select("path")
     writer = (files.writeStream.foreachBatch(_process(out_path))
               .option("checkpointLocation", checkpoint or shared_dir(spark, "failure-stream")))
