@@ -52,6 +52,20 @@ def import_failure_reason(return_code: Column | str, stdout: Column | str, stder
                   F.coalesce(F.nullif(_c(stderr), F.lit("")), F.lit("Unknown error"))))
 
 
+def import_failure_reasons(return_code: Column | str, stdout: Column | str, stderr: Column | str, banner: str) -> Column:
+    """F15 as the run log gets it: every reason of a failed import in order, an empty list for one that went well.
+
+    Output beyond the banner is one reason; a failed import is also logged
+    with its error output, or a fixed text if it has none.
+    """
+    out = trim_ws(F.coalesce(_c(stdout), F.lit("")))
+    extra = import_extra_output(stdout, banner)
+    first = F.when(extra != "", F.concat(F.when(out.startswith(banner), F.lit("Additional output: "))
+                                         .otherwise(F.lit("Unexpected output: ")), extra))
+    last = F.when(import_failed(return_code, stdout, banner), F.coalesce(F.nullif(_c(stderr), F.lit("")), F.lit("Unknown error")))
+    return F.array_compact(F.array(first, last))
+
+
 def reconcile_status(has_failure: Column | str, has_success: Column | str) -> Column:
     """F16: a failure file wins over a success file; neither counts as failed."""
     return (F.when(F.coalesce(_c(has_failure), F.lit(False)), F.lit("FAILED"))

@@ -110,17 +110,42 @@ def row_count_observed(df: DataFrame, name: str = "row_count") -> tuple[DataFram
 
 def outcome_counts(outcomes: DataFrame, by: Sequence[str] = ("run_ts",),
                    status: str = "status", item: str = "file_name",
-                   with_items: bool = True) -> DataFrame:
+                   with_items: bool = True, most_items: int | None = None) -> DataFrame:
     """A5: successful / failed / skipped jobs per run, optionally with the item lists.
 
     The lists hold one entry per job of a run: as many as the run's
-    configuration has, so keep ``with_items`` off where runs grow with data.
+    configuration has.  ``most_items`` bounds them to the first so many by
+    name, for reports over runs that grow with data; the counts are whole.
     """
     s = col(status)
     aggs = [F.count_if(s == "SUCCESS").alias("successful"),
             F.count_if(s == "FAILED").alias("failed"),
             F.count_if(s == "SKIPPED").alias("skipped")]
+    if with_items and most_items is not None:
+        return _bounded_lists(outcomes, by, s, item, aggs, most_items)
     if with_items:
         aggs += [F.sort_array(F.collect_list(F.when(s == "SUCCESS", col(item)))).alias("successful_items"),
                  F.sort_array(F.collect_list(F.when(s == "FAILED", col(item)))).alias("failed_items")]
     return outcomes.groupBy(*[col(b) for b in by]).agg(*aggs)
+
+
+def _bounded_lists(outcomes: DataFrame, by: Sequence[str], s: Column, item: str, aggs: list[Column], most: int) -> DataFrame:
+    """Counts, and the first ``most`` items of each list: a window keeps so many per run in every task before the shuffle."""
+    from pyspark.sql import Window
+    keys = [col(b) for b in by]
+    counts = outcomes.groupBy(*keys).agg(*aggs)
+    w = Window.partitionBy(*keys, "__s").orderBy("__i")
+    top = (outcomes.where(s.isin("SUCCESS", "FAILED") & col(item).isNotNull()).select(*keys, s.alias("__s"), col(item).alias("__i"))
+           .withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= most))
+    lists = top.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.when(F.col("__s") == "SUCCESS", F.col("__i")))).alias("successful_items"),
+        F.sort_array(F.collect_list(F.when(F.col("__s") == "FAILED", F.col("__i")))).alias("failed_items"))
+    cond = None
+    right = lists.select(*[col(b).alias(f"__{b}") for b in by], "successful_items", "failed_items")
+    for b in by:
+        c = counts[f"`{b}`"].eqNullSafe(right[f"`__{b}`"])
+        cond = c if cond is None else cond & c
+    none = F.array().cast("array<string>")
+    return counts.join(right, cond, "left").select(*[counts[f"`{b}`"] for b in by], "successful", "failed", "skipped",
+                                                   F.coalesce("successful_items", none).alias("successful_items"),
+                                                   F.coalesce("failed_items", none).alias("failed_items"))

@@ -59,17 +59,56 @@ def failure_totals(failures: DataFrame, imports: DataFrame, stem: str = "stem")
         .alias("partner"))
 
 
-def analyse_folder(spark, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def folder_totals(files: DataFrame, row_counts: DataFrame) -> DataFrame:
+    """A3 + J10 from a listing: every failure file with its rows and those of its import file.
+
+    ``files``: path, folder, stem, kind; ``row_counts``: path, n, of files that
+    have rows.  A file without rows counts zero; a failure file whose import
+    file is not listed beside it is ``missing_import``.  Part files of one
+    folder are one file.
+    """
+    bare = F.regexp_replace("path", "^file:/*", "/")
+    counted = (files.withColumn("__key", bare).join(row_counts.select(bare.alias("__key"), "n"), "__key", "left")
+               .where(F.col("kind") != "success").groupBy("folder", "stem")
+               .agg(F.sum(F.when(F.col("kind") == "failure", F.coalesce("n", F.lit(0)))).alias("rows_failed"),
+                    F.sum(F.when(F.col("kind") == "import", F.coalesce("n", F.lit(0)))).alias("rows_to_import")))
+    return counted.where(F.col("rows_failed").isNotNull()).select(
+        "folder", "stem", "rows_to_import", "rows_failed",
+        F.when(F.col("rows_to_import").isNull(), F.lit("missing_import")).otherwise(F.lit("paired")).alias("partner"))
+
+
+def analyse_folder(spark, folder: str, by_folder: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The reference's folder mode on landed outcome files.
 
     Returns ``(totals, error_counts, missing)``: A3 per failure file, A2 per
-    stem, and failure files whose import file is absent.
+    stem, and failure files whose import file is absent.  Folders below
+    ``folder`` (one an import, say) are analysed each by itself;
+    ``by_folder`` names them in the results.
     """
     from shiftkit.sources.files import read_outcome_folder
-    failures, imports = read_outcome_folder(spark, folder)
-    totals = failure_totals(failures, imports)
-    paired = failures.join(totals.where(F.col("partner") == "paired").select("stem"), "stem",
-                           "left_semi")
-    counts = error_type_counts(paired, by=["stem"])
-    missing = totals.where(F.col("partner") == "missing_import").select("stem")
-    return totals, counts, missing
+    files, failures, row_counts = read_outcome_folder(spark, folder)
+    totals = folder_totals(files, row_counts)
+    keys = ["folder", "stem"] if by_folder else ["stem"]
+    paired = failures.join(totals.where(F.col("partner") == "paired").select("folder", "stem"), ["folder", "stem"], "left_semi")
+    counts = error_type_counts(paired, by=keys)
+    missing = totals.where(F.col("partner") == "missing_import").select(*keys)
+    return totals if by_folder else totals.drop("folder"), counts, missing
+
+
+def analyse_pair(spark, import_file: str, failure_file: str) -> tuple[DataFrame, DataFrame]:
+    """The single-pair mode: totals of one import and one failure file, and the failure file's error types.
+
+    The two need not be named alike; a file that cannot be read has no total.
+    """
+    from shiftkit.sources.files import read_by_layout, scan_headers_of
+    from shiftkit.sources.listing import literal
+    from shiftkit.sources.records import read_records
+    both = spark.createDataFrame([("import", import_file), ("failure", failure_file)], "kind string, path string")
+    heads = scan_headers_of(spark, both)
+    readable = {r["path"] for r in heads.where(F.col("headers").isNotNull()).select("path").collect()}      # at most the two
+    n = [read_records(spark, literal(p)).where("not first").count() if p in readable else None for p in (import_file, failure_file)]
+    totals = spark.createDataFrame([tuple(n)], "rows_to_import long, rows_failed long")
+    if failure_file not in readable:
+        return totals, spark.createDataFrame([], "error string, n long")
+    found = read_by_layout(spark, heads.where(F.col("path") == failure_file), literal(failure_file))
+    return totals, error_type_counts(found.select(F.try_element_at("values", F.lit("errors")).alias("errors")))

@@ -8,8 +8,12 @@ the outcome files the loader left (J9, F16) and roll up per run (A5).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +44,7 @@ def write_export(df: DataFrame, out_dir: str, source: str, name: str) -> int:
     The count is an ``Observation`` on the written plan: one pass, no re-read.
     """
     key = source.replace("https://", "").replace("/", "_")
-    observed, obs = row_count_observed(df, f"rows_{name}")
+    observed, obs = row_count_observed(df, f"rows_{uuid.uuid4().hex}")
     (observed.write.mode("overwrite").option("header", True).option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(f"{out_dir.rstrip('/')}/source_key={key}/{name}"))
@@ -127,19 +131,70 @@ def run_log_from_outcomes(outcomes: DataFrame, run_ts: str, op: str = "import")
         F.current_timestamp().alias("ts"))
 
 
+def run_chains(spark, chains: Sequence[Sequence[tuple[str, Callable[[], list[dict]]]]], parallel: int) -> list[list[list[dict]]]:
+    """Run chains of (tag, step) as concurrent Spark jobs: the steps of a chain one after the other, chains side by side.
+
+    Each chain has a scheduler pool of its own (fair, if the session schedules
+    so) and each step's jobs carry its tag, by which they can be interrupted.
+    Results come back in the order given, however the steps ended up in time.
+    """
+    def run(chain: Sequence[tuple[str, Callable[[], list[dict]]]]) -> list[list[dict]]:
+        out = []
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", chain[0][0] if chain else None)
+        for tag, step in chain:
+            spark.addTag(tag)
+            try:
+                out.append(step())
+            finally:
+                spark.removeTag(tag)
+        return out
+
+    if parallel <= 1:
+        try:
+            return [run(c) for c in chains]
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+    with ThreadPoolExecutor(max_workers=parallel) as threads:
+        return list(threads.map(lambda c: inheritable_thread_target(spark)(run)(c), chains))
+
+
+def _tag(*parts) -> str:
+    """Letters, digits and a few signs: what a job tag may hold."""
+    return re.sub(r"[^A-Za-z0-9._-]", "_", "-".join(str(p) for p in parts))
+
+
+def _logged(spark, log: list[dict], run_ts: str, log_path: str | None, run_id: str | None) -> DataFrame:
+    """The run-log rows of a run; written if there is a path, with a run id by the commit protocol of ``plans.runlog``."""
+    rows = spark.createDataFrame(
+        [(r["job"], r["op"], r["object_name"], r["status"], r["file_name"], r["row_count"],
+          r["reasons"]) for r in log],
+        "job string, op string, object_name string, status string, file_name string, "
+        "row_count long, reasons array<string>")
+    out = rows.select(F.to_timestamp(F.lit(run_ts)).alias("run_ts"), "*",
+                      F.current_timestamp().alias("ts"))
+    if log_path and run_id:
+        from shiftkit.plans.runlog import log_run
+        log_run(out, log_path, run_id)
+    elif log_path:
+        append_run_log(out, log_path)
+    return out
+
+
 def run_exports(spark, configs: DataFrame, read_object, out_dir: str, run_ts: str,
-                log_path: str | None = None, relations: Relations | None = None) -> DataFrame:
+                log_path: str | None = None, relations: Relations | None = None, parallel: int = 4,
+                run_id: str | None = None) -> DataFrame:
     """Job ``export_snapshot``: run every export definition of the configurations.
 
     ``S3 -> P10 -> (read -> P2 -> P1 -> P4 -> Observation) -> K3/K1 -> K4``.
     The definitions are configuration (a handful per job file), so they are
     walked on the driver; each export is one Spark job writing its table
     under ``source_key=<instance>/<configuration>/<name>`` with the row count observed in the
-    same pass.  ``read_object(object_name)`` returns the object's table.  A
+    same pass, ``parallel`` of them at a time (:func:`run_chains`).
+    ``read_object(object_name)`` returns the object's table.  A
     failing export is logged as ``FAILED`` with the reason and does not stop
     the run; inactive ones are ``SKIPPED``.  Paths through ``relations`` are
-    resolved (:mod:`shiftkit.plans.relations`).  Returns the run-log rows (and
-    writes them to ``log_path`` when given).
+    resolved (:mod:`shiftkit.plans.relations`).  Returns the run-log rows in
+    the order of the definitions (and writes them to ``log_path`` when given).
     """
     from shiftkit.functions.params import file_from_params
     from shiftkit.sources.config import config_exports, config_sources
@@ -152,37 +207,33 @@ def run_exports(spark, configs: DataFrame, read_object, out_dir: str, run_ts: st
     sources = {}
     for r in config_sources(configs).select("loader_config", "dns").collect():
         sources.setdefault(r["loader_config"], []).append(r["dns"])
-    log = []
-    for e in exports:
+
+    def export(e, dns: str) -> list[dict]:
         base = {"job": e["name"], "op": "export", "object_name": e["object"] or None}
         if e["active"] == 0:
-            log.append({**base, "status": "SKIPPED", "file_name": None, "row_count": None, "reasons": []})
-            continue
-        for dns in sources.get(e["loader_config"], []) or [""]:
-            try:
-                view = resolve_export(read_object(e["object"]), e["object"], read_object, relations or {}, e["where"],
-                                      list(e["columns"] or []), list(e["ignore_column"] or []))
-                # The configuration is part of the folder: two of them may name an export alike.
-                n = write_export(view, out_dir, dns or "local", f"{e['loader_config']}/{e['name']}")
-                log.append({**base, "status": "SUCCESS", "file_name": e["file"] or None,
-                            "row_count": n, "reasons": []})
-            except Exception as exc:   # one failed export is a log row, not a stopped run
-                log.append({**base, "status": "FAILED", "file_name": e["file"] or None,
-                            "row_count": None, "reasons": [str(exc) or type(exc).__name__]})
-    rows = spark.createDataFrame(
-        [(r["job"], r["op"], r["object_name"], r["status"], r["file_name"], r["row_count"],
-          r["reasons"]) for r in log],
-        "job string, op string, object_name string, status string, file_name string, "
-        "row_count long, reasons array<string>")
-    out = rows.select(F.to_timestamp(F.lit(run_ts)).alias("run_ts"), "*",
-                      F.current_timestamp().alias("ts"))
-    if log_path:
-        append_run_log(out, log_path)
-    return out
+            return [{**base, "status": "SKIPPED", "file_name": None, "row_count": None, "reasons": []}]
+        try:
+            view = resolve_export(read_object(e["object"]), e["object"], read_object, relations or {}, e["where"],
+                                  list(e["columns"] or []), list(e["ignore_column"] or []))
+            # The configuration is part of the folder: two of them may name an export alike.
+            n = write_export(view, out_dir, dns or "local", f"{e['loader_config']}/{e['name']}")
+            return [{**base, "status": "SUCCESS", "file_name": e["file"] or None, "row_count": n, "reasons": []}]
+        except Exception as exc:   # one failed export is a log row, not a stopped run
+            return [{**base, "status": "FAILED", "file_name": e["file"] or None,
+                     "row_count": None, "reasons": [str(exc) or type(exc).__name__]}]
+
+    chains = []
+    for e in exports:
+        for dns in [""] if e["active"] == 0 else sources.get(e["loader_config"], []) or [""]:
+            tag = _tag("export", e["loader_config"], e["export_pos"], dns)
+            chains.append([(tag, lambda e=e, dns=dns: export(e, dns))])
+    log = [row for chain in run_chains(spark, chains, parallel) for rows in chain for row in rows]
+    return _logged(spark, log, run_ts, log_path, run_id)
 
 
 def run_imports(spark, configs: DataFrame, read_loader_file, read_table, out_dir: str, run_ts: str,
-                log_path: str | None = None, id_col: str = "id", listing: DataFrame | None = None) -> DataFrame:
+                log_path: str | None = None, id_col: str = "id", listing: DataFrame | None = None,
+                parallel: int = 4, run_id: str | None = None, store_of=None) -> DataFrame:
     """The import loop: apply every active import definition as a change set.
 
     Rows are matched by the column that ``-idParam`` names, ``id_col`` if
@@ -190,15 +241,21 @@ def run_imports(spark, configs: DataFrame, read_loader_file, read_table, out_dir
     its object.  With ``listing`` (S5, column ``path``), an import whose file is not
     listed fails with that reason before anything is read (J12).
 
-    For each import (in configuration order): read its loader file
+    For each import: read its loader file
     (``read_loader_file(base_import_path, file)``) and the target object's
     table (``read_table(object)``), apply create/update/upsert (K2), write
     the new version under ``<out_dir>/tables/<object>/<import name>`` and the
     loader-style outcome folders ``<stem>_SUCCESS.csv`` / ``<stem>_FAILURE.csv``
-    (rows plus ``errors``) under ``<out_dir>/outcomes``, which the failure
-    analysis reads.  The failure count is observed while writing.  An import
-    with any failed row is ``FAILED`` (a failure file wins), inactive ones are
-    ``SKIPPED``.  Returns the run-log rows (written to ``log_path`` if given).
+    (rows plus ``errors``) under ``<out_dir>/outcomes/<configuration>/<position>_<name>``,
+    a folder for each import, which the failure analysis reads.  With ``store_of(object)``
+    the versions are those of a :class:`~shiftkit.plans.versions.VersionStore`
+    and only the buckets that a set falls into are read and rewritten.
+
+    The imports of one object follow each other in configuration order;
+    ``parallel`` objects are worked on at a time (:func:`run_chains`).  The
+    failure count is observed while writing.  An import with any failed row is
+    ``FAILED`` (a failure file wins), inactive ones are ``SKIPPED``.  Returns
+    the run-log rows in configuration order (written to ``log_path`` if given).
     """
     from shiftkit.functions.params import file_from_params, file_stem
     from shiftkit.operators.sinks import write_csv
@@ -207,60 +264,67 @@ def run_imports(spark, configs: DataFrame, read_loader_file, read_table, out_dir
     from shiftkit.sources.files import missing_inputs
     op_flag = F.regexp_extract("params", r"(?:^|\s)-(create|update|upsert)(?:\s|$)", 1)
     key_flag = F.regexp_extract("params", r"(?:^|\s)-idParam\s+([^\s-]\S*)", 1)
+    file = file_from_params("params")
     imports = (config_imports(configs)
                .select("loader_config", "import_pos", "name", "base_import_path",
                        F.coalesce(F.col("active"), F.lit(1)).alias("active"), op_flag.alias("op"),
                        key_flag.alias("key"), object_from_params("params").alias("object"),
-                       file_from_params("params").alias("file"))
+                       file.alias("file"), file_stem(F.when(file == "", F.col("name")).otherwise(file)).alias("stem"))
                .orderBy("loader_config", "import_pos").collect())
     absent = set()
     if listing is not None:
         wanted = spark.createDataFrame([(im["file"],) for im in imports if im["file"]], "file_name string").distinct()
         absent = {r["file_name"] for r in missing_inputs(wanted, listing).collect()}
-    versions: dict[str, str] = {}          # object -> where the run's last version of it is
-    log = []
-    for im in imports:
+    versions: dict[str, list[str]] = {}    # object -> where the run's versions of it are, in order
+
+    def step(im) -> list[dict]:
         base = {"job": im["name"], "op": im["op"] or "import", "object_name": im["object"] or None,
                 "file_name": im["file"] or None}
         if im["active"] == 0:
-            log.append({**base, "status": "SKIPPED", "row_count": None, "reasons": []})
-            continue
+            return [{**base, "status": "SKIPPED", "row_count": None, "reasons": []}]
         try:
             if im["op"] not in ("create", "update", "upsert"):
                 raise ValueError(f"no create/update/upsert flag in the parameters of {im['name']}")
             if im["file"] in absent:
                 raise FileNotFoundError(f"input file {im['file']} is missing")
             changes = read_loader_file(im["base_import_path"], im["file"])
-            at = versions.get(im["object"])
-            table = spark.read.parquet(at) if at else read_table(im["object"])
-            key = im["key"] or id_col
-            results = change_results(table, changes, im["op"], key)
-            stem = spark.range(1).select(file_stem(F.lit(im["file"] or im["name"]))).first()[0]
+            key, stem = im["key"] or id_col, im["stem"]
+            store = store_of(im["object"]) if store_of is not None else None
+            if store is not None:
+                results = store.results(changes, im["op"])
+            else:
+                done = versions.setdefault(im["object"], [])
+                at = spark.read.parquet(done[-1]) if done else read_table(im["object"])
+                results = change_results(at, changes, im["op"], key)
+            outcomes = f"{out_dir}/outcomes/{im['loader_config']}/{im['import_pos']}_{im['name']}"
             # A copy of the loader file next to its outcomes, as the loader leaves it.
-            write_csv(changes, f"{out_dir}/outcomes/{stem}.csv")
-            failed, obs = row_count_observed(results.where(F.col("status") == "failure"), f"fail_{stem}")
-            write_csv(failed.drop("action", "status"), f"{out_dir}/outcomes/{stem}{FAILURE_SUFFIX}")
+            observed, read = row_count_observed(changes, f"read_{uuid.uuid4().hex}")
+            write_csv(observed, f"{outcomes}/{stem}.csv")
+            failed, obs = row_count_observed(results.where(F.col("status") == "failure"), f"fail_{uuid.uuid4().hex}")
+            write_csv(failed.drop("action", "status"), f"{outcomes}/{stem}{FAILURE_SUFFIX}")
             n_failed = int(obs.get.get("row_count", 0))
             write_csv(results.where(F.col("status") == "success").drop("action", "status", "errors"),
-                      f"{out_dir}/outcomes/{stem}{SUCCESS_SUFFIX}")
-            to = f"{out_dir}/tables/{im['object']}/{im['name']}"
-            if to == at:                   # never overwrite the version that is being read
-                to = f"{to}_{len(log)}"
-            apply_change_set(table, changes, im["op"], key).write.mode("overwrite").parquet(to)
-            versions[im["object"]] = to
-            log.append({**base, "status": "FAILED" if n_failed else "SUCCESS",
-                        "row_count": changes.count(),
-                        "reasons": [f"{n_failed} rows failed"] if n_failed else []})
+                      f"{outcomes}/{stem}{SUCCESS_SUFFIX}")
+            if store is not None:
+                store.apply(changes, im["op"])
+            else:
+                to = f"{out_dir}/tables/{im['object']}/{im['name']}"
+                if to in done:             # two imports of one name: no version is overwritten
+                    to = f"{to}_{len(done)}"
+                apply_change_set(at, changes, im["op"], key).write.mode("overwrite").parquet(to)
+                done.append(to)
+            return [{**base, "status": "FAILED" if n_failed else "SUCCESS",
+                     "row_count": int(read.get.get("row_count", 0)),
+                     "reasons": [f"{n_failed} rows failed"] if n_failed else []}]
         except Exception as exc:   # one failed import is a log row, not a stopped run
-            log.append({**base, "status": "FAILED", "row_count": None,
-                        "reasons": [str(exc) or type(exc).__name__]})
-    rows = spark.createDataFrame(
-        [(r["job"], r["op"], r["object_name"], r["status"], r["file_name"], r["row_count"],
-          r["reasons"]) for r in log],
-        "job string, op string, object_name string, status string, file_name string, "
-        "row_count long, reasons array<string>")
-    out = rows.select(F.to_timestamp(F.lit(run_ts)).alias("run_ts"), "*",
-                      F.current_timestamp().alias("ts"))
-    if log_path:
-        append_run_log(out, log_path)
-    return out
+            return [{**base, "status": "FAILED", "row_count": None,
+                     "reasons": [str(exc) or type(exc).__name__]}]
+
+    of_object: dict[str, list[int]] = {}
+    for i, im in enumerate(imports):
+        of_object.setdefault(im["object"], []).append(i)
+    chains = [[(_tag("import", imports[i]["loader_config"], imports[i]["import_pos"]), lambda i=i: step(imports[i])) for i in at]
+              for at in of_object.values()]
+    done_rows = run_chains(spark, chains, parallel)
+    in_order = {i: rows for at, chain in zip(of_object.values(), done_rows, strict=True) for i, rows in zip(at, chain, strict=True)}
+    return _logged(spark, [row for i in sorted(in_order) for row in in_order[i]], run_ts, log_path, run_id)

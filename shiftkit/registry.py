@@ -12,6 +12,7 @@ reads its tables whole.
 from __future__ import annotations
 
 from collections.abc import Callable
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,17 +34,17 @@ def register(name: str, oracle: str | None = None):
     return wrap
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: WeakKeyDictionary[SparkSession, dict[str, DataFrame]] = WeakKeyDictionary()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table as a DataFrame; the handle (plan and schema, no data) is
     reused per session, so its parquet schema is read once."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    mine = _TABLES.setdefault(spark, {})
+    if path not in mine:
+        mine[path] = spark.read.parquet(path)
+    return mine[path]
 
 
 # --- object views of the test tables ------------------------------------------
@@ -477,76 +478,97 @@ def inventory_rows(spark, sf_dir):
         .withColumnRenamed("headers", "attrs")
 
 
-# Fixed test configuration: six exports (one a blank template).  Keys come
-# from the business type and the -export object; ECONOMY is reached by two
-# exports, SMALL and LARGE by none.
-SYNC_EXPORTS = [
-    (0, "economy_parts", "ECONOMY", "-export economy__c -csv economy.csv",
-     ["blue anvil", "red bolt", "  extra field  ", ""]),
-    (1, "economy_more", None, "-export Economy -csv economy2.csv", ["small ring", "blue anvil", "zeta"]),
-    (2, "promo_parts", "promo", "-export promo_items__c -csv promo.csv", ["hot rod"]),
-    (3, "standard_parts", "STANDARD", "-export standard__c -csv standard.csv", []),
-    (4, "medium_parts", "Medium", "-export medium__c", ["cold gear", "old plate", "new widget"]),
-    (5, "template", "", "-export  -csv ", []),
-]
-EXPORT_SCHEMA = ("export_pos int, name string, business_object_type string, params string, "
-                 "columns array<string>")
-
-
-def sync_exports(spark):
-    return spark.createDataFrame(SYNC_EXPORTS, EXPORT_SCHEMA)
-
-
-def _sql_list(items):
-    return "[" + ", ".join("'" + i.replace("'", "''") + "'" for i in items) + "]::VARCHAR[]"
-
-
-SYNC_SQL = INVENTORY_SQL + """,
-exports AS (SELECT * FROM (VALUES """ + ", ".join(
-    f"({p}, '{n}', {('NULL' if b is None else repr(b))}, '{prm}', {_sql_list(c)})"
-    for p, n, b, prm, c in SYNC_EXPORTS) + """) t(export_pos, name, bot, params, columns)),
+# Exports of two configurations, derived from part: one per (configuration, type,
+# size), so many exports share a key, with the names of a third of its parts
+# as columns (some padded, plus a blank and a column no file has).  STANDARD
+# exports of every fifth size name another object in their parameters, so they
+# are reached by two keys, which then share them.  SMALL is in no
+# configuration, LARGE only in one.
+EXPORT_POS = "p_size * 100 + ascii(substr(p_type, 2, 1))"
+
+
+def sync_exports(spark, sf_dir):
+    p = table(spark, sf_dir, "part").where("p_type <> 'SMALL' AND NOT (p_type = 'LARGE' AND p_size % 2 = 1)")
+    low = F.lower("p_type")
+    named = F.when(F.col("p_partkey") % 3 == 0, F.struct("p_partkey", F.when(F.col("p_partkey") % 2 == 0, F.concat(
+        F.lit("  "), "p_name", F.lit(" "))).otherwise(F.col("p_name")).alias("attr")))
+    grouped = p.groupBy("p_type", "p_size").agg(F.array_sort(F.collect_list(named)).alias("names"))
+    return grouped.select(
+        F.concat(F.lit("cfg_"), (F.col("p_size") % 2).cast("string")).alias("loader_config"),
+        F.expr(EXPORT_POS).cast("int").alias("export_pos"), F.concat(low, F.lit("_"), F.col("p_size").cast("string")).alias("name"),
+        F.when(F.col("p_size") % 3 != 0, F.concat(F.lit("  "), "p_type", F.lit(" "))).alias("business_object_type"),
+        F.concat(F.lit("-export "), F.when((F.col("p_type") == "STANDARD") & (F.col("p_size") % 5 == 0), F.lit("Medium")).otherwise(low),
+                 F.lit(" -csv x.csv")).alias("params"),
+        F.concat(F.col("names.attr"), F.array(F.lit(" "), F.concat(F.lit("extra "), (F.col("p_size") % 7).cast("string")))).alias("columns"))
+
+
+SYNC_SQL = INVENTORY_SQL + f""",
+src AS (
+  SELECT 'cfg_' || (p_size % 2) AS loader_config, {EXPORT_POS} AS export_pos, * FROM part
+  WHERE p_type <> 'SMALL' AND NOT (p_type = 'LARGE' AND p_size % 2 = 1)),
+exports AS (
+  SELECT DISTINCT loader_config, export_pos, lower(p_type) || '_' || p_size AS name,
+    CASE WHEN p_size % 3 <> 0 THEN '  ' || p_type || ' ' END AS bot,
+    CASE WHEN p_type = 'STANDARD' AND p_size % 5 = 0 THEN 'Medium' ELSE lower(p_type) END AS object FROM src),
 idx AS (
-  SELECT DISTINCT export_pos, key FROM (
-    SELECT export_pos, nullif(regexp_replace(lower(trim(coalesce(bot, ''))), '_+', '_', 'g'), '') AS key
-    FROM exports
-    UNION ALL
-    SELECT export_pos, nullif(regexp_replace(lower(CASE WHEN starts_with(tok, '-') THEN '' ELSE tok END),
-                                             '_+', '_', 'g'), '')
-    FROM (SELECT export_pos, regexp_extract(params, '(?:^|\\s)-export\\s+(\\S+)', 1) AS tok FROM exports))
-  WHERE key IS NOT NULL),
-nexp AS (SELECT key, count(*) AS n_exports, min(export_pos) AS first_export FROM idx GROUP BY key),
+  SELECT DISTINCT loader_config, export_pos, key FROM (
+    SELECT loader_config, export_pos, regexp_replace(lower(trim(bot)), '_+', '_', 'g') AS key FROM exports WHERE bot IS NOT NULL
+    UNION ALL SELECT loader_config, export_pos, regexp_replace(lower(object), '_+', '_', 'g') FROM exports)),
+nexp AS (SELECT loader_config, key, count(*) AS n_exports FROM idx GROUP BY ALL),
 rk AS (SELECT row_id, object_type, file_intent,
               regexp_replace(lower(trim(object_type)), '_+', '_', 'g') AS key, headers FROM rows_),
 ra AS (
   SELECT row_id, key, attr, apos FROM (
     SELECT row_id, key, unnest(string_split(headers, '|')) AS attr,
            generate_subscripts(string_split(headers, '|'), 1) AS apos
-    FROM rk WHERE headers <> '') ),
+    FROM rk WHERE headers <> '')),
 cl AS (
-  SELECT export_pos, trim(attr) AS attr, cpos FROM (
-    SELECT export_pos, unnest(columns) AS attr, generate_subscripts(columns, 1) AS cpos FROM exports)
-  WHERE trim(attr) <> ''),
+  SELECT loader_config, export_pos, p_name AS attr, row_number() OVER (PARTITION BY loader_config, export_pos ORDER BY p_partkey) AS cpos
+  FROM src WHERE p_partkey % 3 = 0
+  UNION ALL SELECT DISTINCT loader_config, export_pos, 'extra ' || (p_size % 7), 99000 FROM src),
 j0 AS (
-  SELECT key, attr, min(export_pos * 100000 + cpos) AS o FROM idx JOIN cl USING (export_pos)
-  GROUP BY key, attr)
+  SELECT loader_config, key, attr, min(export_pos * 100000 + cpos) AS o FROM idx JOIN cl USING (loader_config, export_pos)
+  GROUP BY ALL)
+"""
+
+# The walk: a key's first row with an attribute that no export of the key has
+# adds it to all of them, unless a key that shares an export with it did so in
+# an earlier row (only the keys standard and medium share exports).
+WALK_SQL = SYNC_SQL + """,
+m AS (SELECT loader_config, row_id, object_type, file_intent, rk.key, n_exports FROM rk JOIN nexp USING (key)),
+cand AS (
+  SELECT n.loader_config, n.key, f.attr, f.row_id, f.apos
+  FROM nexp n JOIN (SELECT key, attr, min(row_id) AS row_id, arg_min(apos, row_id) AS apos FROM ra GROUP BY key, attr) f USING (key)
+  LEFT JOIN j0 ON j0.loader_config = n.loader_config AND j0.key = n.key AND j0.attr = f.attr WHERE j0.attr IS NULL),
+shared AS (SELECT DISTINCT a.loader_config, a.key AS k1, b.key AS k2 FROM idx a JOIN idx b USING (loader_config, export_pos) WHERE a.key <> b.key),
+intro AS (
+  SELECT c.* FROM cand c LEFT JOIN (
+    SELECT s.loader_config, s.k1 AS key, o.attr, min(o.row_id) AS other FROM shared s
+    JOIN cand o ON o.loader_config = s.loader_config AND o.key = s.k2 GROUP BY ALL) x USING (loader_config, key, attr)
+  WHERE x.other IS NULL OR x.other > c.row_id),
+ent AS (
+  SELECT loader_config, export_pos, attr, 0 AS phase, min(cpos) AS a, 0 AS b, -1 AS intro_row FROM cl GROUP BY ALL
+  UNION ALL SELECT i.loader_config, idx.export_pos, i.attr, 1, i.row_id, i.apos, i.row_id FROM intro i JOIN idx USING (loader_config, key)),
+seen AS (
+  SELECT m.loader_config, m.row_id, e.attr, min(e.export_pos * 10000000000000 + e.phase * 1000000000000 + e.a * 100000 + e.b) AS o
+  FROM m JOIN idx USING (loader_config, key) JOIN ent e USING (loader_config, export_pos) WHERE e.intro_row < m.row_id GROUP BY ALL)
 """
 
 
 @register("J7_multi_key_index_join", SYNC_SQL + """
-SELECT rk.row_id, rk.object_type, rk.file_intent, e.name AS export_name
-FROM rk JOIN idx USING (key) JOIN exports e USING (export_pos)
+SELECT loader_config, rk.row_id, rk.object_type, rk.file_intent, e.name AS export_name
+FROM rk JOIN idx USING (key) JOIN exports e USING (loader_config, export_pos)
 """)
 def q_multi_key_index_join(spark, sf_dir):
     from shiftkit.plans.sync import export_index
     from shiftkit.functions.text import normalize_object_type
     rows = inventory_rows(spark, sf_dir)
-    ex = sync_exports(spark)
-    idx = export_index(ex)
+    ex = sync_exports(spark, sf_dir)
     rk = rows.select("row_id", "object_type", "file_intent",
                      normalize_object_type("object_type").alias("key"))
-    return (rk.join(idx, "key").join(ex.select("export_pos", F.col("name").alias("export_name")),
-                                     "export_pos")
-            .select("row_id", "object_type", "file_intent", "export_name"))
+    return (rk.join(export_index(ex), "key")
+            .join(ex.select("loader_config", "export_pos", F.col("name").alias("export_name")), ["loader_config", "export_pos"])
+            .select("loader_config", "row_id", "object_type", "file_intent", "export_name"))
 
 
 @register("J8_anti_unmatched", SYNC_SQL + """
@@ -555,75 +577,57 @@ WHERE key NOT IN (SELECT key FROM idx)
 """)
 def q_anti_unmatched(spark, sf_dir):
     from shiftkit.plans.sync import unmatched_rows
-    un = unmatched_rows(inventory_rows(spark, sf_dir), sync_exports(spark))
+    un = unmatched_rows(inventory_rows(spark, sf_dir), sync_exports(spark, sf_dir))
     return un.select((F.col("row_id") + 1).alias("row_number"), "object_type", "file_intent")
 
 
 @register("A7_ordered_union_distinct", SYNC_SQL + """
-SELECT k.key, coalesce(string_agg(j0.attr, '|' ORDER BY j0.o), '') AS attrs
-FROM (SELECT DISTINCT key FROM idx) k LEFT JOIN j0 USING (key) GROUP BY k.key
+SELECT loader_config, k.key, coalesce(string_agg(j0.attr, '|' ORDER BY j0.o), '') AS attrs
+FROM nexp k LEFT JOIN j0 USING (loader_config, key) GROUP BY ALL
 """)
 def q_ordered_union_distinct(spark, sf_dir):
     from shiftkit.plans.sync import ordered_config_lists
-    return ordered_config_lists(sync_exports(spark)).select(
-        "key", F.array_join("attrs", "|").alias("attrs"))
+    return ordered_config_lists(sync_exports(spark, sf_dir)).select(
+        "loader_config", "key", F.array_join("attrs", "|").alias("attrs"))
 
 
 @register("U2_attr_difference", SYNC_SQL + """,
-m AS (SELECT rk.row_id, rk.key FROM rk WHERE key IN (SELECT key FROM idx))
-SELECT m.row_id,
-  coalesce((SELECT string_agg(ra.attr, '|' ORDER BY ra.apos) FROM ra
-            WHERE ra.row_id = m.row_id
-              AND NOT EXISTS (SELECT 1 FROM j0 WHERE j0.key = m.key AND j0.attr = ra.attr)), '')
-    AS only_in_row,
-  coalesce((SELECT string_agg(j0.attr, '|' ORDER BY j0.o) FROM j0
-            WHERE j0.key = m.key
-              AND NOT EXISTS (SELECT 1 FROM ra WHERE ra.row_id = m.row_id AND ra.attr = j0.attr)), '')
-    AS only_in_config
-FROM m
+m AS (SELECT loader_config, row_id, key FROM rk JOIN nexp USING (key)),
+r AS (
+  SELECT m.loader_config, m.row_id, string_agg(ra.attr, '|' ORDER BY ra.apos) AS only_in_row
+  FROM m JOIN ra USING (row_id, key) LEFT JOIN j0 ON j0.loader_config = m.loader_config AND j0.key = m.key AND j0.attr = ra.attr
+  WHERE j0.attr IS NULL GROUP BY ALL),
+c AS (
+  SELECT m.loader_config, m.row_id, string_agg(j0.attr, '|' ORDER BY j0.o) AS only_in_config
+  FROM m JOIN j0 USING (loader_config, key) LEFT JOIN ra ON ra.row_id = m.row_id AND ra.attr = j0.attr
+  WHERE ra.attr IS NULL GROUP BY ALL)
+SELECT m.loader_config, m.row_id, coalesce(only_in_row, '') AS only_in_row, coalesce(only_in_config, '') AS only_in_config
+FROM m LEFT JOIN r USING (loader_config, row_id) LEFT JOIN c USING (loader_config, row_id)
 """)
 def q_attr_difference(spark, sf_dir):
     from shiftkit.plans.sync import attr_difference
-    d = attr_difference(inventory_rows(spark, sf_dir), sync_exports(spark))
-    return d.select("row_id", F.array_join("only_in_row", "|").alias("only_in_row"),
+    d = attr_difference(inventory_rows(spark, sf_dir), sync_exports(spark, sf_dir))
+    return d.select("loader_config", "row_id", F.array_join("only_in_row", "|").alias("only_in_row"),
                     F.array_join("only_in_config", "|").alias("only_in_config"))
 
 
-@register("A8_attribute_sync", SYNC_SQL + """,
-m AS (SELECT rk.row_id, rk.object_type, rk.file_intent, rk.key, nexp.n_exports, nexp.first_export
-      FROM rk JOIN nexp USING (key)),
-ram AS (SELECT ra.* FROM ra JOIN m USING (row_id)),
-new AS (SELECT ram.* FROM ram WHERE NOT EXISTS (
-          SELECT 1 FROM j0 WHERE j0.key = ram.key AND j0.attr = ram.attr)),
-fr AS (SELECT key, attr, min(row_id) AS f_row FROM new GROUP BY key, attr),
-intro AS (SELECT fr.key, fr.attr, fr.f_row, new.apos AS f_apos
-          FROM fr JOIN new ON new.key = fr.key AND new.attr = fr.attr AND new.row_id = fr.f_row),
-entries AS (
-  SELECT j0.key, j0.attr, 0 AS phase, j0.o AS a, 0 AS b, -1 AS intro_row FROM j0
-  UNION ALL
-  SELECT intro.key, intro.attr, 1, intro.f_row, intro.f_apos, intro.f_row FROM intro),
-ent AS (
-  SELECT entries.*, CASE WHEN phase = 0 THEN a // 100000 ELSE nexp.first_export END AS e
-  FROM entries JOIN nexp USING (key))
-SELECT m.row_id, m.object_type, m.file_intent,
-  coalesce((SELECT string_agg(i.attr, '|' ORDER BY i.f_apos) FROM intro i
-            WHERE i.key = m.key AND i.f_row = m.row_id), '') AS added_to_config,
-  coalesce((SELECT string_agg(x.attr, '|' ORDER BY x.e, x.phase, x.a, x.b) FROM ent x
-            WHERE x.key = m.key AND x.intro_row < m.row_id
-              AND NOT EXISTS (SELECT 1 FROM ra WHERE ra.row_id = m.row_id AND ra.attr = x.attr)), '')
-    AS added_to_row,
-  (SELECT count(*) FROM intro i WHERE i.key = m.key AND i.f_row = m.row_id) * m.n_exports
-    AS n_added_to_config,
-  (SELECT count(*) FROM ent x WHERE x.key = m.key AND x.intro_row < m.row_id
-     AND NOT EXISTS (SELECT 1 FROM ra WHERE ra.row_id = m.row_id AND ra.attr = x.attr))
-    AS n_added_to_row
-FROM m
+@register("A8_attribute_sync", WALK_SQL + """,
+tc AS (
+  SELECT loader_config, row_id, string_agg(attr, '|' ORDER BY apos) AS added_to_config, count(*) AS n
+  FROM intro GROUP BY ALL),
+tr AS (
+  SELECT s.loader_config, s.row_id, string_agg(s.attr, '|' ORDER BY s.o) AS added_to_row, count(*) AS n
+  FROM seen s LEFT JOIN ra ON ra.row_id = s.row_id AND ra.attr = s.attr WHERE ra.attr IS NULL GROUP BY ALL)
+SELECT m.loader_config, m.row_id, m.object_type, m.file_intent,
+  coalesce(added_to_config, '') AS added_to_config, coalesce(added_to_row, '') AS added_to_row,
+  coalesce(tc.n, 0) * m.n_exports AS n_added_to_config, coalesce(tr.n, 0) AS n_added_to_row
+FROM m LEFT JOIN tc USING (loader_config, row_id) LEFT JOIN tr USING (loader_config, row_id)
 """)
 def q_attribute_sync(spark, sf_dir):
     from shiftkit.plans.sync import attribute_sync
-    res = attribute_sync(inventory_rows(spark, sf_dir), sync_exports(spark))
+    res = attribute_sync(inventory_rows(spark, sf_dir), sync_exports(spark, sf_dir))
     s = res["sync"]
-    return s.select("row_id", "object_type", "file_intent",
+    return s.select("loader_config", "row_id", "object_type", "file_intent",
                     F.array_join("added_to_config", "|").alias("added_to_config"),
                     F.array_join("added_to_row", "|").alias("added_to_row"),
                     "n_added_to_config", "n_added_to_row")
@@ -1244,21 +1248,14 @@ def q_rename_map(spark, sf_dir):
         "id", "name__v", "state__v", "c_phone_missing_is_skipped")
 
 
-@register("W2_running_attribute_set", SYNC_SQL + """,
-m AS (SELECT rk.row_id, rk.key FROM rk JOIN nexp USING (key)),
-ram AS (SELECT ra.* FROM ra JOIN m USING (row_id)),
-new AS (SELECT ram.* FROM ram WHERE NOT EXISTS (
-          SELECT 1 FROM j0 WHERE j0.key = ram.key AND j0.attr = ram.attr)),
-fr AS (SELECT key, attr, min(row_id) AS f_row FROM new GROUP BY key, attr)
-SELECT m.row_id,
-  (SELECT count(*) FROM j0 WHERE j0.key = m.key)
-  + (SELECT count(*) FROM fr WHERE fr.key = m.key AND fr.f_row < m.row_id) AS n_config_seen
-FROM m
+@register("W2_running_attribute_set", WALK_SQL + """
+SELECT m.loader_config, m.row_id, count(s.attr) AS n_config_seen
+FROM m LEFT JOIN seen s USING (loader_config, row_id) GROUP BY ALL
 """)
 def q_running_attribute_set(spark, sf_dir):
     from shiftkit.plans.sync import attribute_sync
-    res = attribute_sync(inventory_rows(spark, sf_dir), sync_exports(spark))
-    return res["sync"].select("row_id", "n_config_seen")
+    res = attribute_sync(inventory_rows(spark, sf_dir), sync_exports(spark, sf_dir))
+    return res["sync"].select("loader_config", "row_id", "n_config_seen")
 
 
 @register("T3_sort_numeric_suffix", INVENTORY_SQL + """,

@@ -25,6 +25,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.showConsoleProgress": "false",
+    # Runs of many definitions put each in a pool of its own (plans.runs).
+    "spark.scheduler.mode": "FAIR",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Broadcasts keep Spark's default size check (10 MB estimated); AQE
     # re-plans a shuffle join to a broadcast at runtime when a side turns
