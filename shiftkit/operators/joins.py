@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shiftkit.functions.names import col
 from shiftkit.functions.text import trim_ws
+from shiftkit.session import shared_dir
 
 
 def key_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]],
@@ -77,11 +78,12 @@ def bridge_resolve(bridge: DataFrame, left_fk: str, left_dim: DataFrame, left_id
                       *[col(d) for d in right_fields.values()])
 
 
-def _grams(text: Column, sizes: Column) -> Column:
-    """Distinct substrings of ``text`` of each of ``sizes`` characters."""
-    of_size = lambda q: F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - q + 1, F.lit(1))),
-                                    lambda i: F.substr(text, i, q))
-    return F.array_distinct(F.flatten(F.transform(F.filter(sizes, lambda q: q <= F.length(text)), of_size)))
+def _with_grams(df: DataFrame, text: Column, sizes: Column) -> DataFrame:
+    """``df`` with ``__gram``: each distinct substring of ``text`` of each of ``sizes`` characters, a row each."""
+    sized = df.withColumn("__q", F.explode(sizes)).where(F.col("__q") <= F.length(text))
+    placed = sized.withColumn("__pos", F.explode(F.sequence(F.lit(1), F.length(text) - F.col("__q") + 1)))
+    grams = placed.withColumn("__gram", F.substring(text, F.col("__pos"), F.col("__q")))
+    return grams.where(F.instr(text, F.col("__gram")) == F.col("__pos")).drop("__q", "__pos")
 
 
 def _gram_size(text: Column) -> Column:
@@ -89,30 +91,41 @@ def _gram_size(text: Column) -> Column:
     return F.pow(F.lit(2), F.floor(F.log2(F.length(text)))).cast("int")
 
 
+#: One text in so many is asked how common a gram is, and the counts kept.  They steer the work, not the result.
+ASKED, COUNTS = 16, 1 << 16
+
+
 def substring_pairs(items: DataFrame, item_text: str, patterns: DataFrame, pattern_col: str) -> DataFrame:
     """Each item row with each distinct pattern (``__pattern``) that its text contains.
 
     A rarest-gram index: a pattern is cut into grams as long as the largest
-    power of two within it, and stands under the one that fewest items hold.
+    power of two within it, and stands under the one that is rarest in a
+    hashed part of the items, then among the patterns.
     Items emit their distinct grams of the sizes in use (at most the binary
     logarithm of the longest pattern), meet the patterns under them in one
     equi-join, and containment is verified exactly.  So the work is the
     items' text times a few sizes, plus as many candidates as the rarest grams
-    leave.  An item that contains a pattern holds all its grams, the rarest
-    too, so no pair is lost; a pattern none of whose grams any item holds
-    drops out before the join.  Null and empty patterns match nothing.
+    leave.  An item that contains a pattern holds all its grams, whichever it
+    stands under, so no pair is lost.  Null and empty patterns match nothing.
+    The index is landed, so that its size is known when the join is planned.
     """
-    distinct = patterns.select(col(pattern_col).alias("__pattern")).where(F.length("__pattern") > 0).distinct()
-    keyed = distinct.withColumn("__size", _gram_size(F.col("__pattern")))
+    keyed = patterns.select(col(pattern_col).alias("__pattern")).where(F.length("__pattern") > 0).withColumn("__size", _gram_size(F.col("__pattern")))
     sizes = sorted(r[0] for r in keyed.select("__size").distinct().collect())          # at most log2 of the longest
-    text = col(item_text)
-    of_items = items.withColumn("__gram", F.explode(_grams(text, F.array(*[F.lit(q) for q in sizes]).cast("array<int>"))))
-    held = of_items.groupBy("__gram").agg(F.count(F.lit(1)).alias("__n"))
-    of_patterns = keyed.select("__pattern", F.explode(_grams(F.col("__pattern"), F.array("__size"))).alias("__gram"))
-    index = (of_patterns.join(held, "__gram").groupBy("__pattern")
-             .agg(F.min(F.struct("__n", "__gram")).alias("__rarest"))
+    text, in_use = col(item_text), F.array(*[F.lit(q) for q in sizes]).cast("array<int>")
+    is_asked = F.pmod(F.xxhash64("__text"), F.lit(ASKED)) == 0
+    cell = F.pmod(F.xxhash64("__gram"), F.lit(COUNTS)).alias("__cell")
+    of_items = _with_grams(items.select(text.alias("__text")).where(is_asked), F.col("__text"), in_use)
+    of_asked = _with_grams(keyed.select(F.col("__pattern").alias("__text"), "__size").where(is_asked), F.col("__text"), F.array("__size"))
+    counts = of_items.select(cell).unionByName(of_asked.select(cell)).groupBy("__cell").agg(F.count(F.lit(1)).alias("__n"))
+    of_patterns = _with_grams(keyed, F.col("__pattern"), F.array("__size")).select("__pattern", "__gram", cell)
+    # At most COUNTS rows: broadcast.
+    index = (of_patterns.join(F.broadcast(counts), "__cell", "left").groupBy("__pattern")
+             .agg(F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("__n"), "__gram")).alias("__rarest"))
              .select("__pattern", F.col("__rarest.__gram").alias("__gram")))
-    return of_items.join(index, "__gram").where(text.contains(F.col("__pattern"))).drop("__gram")
+    at = shared_dir(items.sparkSession, "gram-index")
+    index.write.parquet(at)
+    index = items.sparkSession.read.schema("__pattern string, __gram string").parquet(at)
+    return _with_grams(items, text, in_use).join(index, "__gram").where(text.contains(F.col("__pattern"))).drop("__gram")
 
 
 def contains_join(items: DataFrame, item_text: str, patterns: DataFrame, pattern_col: str,
