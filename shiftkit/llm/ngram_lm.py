@@ -4,12 +4,15 @@ Counting: each task sums words and word pairs and sends sorted number blocks
 to shards by hash, so a row of the shuffle stands for thousands of counts and
 no word or context is a key of its own.  Pair shards merge their counts and
 send what words need (the pairs a context has by count, the contexts a word
-has) to word shards.
+has) to word shards.  The number of shards follows the bytes of the texts,
+and a partition is one shard, so a task's memory doesn't grow with the corpus.
 
-Store: one Parquet file a shard, uncompressed and without dictionaries, with one
-row whose binary columns are ascending hash arrays and their values.  Such a
-value lies in one piece at the end of its column chunk, so a worker maps the
-file and searches the arrays in place; no worker holds the model in memory.
+Store: two Parquet files a shard, of its pairs and of its words, uncompressed and
+without dictionaries, with one row whose binary columns are ascending hash
+arrays and their values.  Such a value lies in one piece at the end of its
+column chunk, so a worker maps the file and searches the arrays in place; no
+worker holds the model in memory.  Counts have 64 bits; those of pairs are kept
+in one byte each, with a list of the few that are larger.
 
 Scoring: log10 P(w|v) = log10(max(c(vw) - D, 0) / c(v) + g(v) Pc(w)), Pc being
 the discounted share of contexts that w follows, interpolated with 1/(V + 1).
@@ -28,11 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shiftkit.llm.common import crc_mod, landed, mix, planes, table, unplanes, utf8_chunks, words
+from shiftkit.llm.common import crc_mod, mix, planes, table, unplanes, utf8_chunks, words
 from shiftkit.session import shared_dir, ship_package
 
-#: ``train``'s default: pairs met less often are not stored and their mass goes to the lower order.  op5 stores all.
-MIN_PAIR = 2
+#: Bytes of text for each shard.
+SHARD = 16 << 20
 _U = np.uint64
 #: Hash of the end of a text, and of the place before its first word.
 _END = np.uint64(0x3C6EF372FE94F82B)
@@ -117,60 +120,78 @@ def _count(docs: DataFrame, shards: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, _BLOCK)
 
 
-def _of_shard(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[int, list]]]:
-    """(shard, blocks by kind) of rows sorted by shard."""
-    last, held = None, {}
+def _of_shard(rows: Iterator[pa.RecordBatch]) -> tuple[int | None, dict[int, list]]:
+    """(shard, blocks by kind) of a partition, which is one shard."""
+    shard, held = None, {}
     for b in rows:
-        for s, kind, *cols in zip(*(b.column(i) for i in range(6)), strict=True):
-            s = s.as_py()
-            if last is not None and s != last:
-                yield last, held
-                held = {}
-            last = s
+        for s, kind, *cols in zip(*(b.column(n) for n in ("shard", "kind", "a", "b", "c", "d")), strict=True):
+            shard = s.as_py()
             held.setdefault(kind.as_py(), []).append([c.as_py() for c in cols])
-    if last is not None:
-        yield last, held
+    return shard, held
 
 
 def _join(parts: list, i: int, dtype) -> np.ndarray:
     return np.concatenate([unplanes(p[i], dtype) for p in parts]) if parts else np.zeros(0, dtype)
 
 
-def _merge_pairs(blocks: DataFrame, shards: int, min_pair: int) -> DataFrame:
-    """Merge pairs: rows for word shards (words, contexts, followers), and kind -1 rows with the stored pairs of the shard."""
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s, kinds in _of_shard(rows):
-            for p in kinds.get(_WORD, []):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([s], pa.int32()), pa.array([_WORD], pa.int32()), *[pa.array([x], pa.binary()) for x in p]],
-                    names=["shard", "kind", "a", "b", "c", "d"])
-            parts = kinds.get(_PAIR, [])
-            v, w, n = _join(parts, 0, np.uint64), _join(parts, 1, np.uint64), _join(parts, 2, np.uint32).astype(np.int64)
-            parts.clear()
-            if not len(v):
-                continue
-            order = np.lexsort((w, v))
-            v, w, n = v[order], w[order], n[order]
-            new = np.ones(len(v), bool)
-            new[1:] = (v[1:] != v[:-1]) | (w[1:] != w[:-1])
-            at = np.flatnonzero(new)
-            v, w, n = v[at], w[at], np.add.reduceat(n, at)
-            a, *c = _summed(v, n == 1, n == 2, n >= 3)
-            yield from _blocks(_CONTEXT, _shard(a, shards), [a, *[x.astype(np.uint32) for x in c]], shards)
-            a, c = _summed(w, np.ones(len(w)))
-            yield from _blocks(_FOLLOWS, _shard(a, shards), [a, c.astype(np.uint32)], shards)
-            keep = n >= min_pair
-            key = pair_key(v[keep], w[keep])
-            order = np.argsort(key)
-            of = np.array([(n == i).sum() for i in (1, 2, 3, 4)], np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([s], pa.int32()), pa.array([-1], pa.int32()), pa.array([key[order].tobytes()], pa.binary()),
-                 pa.array([n[keep][order].astype(np.uint32).tobytes()], pa.binary()),
-                 pa.array([of.tobytes()], pa.binary()), pa.array([None], pa.binary())],
-                names=["shard", "kind", "a", "b", "c", "d"])
+_MERGED = _BLOCK + ", n long, n_large long, f1 long, f2 long, f3 long, f4 long, stored boolean"
+_LARGE = 255
 
-    ordered = blocks.repartition(shards, "shard").sortWithinPartitions("shard", "kind")
-    return landed(ordered.mapInArrow(run, _BLOCK), "lm-merged")
+
+def _merge_pairs(blocks: DataFrame, shards: int, path: str) -> None:
+    """Merge pairs: rows for word shards (words, contexts, followers), and the stored pairs of each shard in a file of their own.
+
+    Written below ``path`` as ``stored=false`` and ``stored=true``.
+    """
+    def rows_of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        none = pa.nulls(batch.num_rows, pa.int64())
+        return pa.RecordBatch.from_arrays([*batch.columns, *[none] * 6, pa.array([False] * batch.num_rows)],
+                                          names=[f.split()[0] for f in _MERGED.split(", ")])
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        s, kinds = _of_shard(rows)
+        if s is None:
+            return
+        for p in kinds.pop(_WORD, []):
+            yield rows_of(pa.RecordBatch.from_arrays(
+                [pa.array([s], pa.int32()), pa.array([_WORD], pa.int32()), *[pa.array([x], pa.binary()) for x in p]],
+                names=["shard", "kind", "a", "b", "c", "d"]))
+        parts = kinds.pop(_PAIR, [])
+        v, w, n = _join(parts, 0, np.uint64), _join(parts, 1, np.uint64), _join(parts, 2, np.uint32)
+        parts.clear()
+        if not len(v):
+            return
+        order = np.lexsort((w, v))
+        v, w, n = v[order], w[order], n[order].astype(np.int64)
+        del order
+        new = np.ones(len(v), bool)
+        new[1:] = (v[1:] != v[:-1]) | (w[1:] != w[:-1])
+        at = np.flatnonzero(new)
+        v, w, n = v[at], w[at], np.add.reduceat(n, at)
+        a, *c = _summed(v, n == 1, n == 2, n >= 3)
+        for x in _blocks(_CONTEXT, _shard(a, shards), [a, *[x.astype(np.uint32) for x in c]], shards):
+            yield rows_of(x)
+        a, c = _summed(w, np.ones(len(w)))
+        for x in _blocks(_FOLLOWS, _shard(a, shards), [a, c.astype(np.uint32)], shards):
+            yield rows_of(x)
+        key = pair_key(v, w)
+        del v, w
+        order = np.argsort(key)
+        key, n = key[order], n[order]
+        large = np.flatnonzero(n >= _LARGE)
+        arrays = [key.tobytes(), np.minimum(n, _LARGE).astype(np.uint8).tobytes(), key[large].tobytes(), n[large].astype(np.uint64).tobytes()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([s], pa.int32()), pa.array([-1], pa.int32()), *[pa.array([x], pa.binary()) for x in arrays],
+             *[pa.array([int(x)], pa.int64()) for x in (len(key), len(large), *[(n == i).sum() for i in (1, 2, 3, 4)])], pa.array([True])],
+            names=[f.split()[0] for f in _MERGED.split(", ")])
+
+    merged = blocks.repartitionById(shards, F.col("shard")).mapInArrow(run, _MERGED)
+    _uncompressed(merged.write.partitionBy("stored")).parquet(path)
+
+
+def _uncompressed(writer):
+    return (writer.option("compression", "uncompressed").option("parquet.enable.dictionary", "false")
+            .option("parquet.page.write-checksum.enabled", "false"))
 
 
 def discounts(n: np.ndarray) -> tuple[float, float, float]:
@@ -183,75 +204,77 @@ def discounts(n: np.ndarray) -> tuple[float, float, float]:
     return tuple(min(max(x, 0.05), i + 0.95) for i, x in enumerate(d))
 
 
-_STORE = ("shard int, words binary, counts binary, follows binary, backoff binary, pairs binary, pair_counts binary, "
-          "n_entries long, n_pairs long, n_words long, n_tokens long, n_follows long, f1 long, f2 long, f3 long, f4 long")
+_STORE = ("shard int, words binary, counts binary, follows binary, backoff binary, "
+          "n_entries long, n_words long, n_tokens long, n_follows long, f1 long, f2 long, f3 long, f4 long")
 
 
-def _store(merged: DataFrame, shards: int, d: tuple[float, float, float], path: str, min_pair: int) -> None:
-    """Write one file a shard: words with counts, contexts followed and backoff mass, and the stored pairs."""
+def _store(merged: DataFrame, shards: int, d: tuple[float, float, float], path: str) -> None:
+    """Write one file a shard: words with counts, contexts followed and backoff mass."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s, kinds in _of_shard(rows):
-            parts = kinds.get(_WORD, [])
-            w, c = _summed(_join(parts, 0, np.uint64), _join(parts, 1, np.uint32))
-            start = None
-            follows = np.zeros(len(w), np.int64)
-            if parts := kinds.get(_FOLLOWS):
-                a, n = _summed(_join(parts, 0, np.uint64), _join(parts, 1, np.uint32))
-                follows[np.searchsorted(w, a)] = n
-            back = np.ones(len(w))
-            if parts := kinds.get(_CONTEXT):
-                a, n1, n2, n3 = _summed(_join(parts, 0, np.uint64), *[_join(parts, i, np.uint32) for i in (1, 2, 3)])
-                # If pairs met once are not stored, all of their mass is left to the lower order.
-                left = (n1 if min_pair > 1 else n1 * d[0]) + n2 * d[1] + n3 * d[2]
-                is_start = a == _START
-                if is_start.any():
-                    start = float(left[is_start][0])
-                a, left = a[~is_start], left[~is_start]
-                at = np.searchsorted(w, a)
-                back[at] = left / c[at]
-            pair = kinds.get(-1, [[b"", b""]])[0]
-            small = [len(w), int(c.sum()), int(follows.sum()), *[int((follows == i).sum()) for i in (1, 2, 3, 4)]]
-            if start is not None:       # the place before the first word is a context, but not a word
-                at = int(np.searchsorted(w, _START))
-                w, c, follows, back = (np.insert(x, at, y) for x, y in zip((w, c, follows, back), (_START, 0, 0, start), strict=True))
-            small = [len(w), len(pair[0]) // 8, *small]
-            arrays = [w.tobytes(), c.astype(np.uint32).tobytes(), follows.astype(np.uint32).tobytes(),
-                      back.astype(np.float32).tobytes(), pair[0], pair[1]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([s], pa.int32()), *[pa.array([x], pa.binary()) for x in arrays], *[pa.array([x], pa.int64()) for x in small]],
-                names=[f.split()[0] for f in _STORE.split(", ")])
-
-    ordered = merged.repartition(shards, "shard").sortWithinPartitions("shard", "kind")
-    (ordered.mapInArrow(run, _STORE).write.option("compression", "uncompressed").option("parquet.enable.dictionary", "false")
-     .option("parquet.page.write-checksum.enabled", "false").option("maxRecordsPerFile", 1).parquet(path))
+        s, kinds = _of_shard(rows)
+        if s is None:
+            return
+        parts = kinds.get(_WORD, [])
+        w, c = _summed(_join(parts, 0, np.uint64), _join(parts, 1, np.uint32))
+        start = None
+        follows = np.zeros(len(w), np.int64)
+        if parts := kinds.get(_FOLLOWS):
+            a, n = _summed(_join(parts, 0, np.uint64), _join(parts, 1, np.uint32))
+            follows[np.searchsorted(w, a)] = n
+        back = np.ones(len(w))
+        if parts := kinds.get(_CONTEXT):
+            a, n1, n2, n3 = _summed(_join(parts, 0, np.uint64), *[_join(parts, i, np.uint32) for i in (1, 2, 3)])
+            left = n1 * d[0] + n2 * d[1] + n3 * d[2]
+            is_start = a == _START
+            if is_start.any():
+                start = float(left[is_start][0])
+            a, left = a[~is_start], left[~is_start]
+            at = np.searchsorted(w, a)
+            back[at] = left / c[at]
+        small = [len(w), int(c.sum()), int(follows.sum()), *[int((follows == i).sum()) for i in (1, 2, 3, 4)]]
+        if start is not None:       # the place before the first word is a context, but not a word
+            at = int(np.searchsorted(w, _START))
+            w, c, follows, back = (np.insert(x, at, y) for x, y in zip((w, c, follows, back), (_START, 0, 0, start), strict=True))
+        small = [len(w), *small]
+        arrays = [w.tobytes(), c.astype(np.uint64).tobytes(), follows.astype(np.uint64).tobytes(), back.astype(np.float64).tobytes()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([s], pa.int32()), *[pa.array([x], pa.binary()) for x in arrays], *[pa.array([x], pa.int64()) for x in small]],
+            names=[f.split()[0] for f in _STORE.split(", ")])
+
+    _uncompressed(merged.repartitionById(shards, F.col("shard")).mapInArrow(run, _STORE).write).parquet(path)
 
 
 # --- the stored model --------------------------------------------------------------
 
-_COLUMNS = {"words": np.uint64, "counts": np.uint32, "follows": np.uint32, "backoff": np.float32,
-            "pairs": np.uint64, "pair_counts": np.uint32}
+#: Arrays of a file by column: name, kind of number, and the column that tells how many there are.
+_WORD_FILE = {"words": ("words", np.uint64, "n_entries"), "counts": ("counts", np.uint64, "n_entries"),
+              "follows": ("follows", np.uint64, "n_entries"), "backoff": ("backoff", np.float64, "n_entries")}
+_PAIR_FILE = {"a": ("pairs", np.uint64, "n"), "b": ("pair_counts", np.uint8, "n"),
+              "c": ("large", np.uint64, "n_large"), "d": ("large_counts", np.uint64, "n_large")}
 
 
 def map_arrays(path: str) -> tuple[int, dict[str, np.ndarray]]:
-    """(shard, arrays) of one shard file, mapped in place.
+    """(shard, arrays) of one file of words or pairs, mapped in place.
 
     The file has one row, so an array is the last thing in its column's chunk.
     """
     f = pq.ParquetFile(path)
+    columns = _PAIR_FILE if "a" in f.schema_arrow.names else _WORD_FILE
     if not f.metadata.num_rows:          # of a task that had no shard
-        return -1, {k: np.zeros(0, t) for k, t in _COLUMNS.items()}
+        return -1, {name: np.zeros(0, t) for name, t, _ in columns.values()}
     if f.metadata.num_rows != 1:
         raise ValueError(f"{path} has {f.metadata.num_rows} rows")
-    row = f.read(columns=["shard", "n_entries", "n_pairs"]).to_pylist()[0]
+    row = f.read(columns=["shard", *{n for _, _, n in columns.values()}]).to_pylist()[0]
     raw, out, group = np.memmap(path, np.uint8, "r"), {}, f.metadata.row_group(0)
     for i in range(group.num_columns):
         col = group.column(i)
-        if kind := _COLUMNS.get(col.path_in_schema):
-            size = row["n_pairs" if col.path_in_schema.startswith("pair") else "n_entries"] * np.dtype(kind).itemsize
+        if col.path_in_schema in columns:
+            name, kind, count = columns[col.path_in_schema]
+            size = row[count] * np.dtype(kind).itemsize
             end = col.data_page_offset + col.total_compressed_size
             if int(raw[end - size - 4:end - size].view("<u4")[0]) != size:
-                raise ValueError(f"{path}: {col.path_in_schema} does not lie in one piece")
-            out[col.path_in_schema] = raw[end - size:end].view(kind)
+                raise ValueError(f"{path}: {name} does not lie in one piece")
+            out[name] = raw[end - size:end].view(kind)
     return row["shard"], out
 
 
@@ -279,7 +302,10 @@ class NgramModel:
     def maps(self) -> dict[int, dict[str, np.ndarray]]:
         if self._maps is None:
             paths = self.files if self.in_place else [SparkFiles.get(f.rsplit("/", 1)[1]) for f in self.files]
-            self._maps = {s: arrays for s, arrays in map(map_arrays, paths) if s >= 0}
+            self._maps = {}
+            for s, arrays in map(map_arrays, paths):
+                if s >= 0:
+                    self._maps.setdefault(s, {}).update(arrays)
         return self._maps
 
     def _find(self, key: np.ndarray, keys: str, values: tuple[str, ...]) -> list[np.ndarray]:
@@ -290,7 +316,7 @@ class NgramModel:
         edge = np.searchsorted(shard[order], np.arange(self.shards + 1))
         for s, arrays in self.maps().items():
             at = order[edge[s]:edge[s + 1]]
-            stored = arrays[keys]
+            stored = arrays.get(keys, ())
             if len(at) and len(stored):
                 k = np.minimum(np.searchsorted(stored, key[at]), len(stored) - 1)
                 hit = stored[k] == key[at]
@@ -316,7 +342,10 @@ class NgramModel:
         back = np.where(known == _START, back / max(1, self.n_docs), back)
         back = np.where(seen > 0, back, 1.0)
         pairs, pair_at = np.unique(pair_key(before, tok), return_inverse=True)
-        c2 = self._find(pairs, "pairs", ("pair_counts",))[0][pair_at]
+        c2 = self._find(pairs, "pairs", ("pair_counts",))[0]
+        large = np.flatnonzero(c2 == _LARGE)
+        c2[large] = self._find(pairs[large], "large", ("large_counts",))[0]
+        c2 = c2[pair_at]
         d = np.array([0.0, *self.pair_discounts])
         of = seen[at_before]
         p = np.where(of > 0, np.maximum(c2 - d[np.minimum(c2, 3).astype(int)], 0) / np.maximum(of, 1), 0) + back[at_before] * lower[at]
@@ -324,41 +353,47 @@ class NgramModel:
                 np.bincount(row, base[at], n), np.bincount(row, np.log10(p), n)]
 
 
-def train(docs: DataFrame, min_pair: int = MIN_PAIR) -> NgramModel:
-    """Count and store the model of all given documents; a null text has only its end.
-
-    ``min_pair`` 1 stores all pairs, 2 leaves those met once to the lower order.
+def train(docs: DataFrame) -> NgramModel:
+    """Count and store the model of all given documents (column text); a null text has only its end.
 
-    As many shards as the session has shuffle partitions.  Only sums of a
-    few numbers a shard come to the driver.
+    Repeated rows count each, other columns are ignored; of an empty table
+    there is a model that knows no word.  All pairs are stored.  Only sums
+    come to the driver, and the names of two files a shard.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    merged = _merge_pairs(_count(docs, shards), shards, min_pair)
-    of = np.zeros(4, np.int64)
-    for r in merged.where("kind = -1").select("c").collect():
-        of += np.frombuffer(r.c, np.int64)
-    d = discounts(of)
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b"), F.count(F.lit(1)).alias("n")).first()
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size.b // SHARD))
+    merged = shared_dir(spark, "lm-merged")
+    _merge_pairs(_count(docs, shards), shards, merged)
+    both = spark.read.schema(_MERGED).parquet(merged)
+    of = both.where("stored").agg(*[F.coalesce(F.sum(f"f{i}"), F.lit(0)) for i in (1, 2, 3, 4)]).first()
+    d = discounts(np.array(of, np.int64))
     path = shared_dir(spark, "lm-model")
-    _store(merged, shards, d, path, min_pair)
+    _store(both.where("not stored"), shards, d, path)
     store = spark.read.schema(_STORE).parquet(path)
     total = store.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in
                         ("n_words", "n_tokens", "n_follows", "f1", "f2", "f3", "f4")]).first()
     wd = discounts(np.array([total.f1, total.f2, total.f3, total.f4]))
     left = total.f1 * wd[0] + total.f2 * wd[1] + max(0, total.n_words - total.f1 - total.f2) * wd[2]
-    files = store.inputFiles() if total.n_words else []                  # one a shard
+    files = []
+    if total.n_words:                   # two a shard
+        files = store.inputFiles() + spark.read.parquet(f"{merged}/stored=true").inputFiles()
     in_place = all(f.startswith("file:") for f in files)
     if in_place:                        # the shared folder is mounted everywhere: map the files where they are
         files = ["/" + f.removeprefix("file:").lstrip("/") for f in files]
     else:                               # else Spark hands a copy to each executor
         for f in files:
             spark.sparkContext.addFile(f)
-    return NgramModel(files, in_place, shards, total.n_words, total.n_tokens, docs.count(), total.n_follows, d, wd, left)
+    return NgramModel(files, in_place, shards, total.n_words, total.n_tokens, size.n, total.n_follows, d, wd, left)
 
 
 def scored(docs: DataFrame, model: NgramModel) -> DataFrame:
-    """doc_id, n_tokens, n_known, base_score and score (log10 probability) of each document's whole text."""
+    """doc_id, n_tokens, n_known, base_score and score (log10 probability) of each document's whole text.
+
+    A null text has only its end; null and repeated ids and repeated rows are
+    scored each; other columns are ignored, whatever their names.
+    """
     ship_package(docs.sparkSession)
     kinds = [("n_tokens", T.LongType()), ("n_known", T.LongType()), ("base_score", T.DoubleType()), ("score", T.DoubleType())]
 
@@ -375,7 +410,7 @@ def scored(docs: DataFrame, model: NgramModel) -> DataFrame:
 
 def op5_ngram_lm(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = train(docs.where(crc_mod("doc_id", 5) != 1), min_pair=1)
+    model = train(docs.where(crc_mod("doc_id", 5) != 1))
     return scored(docs, model).select(
         "doc_id", (crc_mod("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known",
         F.lit(model.n_tokens).cast("long").alias("train_tokens"), "base_score", "score",

@@ -224,7 +224,7 @@ def test_ngram_model_against_plain_counts(spark, docs):
     fol, ctx, back = Counter(w for _, w in pr), Counter(), Counter()
     for (a, _), k in pr.items():
         ctx[a] += k
-        back[a] += 1 if k == 1 else d[min(k, 3) - 1]
+        back[a] += d[min(k, 3) - 1]
     e = ngram_lm.discounts(np.array([sum(x == i for x in fol.values()) for i in (1, 2, 3, 4)]))
     left = sum(e[min(x, 3) - 1] for x in fol.values())
 
@@ -232,7 +232,7 @@ def test_ngram_model_against_plain_counts(spark, docs):
         f = fol.get(w, 0)
         low = (max(f - (e[min(f, 3) - 1] if f else 0), 0) + left / (v + 1)) / len(pr)
         k = pr.get((a, w), 0)
-        return low * back[a] / ctx[a] + (max(k - d[min(k, 3) - 1], 0) / ctx[a] if k > 1 else 0) if ctx[a] else low
+        return low * back[a] / ctx[a] + (max(k - d[min(k, 3) - 1], 0) / ctx[a] if k else 0) if ctx[a] else low
 
     assert abs(sum(p(WORDS[0], w) for w in c) + p(WORDS[0], "@") - 1) < 1e-9
     got = Counter((r.doc_id, r.n_tokens, round(r.base_score, 4), round(r.score, 2)) for r in ngram_lm.scored(docs, model).collect())
@@ -244,11 +244,11 @@ def test_ngram_model_against_plain_counts(spark, docs):
     assert [r.score for r in ngram_lm.scored(docs, empty).collect()] == [0.0] * len(rows)
 
 
-def test_ngram_model_with_all_pairs(spark, docs, monkeypatch):
-    """Pairs met once count with their own discount; op5 asks for them; probabilities of all words sum to 1."""
+def test_ngram_model_with_all_pairs(spark, docs):
+    """Pairs met once count with their own discount; probabilities of all words sum to 1."""
     toks = [words(r.text) + [None] for r in docs.collect()]
     c, pr = Counter(w for t in toks for w in t), Counter(p for t in toks for p in zip(["<s>"] + t[:-1], t, strict=True))
-    model = ngram_lm.train(docs, min_pair=1)
+    model = ngram_lm.train(docs)
     d, e = model.pair_discounts, model.word_discounts
     fol, ctx = Counter(w for _, w in pr), Counter()
     for (a, _), k in pr.items():
@@ -266,10 +266,16 @@ def test_ngram_model_with_all_pairs(spark, docs, monkeypatch):
     after = next(w for (a, w), k in pr.items() if k == 1 and a == once and w in WORDS)
     got = ngram_lm.scored(spark.createDataFrame([(1, f"{once} {after}")], "doc_id long, text string"), model).first().score
     assert abs(got - sum(math.log10(p(a, w)) for a, w in (("<s>", once), (once, after), (after, None)))) < 1e-3
-    asked = []
-    monkeypatch.setattr(ngram_lm, "train", lambda rows, **kw: asked.append(kw) or model)
-    ngram_lm.op5_ngram_lm(spark, "/root/testdata/sf0.001")
-    assert asked == [{"min_pair": 1}]
+def test_pairs_counted_beyond_one_byte(spark):
+    """Counts of pairs above 255 have their place beside the bytes; a shard's arrays are mapped from two files."""
+    df = spark.createDataFrame([(i, "often met " * 40 + f"rare{i}") for i in range(20)], "doc_id long, text string")
+    model = ngram_lm.train(df)
+    key = ngram_lm.pair_key(*(np.array([ngram_lm.words(np.frombuffer(w, np.uint8), np.array([0, len(w)]))[0][0]]) for w in (b"often", b"met")))
+    found = [m["large_counts"][m["large"] == key[0]] for m in model.maps().values()]
+    assert sum(len(x) for x in found) == 1 and max(int(x[0]) for x in found if len(x)) == 800
+    got = ngram_lm.scored(df, model).first()
+    c, d = 800, model.pair_discounts[2]
+    assert got.n_known == 82 and got.score > 81 * math.log10((c - d) / c) - 10
 
 
 def test_warc_round_trip(spark):
