@@ -1,20 +1,26 @@
 """Document fingerprints: threshold-scaled sketches of word shingles.
 
-A sketch keeps every distinct five-word shingle hash below a fixed fraction of
-the hash range, so its size follows the document's.  Sketches of two texts are
-comparable whatever their lengths, the sketch of a union is the union of the
-sketches, and the share of one sketch found in another estimates containment.
-Everything here is built from SQL functions.
+A sketch keeps every distinct five-word shingle hash below a fraction of the
+hash range: the fixed one, 1/SCALE, or for texts of few shingles the first of
+1, 1/2, 1/4, ... that leaves at most FEW of them, so short texts are kept
+whole.  These thresholds are nested and depend on the set alone.  Two sketches
+are compared at the lower of their thresholds, below which both are complete;
+the share of one found in the other estimates containment, whatever their
+lengths, without bias, and exactly where nothing was left out.  Sketches merge:
+that of two texts' shingles together follows from their sketches.  Everything
+here is built from SQL functions.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SHINGLE = 5
-#: Hashes have 48 bits; those below 1/SCALE of the range are kept.
-SCALE = 8
+#: Hashes have 48 bits; those below 1/SCALE (a power of two) of the range are kept, or up to FEW below a larger part.
+SCALE, FEW = 8, 64
 _RANGE = 1 << 48
 _SPLIT = r"[\x20\x09-\x0D]+"
 
@@ -36,15 +42,34 @@ def shingle_hashes(words: Column) -> Column:
         F.array().cast("array<bigint>"))
 
 
-def kept(hashes: Column, scale: int = SCALE) -> Column:
-    """The sketch: distinct hashes below the threshold, ascending.
+def _scales(scale: int) -> list[int]:
+    return [1 << i for i in range(scale.bit_length())]
+
+
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def below(hashes: Column, scale: Column) -> Column:
+    """Those of the hashes that lie below 1/scale of the range."""
+    return F.filter(hashes, lambda h: h * scale < _RANGE)
+
+
+def _at_threshold(hashes: Column, least: Column, scale: int) -> Column:
+    """The sketch of distinct hashes that are complete below 1/least."""
+    levels = F.array(*[F.struct(F.lit(s).alias("scale"), below(hashes, F.lit(s)).alias("hashes")) for s in _scales(scale)])
+
+    def first(of: Column) -> Column:
+        fine = F.filter(of, lambda x: (x["scale"] >= least) & ((F.size(x["hashes"]) <= FEW) | (x["scale"] == scale)))
+        return F.get(fine, F.lit(0))
+
+    return _let(levels, first)
 
-    A text with words whose hashes all lie above it keeps its smallest one,
-    so only a text without words has an empty sketch.
-    """
-    low = F.filter(hashes, lambda h: h < _RANGE // scale)
-    return F.when(F.size(low) > 0, F.array_sort(F.array_distinct(low))).when(
-        F.size(hashes) > 0, F.array(F.array_min(hashes))).otherwise(F.array().cast("array<bigint>"))
+
+def kept(hashes: Column, scale: int = SCALE) -> Column:
+    """The sketch of shingle hashes: ``scale`` and the distinct ``hashes`` below 1/scale, ascending."""
+    return _let(F.array_sort(F.array_distinct(hashes)), lambda h: _at_threshold(h, F.lit(1), scale))
 
 
 def with_sketch(df: DataFrame, text: str, name: str, scale: int = SCALE) -> DataFrame:
@@ -55,25 +80,52 @@ def with_sketch(df: DataFrame, text: str, name: str, scale: int = SCALE) -> Data
 
 
 def as_text(s: Column) -> Column:
-    """A sketch as text: 12 hexadecimal digits a hash, ascending."""
-    return F.lower(F.array_join(F.transform(s, lambda h: F.lpad(F.hex(h), 12, "0")), ""))
+    """A sketch as text: the scale, then 12 hexadecimal digits a hash, ascending; nothing if there is no shingle."""
+    digits = F.array_join(F.transform(s["hashes"], lambda h: F.lpad(F.hex(h), 12, "0")), "")
+    return F.when((F.size(s["hashes"]) == 0) & (s["scale"] == 1), F.lit("")).otherwise(
+        F.lower(F.concat(s["scale"].cast("string"), F.lit(":"), digits)))
+
 
+def _common(a: Column, b: Column, then) -> Column:
+    """``then`` of the hashes of both below the lower threshold."""
+    scale = F.greatest(a["scale"], b["scale"])
+    return _let(F.struct(below(a["hashes"], scale).alias("a"), below(b["hashes"], scale).alias("b")), lambda x: then(x["a"], x["b"]))
 
-def merged(a: Column, b: Column) -> Column:
+
+def merged(a: Column, b: Column, scale: int = SCALE) -> Column:
     """The sketch of two texts' shingles together."""
-    return F.array_sort(F.array_union(a, b))
+    both = F.array_sort(F.array_union(a["hashes"], b["hashes"]))
+    return _let(both, lambda h: _at_threshold(h, F.greatest(a["scale"], b["scale"]), scale))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Estimated Jaccard likeness; two texts without words are alike (1), one of them is not (0)."""
-    both = F.size(F.array_intersect(a, b))
-    union = F.size(a) + F.size(b) - both
-    return F.when(union == 0, F.lit(1.0)).otherwise(both / union).cast("double")
+    def of(x: Column, y: Column) -> Column:
+        shared = F.size(F.array_intersect(x, y))
+        union = F.size(x) + F.size(y) - shared
+        empty = (F.size(a["hashes"]) == 0) & (F.size(b["hashes"]) == 0) & (a["scale"] == b["scale"])
+        return F.when(union > 0, shared / union).when(empty, F.lit(1.0)).otherwise(F.lit(0.0)).cast("double")
+
+    return _common(a, b, of)
 
 
 def containment(a: Column, b: Column) -> Column:
-    """Estimated share of a's shingles that b has; nothing is contained in everything (1)."""
-    return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / F.size(a)).cast("double")
+    """Estimated share of a's shingles that b has.
+
+    Nothing is contained in everything (1); so is a text none of whose hashes
+    lie below the common threshold, of which the estimate knows nothing (:func:`containment_error`).
+    """
+    return _common(a, b, lambda x, y: F.when(F.size(x) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(x, y)) / F.size(x)).cast("double"))
+
+
+def containment_error(a: Column, b: Column, chance: float = 0.05) -> Column:
+    """What the estimate of :func:`containment` is off by at most, but for ``chance`` (Hoeffding's bound).
+
+    0 where all of a's hashes are compared, 1 where none is.
+    """
+    whole = F.greatest(a["scale"], b["scale"]) == 1
+    bound = lambda x, y: F.least(F.lit(1.0), F.sqrt(F.lit(math.log(2 / chance)) / (2 * F.size(x))))
+    return F.when(whole, F.lit(0.0)).otherwise(_common(a, b, lambda x, y: F.when(F.size(x) == 0, F.lit(1.0)).otherwise(bound(x, y))))
 
 
 def _bounds(docs: DataFrame, n: int) -> list[int]:
@@ -95,13 +147,13 @@ def with_next(docs: DataFrame, carried: list[str], bounds: list[int]) -> DataFra
     step = max(1, int(len(bounds) ** 0.5))
     parts = [bounds[i:i + step] for i in range(0, len(bounds), step)]
 
-    def below(values: Column) -> Column:
+    def under(values: Column) -> Column:
         return F.size(F.filter(values, lambda b: b < F.col("id")))
 
     ends = F.array(*[F.lit(p[-1]).cast("long") for p in parts])
     inner = F.array(*[F.array(*[F.lit(b).cast("long") for b in p]) for p in parts])
-    placed = docs.withColumn("part", below(ends)).withColumn("in_part", F.get(inner, F.col("part")))
-    placed = placed.withColumn("range", F.col("part") * step + below(F.col("in_part")))
+    placed = docs.withColumn("part", under(ends)).withColumn("in_part", F.get(inner, F.col("part")))
+    placed = placed.withColumn("range", F.col("part") * step + under(F.col("in_part")))
     edge = F.get(F.col("in_part"), F.col("range") - F.col("part") * step) == F.col("id")
     last = F.col("range") == len(bounds) - 1
 
@@ -140,7 +192,8 @@ def fingerprints(docs: DataFrame, scale: int = SCALE) -> DataFrame:
         as_text(F.col("sketch")).alias("fingerprint"), as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
         likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
         likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
-        containment(F.col("sketch"), F.col("edited_sketch")).alias("kept_in_edited"))
+        containment(F.col("sketch"), F.col("edited_sketch")).alias("kept_in_edited"),
+        containment_error(F.col("sketch"), F.col("edited_sketch")).alias("kept_in_edited_error"))
 
 
 def op2_fingerprints(spark, sf_dir: str) -> DataFrame:

@@ -160,6 +160,41 @@ def test_fingerprints(spark, docs):
     assert fingerprints.fingerprints(docs.limit(0)).count() == 0
 
 
+def test_sketches_merge_and_estimate_within_their_bounds(spark):
+    """Texts of 1 to 50 words in texts that hold them whole, beside texts that don't; merged sketches are those of the union."""
+    rng = np.random.default_rng(8)
+    many = [f"w{i}" for i in range(5_000)]
+    rows = []
+    for i in range(150):
+        n = int(rng.integers(1, 51)) if i % 3 else int(rng.integers(50, 900))
+        short = " ".join(rng.choice(many, n))
+        other = " ".join(rng.choice(many, int(rng.integers(0, 1_500))))
+        part = " ".join(short.split()[:max(5, n // 2)])
+        rows.append((i, short, f"{other} {short}", f"{other} {part}"))
+    df = spark.createDataFrame(rows, "i long, ta string, tb string, tc string")
+    df = df.select("i", *[fingerprints.shingle_hashes(fingerprints.text_words(F.col(f"t{c}"))).alias(f"h{c}") for c in "abc"])
+    df = df.select("*", *[fingerprints.kept(F.col(f"h{c}")).alias(c) for c in "abc"], fingerprints.kept(F.array_union("ha", "hc")).alias("union"))
+    a, b, c = (F.col(x) for x in "abc")
+    got = df.select("*", fingerprints.containment(a, b).alias("in_b"), fingerprints.containment(a, c).alias("in_c"),
+                    fingerprints.containment_error(a, c).alias("off"), fingerprints.likeness(a, c).alias("like"),
+                    fingerprints.merged(a, c).alias("merged"), fingerprints.as_text(a).alias("text")).collect()
+    beyond, known = 0, 0
+    for r in got:
+        sets = {x: set(r[f"h{x}"]) for x in "abc"}
+        if len(rows[r.i][1].split()) >= 5:                   # a shorter text is one shingle of its own kind
+            assert r.in_b == 1
+        assert r.merged == r["union"]
+        for x in "abc":
+            assert set(r[x].hashes) == {v for v in sets[x] if v * r[x].scale < 1 << 48} and r[x].scale in (1, 2, 4, 8)
+            assert len(r[x].hashes) <= fingerprints.FEW or r[x].scale == 8
+        real = len(sets["a"] & sets["c"]) / len(sets["a"])
+        beyond += abs(r.in_c - real) > r.off + 1e-9
+        known += r.off < 1
+        if r.a.scale == r.c.scale == 1:
+            assert r.in_c == real and r.like == len(sets["a"] & sets["c"]) / len(sets["a"] | sets["c"])
+    assert beyond <= 0.05 * len(rows) and known > 0.3 * len(rows)
+
+
 def test_pii_patterns_and_terms(spark):
     plain = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
              "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
