@@ -519,3 +519,44 @@ def q_failure_reasons(spark, sf_dir):
     from shiftkit.registry import TEST_BANNER, job_outputs
     return job_outputs(spark, sf_dir).select("event_id", F.array_join(
         import_failure_reasons("return_code", "stdout", "stderr", TEST_BANNER), " / ").alias("reasons"))
+
+
+# --- the sync report: where additions stand, and its totals ------------------------------------
+
+def _walk_sql() -> str:
+    from shiftkit.registry import WALK_SQL
+    return WALK_SQL + """,
+tr AS (
+  SELECT s.loader_config, s.row_id, s.attr, row_number() OVER (PARTITION BY s.loader_config, s.row_id ORDER BY s.o) - 1 AS i
+  FROM seen s LEFT JOIN ra ON ra.row_id = s.row_id AND ra.attr = s.attr WHERE ra.attr IS NULL),
+w AS (SELECT max(n_headers) AS width FROM rows_),
+k AS (SELECT t.loader_config, t.row_id, count(*) - 1 AS opens, any_value(r.n_headers) AS n FROM tr t JOIN rows_ r USING (row_id) GROUP BY ALL),
+o AS (SELECT *, coalesce(sum(opens) OVER (PARTITION BY loader_config ORDER BY row_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS opened FROM k),
+mv AS (SELECT loader_config, min(row_id) AS moved FROM o, w WHERE n = width AND opened = 0 GROUP BY 1)
+"""
+
+
+@register("K5_additions_layout", _walk_sql() + """
+SELECT loader_config, row_id, CAST(width + opened + CASE WHEN row_id >= moved THEN 1 ELSE 0 END + i AS BIGINT) AS head, attr
+FROM tr JOIN o USING (loader_config, row_id) LEFT JOIN mv USING (loader_config), w
+""")
+def q_additions_layout(spark, sf_dir):
+    """The head column of every attribute that the walk adds to a row."""
+    from shiftkit.plans.sync import additions_layout, attribute_sync
+    from shiftkit.registry import inventory_rows, sync_exports
+    rows = inventory_rows(spark, sf_dir)
+    return additions_layout(rows, attribute_sync(rows, sync_exports(spark, sf_dir))["sync"], span=20)
+
+
+@register("A8_sync_totals", _walk_sql() + """,
+tc AS (SELECT i.loader_config, sum(n_exports) AS n FROM intro i JOIN nexp USING (loader_config, key) GROUP BY 1),
+ta AS (SELECT loader_config, count(*) AS n FROM tr GROUP BY 1), tm AS (SELECT loader_config, count(*) AS n FROM m GROUP BY 1)
+SELECT loader_config, (SELECT count(*) FROM rk) AS n_rows, (SELECT count(*) FROM rk) - coalesce(tm.n, 0) AS unmatched,
+       CAST(coalesce(tc.n, 0) AS BIGINT) AS added_to_config, coalesce(ta.n, 0) AS added_to_rows
+FROM (SELECT DISTINCT loader_config FROM exports) c LEFT JOIN tm USING (loader_config) LEFT JOIN tc USING (loader_config) LEFT JOIN ta USING (loader_config)
+""")
+def q_sync_totals(spark, sf_dir):
+    from shiftkit.plans.sync import attribute_sync, sync_totals
+    from shiftkit.registry import inventory_rows, sync_exports
+    rows, exports = inventory_rows(spark, sf_dir), sync_exports(spark, sf_dir)
+    return sync_totals(rows, exports, attribute_sync(rows, exports)["sync"])

@@ -143,6 +143,46 @@ def attribute_sync(rows: DataFrame, exports: DataFrame) -> dict[str, DataFrame]:
             "config_columns": per_export.select(CONFIG, "export_pos", "name", F.col("x.attr").alias("columns"))}
 
 
+def additions_layout(rows: DataFrame, sync: DataFrame, span: int = 100_000) -> DataFrame:
+    """K5 after the walk: ``(loader_config, row_id, head, attr)``, where each attribute added to a row stands in the wide form.
+
+    A row's additions begin in the last head column there is, or in a new one
+    if the row holds that itself, and each further one opens a column; columns
+    opened for a row are there for all later ones.  So a row begins where the
+    openings before it end, a running sum over rows.  It is taken within ranges
+    of ``span`` rows and carried over by one number a range.
+    """
+    from pyspark.sql import Window
+    width = rows.agg(F.max(F.size("attrs"))).first()[0] or 0             # one number
+    own = rows.select("row_id", (F.size(_clean_attrs(col("attrs"))) == F.lit(width)).alias("full"))
+    added = (sync.where(F.size("added_to_row") > 0).select(CONFIG, "row_id", "added_to_row", (F.size("added_to_row") - 1).alias("opens"))
+             .join(own, "row_id").withColumn("range", F.floor(F.col("row_id") / span)))
+    before = lambda *keys: (Window.partitionBy(CONFIG, *keys).rowsBetween(Window.unboundedPreceding, -1))
+    carried = (added.groupBy(CONFIG, "range").agg(F.sum("opens").alias("n"))
+               .select(CONFIG, "range", F.coalesce(F.sum("n").over(before().orderBy("range")), F.lit(0)).alias("carried")))
+    placed = added.join(carried, [CONFIG, "range"]).withColumn(
+        "opened", F.col("carried") + F.coalesce(F.sum("opens").over(before("range").orderBy("row_id")), F.lit(0)))
+    # Only while no column was opened can a row of full width stand in the way; it opens one for itself and all later rows.
+    first = placed.where(F.col("full") & (F.col("opened") == 0) & F.lit(width > 0)).groupBy(CONFIG).agg(F.min("row_id").alias("moved"))
+    placed = placed.join(first, CONFIG, "left")
+    start = F.lit(max(width, 1)) + F.col("opened") + F.when(F.col("row_id") >= F.col("moved"), 1).otherwise(0)
+    return (placed.select(CONFIG, "row_id", start.alias("start"), F.posexplode("added_to_row").alias("i", "attr"))
+            .select(CONFIG, "row_id", (F.col("start") + F.col("i")).cast("long").alias("head"), "attr"))
+
+
+def sync_totals(rows: DataFrame, exports: DataFrame, sync: DataFrame) -> DataFrame:
+    """The report's numbers per configuration: rows, rows whose type it doesn't have, attributes added to it and to rows."""
+    every = rows.agg(F.count(F.lit(1)).alias("n_rows"))
+    n_rows = every.first()["n_rows"]                                       # one number
+    sums = sync.groupBy(CONFIG).agg(F.count(F.lit(1)).alias("matched"), F.sum("n_added_to_config").alias("added_to_config"),
+                                    F.sum("n_added_to_row").alias("added_to_rows"))
+    configs = _with_config(exports).select(CONFIG).distinct()
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    return configs.join(sums, CONFIG, "left").select(
+        CONFIG, F.lit(n_rows).cast("long").alias("n_rows"), (F.lit(n_rows) - zero("matched")).alias("unmatched"),
+        zero("added_to_config").alias("added_to_config"), zero("added_to_rows").alias("added_to_rows"))
+
+
 def _config_lists(exports: DataFrame) -> DataFrame:
     """``(loader_config, key, attrs)``, the columns of a key's exports in order of first occurrence."""
     keyed = export_index(exports).join(_configured(exports), [CONFIG, "export_pos"]).withColumn("__k", F.struct(CONFIG, "key"))
