@@ -26,6 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
+import zstandard
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +41,7 @@ _U = np.uint64
 #: Hash of the end of a text, and of the place before its first word.
 _END = np.uint64(0x3C6EF372FE94F82B)
 _START = np.uint64(0xA54FF53A5F1D36F1)
-_FLUSH = 1_500_000
+_FLUSH = 3_000_000
 _BLOCK = "shard int, kind int, a binary, b binary, c binary, d binary"
 _WORD, _PAIR, _CONTEXT, _FOLLOWS = range(4)
 
@@ -69,18 +70,45 @@ def _summed(key: np.ndarray, *counts: np.ndarray) -> list[np.ndarray]:
     return [key, *[np.bincount(at, c, len(key)).astype(np.int64) for c in counts]]
 
 
-def _blocks(kind: int, shard: np.ndarray, cols: list[np.ndarray], shards: int) -> Iterator[pa.RecordBatch]:
-    """One row a shard with the columns' numbers; ``cols`` must be sorted within a shard."""
+def _squeeze(a: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(planes(np.ascontiguousarray(a)))
+
+
+def _numbers(blob: bytes, dtype) -> np.ndarray:
+    return unplanes(zstandard.ZstdDecompressor().decompress(blob), dtype)
+
+
+def _steps(a: np.ndarray) -> np.ndarray:
+    """Ascending numbers as differences, which squeeze well."""
+    return np.diff(a, prepend=a.dtype.type(0))
+
+
+def _rows_of_shards(kind: int, shard: np.ndarray, cols: list[np.ndarray], shards: int, pack) -> Iterator[pa.RecordBatch]:
+    """One row a shard; ``pack`` makes up to four blobs of its part of the columns, which must be sorted within a shard."""
     order = np.argsort(shard, kind="stable")
     shard, cols = shard[order], [c[order] for c in cols]
     edge = np.searchsorted(shard, np.arange(shards + 1))
-    for s in range(shards):
-        lo, hi = edge[s], edge[s + 1]
-        if hi > lo:
-            parts = [planes(np.ascontiguousarray(c[lo:hi])) for c in cols] + [None] * (4 - len(cols))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([s], pa.int32()), pa.array([kind], pa.int32()), *[pa.array([p], pa.binary()) for p in parts]],
-                names=["shard", "kind", "a", "b", "c", "d"])
+    for s in np.flatnonzero(edge[1:] > edge[:-1]).tolist():
+        parts = pack([c[edge[s]:edge[s + 1]] for c in cols])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([s], pa.int32()), pa.array([kind], pa.int32()), *[pa.array([p], pa.binary()) for p in [*parts, None, None, None][:4]]],
+            names=["shard", "kind", "a", "b", "c", "d"])
+
+
+def _blocks(kind: int, shard: np.ndarray, cols: list[np.ndarray], shards: int) -> Iterator[pa.RecordBatch]:
+    """Ascending hashes and their counts, one row a shard."""
+    return _rows_of_shards(kind, shard, cols, shards, lambda c: [_squeeze(_steps(c[0])), *map(_squeeze, c[1:])])
+
+
+def _pair_blocks(shard: np.ndarray, cols: list[np.ndarray], shards: int) -> Iterator[pa.RecordBatch]:
+    """Pairs sorted by (before, token) and their counts, one row a shard: its distinct words, and places among them."""
+    def pack(c: list[np.ndarray]) -> list[bytes]:
+        known, at = np.unique(np.concatenate([c[0], c[1]]), return_inverse=True)
+        at = at.astype(np.uint32)
+        n = len(c[0])
+        return [_squeeze(_steps(known)), _squeeze(_steps(at[:n])), _squeeze(at[n:]), _squeeze(c[2])]
+
+    return _rows_of_shards(_PAIR, shard, cols, shards, pack)
 
 
 def _shard(h: np.ndarray, shards: int) -> np.ndarray:
@@ -105,7 +133,7 @@ def _count(docs: DataFrame, shards: int) -> DataFrame:
             new[1:] = (v[1:] != v[:-1]) | (w[1:] != w[:-1])
             at = np.flatnonzero(new)
             n = np.diff(np.append(at, len(v)))
-            yield from _blocks(_PAIR, _shard(pair_key(v[at], w[at]), shards), [v[at], w[at], n.astype(np.uint32)], shards)
+            yield from _pair_blocks(_shard(pair_key(v[at], w[at]), shards), [v[at], w[at], n.astype(np.uint32)], shards)
 
         for b in batches:
             for _, _, data, off in utf8_chunks(b.column("text"), 1 << 20):
@@ -130,8 +158,22 @@ def _of_shard(rows: Iterator[pa.RecordBatch]) -> tuple[int | None, dict[int, lis
     return shard, held
 
 
-def _join(parts: list, i: int, dtype) -> np.ndarray:
-    return np.concatenate([unplanes(p[i], dtype) for p in parts]) if parts else np.zeros(0, dtype)
+def _join(parts: list, i: int) -> np.ndarray:
+    """Column ``i`` of blocks; the first one holds hashes."""
+    dtype = np.uint32 if i else np.uint64
+    if not parts:
+        return np.zeros(0, dtype)
+    return np.concatenate([np.cumsum(_numbers(p[0], dtype)) if i == 0 else _numbers(p[i], dtype) for p in parts])
+
+
+def _join_pairs(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(before, token, count) of blocks of pairs, which are used up."""
+    out = []
+    while parts:
+        known, v, w, n = parts.pop()
+        known = np.cumsum(_numbers(known, np.uint64))
+        out.append((known[np.cumsum(_numbers(v, np.uint32))], known[_numbers(w, np.uint32)], _numbers(n, np.uint32)))
+    return tuple(np.concatenate([x[i] for x in out]) if out else np.zeros(0, t) for i, t in enumerate((np.uint64, np.uint64, np.uint32)))
 
 
 _MERGED = _BLOCK + ", n long, n_large long, f1 long, f2 long, f3 long, f4 long, stored boolean"
@@ -156,9 +198,7 @@ def _merge_pairs(blocks: DataFrame, shards: int, path: str) -> None:
             yield rows_of(pa.RecordBatch.from_arrays(
                 [pa.array([s], pa.int32()), pa.array([_WORD], pa.int32()), *[pa.array([x], pa.binary()) for x in p]],
                 names=["shard", "kind", "a", "b", "c", "d"]))
-        parts = kinds.pop(_PAIR, [])
-        v, w, n = _join(parts, 0, np.uint64), _join(parts, 1, np.uint64), _join(parts, 2, np.uint32)
-        parts.clear()
+        v, w, n = _join_pairs(kinds.pop(_PAIR, []))
         if not len(v):
             return
         order = np.lexsort((w, v))
@@ -215,15 +255,15 @@ def _store(merged: DataFrame, shards: int, d: tuple[float, float, float], path:
         if s is None:
             return
         parts = kinds.get(_WORD, [])
-        w, c = _summed(_join(parts, 0, np.uint64), _join(parts, 1, np.uint32))
+        w, c = _summed(_join(parts, 0), _join(parts, 1))
         start = None
         follows = np.zeros(len(w), np.int64)
         if parts := kinds.get(_FOLLOWS):
-            a, n = _summed(_join(parts, 0, np.uint64), _join(parts, 1, np.uint32))
+            a, n = _summed(_join(parts, 0), _join(parts, 1))
             follows[np.searchsorted(w, a)] = n
         back = np.ones(len(w))
         if parts := kinds.get(_CONTEXT):
-            a, n1, n2, n3 = _summed(_join(parts, 0, np.uint64), *[_join(parts, i, np.uint32) for i in (1, 2, 3)])
+            a, n1, n2, n3 = _summed(*[_join(parts, i) for i in range(4)])
             left = n1 * d[0] + n2 * d[1] + n3 * d[2]
             is_start = a == _START
             if is_start.any():
