@@ -69,7 +69,7 @@ def _at_threshold(hashes: Column, least: Column, scale: int) -> Column:
 
 def kept(hashes: Column, scale: int = SCALE) -> Column:
     """The sketch of shingle hashes: ``scale`` and the distinct ``hashes`` below 1/scale, ascending."""
-    return _let(F.array_sort(F.array_distinct(hashes)), lambda h: _at_threshold(h, F.lit(1), scale))
+    return _let(F.sort_array(F.array_distinct(hashes)), lambda h: _at_threshold(h, F.lit(1), scale))
 
 
 def with_sketch(df: DataFrame, text: str, name: str, scale: int = SCALE) -> DataFrame:
@@ -94,7 +94,7 @@ def _common(a: Column, b: Column, then) -> Column:
 
 def merged(a: Column, b: Column, scale: int = SCALE) -> Column:
     """The sketch of two texts' shingles together."""
-    both = F.array_sort(F.array_union(a["hashes"], b["hashes"]))
+    both = F.sort_array(F.array_union(a["hashes"], b["hashes"]))
     return _let(both, lambda h: _at_threshold(h, F.greatest(a["scale"], b["scale"]), scale))
 
 
