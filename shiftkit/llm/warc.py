@@ -76,10 +76,14 @@ def headers(block: bytes) -> dict[str, str]:
 
 
 class Inflated:
-    """Reads a gzip file of one or many members from front to back in bounded memory."""
+    """Reads a gzip file of one or many members from front to back in bounded memory.
+
+    What was inflated is handed out by a cursor; what is left of it is moved
+    only when more is inflated, not for each record.
+    """
 
     def __init__(self, read: Callable[[int], bytes]):
-        self._read, self._z, self._buffer, self._fed = read, zlib.decompressobj(31), b"", b""
+        self._read, self._z, self._buffer, self._at, self._fed = read, zlib.decompressobj(31), b"", 0, b""
 
     def _more(self) -> bool:
         while True:
@@ -93,27 +97,28 @@ class Inflated:
             out = self._z.decompress(raw, 4 * _CHUNK)
             self._fed = self._z.unconsumed_tail
             if out:
-                self._buffer += out
+                self._buffer, self._at = self._buffer[self._at:] + out, 0
                 return True
 
     def until(self, mark: bytes) -> bytes | None:
         """Everything up to and with ``mark``; None at the end."""
-        at = 0
-        while (i := self._buffer.find(mark, at)) < 0:
-            at = max(0, len(self._buffer) - len(mark) + 1)
+        seen = 0                                             # bytes behind the cursor that hold no mark
+        while (i := self._buffer.find(mark, self._at + seen)) < 0:
+            seen = max(0, len(self._buffer) - self._at - len(mark) + 1)
             if not self._more():
-                if self._buffer.strip(b"\r\n"):
+                if self._buffer[self._at:].strip(b"\r\n"):
                     raise ValueError("the archive ends within a record's header")
                 return None
-        out, self._buffer = self._buffer[:i + len(mark)], self._buffer[i + len(mark):]
-        return out
+        start, self._at = self._at, i + len(mark)
+        return self._buffer[start:self._at]
 
     def pieces(self, n: int) -> Iterator[bytes]:
         """Exactly ``n`` bytes in pieces."""
         while n:
-            if not self._buffer and not self._more():
+            if self._at == len(self._buffer) and not self._more():
                 raise ValueError("the archive ends within a record")
-            part, self._buffer = self._buffer[:n], self._buffer[n:]
+            part = self._buffer[self._at:self._at + n]
+            self._at += len(part)
             n -= len(part)
             yield part
 
