@@ -16,14 +16,14 @@ from shiftkit.llm.common import WORD, landed
 
 N_BUCKETS = 16
 TOKEN_BUDGET = 16_384
-#: Boundaries are exact up to this length and on steps of 1/256 of a power of two above,
-#: so the histogram has a bounded number of rows for lengths of any size.
-EXACT_LENGTH = 2_048
+#: Lengths up to this are cells of their own in the histogram; above, a cell is 1/256 of a power of two,
+#: so the histogram has a bounded number of rows for lengths of any size.  A cell stands for its longest document.
+EXACT_LENGTH = 65_536
 SHARD_ROWS = 2_000
 
 
-def boundary_length(n: Column) -> Column:
-    """The smallest allowed boundary of at least ``n`` (1 at least)."""
+def cell(n: Column) -> Column:
+    """The histogram's cell of a length: its upper end (1 at least)."""
     n = F.greatest(n, F.lit(1)).cast("long")
     step = F.pow(F.lit(2.0), F.greatest(F.floor(F.log2(n.cast("double"))) - 8, F.lit(0))).cast("long")
     return F.when(n <= EXACT_LENGTH, n).otherwise(F.ceil(n / step).cast("long") * step)
@@ -85,9 +85,10 @@ def pack(docs: DataFrame, n_buckets: int = N_BUCKETS, token_budget: int = TOKEN_
     rows = docs.select(
         "doc_id", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("n_tokens"),
         F.xxhash64("doc_id", "text").alias("h"))
-    rows = landed(rows.withColumn("grid", boundary_length(F.col("n_tokens"))), "pack-lengths")
-    # Bounded: EXACT_LENGTH rows, and 256 for each doubling above.
-    hist = sorted((r.grid, r.n) for r in rows.groupBy("grid").agg(F.count(F.lit(1)).alias("n")).collect())
+    rows = landed(rows, "pack-lengths")
+    # Bounded: EXACT_LENGTH rows, and 256 for each doubling above.  No document is padded beyond a real length.
+    longest = F.greatest(F.max("n_tokens"), F.lit(1)).alias("longest")
+    hist = sorted((r.longest, r.n) for r in rows.groupBy(cell(F.col("n_tokens")).alias("cell")).agg(longest, F.count(F.lit(1)).alias("n")).collect())
     lengths, counts = np.array([g for g, _ in hist], np.int64), np.array([n for _, n in hist], np.int64)
     ends = optimal_boundaries(lengths, counts, n_buckets)
     if not ends:
@@ -95,7 +96,7 @@ def pack(docs: DataFrame, n_buckets: int = N_BUCKETS, token_budget: int = TOKEN_
     bucket_of = np.searchsorted(ends, lengths)
     shards = [max(1, -(-int(counts[bucket_of == b].sum()) // shard_rows)) for b in range(len(ends))]
     bounds = F.array(*[F.lit(int(x)).cast("long") for x in ends])
-    rows = rows.withColumn("bucket", F.size(F.filter(bounds, lambda e: e < F.col("grid"))))
+    rows = rows.withColumn("bucket", F.size(F.filter(bounds, lambda e: e < F.col("n_tokens"))))
     rows = rows.withColumn("padded_length", F.element_at(bounds, F.col("bucket") + 1))
     per = F.element_at(F.array(*[F.lit(s).cast("long") for s in shards]), F.col("bucket") + 1)
     # A shard of its own number of rows, ties and repeated rows by the row's hash and a fixed spread of the id.
