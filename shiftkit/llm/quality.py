@@ -10,6 +10,7 @@ documents that the dictionaries have not seen.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,7 @@ from shiftkit.llm.samples import labelled_ids
 from shiftkit.session import ship_package
 
 #: Bounds of the training sample: documents of each label, and bytes of one document used for
-#: fitting.  Scoring always reads whole texts.
+#: fitting, as blocks from all over a longer text.  Scoring always reads whole texts.
 TRAIN_DOCS = 4_000
 TRAIN_BYTES = 1 << 16
 BLOCK = 512
@@ -41,6 +42,15 @@ def train_dictionary(texts: list[bytes]) -> bytes:
         return b"".join(blocks)[-DICTIONARY:]
 
 
+def sampled(text: bytes) -> bytes:
+    """A text of more than TRAIN_BYTES as that many bytes of its blocks, those of the smallest hashes, in their order."""
+    if len(text) <= TRAIN_BYTES:
+        return text
+    blocks = [text[i:i + BLOCK] for i in range(0, len(text), BLOCK)]
+    order = sorted(range(len(blocks)), key=lambda i: (zlib.crc32(blocks[i], i), i))
+    return b"".join(blocks[i] for i in sorted(order[:TRAIN_BYTES // BLOCK]))
+
+
 class QualityModel:
     """Two dictionaries and the calibration; small enough to travel with a task."""
 
@@ -80,9 +90,19 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_DOCS) -> Qual
     If one label is missing, every text scores as the other; without labels, 0.5.
     """
     ids, n = labelled_ids(docs, labels, "quality", crc_mod("doc_id", 3) != 1, per_class)
-    text = F.coalesce("text", F.lit(""))
-    rows = (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")     # at most 2 * per_class rows
-            .select("y", "half", F.substring(F.encode(text, "UTF-8"), 1, TRAIN_BYTES).alias("b")).collect())
+
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [sampled((t or "").encode()) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), b.column("half"), pa.array(texts, pa.binary())],
+                                             names=["doc_id", "y", "half", "b"])
+
+    ship_package(docs.sparkSession)
+    chosen = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "y", "half", "text")
+    kinds = {f.name: f.dataType.simpleString() for f in chosen.schema.fields}
+    # Of rows of one id the first text by bytes: at most 2 * per_class rows.
+    rows = (chosen.mapInArrow(sample, f"doc_id {kinds['doc_id']}, y {kinds['y']}, half {kinds['half']}, b binary")
+            .groupBy("doc_id", "y", "half").agg(F.min("b").alias("b")).orderBy("doc_id").collect())
     of = lambda y, half: [bytes(r.b) for r in rows if r.y == y and r.half == half]
     if not (n.get(0) and n.get(1)) or not all(of(y, h) for y in (0, 1) for h in (0, 1)):
         return QualityModel((b"", b""), 0.5 if not n else n.get(1, 0) / sum(n.values()))
@@ -97,7 +117,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_DOCS) -> Qual
 
 
 def scored(docs: DataFrame, model: QualityModel, name: str = "score") -> DataFrame:
-    """``docs`` with the score of its ``text`` (0 to 1, higher is better); a null text is empty."""
+    """``docs`` with the score of its ``text`` (0 to 1, higher is better); a null text is empty, a column called ``name`` is replaced."""
     ship_package(docs.sparkSession)
     rest = [f for f in docs.schema.fields if f.name != name]
     schema = T.StructType([*rest, T.StructField(name, T.DoubleType())])

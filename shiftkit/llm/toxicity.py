@@ -324,7 +324,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_DOCS) -> Toxi
 
 
 def scored(docs: DataFrame, model: ToxicityModel, name: str = "score") -> DataFrame:
-    """``docs`` with the toxicity of its ``text`` (0 to 1); a null text is empty."""
+    """``docs`` with the toxicity of its ``text`` (0 to 1); a null text is empty, a column called ``name`` is replaced."""
     ship_package(docs.sparkSession)
     rest = [f for f in docs.schema.fields if f.name != name]
     names = [f.name for f in rest]
