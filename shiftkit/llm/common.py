@@ -180,7 +180,7 @@ def unplanes(b: bytes, dtype) -> np.ndarray:
 
 # --- connected components ----------------------------------------------------
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(id, component_id): the smallest id reachable over ``edges`` (columns a, b).
 
     Each round takes the smallest label among the neighbours and then the
@@ -192,7 +192,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
                   .union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")).where("a <> b")).distinct(), "cc-edges")
     labels = landed(both.groupBy(F.col("a").alias("id"))
                     .agg(F.least(F.col("a"), F.min("b")).alias("component_id")), "cc-labels")
-    for _ in range(max_rounds):
+    while True:
         near = (both.join(labels.withColumnRenamed("id", "b"), "b")
                 .groupBy(F.col("a").alias("id")).agg(F.min("component_id").alias("near")))
         step = labels.join(near, "id", "left").select(
@@ -203,4 +203,3 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if not nxt.where("old <> component_id").limit(1).count():
             return nxt.select("id", "component_id")
         labels = nxt.select("id", "component_id")
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")

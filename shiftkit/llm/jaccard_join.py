@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiftkit.llm.common import components, landed, mix, planes, shingles, table, unplanes, utf8_chunks, words
+from shiftkit.llm.common import WORD, components, landed, mix, planes, shingles, table, unplanes, utf8_chunks, words
 from shiftkit.session import ship_package
 
 PERCENT = 75
@@ -507,12 +507,17 @@ def join_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one row of every component: that with the smallest doc_id; documents without words all stay."""
+    """``docs`` with one row of every component: that with the smallest doc_id.
+
+    Documents without words all stay, each of their rows.  Rows of equal
+    doc_id and text with words are one document.
+    """
     found = join_classes(docs, percent)
-    best = found.where("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct("id", "rid")).alias("b")).select("b.rid")
-    keep = landed(best.union(found.where("n_shingles = 0").select("rid")).distinct().withColumnRenamed("rid", "__rid"), "join-keep")
-    marked = docs.withColumn("__rid", F.xxhash64("doc_id", "text"))
-    return marked.join(keep, "__rid").dropDuplicates(["__rid"]).drop("__rid")
+    best = found.where("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct("id", "rid")).alias("b")).select(F.col("b.rid").alias("__rid"))
+    has_words = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    one = (docs.where(has_words).withColumn("__rid", F.xxhash64("doc_id", "text")).join(landed(best.distinct(), "join-keep"), "__rid")
+           .dropDuplicates(["__rid"]).drop("__rid"))
+    return one.unionByName(docs.where(~has_words))
 
 
 def op9_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
