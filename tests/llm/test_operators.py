@@ -345,9 +345,8 @@ def test_packing_boundaries_are_optimal_and_batches_fit(spark, docs):
     assert packing.pack(docs.limit(0)).count() == 0
 
 
-def test_mixing_targets_and_takes(spark):
-    rows = [(i, " ".join(["w"] * (1 + i * 7 % 5)), ["a", "b", "c", None][min(3, i % 5)]) for i in range(400)] + [(900, None, "z"), (901, "w w", "a"), (901, "w w", "a")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+def mix_model(rows):
+    """(size, target) of each source by iterative resharing; rows are (id, text, source)."""
     size = Counter()
     for _, t, s in rows:
         size[s] += len(words(t))
@@ -363,6 +362,14 @@ def test_mixing_targets_and_takes(spark):
         target.update({s: 2.0 * size[s] for s in over})
         left -= sum(target[s] for s in over)
         free -= over
+    return size, target
+
+
+def test_mixing_targets_and_takes(spark):
+    rows = [(i, " ".join(["w"] * (1 + i * 7 % 5)), ["a", "b", "c", None][min(3, i % 5)]) for i in range(400)] + [(900, None, "z"), (901, "w w", "a"), (901, "w w", "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    size, target = mix_model(rows)
+    names = list(size)
     got = mixing.mix(df).select("row.*", "size", "target", "copies").collect()
     assert len(got) == len(rows)
     taken = Counter()
@@ -414,3 +421,109 @@ def test_pipeline_stages_keep_columns(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, d).columns == cols
         assert stage(spark, docs.limit(0), d).count() == 0
+
+
+def test_one_of_each_keeps_all_rows_without_words(spark):
+    rows = [(1, None, None, "a"), (1, None, None, "b"), (2, "", None, "a"), (2, "  ", None, "c"), (2, "  ", None, "c"), (None, None, None, "z"),
+            (5, prose(5, 40), None, "a"), (5, prose(5, 40), None, "a"), (6, prose(5, 40), None, "b"), (7, prose(6, 40), None, None)]
+    df = spark.createDataFrame([(i, t, la, s, 0, 0, "") for i, t, la, s in rows], DOCS)
+    got = [(r.doc_id, r.text, r.source) for r in jaccard_join.one_of_each(df).collect()]
+    want = [(i, t, s) for i, t, _, s in rows if not words(t)] + [(5, prose(5, 40), "a"), (7, prose(6, 40), None)]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_packing_pads_to_real_lengths_beyond_the_exact_ones(spark, monkeypatch):
+    """With cells above 40 words a bucket's boundary is still its longest document, and none is left out."""
+    monkeypatch.setattr(packing, "EXACT_LENGTH", 40)
+    lengths = [0, 1, 30, 700, 701, 3001, 3002, 3003]
+    df = spark.createDataFrame([(i, "w " * n) for i, n in enumerate(lengths)], "doc_id long, text string")
+    out = packing.pack(df, n_buckets=3).collect()
+    assert sorted(r.n_tokens for r in out) == lengths and all(r.padding >= 0 for r in out)
+    assert {r.padded_length for r in out} <= {1, *lengths} and max(r.padded_length for r in out) == 3003
+
+
+def test_archives_of_many_small_records_take_no_longer_a_byte():
+    import gzip
+    import io
+    import time
+    took = {}
+    for size in (500, 30_000):
+        n = 8_000_000 // size
+        raw = b"".join(b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: %d\r\n\r\n" % size + bytes(size) + b"\r\n\r\n" for _ in range(n))
+        out, began = io.BytesIO(), time.perf_counter()
+        entries = list(warc.normalise(io.BytesIO(gzip.compress(raw, 1)).read, out.write))
+        took[size] = time.perf_counter() - began
+        assert len(entries) == n and gzip.decompress(out.getvalue()) == raw
+    assert took[500] < 10 * took[30_000] + 1                 # more members to begin and end, but nothing quadratic
+
+
+def test_training_texts_are_blocks_from_all_over(spark):
+    long = b"".join(b"%08d" % i for i in range(60_000))
+    got = quality.sampled(long)
+    assert len(got) == quality.TRAIN_BYTES and got[-quality.BLOCK:] in long[len(long) // 2:] and quality.sampled(b"short") == b"short"
+    at = [long.index(got[i:i + quality.BLOCK]) for i in range(0, len(got), quality.BLOCK)]
+    assert at == sorted(at) and max(at) > len(long) * 3 // 4
+    # A labelled id that many rows share is one document of the sample.
+    df = spark.createDataFrame([(i % 4, f"{'good word' if i % 2 else 'bad junk'} {prose(i % 4, 200)}") for i in range(300)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(4)], "doc_id long, quality int")
+    assert 0 <= quality.scored(df, quality.fit(df, labels)).agg(F.max("score")).first()[0] <= 1
+
+
+def test_pipeline_against_brute_force(spark, tmp_dir):
+    """Each stage on a small corpus with junk, copies and personal data, held against plain Python on its own input."""
+    rng = np.random.default_rng(11)
+    good = [prose(300 + i, 60 + i) for i in range(60)]
+    near = good[5].replace(good[5].split()[30], "elsewhere", 1)
+    junk = [" ".join("".join(rng.choice(list("0123456789#$%&"), 7)) for _ in range(60)) for _ in range(40)]
+    texts = [*good, good[3], good[3], near, f"{good[7]} write to bob@corp.example or 10.1.2.3", None, "", *junk]
+    rows = [(i, t, "en", ["web", "book", None][i % 3], len(t or "")) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_dir}/documents.parquet")
+    spark.createDataFrame([(i, int(i < len(texts) - len(junk)), 0) for i in range(len(texts)) if texts[i]],
+                          "doc_id long, quality int, toxic int").write.parquet(f"{tmp_dir}/labels.parquet")
+    labels = spark.read.parquet(f"{tmp_dir}/labels.parquet")
+    at = {name: i for i, (name, _) in enumerate(corpus_pipeline.STAGES)}
+    stage = lambda name, df: spark.createDataFrame(
+        (x := corpus_pipeline.STAGES[at[name]][1](spark, df, tmp_dir)).collect(), x.schema)
+
+    kept = stage("quality classifier", docs)
+    score = dict(zip(range(len(texts)), quality.fit(docs, labels).score([(t or "").encode() for t in texts]), strict=True))
+    assert {r.doc_id for r in kept.collect()} == {i for i, x in score.items() if x >= 0.5}
+    clean = [i for i in range(len(good))]
+    assert sum(score[i] >= 0.5 for i in clean) >= 0.95 * len(clean) and sum(score[i] < 0.5 for i in range(len(texts) - len(junk), len(texts))) >= 38
+
+    one = stage("n-gram Jaccard join", kept)
+    left = {r.doc_id: r.text for r in kept.collect()}
+    sets = {i: shingle_set(t) for i, t in left.items()}
+    root = {i: i for i in left}
+    for _ in left:
+        for a in left:
+            for b in left:
+                if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                    root[a] = root[b] = min(root[a], root[b])
+    assert sorted(r.doc_id for r in one.collect()) == sorted(i for i in left if not sets[i] or root[i] == i)
+
+    safe = stage("PII", one)
+    before = {r.doc_id: r.text for r in one.collect()}
+    assert {r.doc_id for r in safe.collect()} == set(before)
+    for r in safe.collect():
+        assert r.text is None or (not pii.base_spans(r.text) and r.n_chars == len(r.text))
+        if before[r.doc_id] and not pii.base_spans(before[r.doc_id]):
+            assert r.text == before[r.doc_id]
+
+    mix = stage("mixing sources to target weights", safe)
+    rows = [(r.doc_id, r.text, r.source) for r in safe.collect()]
+    size, target = mix_model(rows)
+    taken, times, longest = Counter(), Counter(), max(len(words(t)) for _, t, _ in rows)
+    for r in mix.collect():
+        taken[r.source] += len(words(r.text))
+        times[r.doc_id] += 1
+    assert max(times.values()) <= 2 and all(abs(taken[s] - target[s]) <= longest for s in size)
+
+    packed = corpus_pipeline.STAGES[at["packing"]][1](spark, mix, tmp_dir).collect()
+    assert Counter(r.doc_id for r in packed) == times
+    batches = Counter((r.batch_id, r.padded_length) for r in packed)
+    assert len({b for b, _ in batches}) == len(batches) and all(n == 1 or n * p <= packing.TOKEN_BUDGET for (_, p), n in batches.items())
+    lengths = Counter(max(1, len(words(r.text))) for r in mix.collect())
+    assert {r.padded_length for r in packed} == set(packing.optimal_boundaries(
+        np.array(sorted(lengths)), np.array([lengths[x] for x in sorted(lengths)]), packing.N_BUCKETS))
