@@ -560,3 +560,53 @@ def q_sync_totals(spark, sf_dir):
     from shiftkit.registry import inventory_rows, sync_exports
     rows, exports = inventory_rows(spark, sf_dir), sync_exports(spark, sf_dir)
     return sync_totals(rows, exports, attribute_sync(rows, exports)["sync"])
+
+
+# --- catalogues as the reports write them -----------------------------------------------------------
+# One configuration a brand with an import for each of its parts; active,
+# status, business type and file path are missing here and there.
+
+def _write_brand_configs(spark, sf_dir, path):
+    p = table(spark, sf_dir, "part")
+    size = F.col("p_size")
+    key = F.col("p_partkey").cast("string")
+    item = F.struct(
+        F.concat(F.lit("imp_"), key).alias("name"),
+        F.when(size % 7 == 0, F.lit("-upsert")).otherwise(F.concat(F.lit("-update item__c -csv imp_"), key, F.lit(".csv -idParam id"))).alias("params"),
+        F.when(size % 3 == 0, 0).when(size % 3 == 1, 1).alias("active"), F.when(size % 2 == 0, F.col("p_type")).alias("status"),
+        F.when(size % 5 != 0, F.col("p_name")).alias("business_object_type"), F.when(size % 2 == 1, F.concat(F.lit("in/"), key)).alias("file_path"))
+    configs = p.groupBy("p_brand").agg(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", item.alias("i")))), lambda x: x["i"]).alias("imports"))
+    configs.select(F.to_json(F.struct(F.struct(F.concat(F.lit("/data/"), "p_brand").alias("import_path")).alias("import_settings"),
+                                      "imports")).alias("value")).write.text(path)
+
+
+def brand_imports(spark, sf_dir):
+    from shiftkit.sources.config import config_imports, read_job_configs
+    path = landed(spark, sf_dir, "brand_configs", lambda p: _write_brand_configs(spark, sf_dir, p))
+    return config_imports(read_job_configs(spark, path, multiline=False))
+
+
+BRANDS_SQL = """
+WITH i AS (
+  SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS nr, 'imp_' || p_partkey AS name,
+         CASE p_size % 3 WHEN 0 THEN '0' WHEN 1 THEN '1' ELSE '' END AS act, CASE WHEN p_size % 2 = 0 THEN p_type ELSE '' END AS st FROM part)
+"""
+
+
+@register("C2_import_report", BRANDS_SQL + """
+SELECT act AS active, name, st AS status, CASE WHEN p_size % 2 = 1 THEN 'in/' || p_partkey ELSE '' END AS file_path FROM i
+""")
+def q_import_report(spark, sf_dir):
+    from shiftkit.plans.catalog import import_report
+    return import_report(brand_imports(spark, sf_dir)).drop("loader_config", "import_pos")
+
+
+@register("C3_load_order_report", BRANDS_SQL + """
+SELECT nr AS "LoadOrderNr", CASE WHEN p_size % 7 = 0 THEN '' ELSE name || '.csv' END AS "LoaderFileName",
+       CASE WHEN p_size % 7 = 0 THEN '' ELSE 'item__c' END AS "ObjectType", CASE WHEN p_size % 5 <> 0 THEN p_name ELSE '' END AS "Business ObjectType",
+       '' AS "ReferencedObject(s)", act AS "Load is Active", st AS "FunctionStatus", '/data/' || p_brand AS "BaseImportPath"
+FROM i
+""")
+def q_load_order_report(spark, sf_dir):
+    from shiftkit.plans.catalog import load_order_report
+    return load_order_report(brand_imports(spark, sf_dir)).drop("LoaderConfig").withColumn("LoadOrderNr", F.col("LoadOrderNr").cast("long"))

@@ -41,3 +41,20 @@ def load_order_sheet(imports: DataFrame) -> DataFrame:
         F.col("status").alias("FunctionStatus"),
         F.col("loader_config").alias("LoaderConfig"),
         F.col("base_import_path").alias("BaseImportPath"))
+
+
+def import_report(imports: DataFrame) -> DataFrame:
+    """C2 as the report writes it: members as they stand in the configuration, blank where it has none."""
+    written = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
+    return imports.select("loader_config", "import_pos", *[written(c) for c in ("active", "name", "status", "file_path")])
+
+
+def load_order_report(imports: DataFrame) -> DataFrame:
+    """C3 as the workbook has it: referenced objects are left blank for the user, the active flag is as written."""
+    blank = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    return imports.select(
+        (F.col("import_pos") + 1).alias("LoadOrderNr"), file_from_params("params").alias("LoaderFileName"),
+        blank(second_token("params")).alias("ObjectType"), blank(F.col("business_object_type")).alias("Business ObjectType"),
+        F.lit("").alias("ReferencedObject(s)"), blank(F.col("active")).alias("Load is Active"),
+        blank(F.col("status")).alias("FunctionStatus"), F.col("loader_config").alias("LoaderConfig"),
+        F.col("base_import_path").alias("BaseImportPath"))
