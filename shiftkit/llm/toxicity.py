@@ -35,7 +35,9 @@ STEMS = (4, 5, 6)
 SIGNS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
          "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c"}
 READINGS = 3                                        # kept for each of the 28 * 28 states of the model
+LONG = 512                                          # steps from which texts are kept as linked pieces, not copied on
 _SUBSTITUTE, _DROP, _REPEAT = -1.0, -2.5, -1.5      # log10 channel costs
+_PRIME = (1 << 61) - 1
 _BYTES = 28                                          # 0: word end, 1-26: a-z, 27: any other byte
 
 _SIGN = np.zeros(256, bool)
@@ -90,6 +92,8 @@ class CharModel:
 
         A blank in ``token`` is a gap between spaced letters.  The search is
         exact: every state (the last two letters) keeps its READINGS best texts.
+        In long tokens a text is a link to the one that it goes on, told apart
+        by a 61-bit hash, so the time is that of the steps alone.
         """
         steps: list[list[tuple[str, float]]] = []
         i, n_texts = 0, 1
@@ -110,6 +114,8 @@ class CharModel:
         steps.append([(token[i:], 0.0)])
         if n_texts <= READINGS and " " not in token:         # nothing to choose
             return [t for t in dict.fromkeys("".join(x for x, _ in way) for way in product(*steps)) if t]
+        if len(steps) > LONG:
+            return self._linked(steps)
         states: dict[tuple[int, int], list[tuple[float, str]]] = {(0, 0): [(0.0, "")]}
         for options in steps:
             nxt: dict[tuple[int, int], dict[str, float]] = {}
@@ -138,6 +144,47 @@ class CharModel:
                 ends[text] = max(cost, ends.get(text, -1e30))
         return [t for t, _ in sorted(ends.items(), key=lambda tc: (-tc[1], tc[0]))[:READINGS] if t]
 
+    def _linked(self, steps: list[list[tuple[str, float]]]) -> list[str]:
+        """The search of :meth:`readings` over texts as links (text before, letters)."""
+        # A text: its cost, hash, whether a blank would add nothing, and its link.
+        states = {(0, 0): [(0.0, 0, True, None)]}
+        for options in steps:
+            nxt: dict[tuple[int, int], dict[int, tuple]] = {}
+            for (a, b), texts in states.items():
+                for letters, channel in options:
+                    x, y, total = a, b, channel
+                    for ch in letters:
+                        if ch == " ":
+                            if y:
+                                total += self.logp[x][y][0]
+                            x, y = 0, 0
+                            continue
+                        z = ord(ch) - 96 if "a" <= ch <= "z" else 27
+                        total += self.logp[x][y][z]
+                        x, y = y, z
+                    best = nxt.setdefault((x, y), {})
+                    for cost, key, blank, link in texts:
+                        if letters and not (letters == " " and blank):
+                            for ch in letters:
+                                key = (key * 1_000_003 + ord(ch) + 1) % _PRIME
+                            blank, link = letters[-1] == " ", (link, letters)
+                        if key not in best or cost + total > best[key][0]:
+                            best[key] = (cost + total, key, blank, link)
+            states = {k: sorted(v.values(), key=lambda t: (-t[0], t[1]))[:READINGS] for k, v in nxt.items()}
+        found = sorted(((cost + (self.logp[a][b][0] if b else 0.0), key, link) for (a, b), texts in states.items() for cost, key, _, link in texts),
+                       key=lambda t: (-t[0], t[1]))
+        out: dict[str, None] = {}
+        for _, _, link in found:
+            pieces = []
+            while link is not None:
+                link, letters = link
+                pieces.append(letters)
+            if text := "".join(reversed(pieces)).strip():
+                out[text] = None
+            if len(out) == READINGS:
+                break
+        return list(out)
+
 
 # --- features -----------------------------------------------------------------
 

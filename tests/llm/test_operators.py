@@ -527,3 +527,26 @@ def test_pipeline_against_brute_force(spark, tmp_dir):
     lengths = Counter(max(1, len(words(r.text))) for r in mix.collect())
     assert {r.padded_length for r in packed} == set(packing.optimal_boundaries(
         np.array(sorted(lengths)), np.array([lengths[x] for x in sorted(lengths)]), packing.N_BUCKETS))
+
+
+def test_long_tokens_are_read_as_short_ones_and_in_linear_time(monkeypatch):
+    import time
+    rng = np.random.default_rng(4)
+    counts = np.zeros((28, 28, 28))
+    for w in WORDS * 5 + ["stupid", "idiot"] * 50:
+        c = [0, 0, *[ord(x) - 96 for x in w], 0]
+        for a, b, z in zip(c, c[1:], c[2:]):
+            counts[a, b, z] += 1
+    model = toxicity.CharModel(counts.ravel())
+    tokens = ["st*pid", "1d10t", "s t u p i d", "kaaban", "i-d-i-o-t!!"] + ["".join(rng.choice(list("abdiost013!-@ "), 24)) for _ in range(150)]
+    tokens = [t.strip() for t in tokens if t.strip()]
+    whole = [model.readings(t) for t in tokens]
+    monkeypatch.setattr(toxicity, "LONG", 0)
+    linked = [model.readings(t) for t in tokens]
+    assert sum(a[:1] != b[:1] for a, b in zip(whole, linked)) <= 0.02 * len(tokens)          # but for ties
+    took = []
+    for n in (4_000, 16_000):
+        token, began = "".join(rng.choice(list("4bc1d3f9h0+/"), n)), time.perf_counter()
+        assert model.readings(token)
+        took.append(time.perf_counter() - began)
+    assert took[1] < 8 * took[0] + 0.5
