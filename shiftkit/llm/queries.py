@@ -12,6 +12,7 @@ from shiftkit.llm.ngram_lm import op5_ngram_lm
 from shiftkit.llm.packing import op7_packing
 from shiftkit.llm.pii import op3_pii
 from shiftkit.llm.quality import op4_quality_classifier
+from shiftkit.llm.suffix_dedup import ORACLE as REPEATS_ORACLE
 from shiftkit.llm.suffix_dedup import op13_suffix_dedup
 from shiftkit.llm.toxicity import op10_toxicity
 from shiftkit.llm.vector_codes import ORACLE as CODES_ORACLE
@@ -39,4 +40,5 @@ ORACLES: dict[str, str] = {
     "op6_warc": WARC_ORACLE,
     "op11_fill_in_middle": FIM_ORACLE,
     "op12_vector_codes": CODES_ORACLE,
+    "op13_suffix_dedup": REPEATS_ORACLE,
 }

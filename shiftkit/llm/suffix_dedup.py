@@ -473,3 +473,25 @@ def op13_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
     return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: Strings of 50 bytes as 100 hexadecimal digits, cut from pieces of 512 bytes and their next 49.
+ORACLE = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+c AS (SELECT doc_id, n, j, substr(h, CAST(1024 * j + 1 AS BIGINT), 1122) AS hj FROM (SELECT *, unnest(range(0, n // 512 + 1)) AS j FROM d)),
+p AS (SELECT doc_id, n, j, hj, unnest(range(0, 512)) AS i FROM c),
+w AS (SELECT doc_id, 512 * j + i AS i, substr(hj, CAST(2 * i + 1 AS BIGINT), 100) AS s FROM p WHERE 512 * j + i + 50 <= n),
+m AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s),
+g AS (SELECT w.doc_id, w.i FROM w JOIN m USING (s) WHERE m.least < w.doc_id),
+b AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS new FROM g),
+r AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS k FROM b),
+spans AS (SELECT doc_id, k, min(i) AS a, max(i) + 50 AS z FROM r GROUP BY 1, 2),
+kept AS (
+  SELECT cut.doc_id, string_agg(substr(h, CAST(2 * z + 1 AS BIGINT), CAST(2 * (coalesce(next_a, n) - z) AS BIGINT)), '' ORDER BY k) AS hx
+  FROM (SELECT c.doc_id, c.k, c.z, lead(c.a) OVER (PARTITION BY c.doc_id ORDER BY c.k) AS next_a
+        FROM (SELECT doc_id, k, a, z FROM spans UNION ALL SELECT doc_id, 0, 0, 0 FROM d) c) cut JOIN d USING (doc_id) GROUP BY 1),
+t AS (SELECT doc_id, sum(z - a) AS gone, count(*) AS n_spans FROM spans GROUP BY 1)
+SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(hx)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
