@@ -113,9 +113,10 @@ def config_imports(configs: DataFrame) -> DataFrame:
     """Imports of every configuration, flattened, with ``import_pos`` from 0."""
     st = _part(F.col("value"), "$.import_settings", IMPORT_SETTINGS)
     im = _part(F.col("value"), "$.imports", T.ArrayType(IMPORT))
-    return configs.select(
-        "loader_config", st["import_path"].alias("base_import_path"), st["dns"].alias("target_dns"),
-        F.posexplode_outer(im).alias("import_pos", "i")) \
+    # The settings are parsed once a configuration, below the explode, and the text ends there.
+    parsed = configs.select("loader_config", st.alias("st"), im.alias("im")).select(
+        "loader_config", F.col("st.import_path").alias("base_import_path"), F.col("st.dns").alias("target_dns"), "im")
+    return parsed.select("loader_config", "base_import_path", "target_dns", F.posexplode_outer("im").alias("import_pos", "i")) \
         .where(F.col("i").isNotNull()) \
         .select("loader_config", "base_import_path", "target_dns", "import_pos", "i.*") \
         .withColumn("active", active_number(F.col("active")))
