@@ -17,3 +17,26 @@ def test_settings_are_parsed_once_a_configuration(spark, tmp_dir):
     plan = im._jdf.queryExecution().optimizedPlan().toString()
     above, _, below = plan.partition("Generate posexplode")
     assert "import_settings" in below and "import_settings" not in above and "value#" not in above
+
+
+def test_configurations_shuffle_keys_and_land_compressed(spark, tmp_dir, monkeypatch):
+    from shiftkit import registry
+    spark.createDataFrame([(i, "5-LOW" if i % 2 else None, "F" if i % 3 else "O") for i in range(400)],
+                          "o_orderkey long, o_orderpriority string, o_orderstatus string").write.parquet(f"{tmp_dir}/orders.parquet")
+    spark.createDataFrame([(i // 3, i % 3, i, "RAN"[i % 3], "O") for i in range(900)] + [(None, 1, 1, "R", "O"), (7, None, None, None, None)],
+                          "l_orderkey long, l_linenumber int, l_partkey long, l_returnflag string, l_linestatus string").write.parquet(f"{tmp_dir}/lineitem.parquet")
+    monkeypatch.setattr(registry, "CONFIGS_PER_FILE", 100)
+    registry._write_configs(spark, tmp_dir, f"{tmp_dir}/c")
+    texts = [r[0] for r in spark.read.text(f"{tmp_dir}/c").collect()]
+    files = [f for f in os.listdir(f"{tmp_dir}/c") if f.startswith("part-")]
+    assert len(texts) == 400 and len(files) >= 4
+    assert sum(os.path.getsize(f"{tmp_dir}/c/{f}") for f in files) < sum(map(len, texts)) / 5
+    by_path = {c["import_settings"]["import_path"]: c for c in map(json.loads, texts)}
+    assert "exports" not in by_path["/data/399"] and isinstance(by_path["/data/0"]["export_settings"], list)
+    assert by_path["/data/7"]["exports"][0] == {"columns": ["id", "name__v", None], "ignore_column": ["id"]}
+    assert by_path["/data/7"]["exports"][2] == {
+        "name": "exp_7_1", "params": "-export item__c -csv exp_7_1.csv", "where": "l_partkey = 22", "columns": ["id", "name__v", "part_22"],
+        "ignore_column": ["id"], "active": 1, "status": "O"}
+    assert by_path["/data/7"]["imports"][1] == {
+        "name": "imp_7_0", "params": "-update item__c -csv imp_7_0.csv -idParam id", "active": 0, "status": "O",
+        "business_object_type": "Item", "referenced_objects": "part_21"}
