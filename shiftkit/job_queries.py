@@ -120,14 +120,25 @@ def q_run_exports_rows(spark, sf_dir):
 
 # --- S1: quoted CSV split by bytes ------------------------------------------------
 
+#: Parquet bytes of the table that go into one CSV file, written by one task.
+ONE_CSV_BYTES = 256 << 20
+
+
+def _write_documents_csv(spark, sf_dir, path, file_bytes=ONE_CSV_BYTES):
+    """``documents`` as one quoted CSV file, or as several of ``file_bytes`` each when it is larger."""
+    from shiftkit.operators.sinks import write_csv
+    from shiftkit.sources.files import list_files
+    size = list_files(spark, f"{sf_dir.rstrip('/')}/documents.parquet").agg(F.sum("length")).first()[0] or 0
+    write_csv(table(spark, sf_dir, "documents").coalesce(1 + size // file_bytes), path)
+
+
 @register("S1_split_csv", """
 SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars FROM documents
 """)
 def q_split_csv(spark, sf_dir):
-    """Whole texts written as one quoted CSV file, read back by many tasks."""
-    from shiftkit.operators.sinks import write_csv
+    """Whole texts written as quoted CSV, a few large files, each read back by many tasks."""
     from shiftkit.sources.records import read_split_csv
-    path = landed(spark, sf_dir, "documents_one_csv", lambda p: write_csv(table(spark, sf_dir, "documents"), p, single_file=True))
+    path = landed(spark, sf_dir, "documents_one_csv", lambda p: _write_documents_csv(spark, sf_dir, p))
     return read_split_csv(spark, path, glob="*.csv")
 
 

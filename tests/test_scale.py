@@ -40,3 +40,16 @@ def test_configurations_shuffle_keys_and_land_compressed(spark, tmp_dir, monkeyp
     assert by_path["/data/7"]["imports"][1] == {
         "name": "imp_7_0", "params": "-update item__c -csv imp_7_0.csv -idParam id", "active": 0, "status": "O",
         "business_object_type": "Item", "referenced_objects": "part_21"}
+
+
+def test_large_tables_are_written_as_several_split_files(spark, tmp_dir):
+    from shiftkit.job_queries import _write_documents_csv
+    from shiftkit.sources.records import read_split_csv
+    docs = [(i, f'line "{i}"\nnext, line' if i % 3 else None, "en", f"s{i % 2}", i) for i in range(400)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars int").repartition(8).write.parquet(f"{tmp_dir}/documents.parquet")
+    size = sum(os.path.getsize(f"{tmp_dir}/documents.parquet/{f}") for f in os.listdir(f"{tmp_dir}/documents.parquet") if f.endswith(".parquet"))
+    for file_bytes, n in ((size + 1, 1), (size // 3 + 1, 3)):
+        _write_documents_csv(spark, tmp_dir, f"{tmp_dir}/csv{n}", file_bytes)
+        assert len([f for f in os.listdir(f"{tmp_dir}/csv{n}") if f.endswith(".csv")]) == n
+        back = read_split_csv(spark, f"{tmp_dir}/csv{n}", glob="*.csv")
+        assert rows(back) == sorted([tuple(None if v is None else str(v) for v in d) for d in docs], key=repr)
