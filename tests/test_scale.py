@@ -53,3 +53,18 @@ def test_large_tables_are_written_as_several_split_files(spark, tmp_dir):
         assert len([f for f in os.listdir(f"{tmp_dir}/csv{n}") if f.endswith(".csv")]) == n
         back = read_split_csv(spark, f"{tmp_dir}/csv{n}", glob="*.csv")
         assert rows(back) == sorted([tuple(None if v is None else str(v) for v in d) for d in docs], key=repr)
+
+
+def test_csv_tree_is_landed_compressed_and_whole(spark, tmp_dir):
+    from shiftkit.registry import QUERIES, TREE_TABLES, csv_tree
+    from shiftkit.sources.files import read_object_csv
+    for t in TREE_TABLES:
+        spark.range(2_000).selectExpr("id", f"concat('{t} ', id % 9) as `{t[0]}_name, of`").coalesce(1).write.parquet(f"{tmp_dir}/{t}.parquet")
+    assert rows(QUERIES["S2_scan_csv_headers"](spark, tmp_dir)) == sorted([(t, h) for t in TREE_TABLES for h in ("id", f"{t[0]}_name, of")], key=repr)
+    assert QUERIES["S6_latest_snapshot"](spark, tmp_dir).first()[0] in TREE_TABLES
+    for t in TREE_TABLES:
+        folder = csv_tree(spark, tmp_dir).removeprefix("file:") + f"/{t}"
+        back = read_object_csv(spark, folder)
+        assert back.count() == 2_000
+        text = sum(len(",".join(r)) + 1 for r in back.collect())
+        assert sum(os.path.getsize(f"{folder}/{f}") for f in os.listdir(folder) if f.startswith("part-")) < text / 2
