@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from shiftkit.functions.names import col
 from shiftkit.functions.text import trim_ws
-from shiftkit.session import shared_dir
 
 
 def key_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]],
@@ -78,54 +77,45 @@ def bridge_resolve(bridge: DataFrame, left_fk: str, left_dim: DataFrame, left_id
                       *[col(d) for d in right_fields.values()])
 
 
-def _with_grams(df: DataFrame, text: Column, sizes: Column) -> DataFrame:
-    """``df`` with ``__gram``: each distinct substring of ``text`` of each of ``sizes`` characters, a row each."""
-    sized = df.withColumn("__q", F.explode(sizes)).where(F.col("__q") <= F.length(text))
-    placed = sized.withColumn("__pos", F.explode(F.sequence(F.lit(1), F.length(text) - F.col("__q") + 1)))
-    grams = placed.withColumn("__gram", F.substring(text, F.col("__pos"), F.col("__q")))
-    return grams.where(F.instr(text, F.col("__gram")) == F.col("__pos")).drop("__q", "__pos")
+#: A pattern's head: at most so many characters of its start. Heads share so many cells, which steer the work, not the result.
+HEAD, CELLS = 4, 1 << 16
 
 
-def _gram_size(text: Column) -> Column:
-    """The largest power of two that is no longer than ``text``."""
-    return F.pow(F.lit(2), F.floor(F.log2(F.length(text)))).cast("int")
+def _head_cell(head: Column) -> Column:
+    return F.pmod(F.xxhash64(head), F.lit(CELLS))
 
 
-#: One text in so many is asked how common a gram is, and the counts kept.  They steer the work, not the result.
-ASKED, COUNTS = 16, 1 << 16
+def possible_patterns(items: DataFrame, item_text: str, patterns: DataFrame, pattern_col: str) -> DataFrame:
+    """``items`` with ``__pattern``: the distinct substrings of a row's text that may be patterns, a row each.
+
+    A table of at most CELLS rows says which lengths the patterns of a head
+    have.  It is broadcast; a text is cut only where a head stands, to the lengths
+    of that head, so the rows are few before anything is shuffled.  Every
+    pattern that a text contains is among them; others may be, so callers
+    join them to the patterns on equality.  Null and empty patterns match nothing.
+    """
+    p, text = F.col("__p"), col(item_text)
+    size = F.least(F.pow(F.lit(2), F.floor(F.log2(F.length(p)))).cast("int"), F.lit(HEAD))
+    keyed = patterns.select(col(pattern_col).alias("__p")).where(F.length(p) > 0)
+    heads = (keyed.select(size.alias("__q"), F.substring(p, F.lit(1), size).alias("__head"), F.length(p).alias("__n"))
+             .groupBy("__q", _head_cell(F.col("__head")).alias("__cell")).agg(F.collect_set("__n").alias("__sizes")))
+    sizes = F.array(*[F.lit(1 << i) for i in range(HEAD.bit_length())])
+    placed = (items.withColumn("__q", F.explode(sizes)).where(F.col("__q") <= F.length(text))
+              .withColumn("__pos", F.explode(F.sequence(F.lit(1), F.length(text) - F.col("__q") + 1)))
+              .withColumn("__cell", _head_cell(F.substring(text, F.col("__pos"), F.col("__q")))))
+    cut = (placed.join(F.broadcast(heads), ["__q", "__cell"]).withColumn("__n", F.explode("__sizes"))
+           .where(F.col("__pos") + F.col("__n") - 1 <= F.length(text))
+           .withColumn("__pattern", F.substring(text, F.col("__pos"), F.col("__n"))))
+    return cut.where(F.instr(text, F.col("__pattern")) == F.col("__pos")).drop("__q", "__cell", "__sizes", "__pos", "__n")
 
 
 def substring_pairs(items: DataFrame, item_text: str, patterns: DataFrame, pattern_col: str) -> DataFrame:
     """Each item row with each distinct pattern (``__pattern``) that its text contains.
 
-    A rarest-gram index: a pattern is cut into grams as long as the largest
-    power of two within it, and stands under the one that is rarest in a
-    hashed part of the items, then among the patterns.
-    Items emit their distinct grams of the sizes in use (at most the binary
-    logarithm of the longest pattern), meet the patterns under them in one
-    equi-join, and containment is verified exactly.  So the work is the
-    items' text times a few sizes, plus as many candidates as the rarest grams
-    leave.  An item that contains a pattern holds all its grams, whichever it
-    stands under, so no pair is lost.  Null and empty patterns match nothing.
-    The index is landed, so that its size is known when the join is planned.
+    One equi-join of :func:`possible_patterns` with the patterns.
     """
-    keyed = patterns.select(col(pattern_col).alias("__pattern")).where(F.length("__pattern") > 0).withColumn("__size", _gram_size(F.col("__pattern")))
-    sizes = sorted(r[0] for r in keyed.select("__size").distinct().collect())          # at most log2 of the longest
-    text, in_use = col(item_text), F.array(*[F.lit(q) for q in sizes]).cast("array<int>")
-    is_asked = F.pmod(F.xxhash64("__text"), F.lit(ASKED)) == 0
-    cell = F.pmod(F.xxhash64("__gram"), F.lit(COUNTS)).alias("__cell")
-    of_items = _with_grams(items.select(text.alias("__text")).where(is_asked), F.col("__text"), in_use)
-    of_asked = _with_grams(keyed.select(F.col("__pattern").alias("__text"), "__size").where(is_asked), F.col("__text"), F.array("__size"))
-    counts = of_items.select(cell).unionByName(of_asked.select(cell)).groupBy("__cell").agg(F.count(F.lit(1)).alias("__n"))
-    of_patterns = _with_grams(keyed, F.col("__pattern"), F.array("__size")).select("__pattern", "__gram", cell)
-    # At most COUNTS rows: broadcast.
-    index = (of_patterns.join(F.broadcast(counts), "__cell", "left").groupBy("__pattern")
-             .agg(F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("__n"), "__gram")).alias("__rarest"))
-             .select("__pattern", F.col("__rarest.__gram").alias("__gram")))
-    at = shared_dir(items.sparkSession, "gram-index")
-    index.write.parquet(at)
-    index = items.sparkSession.read.schema("__pattern string, __gram string").parquet(at)
-    return _with_grams(items, text, in_use).join(index, "__gram").where(text.contains(F.col("__pattern"))).drop("__gram")
+    wanted = patterns.select(col(pattern_col).alias("__pattern")).where(F.length("__pattern") > 0).distinct()
+    return possible_patterns(items, item_text, patterns, pattern_col).join(wanted, "__pattern").select(*[col(c) for c in items.columns], "__pattern")
 
 
 def contains_join(items: DataFrame, item_text: str, patterns: DataFrame, pattern_col: str,

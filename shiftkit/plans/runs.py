@@ -24,7 +24,7 @@ from shiftkit.functions.params import (
     source_key,
 )
 from shiftkit.operators.aggregate import row_count_observed
-from shiftkit.operators.joins import substring_pairs
+from shiftkit.operators.joins import possible_patterns
 from shiftkit.operators.project import mark_ignored, project_columns, where_filter
 from shiftkit.plans.relations import Relations, resolve_export
 
@@ -98,10 +98,11 @@ def reconcile_imports(jobs: DataFrame, files: DataFrame, exact: bool = True,
         file_name = (F.when(F.col("has_failure"), F.concat("stem", F.lit(FAILURE_SUFFIX)))
                      .when(F.col("has_success"), F.concat("stem", F.lit(SUCCESS_SUFFIX))))
     else:
-        # Substring form: flags and first files per stem before the jobs are
-        # joined 1:1 on it (partial aggregation), so a short stem contained
-        # in many file names never becomes many (job, file) pairs.
-        per_stem = substring_pairs(f, "file_name", active.select("stem"), "stem").groupBy("__pattern").agg(
+        # Substring form: flags and first files per possible stem before
+        # anything is shuffled (partial aggregation), so a short stem contained
+        # in many file names never becomes many (job, file) pairs.  The
+        # join with the jobs is 1:1 on it and drops what is no stem.
+        per_stem = possible_patterns(f, "file_name", active, "stem").groupBy("__pattern").agg(
             F.bool_or(F.col("outcome") == "failure").alias("has_failure"),
             F.bool_or(F.col("outcome") == "success").alias("has_success"),
             F.min(F.when(F.col("outcome") == "failure", F.col("file_name"))).alias("failure_file"),
